@@ -28,9 +28,19 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, **conf: st
     return prepare(spark)
 
 
+#: Rows and bytes of an Arrow batch: what a worker holds of its input at a time.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16777216"}
+#: Workers give freed memory back instead of keeping it in pools.
+WORKER_ENV = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "1048576"}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Let Python workers on this machine import this package; a cluster ships it with --py-files."""
+    """Let Python workers on this machine import this package (a cluster ships it with --py-files), in bounded memory."""
     env = spark.sparkContext.environment
+    for key, value in WORKER_ENV.items():
+        env.setdefault(key, value)
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
     have = env.get("PYTHONPATH", "").split(os.pathsep)
     if _HOME not in have:
         env["PYTHONPATH"] = os.pathsep.join([_HOME, *filter(None, have)])

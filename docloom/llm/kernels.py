@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one kernel call works on, unless a single text is longer.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _U = np.uint64
 _WORD_BASE = 0x9E3779B97F4A7C55

@@ -41,7 +41,7 @@ from docloom.llm.store import Table, extended, shuffle_partitions
 
 WINDOW = 20
 #: Windows that a chunk holds before it is sorted and sent; bounds a task's memory.
-CHUNK_WINDOWS = 1_500_000
+CHUNK_WINDOWS = 750_000
 #: Buckets of hashes for each shuffle partition.
 BUCKETS_A_PARTITION = 4
 

@@ -15,7 +15,7 @@ the slots' size is bounded at every input size.
    shuffle join can split them.
 3. Star round: in each n-gram's list every class meets the list's first class.
    Remaining round: where a list still holds several components, the members
-   outside its main one meet all members of other components.  Both rounds apply
+   outside its main one meet all members of other components, in blocks of sets.  Both rounds apply
    length and positional filters before a pair is emitted, and each pair is then
    verified once, with a suffix filter ahead of the full intersection.  A pair
    that the second round leaves out lies in one component already, so no
@@ -78,33 +78,35 @@ def _describe(shingle: int, rule: k.WordRule):
                 seen = True
                 yield pa.RecordBatch.from_arrays([pa.array(size), pa.array(ids), batch.column(0).slice(a, b - a).cast(pa.int64()), pa.nulls(b - a, pa.binary())], schema=schema)
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([0], pa.int64()), pa.nulls(1, pa.int64()), k.binary_column([k.to_planes(slots.astype(np.uint64))])], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([0], pa.int64()), pa.nulls(1, pa.int64()), k.binary_column([_slot_bytes(slots)])], schema=schema)
 
     return run
 
 
+def _slot_bytes(slots: np.ndarray) -> bytes:
+    return np.minimum(slots, 2**32 - 1).astype("<u4").tobytes()
+
+
 def _add_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << SLOT_BITS, np.uint64)
+    total, seen = np.zeros(1 << SLOT_BITS, np.int64), False
     for batch in batches:
         for x in batch.column(0):
-            total += k.from_planes(x.as_py())
-    yield pa.RecordBatch.from_arrays([k.binary_column([k.to_planes(total)])], names=["slots"])
+            total += np.frombuffer(x.as_buffer(), "<u4")
+            seen = True
+    if seen:
+        yield pa.RecordBatch.from_arrays([k.binary_column([_slot_bytes(total)])], names=["slots"])
 
 
 def _rarity(described: Table) -> np.ndarray:
-    """The slots' sums: added up in a tree, a few tables at a time; a fixed size at every input size."""
-    slots = described.df.filter("n = -1").select("slots")
-    parts = Table(slots.mapInArrow(_add_slots, "slots binary"), "slots")
-    while (m := parts.df.count()) > 8:
-        # Each step deals the tables out by number and adds up those of a task.
-        step = Table(parts.df.repartition(max(1, m // 8)).mapInArrow(_add_slots, "slots binary"), "slots")
+    """The slots' sums: added up in a tree, a few tables at a time; one table of a fixed size reaches the driver."""
+    parts = Table(described.df.filter("n = -1").select("slots"), "slots")
+    while (m := parts.df.count()) > 1:
+        step = Table(parts.df.repartition(-(-m // 16)).mapInArrow(_add_slots, "slots binary"), "slots")
         parts.drop()
         parts = step
-    total = np.zeros(1 << SLOT_BITS, np.uint64)
-    for row in parts.df.toLocalIterator():
-        total += k.from_planes(bytes(row.slots))
+    row = parts.df.first()
     parts.drop()
-    return total
+    return np.frombuffer(bytes(row.slots), "<u4") if row else np.zeros(1 << SLOT_BITS, "<u4")
 
 
 def _prefix(size: np.ndarray) -> np.ndarray:
@@ -194,6 +196,52 @@ def _pairs(joined: DataFrame) -> DataFrame:
     return joined.select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b")).distinct()
 
 
+#: Sets of one family that a task pairs with each other; a larger family is cut into blocks.
+BLOCK_SETS = 2_000
+_STEP = 1_000_000
+
+
+def _meet(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Candidate pairs of a unit, each once: members outside their list's main component, and members of other components."""
+    m, a = ({c: t[c].to_numpy() for c in ("token", "sid", "n", "pos", "root", "main")} for t in (left, right))
+    order = np.argsort(a["token"], kind="stable")
+    a = {c: v[order] for c, v in a.items()}
+    lo, hi = np.searchsorted(a["token"], m["token"]), np.searchsorted(a["token"], m["token"], side="right")
+    sids = np.unique(np.r_[m["sid"], a["sid"]])
+    im, ia = np.searchsorted(sids, m["sid"]), np.searchsorted(sids, a["sid"])
+    total = np.cumsum(hi - lo)
+    found = [np.empty(0, np.int64)]
+    at = 0
+    while at < len(lo):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + _STEP, side="right")))
+        many = (hi - lo)[at:to]
+        x = np.repeat(np.arange(at, to), many)
+        y = np.repeat(lo[at:to], many) + np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many)
+        nx, ny = m["n"][x], a["n"][y]
+        ok = (m["root"][x] != a["root"][y]) & ((a["root"][y] == a["main"][y]) | (m["sid"][x] < a["sid"][y]))
+        ok &= (DEN * np.minimum(nx, ny) >= NUM * np.maximum(nx, ny)) & (np.minimum(nx - m["pos"][x], ny - a["pos"][y]) >= -(-NUM * (nx + ny) // (NUM + DEN)))
+        x, y = im[x[ok]], ia[y[ok]]
+        found.append(np.unique(np.minimum(x, y) * len(sids) + np.maximum(x, y)))
+        at = to
+    code = np.unique(np.concatenate(found))
+    return pa.table({"a": sids[code // max(1, len(sids))], "b": sids[code % max(1, len(sids))]})
+
+
+def _across(left: Table, buckets: int) -> DataFrame:
+    """Candidate pairs across components.  Lists with one main component are a family: its n-grams meet in one place, so a
+    pair is emitted once and not for each n-gram it shares.  Small families share buckets; a large one is cut into blocks of sets."""
+    family = left.df.groupBy("main", "sid").agg(F.max(F.col("root") != F.col("main")).alias("out")).groupBy("main").agg(F.count("*").alias("n_all"), F.count_if("out").alias("n_out"))
+    family = Table(family.select("main", F.ceil(F.col("n_out") / BLOCK_SETS).cast("int").alias("out_blocks"), F.ceil(F.col("n_all") / BLOCK_SETS).cast("int").alias("all_blocks")), "families")
+    rows = left.df.join(family.side(), "main")
+    small = (F.col("out_blocks") <= 1) & (F.col("all_blocks") <= 1)
+    unit = F.when(small, F.pmod(F.xxhash64("main"), F.lit(buckets))).otherwise(F.col("main"))
+    block = F.xxhash64("sid")
+    cols = ["token", "sid", "n", "pos", "root", "main"]
+    out = rows.filter("root != main").select(*cols, unit.alias("unit"), F.pmod(block, F.greatest("out_blocks", F.lit(1))).alias("i"), F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).cast("long").alias("j"))
+    every = rows.filter("out_blocks > 0").select(*cols, unit.alias("unit"), F.explode(F.sequence(F.lit(0), F.col("out_blocks") - 1)).cast("long").alias("i"), F.pmod(block, F.col("all_blocks")).alias("j"))
+    return out.groupBy("unit", "i", "j").cogroup(every.groupBy("unit", "i", "j")).applyInArrow(_meet, "a long, b long")
+
+
 def _need(x: int, y: int) -> int:
     return -(-NUM * (x + y) // (NUM + DEN))
 
@@ -239,7 +287,7 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     described = Table(rows.mapInArrow(_describe(shingle, rule), "n long, sid long, doc long, slots binary"), "described")
     classes = Table(described.df.filter("n > 0").groupBy("sid").agg(F.min("doc").alias("doc")), "classes")
-    rank = spark.sparkContext.broadcast(_rarity(described).astype(np.uint32))
+    rank = spark.sparkContext.broadcast(_rarity(described))
     buckets = BUCKETS_A_PARTITION * shuffle_partitions(spark)
     sent = Table(rows.filter(F.length("text") > 0).mapInArrow(_postings(shingle, rule, rank, buckets), "bucket long, token long, sid long, n long, pos long, blob array<binary>"), "sent")
     packed = sent.df.filter("bucket >= 0").groupBy("bucket").applyInArrow(_shared_only, "token long, sid long, n long, pos long")
@@ -257,10 +305,9 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     label = Table(label, "labelled")
     split = label.df.groupBy("token", "root").agg(F.count("*").alias("many")).groupBy("token").agg(F.max(F.struct("many", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
     split = Table(split.select("token", F.col("main.root").alias("main")), "split")
-    left = label.df.join(split.side(), "token")
-    left = Table(left, "left")
-    cross = left.df.filter("root != main").alias("a").join(left.df.alias("b"), "token").filter("a.root != b.root and (b.root = b.main or a.sid < b.sid) and " + _filters("a", "b"))
-    rest = Table(_pairs(cross).join(star.df, ["a", "b"], "left_anti"), "pairs")
+    left = Table(label.df.join(split.side(), "token"), "left")
+    cross = _across(left, 4 * shuffle_partitions(spark))
+    rest = Table(cross.distinct().join(star.df, ["a", "b"], "left_anti"), "pairs")
     more = Table(_checked(rest, rows, classes, shingle, rule), "links")
     last = components(links.df.union(more.df))
 

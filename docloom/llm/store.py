@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: A side of a join is broadcast only if its table's files hold no more bytes than this; Parquet of hashes and ids
-#: hardly shrinks, and ``broadcast_rows`` bounds the rows, so the hash table stays within some 200 MB.
-BROADCAST_BYTES = 32_000_000
-BROADCAST_ROWS = 2_000_000
+#: hardly shrinks, and ``broadcast_rows`` bounds the rows, so the hash table stays within some 60 MB.
+BROADCAST_BYTES = 12_000_000
+BROADCAST_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ from docloom.llm.store import Table, extended, shuffle_partitions
 CAPACITY = 1024
 END_ID = 2
 #: Word forms whose ids a worker remembers; it starts anew beyond.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
+FORMS_A_ROW = 200
 #: Fits of repeat counts, each to what the one before has left.
 ROUNDS = 8
 
@@ -60,6 +62,19 @@ def _classes() -> np.ndarray:
     return out
 
 
+class _Numbers(dict):
+    """Numbers word forms as they come; ``new``: those that have no ids yet."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, form: str) -> int:
+        self[form] = n = len(self)
+        self.new.append(form)
+        return n
+
+
 class Encoder:
     """Ids of a byte-level BPE tokenizer (tokenizers .json).
 
@@ -78,10 +93,14 @@ class Encoder:
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.classes = _classes()
+        # In a byte-level vocabulary each character of an entry stands for one byte.
+        self.width = np.zeros(self.library.get_vocab_size(), np.int64)
+        for entry, i in self.library.get_vocab().items():
+            self.width[i] = len(entry)
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.ids = [np.empty(0, np.uint32)]
         self.size = [np.empty(0, np.int64)]
         self.flat: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
@@ -157,19 +176,38 @@ class Encoder:
         return np.flatnonzero(begins)
 
     def _numbers(self, forms: list[str]) -> np.ndarray:
-        new = [f for f in forms if f not in self.number]
-        if new:
-            if len(self.number) + len(new) > MEMO_WORDS:
-                self.clear()
-                new = forms
-            made = self.library.encode_batch_fast(new, add_special_tokens=False)
-            for f in new:
-                self.number[f] = len(self.number)
-            ids = [e.ids for e in made]
-            self.size.append(np.array([len(x) for x in ids], np.int64))
-            self.ids.append(np.fromiter((i for x in ids for i in x), np.uint32))
-            self.flat = None
-        return np.fromiter(map(self.number.__getitem__, forms), np.int64, len(forms))
+        if len(self.number) > MEMO_WORDS:
+            self.clear()
+        out = np.fromiter(map(self.number.__getitem__, forms), np.int64, len(forms))
+        if new := self.number.new:
+            # A space before a form that holds no other white space ends the form before it: such forms are encoded
+            # in rows, and told apart by the bytes of their ids.
+            spaced = [f[0] == " " and len(f) > 1 and not f[1].isspace() for f in new]
+            size = np.zeros(len(new), np.int64)
+            place, ids = [], []
+            for together in (True, False):
+                at = [i for i, x in enumerate(spaced) if x is together]
+                step = FORMS_A_ROW if together else 1
+                rows = ["".join(new[i] for i in at[j : j + step]) for j in range(0, len(at), step)]
+                made = [e.ids for e in self.library.encode_batch_fast(rows, add_special_tokens=False)]
+                flat = np.fromiter(chain.from_iterable(made), np.int64)
+                if together:
+                    end = np.cumsum([len(new[i].encode()) for i in at])
+                    to = np.searchsorted(np.cumsum(self.width[flat]), end) + 1
+                    size[at] = np.diff(np.r_[0, to])
+                else:
+                    size[at] = np.fromiter(map(len, made), np.int64, len(made))
+                place += at
+                ids.append(flat)
+            order = np.argsort(np.array(place, np.int64))
+            flat = np.concatenate(ids)
+            many = size[place]
+            start = (np.cumsum(many) - many)[order]
+            to = np.cumsum(size)
+            self.size.append(size)
+            self.ids.append(flat[np.repeat(start - (to - size), size) + np.arange(len(flat))].astype(np.uint32))
+            self.flat, self.number.new = None, []
+        return out
 
     def _tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if self.flat is None:
@@ -193,7 +231,7 @@ def _cut(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(path)
         for batch in batches:
-            for a, b in k.slices(batch.column(1)):
+            for a, b in k.slices(batch.column(1), 3 * k.SLICE_BYTES):
                 ids, first = made.encode(batch.column(1).slice(a, b - a))
                 with_end = np.insert(ids, first[1:], end_id).astype("<u4")
                 first = first + np.arange(len(first))

@@ -231,14 +231,14 @@ def _across(left: Table, buckets: int) -> DataFrame:
     """Candidate pairs across components.  Lists with one main component are a family: its n-grams meet in one place, so a
     pair is emitted once and not for each n-gram it shares.  Small families share buckets; a large one is cut into blocks of sets."""
     family = left.df.groupBy("main", "sid").agg(F.max(F.col("root") != F.col("main")).alias("out")).groupBy("main").agg(F.count("*").alias("n_all"), F.count_if("out").alias("n_out"))
-    family = Table(family.select("main", F.ceil(F.col("n_out") / BLOCK_SETS).cast("int").alias("out_blocks"), F.ceil(F.col("n_all") / BLOCK_SETS).cast("int").alias("all_blocks")), "families")
-    rows = left.df.join(family.side(), "main")
+    family = Table(family.select("main", F.ceil(F.col("n_out") / BLOCK_SETS).cast("long").alias("out_blocks"), F.ceil(F.col("n_all") / BLOCK_SETS).cast("long").alias("all_blocks")), "families")
+    rows, again = (left.df.join(family.side(), "main") for _ in range(2))
     small = (F.col("out_blocks") <= 1) & (F.col("all_blocks") <= 1)
     unit = F.when(small, F.pmod(F.xxhash64("main"), F.lit(buckets))).otherwise(F.col("main"))
     block = F.xxhash64("sid")
     cols = ["token", "sid", "n", "pos", "root", "main"]
-    out = rows.filter("root != main").select(*cols, unit.alias("unit"), F.pmod(block, F.greatest("out_blocks", F.lit(1))).alias("i"), F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).cast("long").alias("j"))
-    every = rows.filter("out_blocks > 0").select(*cols, unit.alias("unit"), F.explode(F.sequence(F.lit(0), F.col("out_blocks") - 1)).cast("long").alias("i"), F.pmod(block, F.col("all_blocks")).alias("j"))
+    out = rows.filter("root != main").select(*cols, unit.alias("unit"), F.pmod(block, F.greatest("out_blocks", F.lit(1))).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_blocks") - 1)).alias("j"))
+    every = again.filter("out_blocks > 0").select(*cols, unit.alias("unit"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("out_blocks") - 1)).alias("i"), F.pmod(block, F.col("all_blocks")).alias("j"))
     return out.groupBy("unit", "i", "j").cogroup(every.groupBy("unit", "i", "j")).applyInArrow(_meet, "a long, b long")
 
 

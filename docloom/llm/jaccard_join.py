@@ -13,10 +13,11 @@ the slots' size is bounded at every input size.
    set size and position, as packed byte planes; buckets drop n-grams that one
    class alone has.  N-grams of very full slots travel as rows instead, so that a
    shuffle join can split them.
-3. Star round: in each n-gram's list every class meets the list's first class.
+3. Star round: in each n-gram's list every class meets the class that has the n-gram at its lowest
+   position (length filter): of a family of edited copies, the one with the fewest n-grams of its own.
    Remaining round: where a list still holds several components, the members
-   outside its main one meet all members of other components, in blocks of sets.  Both rounds apply
-   length and positional filters before a pair is emitted, and each pair is then
+   outside its main one meet all members of other components, in blocks of sets.  There length
+   and positional filters apply before a pair is emitted.  Each pair of either round is
    verified once, with a suffix filter ahead of the full intersection.  A pair
    that the second round leaves out lies in one component already, so no
    component is missed and no group is expanded into all its pairs.
@@ -186,12 +187,6 @@ def _shared_only(group: pa.Table) -> pa.Table:
     return pa.table({"token": k.as_signed(token[m]), "sid": sid[m], "n": n[m], "pos": pos[m]})
 
 
-def _filters(a: str, b: str) -> str:
-    """Length filter, and positional filter for the first n-gram that two sets share."""
-    need = f"(({NUM} * ({a}.n + {b}.n) + {NUM + DEN - 1}) div {NUM + DEN})"
-    return f"{DEN} * least({a}.n, {b}.n) >= {NUM} * greatest({a}.n, {b}.n) and 1 + least({a}.n - {a}.pos, {b}.n - {b}.pos) - 1 >= {need}"
-
-
 def _pairs(joined: DataFrame) -> DataFrame:
     return joined.select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b")).distinct()
 
@@ -295,8 +290,8 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     posts = Table(packed.union(full), "postings")
     sent.drop()
 
-    hubs = Table(posts.df.groupBy("token").agg(F.min(F.struct("sid", "n", "pos")).alias("hub"), F.count("*").alias("many")).filter("many > 1").select("token", "hub.*"), "hubs")
-    star = Table(_pairs(posts.df.alias("a").join(hubs.df.alias("b"), "token").filter("a.sid != b.sid and " + _filters("a", "b"))), "pairs")
+    hubs = Table(posts.df.groupBy("token").agg(F.min(F.struct("pos", "sid", "n")).alias("hub"), F.count("*").alias("many")).filter("many > 1").select("token", "hub.*"), "hubs")
+    star = Table(_pairs(posts.df.alias("a").join(hubs.df.alias("b"), "token").filter(f"a.sid != b.sid and {DEN} * least(a.n, b.n) >= {NUM} * greatest(a.n, b.n)")), "pairs")
     links = Table(_checked(star, rows, classes, shingle, rule), "links")
     first = components(links.df)
 

@@ -192,7 +192,7 @@ def _pairs(joined: DataFrame) -> DataFrame:
 
 
 #: Sets of one family that a task pairs with each other; a larger family is cut into blocks.
-BLOCK_SETS = 2_000
+BLOCK_SETS = 500
 _STEP = 1_000_000
 
 
@@ -256,12 +256,31 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         x, y = batch.column(2), batch.column(3)
-        ok = [_linked(np.frombuffer(x[i].as_py(), np.uint64), np.frombuffer(y[i].as_py(), np.uint64)) for i in range(len(a))]
+        ok = [_linked(np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64)) for i in range(len(a))]
         m = np.array(ok, bool)
         yield pa.RecordBatch.from_arrays([pa.array(a[m]), pa.array(b[m])], names=["u", "v"])
 
 
-def _sets(shingle: int, rule: k.WordRule):
+#: Parts by hash that a set is counted in; the sum of the smaller counts bounds an overlap.
+PARTS = 256
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if not len(a):
+            continue
+        x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, PARTS).astype(np.int64) for i in (2, 3))
+        m = np.minimum(x, y).sum(1) >= -(-NUM * (x.sum(1) + y.sum(1)) // (NUM + DEN))
+        yield pa.RecordBatch.from_arrays([pa.array(a[m]), pa.array(b[m])], names=["a", "b"])
+
+
+def _sets(shingle: int, rule: k.WordRule, counts: bool):
+    """Sets of the wanted texts, or how many of their shingles each part holds."""
+
+    def value(h: np.ndarray) -> bytes:
+        return np.bincount((h & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS).astype("<u4").tobytes() if counts else h.tobytes()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in k.slices(batch.column(1)):
@@ -271,7 +290,7 @@ def _sets(shingle: int, rule: k.WordRule):
                 # A row is wanted for its own set: where an id has several texts, the others are left out.
                 want = batch.column(0).slice(a, b - a).to_numpy()
                 rows = np.flatnonzero(ids == want)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), k.binary_column([h[off[r] : off[r + 1]].tobytes() for r in rows])], names=["sid", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), k.binary_column([value(h[off[r] : off[r + 1]]) for r in rows])], names=["sid", "set"])
 
     return run
 
@@ -317,13 +336,19 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def _checked(pairs: Table, rows: DataFrame, classes: Table, shingle: int, rule: k.WordRule) -> DataFrame:
-    """The pairs that link: the sets of the classes in question are made again from one text each, and joined to the pairs."""
+    """The pairs that link.  Counts by part (a kilobyte a set) leave out most pairs that do not; sets travel for the rest."""
+    likely = Table(_with_sets(pairs, rows, classes, shingle, rule, counts=True).mapInArrow(_possible, "a long, b long"), "likely")
+    return _with_sets(likely, rows, classes, shingle, rule, counts=False).mapInArrow(_verify, "u long, v long")
+
+
+def _with_sets(pairs: Table, rows: DataFrame, classes: Table, shingle: int, rule: k.WordRule, counts: bool) -> DataFrame:
+    """``a``, ``b`` and their sets, made again from one text of each class.  Rows of repeated ids repeat pairs, which does no harm."""
     wanted = pairs.df.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(classes.df, "sid").select("sid", "doc")
     wanted = Table(wanted, "wanted")
     texts = rows.join(wanted.side().withColumnRenamed("doc", "own"), F.col("doc").eqNullSafe(F.col("own"))).select("sid", "text")
-    sets = Table(texts.mapInArrow(_sets(shingle, rule), "sid long, set binary").dropDuplicates(["sid"]), "sets")
+    sets = Table(texts.mapInArrow(_sets(shingle, rule, counts), "sid long, set binary"), "sets")
     x, y = (sets.df.select(F.col("sid").alias(c), F.col("set").alias(f"{c}_set")) for c in "ab")
-    return pairs.df.hint("merge").join(x, "a").join(y, "b").select("a", "b", "a_set", "b_set").mapInArrow(_verify, "u long, v long")
+    return pairs.df.hint("merge").join(x, "a").join(y, "b").select("a", "b", "a_set", "b_set")
 
 
 def _add_sid(at: int, shingle: int, rule: k.WordRule):

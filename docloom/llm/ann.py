@@ -188,8 +188,9 @@ def _deal(shared, sizes: dict[int, int], asked: dict[int, int], queries: bool):
                 theirs = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
                 cb, qb = (theirs, mine[at]) if queries else (mine[at], theirs)
                 unit = (lists[at].astype(np.int64) << 40) | (cb.astype(np.int64) << 20) | qb.astype(np.int64)
-                raw = x.tobytes()
-                width = 8 * x.shape[1]
+                sent = np.c_[x, index.bounds(x, ids)] if queries else x  # a query's bound goes with it
+                raw = sent.tobytes()
+                width = 8 * sent.shape[1]
                 blob = pa.array([raw[r * width : (r + 1) * width] for r in row[at].tolist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(unit), pa.array(ids[row[at]]), blob], names=["unit", "id", "vector"])
 
@@ -209,7 +210,7 @@ def _unit(shared):
             return schema.empty_table()
         c_ids, q_ids = left["id"].to_numpy(), right["id"].to_numpy()
         c, q = _matrix(left["vector"]), _matrix(right["vector"])
-        i, j, s = scan(index, q, q_ids, index.bounds(q, q_ids), c, c_ids)
+        i, j, s = scan(index, np.ascontiguousarray(q[:, :-1]), q_ids, q[:, -1], c, c_ids)
         return pa.table([pa.array(q_ids[i]), pa.array(c_ids[j]), pa.array(s)], schema=schema)
 
     return run

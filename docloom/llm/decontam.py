@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.llm import kernels as k
-from docloom.llm.store import Table, extended
+from docloom.llm.store import Table, extended, put_back, set_aside
 
 WINDOW = 10
 SHINGLE = 5
@@ -197,15 +197,15 @@ def _join_blocks(left: DataFrame, right: DataFrame) -> DataFrame:
     """Hits of two blocks of items, row by row: rows that are equal but for their hits get equal hits, so they meet by value."""
     keys = [c for c in left.columns if c not in ("hit_spans", "hit_items")]
     right = Table(right.filter(F.size("hit_spans") > 0).dropDuplicates(keys), "hits").side()
-    other = right.select(*[F.col(f"`{c}`").alias(f"__{c}") for c in keys], F.col("hit_spans").alias("__spans"), F.col("hit_items").alias("__items"))
+    other = right.select(*[F.col(f"`{c}`").alias(f"__docloom_{c}") for c in keys], F.col("hit_spans").alias("__docloom_spans"), F.col("hit_items").alias("__docloom_items"))
     on = None
     for c in keys:
-        same = F.col(f"`{c}`").eqNullSafe(F.col(f"`__{c}`"))
+        same = F.col(f"`{c}`").eqNullSafe(F.col(f"`__docloom_{c}`"))
         on = same if on is None else on & same
     none = F.array().cast("array<long>")
-    pairs = F.concat(_pairs("hit_spans"), F.coalesce(_pairs("__spans"), F.array().cast("array<struct<a:bigint,b:bigint>>")))
+    pairs = F.concat(_pairs("hit_spans"), F.coalesce(_pairs("__docloom_spans"), F.array().cast("array<struct<a:bigint,b:bigint>>")))
     merged = F.aggregate(F.array_sort(pairs), none, _push)
-    items = F.array_sort(F.array_union(F.col("hit_items"), F.coalesce(F.col("__items"), F.array().cast("array<string>"))))
+    items = F.array_sort(F.array_union(F.col("hit_items"), F.coalesce(F.col("__docloom_items"), F.array().cast("array<string>"))))
     return left.join(other, on, "left").select(*[F.col(f"`{c}`") for c in keys], merged.alias("hit_spans"), items.alias("hit_items"))
 
 
@@ -221,5 +221,5 @@ def _push(done, x):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without those that hold an occurrence of a benchmark window; the columns stay as they are."""
-    marked = mark_benchmark_words(docs.select("*"), benchmark, **options)
-    return marked.filter("n_hit = 0").select(*[F.col(f"`{c}`") for c in docs.columns if c not in ADDED])
+    marked = mark_benchmark_words(set_aside(docs, ADDED), benchmark, **options)
+    return put_back(marked.filter("n_hit = 0"), docs.columns, ADDED)

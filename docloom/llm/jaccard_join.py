@@ -357,7 +357,7 @@ def _add_sid(at: int, shingle: int, rule: k.WordRule):
             for a, b in k.slices(batch.column(at)):
                 part = batch.slice(a, b - a)
                 size, ids = _set_ids(*k.shingle_sets(k.words(part.column(at), rule), shingle), b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, mask=size == 0)], names=[*part.schema.names, "__sid"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, mask=size == 0)], names=[*part.schema.names, "__docloom_sid"])
 
     return run
 
@@ -368,18 +368,18 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Ids that several rows share are settled by set: of the rows with the group's id and its smallest set, one stays.
     """
     groups = Table(near_duplicate_groups(docs, id_col, text_col, shingle, rule), "groups")
-    stay = Table(groups.df.filter(F.col("sid").isNull() | F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id", "root").agg(F.min("sid").alias("sid")), "stay")
-    several = Table(groups.df.groupBy("id").agg(F.count("*").alias("many")).filter("many > 1").select("id"), "several")
-    key = F.col(id_col).cast("long").eqNullSafe(F.col("id"))
-    one = docs.join(stay.side().select("id"), key, "left_semi")
+    stay = Table(groups.df.filter(F.col("sid").isNull() | F.col("id").eqNullSafe(F.col("component_id"))).groupBy(F.col("id").alias("__docloom_id"), "root").agg(F.min("sid").alias("sid")), "stay")
+    several = Table(groups.df.groupBy(F.col("id").alias("__docloom_id")).agg(F.count("*").alias("many")).filter("many > 1").select("__docloom_id"), "several")
+    key = F.col(id_col).cast("long").eqNullSafe(F.col("__docloom_id"))
+    one = docs.join(stay.side().select("__docloom_id"), key, "left_semi")
     groups.drop()
     if several.df.isEmpty():
         return one
     rest = one.join(several.side(), key, "left_semi")
-    named = rest.mapInArrow(_add_sid(docs.columns.index(text_col), shingle, rule), extended(docs, docs.columns, __sid=T.LongType()))
-    right = stay.df.select(F.col("id").alias("__id"), F.col("sid").alias("__own"))
-    kept = named.join(right, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & F.col("__sid").eqNullSafe(F.col("__own")), "left_semi")
+    named = rest.mapInArrow(_add_sid(docs.columns.index(text_col), shingle, rule), extended(docs, docs.columns, __docloom_sid=T.LongType()))
+    right = stay.df.select("__docloom_id", F.col("sid").alias("__docloom_own"))
+    kept = named.join(right, F.col(id_col).cast("long").eqNullSafe(F.col("__docloom_id")) & F.col("__docloom_sid").eqNullSafe(F.col("__docloom_own")), "left_semi")
     # Repeats of one id and set differ in nothing that the join looks at; rows without words are kept each.
-    first = Window.partitionBy(id_col, "__sid").orderBy(F.col(text_col).asc_nulls_last())
-    kept = kept.withColumn("__n", F.row_number().over(first)).filter("__n = 1 or __sid is null").drop("__n", "__sid")
+    first = Window.partitionBy(id_col, "__docloom_sid").orderBy(F.col(text_col).asc_nulls_last())
+    kept = kept.withColumn("__docloom_n", F.row_number().over(first)).filter("__docloom_n = 1 or __docloom_sid is null").drop("__docloom_n", "__docloom_sid")
     return one.join(several.side(), key, "left_anti").unionByName(kept)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.llm import kernels as k
-from docloom.llm.store import extended
+from docloom.llm.store import extended, put_back, set_aside
 
 #: Labelled texts of each language that are learned from, and bytes of each.
 SAMPLE_DOCS = 24
@@ -211,5 +211,5 @@ def drop_unknown(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``docs`` without texts that are in no learned language: those without letters, and those that hardly parse."""
     fold = fold_of(F.col(id_col), folds)
     model = learn(docs.filter(F.coalesce(fold, F.lit(0)) != held_out), id_col, text_col, lang_col)
-    found = identify(docs, model, text_col)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("phrases_a_symbol") <= MAX_RATE)).select(*[F.col(f"`{c}`") for c in docs.columns if c not in ADDED])
+    found = identify(set_aside(docs, ADDED), model, text_col)
+    return put_back(found.filter((F.col("lang_pred") != "und") & (F.col("phrases_a_symbol") <= MAX_RATE)), docs.columns, ADDED)

@@ -418,14 +418,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slots = _slots(plan_packing(histogram))
     buckets = max(64, 4 * shuffle_partitions(spark))
     order = ["doc_id", "piece", *[c for c in stored.df.columns if c not in ("doc_id", "piece")]]
-    dealt = stored.df.withColumn("__bucket", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(buckets)))
-    sizes = dealt.groupBy("length", "__bucket").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
-    sizes = Table(sizes.select("length", "__bucket", F.coalesce(before, F.lit(0)).alias("__before")), "ranks")
-    own = F.row_number().over(Window.partitionBy("length", "__bucket").orderBy(*order)).cast("long")
-    ranked = dealt.withColumn("__own", own).join(sizes.side(), ["length", "__bucket"]).withColumn("__rank", F.col("__before") + F.col("__own") - 1)
-    ranked = ranked.select(*stored.df.columns, "__rank")
+    dealt = stored.df.withColumn("__docloom_bucket", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(buckets)))
+    sizes = dealt.groupBy("length", "__docloom_bucket").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("__docloom_bucket").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = Table(sizes.select("length", "__docloom_bucket", F.coalesce(before, F.lit(0)).alias("__docloom_before")), "ranks")
+    own = F.row_number().over(Window.partitionBy("length", "__docloom_bucket").orderBy(*order)).cast("long")
+    ranked = dealt.withColumn("__docloom_own", own).join(sizes.side(), ["length", "__docloom_bucket"]).withColumn("__docloom_rank", F.col("__docloom_before") + F.col("__docloom_own") - 1)
+    ranked = ranked.select(*stored.df.columns, "__docloom_rank")
     names = ranked.columns
-    keep = [i for i, c in enumerate(names) if c != "__rank"]
+    keep = [i for i, c in enumerate(names) if c != "__docloom_rank"]
     schema = extended(stored.df, stored.df.columns, sequence_id=T.LongType(), offset=T.LongType())
-    return ranked.mapInArrow(_place(slots, names.index("length"), names.index("__rank"), keep, [*stored.df.columns, "sequence_id", "offset"]), schema)
+    return ranked.mapInArrow(_place(slots, names.index("length"), names.index("__docloom_rank"), keep, [*stored.df.columns, "sequence_id", "offset"]), schema)

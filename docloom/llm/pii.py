@@ -287,12 +287,12 @@ def replace_private(docs: DataFrame, key: bytes, text_col: str = "text") -> Data
     mentions = Table(docs.select(digest.alias("digest"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull()).mapInArrow(_mentions, "digest binary, kind string, value string"), "mentions")
     settled = settle(mentions.df.select("kind", "value").distinct(), key)
     later = settled.df.filter("attempt > 0").select("kind", "value", "stand_in")
-    by_text = mentions.df.distinct().join(later, ["kind", "value"]).groupBy("digest").agg(F.collect_list(F.struct("kind", "value", "stand_in")).alias("__later"))
+    by_text = mentions.df.distinct().join(later, ["kind", "value"]).groupBy("digest").agg(F.collect_list(F.struct("kind", "value", "stand_in")).alias("__docloom_later"))
     by_text = Table(by_text, "later")
     mentions.drop()
     settled.drop()
     keep = [c for c in docs.columns if c != "n_entities"]
-    left = docs.select(*[F.col(f"`{c}`") for c in keep], digest.alias("__digest"))
-    joined = left.join(by_text.side().withColumnRenamed("digest", "__digest"), "__digest", "left").select(*[F.col(f"`{c}`") for c in keep], "__later")
+    left = docs.select(*[F.col(f"`{c}`") for c in keep], digest.alias("__docloom_digest"))
+    joined = left.join(by_text.side().withColumnRenamed("digest", "__docloom_digest"), "__docloom_digest", "left").select(*[F.col(f"`{c}`") for c in keep], "__docloom_later")
     schema = extended(docs, keep, n_entities=T.LongType())
     return joined.mapInArrow(_rewrite(key, keep.index(text_col), len(keep), list(range(len(keep))), [*keep, "n_entities"]), schema)

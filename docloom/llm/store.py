@@ -71,3 +71,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def extended(df: DataFrame, columns: list[str], **added: T.DataType) -> T.StructType:
     """The schema of some columns of a table and of added ones."""
     return T.StructType([f for f in df.schema.fields if f.name in columns] + [T.StructField(n, t) for n, t in added.items()])
+
+
+def set_aside(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """``df`` with columns of these names out of the way; ``put_back`` brings them back."""
+    return df.withColumnsRenamed({c: f"__docloom_kept_{c}" for c in df.columns if c in names})
+
+
+def put_back(df: DataFrame, columns: list[str], names: tuple[str, ...]) -> DataFrame:
+    """Only ``columns``, those set aside under their own names again."""
+    return df.drop(*names).withColumnsRenamed({f"__docloom_kept_{c}": c for c in names}).select(*[f"`{c}`" for c in columns])

@@ -223,8 +223,8 @@ def _keep(rule: k.WordRule):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, spans = batch.column(batch.schema.get_field_index("__text")), batch.column(batch.schema.get_field_index("__spans"))
-            rest = [i for i, n in enumerate(batch.schema.names) if not n.startswith("__")]
+            texts, spans = batch.column(batch.schema.get_field_index("__docloom_text")), batch.column(batch.schema.get_field_index("__docloom_spans"))
+            rest = [i for i, n in enumerate(batch.schema.names) if not n.startswith("__docloom_")]
             for a, b in k.slices(texts):
                 part, sp = texts.slice(a, b - a), spans.slice(a, b - a)
                 data, off = k.text_buffer(part)
@@ -271,8 +271,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = Table(repeated_spans(docs, id_col, text_col, window, rule).dropDuplicates(["id", "digest"]), "spans")
     added = {"n_words", "n_removed", "kept_text"}
     keep = [c for c in docs.columns if c not in added]
-    left = docs.select(*[F.col(f"`{c}`") for c in keep], _key(F.col(id_col)).alias("__id"), _digest(F.col(text_col)).alias("__digest"), F.col(text_col).alias("__text"))
-    right = spans.side().select(F.col("id").alias("__id"), F.col("digest").alias("__digest"), F.col("spans").alias("__spans"))
-    joined = left.join(right, ["__id", "__digest"], "left").select(*[F.col(f"`{c}`") for c in keep], "__text", "__spans")
+    left = docs.select(*[F.col(f"`{c}`") for c in keep], _key(F.col(id_col)).alias("__docloom_id"), _digest(F.col(text_col)).alias("__docloom_digest"), F.col(text_col).alias("__docloom_text"))
+    right = spans.side().select(F.col("id").alias("__docloom_id"), F.col("digest").alias("__docloom_digest"), F.col("spans").alias("__docloom_spans"))
+    joined = left.join(right, ["__docloom_id", "__docloom_digest"], "left").select(*[F.col(f"`{c}`") for c in keep], "__docloom_text", "__docloom_spans")
     schema = extended(docs, keep, n_words=T.LongType(), n_removed=T.LongType(), kept_text=T.StringType())
     return joined.mapInArrow(_keep(rule), schema)

@@ -8,7 +8,7 @@ encoded, chosen by a pre-aggregated minimum, so no text is shuffled unless the
 list of misses is too large to broadcast.
 
 Defined results: a null text counts as an empty one.  Repeated rows, and rows
-that share an id, each get their text's count.  Columns that clash with an added
+that share an id, each get their text's count (rows that agree in every number are encoded each, and stored once).  Columns that clash with an added
 one (``n_bytes``, ``n_tokens``) are replaced.  Counts are of whole texts, without added tokens.
 Two writers may store one digest twice; both hold the same count, and reads take one.
 """
@@ -94,14 +94,14 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     if not misses.df.isEmpty():
         todo = rows.join(misses.side(), ["digest", "row"], "left_semi").select("digest", "text")
         new = todo.mapInArrow(_encode(tokenizer_path), "digest binary, n_tokens long")
-        new.select(F.lit(bytearray(version)).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache_path)
+        new.dropDuplicates(["digest"]).select(F.lit(bytearray(version)).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache_path)
     counts = Table(stored().join(digests.df, "digest", "left_semi").dropDuplicates(["digest"]), "counts")
     digests.drop()
     misses.drop()
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_bytes", "n_tokens")]
-    keyed = docs.select(*keep, F.octet_length(text).cast("long").alias("n_bytes"), digest.alias("__digest"))
-    right = counts.side().select(F.col("digest").alias("__digest"), "n_tokens")
-    return keyed.join(right, "__digest", "left").drop("__digest")
+    keyed = docs.select(*keep, F.octet_length(text).cast("long").alias("n_bytes"), digest.alias("__docloom_digest"))
+    right = counts.side().select(F.col("digest").alias("__docloom_digest"), "n_tokens")
+    return keyed.join(right, "__docloom_digest", "left").drop("__docloom_digest")
 
 
 def _hashable(docs: DataFrame) -> list[str]:

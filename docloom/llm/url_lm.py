@@ -58,18 +58,18 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[
 
 def _symbols(texts: DataFrame) -> DataFrame:
     """Every character of each ``text`` with the slots of its contexts: ``c``, ``x1`` .. ``xORDER``."""
-    padded = texts.withColumn("__n", F.char_length("text")).withColumn("__t", F.split(F.concat(F.lit(" " * ORDER), F.translate("text", _UPPER, _LOWER), F.lit(" ")), ""))
-    at = padded.select("*", F.explode(F.sequence(F.lit(ORDER), F.col("__n") + ORDER)).alias("__i"))
+    padded = texts.withColumn("__docloom_n", F.char_length("text")).withColumn("__docloom_t", F.split(F.concat(F.lit(" " * ORDER), F.translate("text", _UPPER, _LOWER), F.lit(" ")), ""))
+    at = padded.select("*", F.explode(F.sequence(F.lit(ORDER), F.col("__docloom_n") + ORDER)).alias("__docloom_i"))
 
     def code(back: int) -> Column:
-        c = F.get(F.col("__t"), F.col("__i") - back)
+        c = F.get(F.col("__docloom_t"), F.col("__docloom_i") - back)
         return F.when(c == " ", 0).otherwise(F.coalesce(F.nullif(F.instr(F.lit(ALPHABET), c), F.lit(0)), F.lit(63)))
 
-    out = at.select(*texts.columns, *[code(b).alias(f"__s{b}") for b in range(ORDER + 1)])
+    out = at.select(*texts.columns, *[code(b).alias(f"__docloom_s{b}") for b in range(ORDER + 1)])
     slot = F.lit(0)
-    cols = [F.col("__s0").alias("c")]
+    cols = [F.col("__docloom_s0").alias("c")]
     for n in range(1, ORDER + 1):
-        slot = slot * 64 + F.col(f"__s{n}")
+        slot = slot * 64 + F.col(f"__docloom_s{n}")
         cols.append((slot if n <= 2 else F.pmod(F.xxhash64(slot), F.lit(SLOTS)).cast("int")).alias(f"x{n}"))
     return out.select(*texts.columns, *cols)
 
@@ -93,9 +93,9 @@ def score_texts(texts: DataFrame, model: list[Table]) -> DataFrame:
         grams = table.df.select(F.col("x").alias(f"gx{n}"), F.col("c").alias(f"gc{n}"), F.col("a").alias(f"a{n}"), F.col("b").alias(f"b{n}"))
         contexts = table.df.groupBy("x").agg(F.sum("a").alias(f"na{n}"), F.sum("b").alias(f"nb{n}")).withColumnRenamed("x", f"cx{n}")
         x = F.lit(0) if n == 0 else F.col(f"x{n}")
-        rows = rows.withColumn("__x", x)
-        rows = rows.join(F.broadcast(grams), (F.col("__x") == F.col(f"gx{n}")) & (F.col("c") == F.col(f"gc{n}")), "left").drop(f"gx{n}", f"gc{n}")
-        rows = rows.join(F.broadcast(contexts), F.col("__x") == F.col(f"cx{n}"), "left").drop(f"cx{n}", "__x")
+        rows = rows.withColumn("__docloom_x", x)
+        rows = rows.join(F.broadcast(grams), (F.col("__docloom_x") == F.col(f"gx{n}")) & (F.col("c") == F.col(f"gc{n}")), "left").drop(f"gx{n}", f"gc{n}")
+        rows = rows.join(F.broadcast(contexts), F.col("__docloom_x") == F.col(f"cx{n}"), "left").drop(f"cx{n}", "__docloom_x")
 
     def chance(side: str) -> Column:
         p: Column = F.lit(1 / 64)
@@ -131,16 +131,16 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], url_col: str = "u
     """``pages`` with ``host``, ``path``, ``rule`` (null: none fits), ``verdict`` (allow or block) and ``score``."""
     host, path, rest = url_parts(F.col(url_col))
     keep = [F.col(f"`{c}`") for c in pages.columns if c not in ADDED]
-    rows = pages.select(*keep, host.alias("host"), path.alias("path"), rest.alias("__text"))
+    rows = pages.select(*keep, host.alias("host"), path.alias("path"), rest.alias("__docloom_text"))
     rule, said = rule_for(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumn("rule", rule).withColumn("__said", said)
+    rows = rows.withColumn("rule", rule).withColumn("__docloom_said", said)
     # Each distinct text is scored once; how often it occurs is its weight.
-    texts = Table(rows.filter("__text != ''").groupBy(F.col("__text").alias("text"), (F.col("__said") == "allow").alias("good")).agg(F.count("*").alias("m")), "texts")
+    texts = Table(rows.filter("__docloom_text != ''").groupBy(F.col("__docloom_text").alias("text"), (F.col("__docloom_said") == "allow").alias("good")).agg(F.count("*").alias("m")), "texts")
     held = F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(FOLDS)) == 0
     ruled = texts.df.filter(F.col("good").isNotNull())
     model = _fit(ruled.filter(~held))
     scores = Table(score_texts(texts.df, model), "scores")
     threshold = calibrate(ruled.filter(held).join(scores.df, "text"))
-    joined = rows.join(scores.df.withColumnRenamed("text", "__text"), "__text", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-    verdict = F.coalesce("__said", F.when(F.col("score") >= threshold, F.lit("allow")).otherwise(F.lit("block")))
+    joined = rows.join(scores.df.withColumnRenamed("text", "__docloom_text"), "__docloom_text", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    verdict = F.coalesce("__docloom_said", F.when(F.col("score") >= threshold, F.lit("allow")).otherwise(F.lit("block")))
     return joined.withColumn("verdict", verdict).select(*keep, "host", "path", "rule", "verdict", "score")

@@ -58,7 +58,8 @@ _LEVEL = rf"""case when section_type = 'heading' then len(string_split(regexp_re
 _SEC = f"""lines as (select doc_id document_id, source, unnest(string_split(text, chr(10))) content_text, generate_subscripts(string_split(text, chr(10)), 1) sequence_number from documents),
  typed as (select *, cast((sequence_number - 1) // 5 + 1 as integer) page_number, {_TYPE} section_type from lines),
  sec as (select *, printf('%s_s%05d', cast(document_id as varchar), sequence_number) section_id, cast({_LEVEL} as integer) heading_level from typed)"""
-_VEC = "vec as (select vec_id section_id, label, list_transform(embedding, lambda x: cast(x as double)) vector from embeddings)"
+_VEC = """raw as (select vec_id section_id, label, list_transform(embedding, lambda x: cast(x as double)) vector from embeddings),
+ vec as (select section_id, label, list_transform(vector, lambda x: x / sqrt(list_inner_product(vector, vector))) vector from raw)"""
 _PROTO = """proto as (select label, list(m / n order by i) prototype from (select *, sqrt(sum(m * m) over (partition by label)) n from
  (select label, i, avg(x) m from (select label, unnest(vector) x, generate_subscripts(vector, 1) i from vec) group by label, i)) group by label)"""
 _RANK = """ranked as (select section_id, vec.label truth, proto.label, round(list_inner_product(vector, prototype) / (sqrt(list_inner_product(vector, vector))), 6) score,
@@ -295,7 +296,7 @@ def sec_toc_pages(spark: SparkSession, base: str) -> DataFrame:
 # --- vectors ---
 
 
-@query("vec_norm", f"with {_VEC} select section_id, round(sqrt(list_inner_product(vector, vector)), 6) norm, len(list_filter(vector, lambda x: x <> 0)) = 0 is_zero, round(vector[1], 6) first, len(vector[1:5]) preview from vec")
+@query("vec_norm", f"with {_VEC} select section_id, round(sqrt(list_inner_product(vector, vector)), 6) norm, len(list_filter(vector, lambda x: x <> 0)) = 0 is_zero, round(vector[1], 6) first, len(vector[1:5]) preview from raw")
 def vec_norm(spark: SparkSession, base: str) -> DataFrame:
     v = F.col("vector")
     return vectors(spark, base).select("section_id", F.round(vx.norm(v), 6).alias("norm"), vx.is_zero(v).alias("is_zero"), F.round(F.element_at(v, 1), 6).alias("first"), F.size(F.slice(v, 1, 5)).cast("long").alias("preview"))
@@ -312,11 +313,11 @@ def _classified(spark: SparkSession, base: str) -> DataFrame:
     return classify.classified(classify.scored(rows.withColumnRenamed("label", "truth"), classify.prototypes(rows), digits=6))
 
 
-@query("vec_classify", f"""with {_VEC}, {_PROTO}, {_RANK}, {_CLS} select cls.section_id, classification, confidence, round(margin, 4) margin, status, top_k_labels, secondary_labels from cls
+@query("vec_classify", f"""with {_VEC}, {_PROTO}, {_RANK}, {_CLS} select cls.section_id, classification, confidence, round(margin * 1000000)::bigint margin_millionths, status, top_k_labels, secondary_labels from cls
  join (select section_id, string_agg(label::varchar, ',' order by r) top_k_labels from ranked where r <= 5 group by 1) k using (section_id)
  join (select a.section_id, coalesce(string_agg(b.label::varchar, ',' order by b.r) filter (b.score >= 0.68 or a.score - b.score <= 0.04), '') secondary_labels from ranked a join ranked b on a.section_id = b.section_id and a.r = 1 and b.r between 2 and 5 group by 1) m using (section_id)""")
 def vec_classify(spark: SparkSession, base: str) -> DataFrame:
-    return _classified(spark, base).select("section_id", "classification", "confidence", F.round("margin", 4).alias("margin"), "status", F.array_join(F.col("top_k_labels").cast("array<string>"), ",").alias("top_k_labels"), F.array_join(F.col("secondary_labels").cast("array<string>"), ",").alias("secondary_labels"))
+    return _classified(spark, base).select("section_id", "classification", "confidence", F.round(F.col("margin") * 1_000_000).cast("long").alias("margin_millionths"), "status", F.array_join(F.col("top_k_labels").cast("array<string>"), ",").alias("top_k_labels"), F.array_join(F.col("secondary_labels").cast("array<string>"), ",").alias("secondary_labels"))
 
 
 @query("vec_fuse_accuracy", f"with {_VEC}, {_PROTO}, {_RANK}, {_CLS} select truth, count(*) n, sum(case when truth = classification then 1 else 0 end)::bigint correct, sum(case when truth = classification then 1 else 0 end) * 100.0 / count(*) accuracy from cls group by 1")

@@ -68,7 +68,7 @@ def extract_files(files: DataFrame, extractors: list[tuple[str, Extractor]], sch
                 row["error_message"] = "; ".join(errors)[:1000] or None
                 rows.append(row)
             names = [f.strip().split(" ")[0] for f in _fields(schema)]
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return files.select("path", "content").mapInPandas(run, schema)
 

@@ -134,7 +134,7 @@ def _postings(shingle: int, rule: k.WordRule, shared, buckets: int):
             hot = rank[(token >> np.uint64(64 - SLOT_BITS)).astype(np.int64)] > full
             if hot.any():
                 m = int(hot.sum())
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, -1)), pa.array(k.as_signed(token[hot])), pa.array(sid[hot]), pa.array(n[hot]), pa.array(pos[hot]), pa.nulls(m, schema.types[5])], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(-1 - (k.mix(token[hot] ^ sid[hot].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)), pa.array(k.as_signed(token[hot])), pa.array(sid[hot]), pa.array(n[hot]), pa.array(pos[hot]), pa.nulls(m, schema.types[5])], schema=schema)
             token, sid, n, pos = token[~hot], sid[~hot], n[~hot], pos[~hot]
             width = np.uint64((1 << 64) // buckets + 1)
             edge = np.searchsorted(token, np.arange(1, buckets, dtype=np.uint64) * width)
@@ -165,8 +165,10 @@ def _postings(shingle: int, rule: k.WordRule, shared, buckets: int):
     return run
 
 
-def _shared_only(group: pa.Table) -> pa.Table:
-    """Of one bucket: the postings of n-grams that several sets have."""
+def _shared_only(key: tuple, group: pa.Table) -> pa.Table:
+    """Of one bucket: the postings of n-grams that several sets have; rows of very full slots pass, each once."""
+    if key[0].as_py() < 0:
+        return group.select(["token", "sid", "n", "pos"]).group_by(["token", "sid", "n", "pos"]).aggregate([])
     blobs = group["blob"].to_pylist()
     token = np.concatenate([k.from_delta_planes(x[0]) for x in blobs])
     sid = np.concatenate([np.frombuffer(x[1], np.int64) for x in blobs])
@@ -303,11 +305,8 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     classes = Table(described.df.filter("n > 0").groupBy("sid").agg(F.min("doc").alias("doc")), "classes")
     rank = spark.sparkContext.broadcast(_rarity(described))
     buckets = BUCKETS_A_PARTITION * shuffle_partitions(spark)
-    sent = Table(rows.filter(F.length("text") > 0).mapInArrow(_postings(shingle, rule, rank, buckets), "bucket long, token long, sid long, n long, pos long, blob array<binary>"), "sent")
-    packed = sent.df.filter("bucket >= 0").groupBy("bucket").applyInArrow(_shared_only, "token long, sid long, n long, pos long")
-    full = sent.df.filter("bucket < 0").select("token", "sid", "n", "pos").distinct()
-    posts = Table(packed.union(full), "postings")
-    sent.drop()
+    sent = rows.filter(F.length("text") > 0).mapInArrow(_postings(shingle, rule, rank, buckets), "bucket long, token long, sid long, n long, pos long, blob array<binary>")
+    posts = Table(sent.groupBy("bucket").applyInArrow(_shared_only, "token long, sid long, n long, pos long"), "postings")
 
     hubs = Table(posts.df.groupBy("token").agg(F.min(F.struct("pos", "sid", "n")).alias("hub"), F.count("*").alias("many")).filter("many > 1").select("token", "hub.*"), "hubs")
     star = Table(_pairs(posts.df.alias("a").join(hubs.df.alias("b"), "token").filter(f"a.sid != b.sid and {DEN} * least(a.n, b.n) >= {NUM} * greatest(a.n, b.n)")), "pairs")

@@ -53,3 +53,9 @@ MERGE_WORDS = 200
 CHUNK_OVER_WORDS = 200
 CHUNK_WORDS = 150
 HEADING_WORDS = 15
+
+# Characters of a page made of sections, of a formula's context and of an error; the height that a header takes.
+PAGE_CHARS = 5000
+CONTEXT_CHARS = 200
+ERROR_CHARS = 1000
+HEADER_TOP = 100

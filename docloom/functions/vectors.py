@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docloom.functions.binding import let
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
@@ -16,8 +18,7 @@ def norm(v: Column) -> Column:
 
 def normalized(v: Column) -> Column:
     """Unit length; unchanged if zero."""
-    n = norm(v)
-    return F.when(n > 0, F.transform(v, lambda x: x / n)).otherwise(v)
+    return let(v, lambda u: let(norm(u), lambda n: F.when(n > 0, F.transform(u, lambda x: x / n)).otherwise(u)))
 
 
 def fused(a: Column, b: Column, weight: float = 0.7) -> Column:
@@ -30,5 +31,6 @@ def is_zero(v: Column) -> Column:
 
 def hashed_embedding(text: Column, dims: int = 64) -> Column:
     """A deterministic bag-of-words vector, for pipelines without a model: each token adds one to a hashed dimension."""
-    slots = F.transform(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""), lambda w: F.pmod(F.xxhash64(w), F.lit(dims)))
-    return normalized(F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.size(F.filter(slots, lambda s: s == d)).cast("double")))
+    slots = F.transform(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""), lambda w: F.pmod(F.xxhash64(w), F.lit(dims)).cast("int"))
+    counts = let(slots, lambda s: F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: (F.size(s) - F.size(F.array_remove(s, d))).cast("double")))
+    return normalized(counts)

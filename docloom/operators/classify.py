@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom.constants import MIN_CONFIDENCE, MIN_MARGIN, SECONDARY_GAP, SECONDARY_SCORE, TOP_K
 from docloom.functions import vectors as vx
+from docloom.functions.binding import let
 
 #: Prototypes a classification takes; they are part of every task.
 MAX_PROTOTYPES = 20_000
@@ -31,13 +32,13 @@ def scored(vectors: DataFrame, protos: DataFrame, vector: str = "vector", digits
     table = F.array(*[F.struct(F.lit(r.label).alias("label"), F.array(*[F.lit(float(x)) for x in r.prototype]).alias("p")) for r in rows])
     v = vx.normalized(F.col(vector).cast("array<double>"))
 
-    def score(p: Column) -> Column:
-        s = vx.dot(F.col("__v"), p)
+    def score(u: Column, p: Column) -> Column:
+        s = vx.dot(u, p)
         return F.round(s, digits) if digits is not None else s
 
-    each = F.transform(table, lambda t: F.struct((-score(t["p"])).alias("s"), t["label"].alias("label")))
+    each = let(v, lambda u: F.transform(table, lambda t: F.struct((-score(u, t["p"])).alias("s"), t["label"].alias("label"))))
     ranked = F.transform(F.array_sort(each), lambda t: F.struct(t["label"].alias("label"), (-t["s"]).alias("score")))
-    return vectors.withColumn("__v", v).withColumn("ranked", ranked).drop("__v")
+    return vectors.withColumn("ranked", ranked)
 
 
 def status(top: Column, second: Column) -> Column:

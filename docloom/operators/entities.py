@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.functions.binding import let
+
 
 def mean(c: str) -> Column:
     """Average of a score in ten-thousandths, summed as whole numbers, so the result does not depend on order."""
@@ -133,13 +135,15 @@ def words_with_offsets(text: Column) -> Column:
 def encoded_labels(words: Column, spans: Column) -> Column:
     """A tag for each word, by its first character; a word that begins inside a span after O, or at the start, is B-."""
 
-    def tag(w: Column) -> Column:
-        inside = F.filter(spans, lambda s: (s["start"] <= w["start"]) & (w["start"] < s["end"]))
+    def tag(w: Column, marks: Column) -> Column:
+        inside = F.filter(marks, lambda s: (s["start"] <= w["start"]) & (w["start"] < s["end"]))
         last = F.try_element_at(inside, F.lit(-1))  # later spans overwrite earlier ones
         return F.coalesce(F.concat(F.when(last["start"] == w["start"], "B-").otherwise("I-"), last["label"]), F.lit("O"))
 
-    tags = F.transform(words, tag)
-    return F.transform(tags, lambda t, i: F.when(F.startswith(t, F.lit("I-")) & ((i == 0) | (F.get(tags, i - 1) == "O")), F.concat(F.lit("B-"), F.substr(t, F.lit(3)))).otherwise(t))
+    def begun(tags: Column) -> Column:
+        return F.transform(tags, lambda t, i: F.when(F.startswith(t, F.lit("I-")) & ((i == 0) | (F.get(tags, i - 1) == "O")), F.concat(F.lit("B-"), F.substr(t, F.lit(3)))).otherwise(t))
+
+    return let(spans, lambda s: let(F.transform(words, lambda w: tag(w, s)), begun))
 
 
 def highlighted(text: Column, spans: Column) -> Column:

@@ -1,0 +1,5 @@
+"""Registered queries; importing the modules registers them."""
+
+from docloom.plans import registry, reports
+
+__all__ = ["registry", "reports"]

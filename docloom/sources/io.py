@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import multiprocessing
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -45,6 +46,43 @@ def children(df: DataFrame, field: str, keys: list[str]) -> DataFrame:
 Extractor = Callable[[bytes], dict]
 
 
+def time_limited(extract: Extractor, seconds: float, grace: float = 5) -> Extractor:
+    """``extract`` in a process of its own, which is ended, at last killed, when its time is over; that is an error like others."""
+
+    def work(content: bytes, out) -> None:
+        try:
+            out.send((extract(content), None))
+        except Exception as e:  # noqa: BLE001  told to the caller
+            out.send((None, str(e)))
+
+    def run(content: bytes) -> dict:
+        ways = multiprocessing.get_context("fork")
+        here, there = ways.Pipe(duplex=False)
+        child = ways.Process(target=work, args=(content, there), daemon=False)
+        child.start()
+        there.close()
+        try:
+            # What was sent is read before the process is waited for, as a large result blocks its sender.
+            if not here.poll(seconds):
+                raise TimeoutError(f"no result after {seconds} s")
+            try:
+                made, error = here.recv()
+            except EOFError:
+                raise RuntimeError("the process ended without a result") from None
+        finally:
+            here.close()
+            child.terminate()
+            child.join(grace)
+            if child.is_alive():
+                child.kill()
+                child.join()
+        if error is not None:
+            raise RuntimeError(error)
+        return made
+
+    return run
+
+
 def extract_files(files: DataFrame, extractors: list[tuple[str, Extractor]], schema: str) -> DataFrame:
     """Runs extractors over ``path, content`` until one succeeds; a file that none can read is a row with its errors, not a failed job.
 
@@ -88,6 +126,17 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def create_table(spark: SparkSession, name: str, schema: str, partition_by: list[str] | None = None) -> None:
+    """An empty Parquet table, unless there is one."""
+    parts = f" partitioned by ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"create table if not exists {name} ({schema}) using parquet{parts}")
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Drops a table if it is there."""
+    spark.sql(f"drop table if exists {name}")
+
+
 def merged(target: DataFrame, source: DataFrame, keys: list[str], update: list[str] | None = None, delete_missing: bool = False) -> DataFrame:
     """``target`` after an upsert: matched rows (null-safe keys) take ``update`` from the source, new rows come in whole."""
     update = [c for c in target.columns if c not in keys] if update is None else update

@@ -1,18 +1,23 @@
 """Surrogates for personal data: keyed, type-consistent, distinct and the same at every mention.
 
 Detected kinds: email, phone, IPv4, payment card (Luhn), US social security
-number, IBAN (mod 97), access keys, assigned secrets, and names after a title.
+number, IBAN (mod 97), access keys, assigned secrets, and names after titles, with initials.
 A mention has a canonical value (digits only, lower case, ...); the surrogate is
 drawn from HMAC-SHA256 of key, kind, canonical value and attempt, and written
 in the mention's own format.  Cards keep scheme, length and a right check digit,
 IBANs their country and check, hexadecimal secrets stay so; names keep gender
-(from the title), script and case, word by word, so "Ms. Weber" and "Anna Weber" agree.
+(from the titles), script and case, word by word, so "Ms. Weber" and "Anna Weber" agree.
 
-Collision check.  Distinct values of a kind must get distinct surrogates, and no
+Coreference.  A title shows the words of a name; each capitalised repeat of such a word anywhere in the same text,
+also with a genitive s or in a hyphenated word, is a mention too.  A name word is one value, wherever in a name it
+stands; whether it is a given name and of which gender is settled over all texts (titles that disagree: either).
+An initial becomes that of a given name of its text, or else a letter drawn by the key; letters are too few to be distinct.
+
+Collision check.  Distinct values of a kind (name words: of a script) must get distinct surrogates, and no
 surrogate may be a value that the corpus holds itself.  All distinct values
 are drawn once; of values that share a surrogate the smallest keeps it, the
-others draw again, until none is left.  Only values past their first draw are kept
-as a table; workers make all other surrogates alone.  Texts meet that table by
+others draw again, until none is left.  Only values past their first draw, and names that their text alone shows as another
+part or gender, are kept as a table; workers make all other surrogates alone.  Texts meet that table by
 digest: a broadcast if its measured size allows, a shuffle join otherwise.
 
 Defined results: a null text stays null with no entities.  Repeated rows get the
@@ -25,6 +30,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
+from bisect import bisect
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -49,9 +56,18 @@ SYLLABLES = {
     "cyrillic": (["ба", "ва", "го", "да", "ка", "ле", "ли", "ма", "ми", "на", "ни", "ра", "ро", "са", "се", "та", "ти"], {"m": ["н", "р", "с"], "f": ["на", "ля", "ра"], "x": ["и", "е"], "family": ["ко", "нин", "ров", "вич"]}),
     "greek": (["βα", "γε", "δη", "κα", "λα", "λε", "μα", "μι", "να", "νι", "ρα", "σα", "τα", "τε"], {"m": ["νος", "ρης"], "f": ["να", "ρα"], "x": ["ι"], "family": ["κης", "λου", "ρας"]}),
 }
+LETTERS = {"latin": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ", "greek": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"}
 SAFE_DOMAINS = ["example.com", "example.net", "example.org"]
 
-_word = r"\p{Lu}[\p{L}'’-]+"
+_title = "|".join(sorted(map(re.escape, _GENDER), key=len, reverse=True))
+_gap = r"[^\S\r\n]+"
+# Parts after an apostrophe or hyphen have two letters at least, so a genitive 's stays outside; titles are no names.
+_word = rf"(?!(?:{_title}|Jr)(?![\p{{L}}\p{{M}}]))(?=\p{{Lu}}[\p{{L}}\p{{M}}'’])\p{{Lu}}[\p{{L}}\p{{M}}]*+(?:['’-]\p{{L}}[\p{{L}}\p{{M}}]+)*+"
+_WORD = regex.compile(rf"(?<![\p{{L}}\p{{M}}]){_word}")
+_PIECE = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_dotted = r"(?:\p{Lu}\.[ -]?)"
+_INITIAL = regex.compile(r"\p{Lu}(?![\p{L}\p{M}'’])")
+_BEFORE = regex.compile(rf"(?<![\p{{L}}\p{{M}}])(?:{_dotted}+|\p{{Lu}}[ ])$")
 #: Kinds in order of precedence: a string of which a text must hold one, or "" for a digit; the pattern; the group that is the value.
 KINDS: dict[str, tuple[tuple[str, ...], regex.Pattern, int]] = {
     "email": (("@",), regex.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w])"), 0),
@@ -62,7 +78,15 @@ KINDS: dict[str, tuple[tuple[str, ...], regex.Pattern, int]] = {
     "ssn": (("",), regex.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"), 0),
     "ip": (("",), regex.compile(r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9A-Za-z]|\.[0-9])"), 0),
     "phone": (("",), regex.compile(r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])"), 0),
-    "name": (tuple(_GENDER), regex.compile(rf"(?<![\p{{L}}])({'|'.join(sorted(map(re.escape, _GENDER), key=len, reverse=True))})\.?[ ]({_word}(?:[ ]{_word}){{0,2}})"), 2),
+    # Titles, with abbreviations such as "med." after them, then initials and up to three words, or initials alone.
+    "name": (
+        tuple(_GENDER),
+        regex.compile(
+            rf"(?<![\p{{L}}\p{{M}}])((?:(?:{_title})(?![\p{{L}}\p{{M}}])\.?(?:-Ing\.?)?(?:{_gap}|(?<=\.)|[^\S\r\n]*\r?\n[^\S\r\n]*)(?:\p{{Ll}}{{1,4}}\.[ ]?)*+){{1,6}}+)"
+            rf"((?:{_dotted}*+[^\S\r\n]*(?:\p{{Lu}}{_gap})?{_word}(?:{_gap}(?:{_dotted}++[^\S\r\n]*|\p{{Lu}}{_gap})?{_word}){{0,2}}(?:{_gap}\p{{Lu}}\.)?|{_dotted}++))"
+        ),
+        2,
+    ),
 }
 _DIGIT = re.compile("[0-9]")
 
@@ -84,6 +108,54 @@ def script(word: str) -> str:
     return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 else "latin"
 
 
+def _canonical(word: str) -> str:
+    return unicodedata.normalize("NFC", word.replace("’", "'")).lower()
+
+
+def _part(seen: set[str]) -> str:
+    """What a name word is, of all parts it was seen as: a given name if it ever is one; x if its genders disagree."""
+    given = {g.removeprefix("given_") for g in seen if g != "family"}
+    known = given - {"x"}
+    return "family" if not given else f"given_{known.pop() if len(known) == 1 else 'x'}"
+
+
+def _names(text: str, titled: list[regex.Match]) -> list[tuple[int, int, str, str]]:
+    """Mentions of name words: those after titles, and every repeat of one of them in the text; initials beside them."""
+    seen: dict[str, set[str]] = {}
+    at: dict[int, tuple[int, str]] = {}
+    initials: set[int] = set()
+    for m in titled:
+        gender = _part({f"given_{_GENDER[t]}" for t in regex.findall(_title, m.group(1)) if t in _GENDER}).removeprefix("given_")
+        words = list(_WORD.finditer(text, *m.span(2)))
+        letters = {i.start() for i in _INITIAL.finditer(text, *m.span(2))}
+        initials |= letters
+        # After a title a single word is a family name, or else the last one is; before a last initial it is a given name.
+        last = len(words) - 1 if not words or max(letters, default=0) < words[-1].start() else -1
+        for i, w in enumerate(words):
+            value = _canonical(w.group())
+            at[w.start()] = (w.end(), value)
+            seen.setdefault(value, set()).add("family" if i == last else f"given_{gender}")
+
+    def known(start: int, end: int) -> bool:
+        value = _canonical(text[start:end])
+        if value not in seen and value.endswith("s"):
+            value, end = value[:-1], end - 1
+        if value in seen:
+            at[start] = (end, value)
+        return value in seen
+
+    for m in _WORD.finditer(text) if seen else ():
+        if m.start() not in at and not known(*m.span()):
+            for piece in _PIECE.finditer(m.group()):
+                if piece.group()[0].isupper():
+                    known(m.start() + piece.start(), m.start() + piece.end())
+    for start in at:
+        if before := _BEFORE.search(text, max(0, start - 16), start):
+            initials |= {i.start() for i in _INITIAL.finditer(text, *before.span()) if text[i.end()] in ".-" or i.start() in initials}
+    out = [(a, b, f"{_part(seen[value])}:{script(text[a])}", value) for a, (b, value) in at.items()]
+    return out + [(i, i + 1, f"initial:{script(text[i])}", text[i]) for i in initials]
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """Mentions of a text in order: start, end, kind and canonical value; name words are mentions of their own."""
     out: list[tuple[int, int, str, str]] = []
@@ -91,16 +163,12 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     for kind, (marks, pattern, group) in KINDS.items():
         if not any(digit if m == "" else m in text for m in marks):
             continue
+        if kind == "name":
+            out += _names(text, list(pattern.finditer(text)))
+            continue
         for m in pattern.finditer(text):
             a, b = m.span(group)
             value = m.group(group)
-            if kind == "name":
-                words = list(regex.finditer(_word, value))
-                # After a title a single word is a family name, or else the last one is.
-                for i, w in enumerate(words):
-                    part = "family" if i == len(words) - 1 else "given_" + _GENDER[m.group(1)]
-                    out.append((a + w.start(), a + w.end(), f"{part}:{script(w.group())}", w.group().lower()))
-                continue
             plain = re.sub(r"[^0-9A-Za-z]", "", value)
             if kind == "card":
                 if not (13 <= len(plain) <= 19 and luhn(plain)):
@@ -121,9 +189,10 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     rank = {n: i for i, n in enumerate(KINDS)}
     kept: list[tuple[int, int, str, str]] = []
     for x in sorted(out, key=lambda x: (rank.get(x[2], len(rank)), x[0])):
-        if all(x[1] <= y[0] or y[1] <= x[0] for y in kept):
-            kept.append(x)
-    return sorted(kept)
+        i = bisect(kept, x)
+        if (i == 0 or kept[i - 1][1] <= x[0]) and (i == len(kept) or x[1] <= kept[i][0]):
+            kept.insert(i, x)
+    return kept
 
 
 class _Stream:
@@ -187,6 +256,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         low = value.lower() == value or value.upper() == value
         return s.like(value, hexadecimal=bool(low and re.fullmatch("[0-9a-fA-F]+", value)))
     part, name = kind.split(":")
+    if part == "initial":
+        others = LETTERS[name].replace(value, "")
+        return others[s.below(len(others))]
     syllables, ends = SYLLABLES[name]
     # More draws, longer names: room enough for any number of distinct ones.
     many = 2 + s.below(2) + attempt // 2
@@ -215,7 +287,7 @@ def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, text in enumerate(batch.column(1).slice(a, b - a).to_pylist()):
                 if text and (found := find(text)):
                     d = digests[a + i].as_py()
-                    rows += [(d, kind, value) for kind, value in {x[2:] for x in found}]
+                    rows += [(d, kind, value) for kind, value in {x[2:] for x in found if not x[2].startswith("initial:")}]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], names=["digest", "kind", "value"])
 
 
@@ -232,19 +304,20 @@ MAX_DRAWS = 40
 
 
 def settle(entities: DataFrame, key: bytes) -> Table:
-    """``kind``, ``value``, ``attempt`` and ``stand_in`` of distinct entities, without collisions in a kind."""
+    """``kind``, ``value``, ``attempt`` and ``stand_in`` of distinct entities, without collisions in a kind, or among the names of a script."""
     schema = "kind string, value string, attempt int, stand_in string"
+    room = F.substring_index("kind", ":", -1).alias("room")
     own = Table(entities.select("kind", "value"), "entities")
     open_ = Table(own.df.withColumn("attempt", F.lit(0)).mapInArrow(_draw(key), schema), "drawn")
     done = None
     for draw in range(1, MAX_DRAWS + 1):
         # Values of the corpus and settled surrogates are taken; of the rest the smallest value wins a surrogate.
-        taken = own.df.select("kind", F.col("value").alias("stand_in"))
+        taken = own.df.select(room, F.col("value").alias("stand_in"))
         if done is not None:
-            taken = taken.union(done.df.select("kind", "stand_in"))
+            taken = taken.union(done.df.select(room, "stand_in"))
         # Cards and the like keep parts of their value, so a value may draw itself: that is taken too.
-        first = open_.df.groupBy("kind", "stand_in").agg(F.min("value").alias("value"), F.max("attempt").alias("attempt"))
-        won = first.join(taken, ["kind", "stand_in"], "left_anti").select("kind", "value", "attempt", "stand_in")
+        first = open_.df.groupBy(room, "stand_in").agg(F.min(F.struct("value", "kind", "attempt")).alias("least"))
+        won = first.join(taken, ["room", "stand_in"], "left_anti").select("least.kind", "least.value", "least.attempt", "stand_in")
         won = Table(won, "won")
         new = won if done is None else Table(done.df.union(won.df), "settled")
         lost = open_.df.join(won.df, ["kind", "value"], "left_anti").select("kind", "value", F.lit(draw).alias("attempt"))
@@ -268,8 +341,12 @@ def _rewrite(key: bytes, text_at: int, later_at: int, keep: list[int], names: li
                     if found:
                         known = {(x["kind"], x["value"]): x["stand_in"] for x in later or ()}
                         parts, at = [], 0
+                        made = {x[2:]: known.get(x[2:]) or surrogate(key, *x[2:]) for x in found}
+                        given = {(kind.split(":")[1], value[0].upper()): made[kind, value] for kind, value in sorted(made, reverse=True) if kind.startswith("given_")}
                         for x, y, kind, value in found:
-                            stand_in = known.get((kind, value)) or surrogate(key, kind, value)
+                            stand_in = made[kind, value]
+                            if kind.startswith("initial:"):
+                                stand_in = given.get((kind.split(":")[1], value), stand_in)[0]
                             parts += [text[at:x], render(text[x:y], kind, stand_in)]
                             at = y
                         text = "".join([*parts, text[at:]])
@@ -285,12 +362,22 @@ def replace_private(docs: DataFrame, key: bytes, text_col: str = "text") -> Data
     """``docs`` with surrogates in ``text_col``, and ``n_entities``, the number of mentions replaced."""
     digest = F.unhex(F.sha2(F.col(text_col).cast("binary"), 256))
     mentions = Table(docs.select(digest.alias("digest"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull()).mapInArrow(_mentions, "digest binary, kind string, value string"), "mentions")
-    settled = settle(mentions.df.select("kind", "value").distinct(), key)
-    later = settled.df.filter("attempt > 0").select("kind", "value", "stand_in")
-    by_text = mentions.df.distinct().join(later, ["kind", "value"]).groupBy("digest").agg(F.collect_list(F.struct("kind", "value", "stand_in")).alias("__docloom_later"))
+    found = mentions.df.select("kind", "value").distinct()
+    # One part and gender for a name word, of all that the texts show; ``_part`` as columns.
+    part, name = F.substring_index("kind", ":", 1), F.substring_index("kind", ":", -1)
+    male, female, given = (F.max(part.isin(*parts)) for parts in (["given_m"], ["given_f"], ["given_m", "given_f", "given_x"]))
+    one = F.when(~given, "family").when(male & ~female, "given_m").when(female & ~male, "given_f").otherwise("given_x")
+    is_name = F.contains("kind", F.lit(":"))
+    settled_names = found.filter(is_name).groupBy(name.alias("script"), "value").agg(one.alias("part"), F.collect_set("kind").alias("kinds"))
+    names = Table(settled_names.select(F.explode("kinds").alias("kind"), "value", F.concat_ws(":", "part", "script").alias("as_kind")), "names")
+    settled = settle(found.filter(~is_name).union(names.df.select(F.col("as_kind").alias("kind"), "value").distinct()), key)
+    drawn_again = settled.df.filter("attempt > 0").filter(~is_name).select("kind", "value", "stand_in")
+    named = settled.df.withColumnRenamed("kind", "as_kind").join(names.df, ["as_kind", "value"]).filter("attempt > 0 or kind <> as_kind").select("kind", "value", "stand_in")
+    later = Table(drawn_again.union(named), "again")
+    by_text = mentions.df.distinct().join(later.side(), ["kind", "value"]).groupBy("digest").agg(F.collect_list(F.struct("kind", "value", "stand_in")).alias("__docloom_later"))
     by_text = Table(by_text, "later")
-    mentions.drop()
-    settled.drop()
+    for table in (mentions, names, settled, later):
+        table.drop()
     keep = [c for c in docs.columns if c != "n_entities"]
     left = docs.select(*[F.col(f"`{c}`") for c in keep], digest.alias("__docloom_digest"))
     joined = left.join(by_text.side().withColumnRenamed("digest", "__docloom_digest"), "__docloom_digest", "left").select(*[F.col(f"`{c}`") for c in keep], "__docloom_later")

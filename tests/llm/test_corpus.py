@@ -399,6 +399,28 @@ def test_private_data(spark):
     assert pii.replace_private(df.limit(0), KEY).count() == 0
 
 
+def test_names_are_one_at_every_mention(spark):
+    rows = [
+        (0, "Frau Anna Weber came. Then Anna Weber left; Weber smiled. ANNA's and Webers Weber-Haus, not Annalen."),
+        (1, "Prof. Dr. Anna Weber"), (2, "Mr. J. Smith; J. Smith, Smith’s"), (3, "Dr. Anna Weber and Frau Dr. med. Anna Weber"),
+        (4, "Mr. John Smith Jr. met J. Smith"), (5, "Anna Weber untitled"), (6, "Dr. Weber " + "Weber " * 20_000), (7, "Dr. " * 20_000 + "no name"),
+    ]
+    out = {r.doc_id: r for r in pii.replace_private(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    first, last = re.match(r"Frau (\w+) (\w+) came", out[0].text).groups()
+    assert first != "Anna" and last != "Weber" and first.endswith("a")
+    assert out[0].text == f"Frau {first} {last} came. Then {first} {last} left; {last} smiled. {first.upper()}'s and {last}s {last}-Haus, not Annalen."
+    assert out[0].n_entities == 8
+    # The gender that another text shows holds for a text whose titles leave it open.
+    assert out[1].text == f"Prof. Dr. {first} {last}"
+    assert out[3].text == f"Dr. {first} {last} and Frau Dr. med. {first} {last}"
+    initial, smith = re.match(r"Mr\. (\w)\. (\w+);", out[2].text).groups()
+    assert initial != "J" and smith != "Smith" and out[2].text == f"Mr. {initial}. {smith}; {initial}. {smith}, {smith}’s"
+    john = re.match(r"Mr\. (\w+) ", out[4].text)[1]
+    assert out[4].text == f"Mr. {john} {smith} Jr. met {john[0]}. {smith}"
+    assert out[5].text == rows[5][1] and out[5].n_entities == 0  # no title in its text
+    assert out[6].text == f"Dr. {last} " + f"{last} " * 20_000 and out[7].text == rows[7][1]
+
+
 def test_surrogates_stay_distinct(spark, monkeypatch):
     """With draws that often collide, every value still gets its own surrogate, and none that the corpus holds."""
     values = [f"{i:03d}-11-1111" for i in range(60)]

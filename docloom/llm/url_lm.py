@@ -8,8 +8,9 @@ without a rule is allowed if its log-likelihood difference a character is at lea
 URLs that have a rule: the one with the best balanced accuracy.
 
 All of it is DataFrame operations.  Counts cover all URLs that have a rule outside the held-out fold.
-Characters are 64 symbols and long contexts share ``SLOTS`` slots, so a model has at most
-64 + 64**2 + 64**3 + 64 * SLOTS counts at any input size, which is the bound under which it is broadcast.
+A symbol is a character of any script (ASCII in lower case) and a context is keyed by its own characters, at every
+order, so the model grows with the input.  Ratios are computed once for each distinct gram (a context and the symbol after it) of the
+URLs; each table that is joined is broadcast if its measured size allows, and shuffled otherwise.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, no rule, and the verdict of an empty text
 (score 0).  Repeated rows get equal results.  Without any rule's URLs all scores are 0 and the threshold is 0.
@@ -23,14 +24,15 @@ from pyspark.sql import functions as F
 
 from docloom.llm.store import Table
 
-ORDER = 3
-SLOTS = 8192
+ORDER = 5
 WEIGHT = 8.0
 FOLDS = 5
 #: Calibration bins a unit of score; scores are cut to +-4 for it.
 BINS = 250
-# The symbols; any other character is the 64th.
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789/.-_?=&%#:~+@,;!$'()*[]|^{}"[:62]
+#: Scores are sums of whole billionths, so they do not depend on the order of rows.
+UNIT = 1e9
+#: Stands before and after a text.
+_PAD = "\0"
 MAX_RULES = 1000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,55 +58,48 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[
     return rule, verdict
 
 
-def _symbols(texts: DataFrame) -> DataFrame:
-    """Every character of each ``text`` with the slots of its contexts: ``c``, ``x1`` .. ``xORDER``."""
-    padded = texts.withColumn("__docloom_n", F.char_length("text")).withColumn("__docloom_t", F.split(F.concat(F.lit(" " * ORDER), F.translate("text", _UPPER, _LOWER), F.lit(" ")), ""))
+def _grams(texts: DataFrame) -> DataFrame:
+    """A row for every character of each ``text`` and its end: ``g``, the ``ORDER`` characters before it and itself, beside all columns but ``text``."""
+    padded = texts.withColumn("__docloom_n", F.char_length("text")).withColumn("__docloom_t", F.split(F.concat(F.lit(_PAD * ORDER), F.translate("text", _UPPER, _LOWER), F.lit(_PAD)), ""))
     at = padded.select("*", F.explode(F.sequence(F.lit(ORDER), F.col("__docloom_n") + ORDER)).alias("__docloom_i"))
-
-    def code(back: int) -> Column:
-        c = F.get(F.col("__docloom_t"), F.col("__docloom_i") - back)
-        return F.when(c == " ", 0).otherwise(F.coalesce(F.nullif(F.instr(F.lit(ALPHABET), c), F.lit(0)), F.lit(63)))
-
-    out = at.select(*texts.columns, *[code(b).alias(f"__docloom_s{b}") for b in range(ORDER + 1)])
-    slot = F.lit(0)
-    cols = [F.col("__docloom_s0").alias("c")]
-    for n in range(1, ORDER + 1):
-        slot = slot * 64 + F.col(f"__docloom_s{n}")
-        cols.append((slot if n <= 2 else F.pmod(F.xxhash64(slot), F.lit(SLOTS)).cast("int")).alias(f"x{n}"))
-    return out.select(*texts.columns, *cols)
-
-
-def _fit(texts: DataFrame) -> list[DataFrame]:
-    """For each order: ``x``, ``c`` and how often the symbol follows the context, and the context occurs, in each class (``good``)."""
-    rows = _symbols(texts)
-    good, bad = F.when(F.col("good"), F.col("m")).otherwise(0), F.when(F.col("good"), 0).otherwise(F.col("m"))
-    top = Table(rows.groupBy(*[f"x{n}" for n in range(1, 3)], f"x{ORDER}", "c").agg(F.sum(good).alias("a"), F.sum(bad).alias("b")), "grams")
-    out = []
+    g = F.concat(*[F.get(F.col("__docloom_t"), F.col("__docloom_i") - back) for back in range(ORDER, -1, -1)])
+    return at.select(*[c for c in texts.columns if c != "text"], g.alias("g"))
+
+
+def _fit(texts: DataFrame) -> Table:
+    """``g`` of all distinct grams of ``text``, and ``ratio``: the log ratio of the two models, trained on rows whose ``good`` is not null, ``m`` times each."""
+    rows = _grams(texts)
+    good, bad = F.when(F.col("good"), F.col("m")).otherwise(0), F.when(~F.col("good"), F.col("m")).otherwise(0)
+    top = Table(rows.groupBy("g").agg(F.sum(good).alias("a"), F.sum(bad).alias("b")), "grams")
+    symbols = max(1, top.df.select(F.right("g", F.lit(1))).distinct().count())
+    side_a: Column = F.lit(1 / symbols)
+    side_b = side_a
+    found, drops = top.df.select("g"), [top]
     for n in range(ORDER + 1):
-        x = F.lit(0) if n == 0 else F.col(f"x{n}")
-        out.append(top.df.groupBy(x.alias("x"), "c").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
-    return [Table(df, f"order{n}") for n, df in enumerate(out)]
-
-
-def score_texts(texts: DataFrame, model: list[Table]) -> DataFrame:
-    """``text`` (distinct) and ``score``, the mean over its characters of the log ratio of the two models."""
-    rows = _symbols(texts.select("text"))
-    for n, table in enumerate(model):
-        grams = table.df.select(F.col("x").alias(f"gx{n}"), F.col("c").alias(f"gc{n}"), F.col("a").alias(f"a{n}"), F.col("b").alias(f"b{n}"))
-        contexts = table.df.groupBy("x").agg(F.sum("a").alias(f"na{n}"), F.sum("b").alias(f"nb{n}")).withColumnRenamed("x", f"cx{n}")
-        x = F.lit(0) if n == 0 else F.col(f"x{n}")
-        rows = rows.withColumn("__docloom_x", x)
-        rows = rows.join(F.broadcast(grams), (F.col("__docloom_x") == F.col(f"gx{n}")) & (F.col("c") == F.col(f"gc{n}")), "left").drop(f"gx{n}", f"gc{n}")
-        rows = rows.join(F.broadcast(contexts), F.col("__docloom_x") == F.col(f"cx{n}"), "left").drop(f"cx{n}", "__docloom_x")
-
-    def chance(side: str) -> Column:
-        p: Column = F.lit(1 / 64)
-        for n in range(len(model)):
+        # How often each symbol follows each context of n characters, and the context occurs, in each class.
+        counts = top.df.filter("a + b > 0").groupBy(F.right("g", F.lit(n + 1)).alias("k")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        grams = Table(counts, f"order{n}")
+        contexts = Table(grams.df.groupBy(F.substr("k", F.lit(1), F.lit(n)).alias(f"x{n}")).agg(F.sum("a").alias(f"na{n}"), F.sum("b").alias(f"nb{n}")), f"contexts{n}")
+        drops += [grams, contexts]
+        found = found.withColumn(f"k{n}", F.right("g", F.lit(n + 1))).withColumn(f"x{n}", F.substr(f"k{n}", F.lit(1), F.lit(n)))
+        found = found.join(grams.side().select(F.col("k").alias(f"k{n}"), F.col("a").alias(f"a{n}"), F.col("b").alias(f"b{n}")), f"k{n}", "left").join(contexts.side(), f"x{n}", "left").drop(f"k{n}", f"x{n}")
+
+        def step(p: Column, side: str, n: int = n) -> Column:
             seen, total = (F.coalesce(F.col(f"{what}{n}"), F.lit(0)) for what in (side, "n" + side))
-            p = (seen + WEIGHT * p) / (total + WEIGHT)
-        return p
+            return (seen + WEIGHT * p) / (total + WEIGHT)
+
+        side_a, side_b = step(side_a, "a"), step(side_b, "b")
+    ratio = F.round((F.log(side_a) - F.log(side_b)) * UNIT).cast("long")
+    made = Table(found.select("g", ratio.alias("ratio")), "ratios")
+    for table in drops:
+        table.drop()
+    return made
+
 
-    return rows.groupBy("text").agg(F.avg(F.log(chance("a")) - F.log(chance("b"))).alias("score"))
+def score_texts(texts: DataFrame, model: Table) -> DataFrame:
+    """``digest`` (of distinct texts) and ``score``, the mean over the characters of ``text`` of the log ratio of the two models."""
+    rows = _grams(texts.select("digest", "text")).join(model.side(), "g")
+    return rows.groupBy("digest").agg((F.sum("ratio") / F.count("*") / UNIT).alias("score"))
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -131,16 +126,18 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], url_col: str = "u
     """``pages`` with ``host``, ``path``, ``rule`` (null: none fits), ``verdict`` (allow or block) and ``score``."""
     host, path, rest = url_parts(F.col(url_col))
     keep = [F.col(f"`{c}`") for c in pages.columns if c not in ADDED]
-    rows = pages.select(*keep, host.alias("host"), path.alias("path"), rest.alias("__docloom_text"))
+    rows = pages.select(*keep, host.alias("host"), path.alias("path"), rest.alias("__docloom_text"), F.unhex(F.sha2(rest.cast("binary"), 256)).alias("__docloom_digest"))
     rule, said = rule_for(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("__docloom_said", said)
     # Each distinct text is scored once; how often it occurs is its weight.
-    texts = Table(rows.filter("__docloom_text != ''").groupBy(F.col("__docloom_text").alias("text"), (F.col("__docloom_said") == "allow").alias("good")).agg(F.count("*").alias("m")), "texts")
+    text = rows.filter("__docloom_text != ''").groupBy(F.col("__docloom_digest").alias("digest"), F.col("__docloom_text").alias("text"), (F.col("__docloom_said") == "allow").alias("good"))
+    texts = Table(text.agg(F.count("*").alias("m")), "texts")
     held = F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(FOLDS)) == 0
-    ruled = texts.df.filter(F.col("good").isNotNull())
-    model = _fit(ruled.filter(~held))
+    # The held-out fold adds its grams, but no counts.
+    model = _fit(texts.df.select("text", F.when(~held, F.col("good")).alias("good"), "m"))
     scores = Table(score_texts(texts.df, model), "scores")
-    threshold = calibrate(ruled.filter(held).join(scores.df, "text"))
-    joined = rows.join(scores.df.withColumnRenamed("text", "__docloom_text"), "__docloom_text", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    model.drop()
+    threshold = calibrate(texts.df.filter(F.col("good").isNotNull() & held).join(scores.df, "digest"))
+    joined = rows.join(scores.df.withColumnRenamed("digest", "__docloom_digest"), "__docloom_digest", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     verdict = F.coalesce("__docloom_said", F.when(F.col("score") >= threshold, F.lit("allow")).otherwise(F.lit("block")))
     return joined.withColumn("verdict", verdict).select(*keep, "host", "path", "rule", "verdict", "score")

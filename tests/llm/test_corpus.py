@@ -319,6 +319,44 @@ def test_url_verdicts(spark):
     assert url_lm.judge_urls(df.limit(0), RULES).count() == 0
 
 
+def test_url_model_is_exact(spark, monkeypatch):
+    """Scores against a model of plain dictionaries, over several scripts, by broadcast and by shuffle joins."""
+    import math
+
+    from docloom.llm.store import Table
+
+    rng = random.Random(3)
+    scripts = {"allow": "абвгдежз", "block": "αβγδεζηθ"}
+    urls = [f"http://{''.join(rng.choices(scripts[v], k=6))}.{'com' if v == 'allow' else 'net'}{'/' if v == 'allow' else '/es/'}{i}" for v in scripts for i in range(60)]
+    asked = {"http://" + "".join(rng.choices(s, k=8)) + ".org/": v for v, s in scripts.items() for _ in range(20)}
+    df = spark.createDataFrame([(u,) for u in [*urls, *asked]], "url string")
+    got = {r.url: r for r in url_lm.judge_urls(df, RULES).collect()}
+    assert [got[u].verdict for u in asked] == list(asked.values())
+
+    order, weight = url_lm.ORDER, url_lm.WEIGHT
+    counts = collections.defaultdict(lambda: [0, 0])
+    for u in urls:
+        rest = u.split("://")[1]
+        if zlib.crc32(rest.encode()) % url_lm.FOLDS:
+            t = "\0" * order + rest + "\0"
+            for i in range(order, len(t)):
+                for n in range(order + 1):
+                    for key in ((t[i - n : i], t[i]), (t[i - n : i], None)):
+                        counts[n, key][got[u].verdict == "block"] += 1
+    symbols = len(set("".join(u.split("://")[1] for u in got)) | {"\0"})
+    for u in [*urls[:5], *asked]:
+        t, total = "\0" * order + u.split("://")[1] + "\0", 0.0
+        for i in range(order, len(t)):
+            p = [1 / symbols] * 2
+            for n in range(order + 1):
+                seen, all_ = counts.get((n, (t[i - n : i], t[i])), (0, 0)), counts.get((n, (t[i - n : i], None)), (0, 0))
+                p = [(seen[k] + weight * p[k]) / (all_[k] + weight) for k in (0, 1)]
+            total += math.log(p[0] / p[1])
+        assert abs(got[u].score - total / (len(t) - order)) < 1e-6
+    monkeypatch.setattr(Table, "small", lambda self, *a: False)
+    assert {r.url: r for r in url_lm.judge_urls(df, RULES).collect()} == got
+
+
 def parse_count(text, sample):
     """Phrases of the greedy parse of a text against a sample, by substring search."""
     n, at = 0, 0

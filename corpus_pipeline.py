@@ -16,7 +16,7 @@ from docloom.llm.store import Table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts in no learned language go: no letters, or hardly a phrase in common with any sample."""
+    """Texts without a language go: those that language ID calls und, which have no letter."""
     return langid.drop_unknown(docs)
 
 

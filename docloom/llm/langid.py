@@ -203,13 +203,9 @@ def fold_of(id_col: Column, folds: int = 4) -> Column:
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(folds))
 
 
-#: A text whose parse needs more phrases a symbol than this is in no learned language.
-MAX_RATE = 0.75
-
-
 def drop_unknown(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_out: int = 2) -> DataFrame:
-    """``docs`` without texts that are in no learned language: those without letters, and those that hardly parse."""
+    """``docs`` without texts that have no language: those that ``identify`` calls ``und``, which have no letter."""
     fold = fold_of(F.col(id_col), folds)
     model = learn(docs.filter(F.coalesce(fold, F.lit(0)) != held_out), id_col, text_col, lang_col)
     found = identify(set_aside(docs, ADDED), model, text_col)
-    return put_back(found.filter((F.col("lang_pred") != "und") & (F.col("phrases_a_symbol") <= MAX_RATE)), docs.columns, ADDED)
+    return put_back(found.filter(F.col("lang_pred") != "und"), docs.columns, ADDED)

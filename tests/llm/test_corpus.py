@@ -403,6 +403,12 @@ def test_language_queries(spark):
     assert {r.doc_id for r in kept.collect()} >= set(range(200)) and 302 not in {r.doc_id for r in kept.collect()}
 
 
+def test_only_unlettered_texts_are_unknown(spark):
+    rows = [(i, "the of and to in that is was", "en") for i in range(40)] + [(50, "я", None), (51, "x", "en"), (52, "Ελληνικά γράμματα", None), (53, "日本語の文章", None), (54, "12 34", None), (55, None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in langid.drop_unknown(df).collect()} == {*range(40), 50, 51, 52, 53}
+
+
 KEY = b"k"
 
 

@@ -4,8 +4,9 @@ Texts become token ids with an end id; a longer one is cut so that only its firs
 piece may be shorter than a sequence.  The histogram of piece lengths is all
 that the driver sees; its size is the capacity, whatever the input.  Patterns of one
 to three lengths that fill a sequence are enumerated, non-negative repeat counts
-are fitted to the histogram by least squares and rounded down, fits are repeated on
-what is left, and the residual lengths are packed best-fit over a histogram of gaps.
+are fitted to the histogram by least squares and rounded down, and fits are repeated on
+what is left.  Where that leaves most of the ids, as when all texts are short, patterns of more lengths that
+nearly fill a sequence are fitted too.  The residual lengths are packed best-fit over a histogram of gaps.
 The plan is a list of patterns with repeat counts; a piece finds its place from
 its rank among the pieces of its length, by binary search.  Ranks are counted in
 hash buckets of each length, so a length that a third of all pieces have is
@@ -39,6 +40,8 @@ MEMO_WORDS = 200_000
 FORMS_A_ROW = 200
 #: Fits of repeat counts, each to what the one before has left.
 ROUNDS = 8
+#: How often a near-full pattern repeats its second length, at least, and for how many lengths in all patterns.
+REPEATS, REPEATED = 8, 500_000
 
 # --- tokens ---
 
@@ -280,6 +283,23 @@ def _patterns(present: np.ndarray, capacity: int, depth: int) -> np.ndarray:
     return np.unique(made, axis=0)
 
 
+def _near_full(present: np.ndarray, capacity: int) -> np.ndarray:
+    """Patterns of a present length, another as often as fits, as ``REPEATS`` and ``REPEATED`` allow, and the largest that fit until none does; 0 pads."""
+    below = np.zeros(capacity + 1, np.int64)
+    below[present] = present
+    below = np.maximum.accumulate(below)
+    x, y = (v.ravel() for v in np.meshgrid(present, present))
+    x, y = x[x + y <= capacity], y[x + y <= capacity]
+    made, gap = [x], capacity - x
+    for _ in range(min(capacity // int(present.min()), max(REPEATS, REPEATED // max(1, len(x))))):
+        made.append(np.where(y <= gap, y, 0))
+        gap = gap - made[-1]
+    while below[gap].any():
+        made.append(below[gap])
+        gap = gap - made[-1]
+    return np.unique(np.sort(np.stack(made, 1), axis=1)[:, ::-1], axis=0)
+
+
 def fit_repeats(patterns: np.ndarray, histogram: np.ndarray, steps: int = 300) -> np.ndarray:
     """Non-negative repeat counts whose lengths come closest to the histogram: accelerated projected gradient steps.
 
@@ -292,7 +312,7 @@ def fit_repeats(patterns: np.ndarray, histogram: np.ndarray, steps: int = 300) -
     use = weight[patterns]
 
     def lengths(x: np.ndarray) -> np.ndarray:
-        return np.bincount(patterns.ravel(), weights=np.repeat(x, 3), minlength=capacity + 1) * weight
+        return np.bincount(patterns.ravel(), weights=np.repeat(x, patterns.shape[1]), minlength=capacity + 1) * weight
 
     x = np.zeros(len(patterns))
     bound = 1.0  # the largest eigenvalue, by power iteration
@@ -325,10 +345,12 @@ def _take(patterns: np.ndarray, x: np.ndarray, left: np.ndarray) -> list[tuple[t
     return plan
 
 
-def _best_fit(left: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
-    """Best-fit decreasing over groups of equal sequences: its work follows the capacity, not the number of pieces."""
+def _best_fit(left: np.ndarray, plan: list[tuple[tuple[int, ...], int]]) -> list[tuple[tuple[int, ...], int]]:
+    """Best-fit decreasing, into the gaps of a plan first, over groups of equal sequences: its work follows the capacity, not the number of pieces."""
     capacity = len(left) - 1
     groups: list[list[list]] = [[] for _ in range(capacity + 1)]  # by gap: [lengths, how many]
+    for planned, many in plan:
+        groups[capacity - sum(planned)].append([planned, many])
     for v in range(capacity, 0, -1):
         n = int(left[v])
         gap = v
@@ -360,19 +382,31 @@ def plan_packing(histogram: np.ndarray, depth: int = 3) -> list[tuple[tuple[int,
     left = histogram.astype(np.int64).copy()
     capacity = len(left) - 1
     plan: list[tuple[tuple[int, ...], int]] = []
-    for _ in range(ROUNDS):
-        present = np.flatnonzero(left)
-        if not len(present):
-            break
-        patterns = _patterns(present, capacity, depth)
-        patterns = patterns[patterns.sum(1) == capacity]  # those with a gap are left to best fit
-        if not len(patterns):
-            break
-        more = _take(patterns, fit_repeats(patterns, left.astype(float)), left)
-        plan += more
-        if not more:
+    total = int(np.arange(capacity + 1) @ left)
+    for full in (True, False):
+        # Near-full patterns of any depth are fitted where full ones leave most of the ids, as when all pieces are short.
+        if not full and 2 * int(np.arange(capacity + 1) @ left) <= total:
             break
-    return plan + _best_fit(left)
+        for _ in range(ROUNDS):
+            present = np.flatnonzero(left)
+            if not len(present):
+                break
+            if full:
+                patterns = _patterns(present, capacity, depth)
+                patterns = patterns[patterns.sum(1) == capacity]
+            else:
+                patterns = _near_full(present, capacity)
+            if not len(patterns):
+                break
+            repeats = fit_repeats(patterns, left.astype(float))
+            if not full:
+                # Spread over many patterns, each repeat alone rounds down to none: running sums are rounded instead.
+                repeats = np.diff(np.floor(np.cumsum(repeats) + 1e-6), prepend=0)
+            more = _take(patterns, repeats, left)
+            plan += more
+            if not more:
+                break
+    return _best_fit(left, plan)
 
 
 def _slots(plan: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, ...]:

@@ -262,6 +262,24 @@ def test_nearest_vectors(spark):
     assert ann.nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_fit_plans_short_pieces(monkeypatch):
+    """Where no three lengths fill a sequence, the fit still plans nearly all of it, as densely as best fit alone."""
+    fit, rng = packing._best_fit, np.random.default_rng(5)
+    for lengths in (rng.integers(20, 300, 50_000), rng.integers(1, 4, 50_000), np.full(1000, 300), rng.integers(600, 700, 5000)):
+        histogram = np.bincount(lengths, minlength=1025)
+        seen = []
+        monkeypatch.setattr(packing, "_best_fit", lambda left, plan: seen.append(int(left.sum())) or fit(left, plan))
+        plan = packing.plan_packing(histogram)
+        made = np.zeros(1025, np.int64)
+        for pattern, n in plan:
+            assert sum(pattern) <= 1024 and n > 0
+            np.add.at(made, list(pattern), n)
+        assert (made == histogram).all()
+        if lengths.max() <= 341:
+            assert seen[0] <= 0.1 * len(lengths)
+            assert sum(n for _, n in plan) <= 1.01 * sum(n for _, n in fit(histogram.copy(), []))
+
+
 def conversations(spark):
     rng = random.Random(2)
     rows = []

@@ -1,6 +1,6 @@
 """Chat formatting in budgeted windows.
 
-Conversations become windows of whole turns.  Prefix sums of the turns' tokens choose
+Conversations become windows of whole turns.  Prefix sums of the tokens of formatted turns (marks, role and escaped text) choose
 each window's span: the longest run of new turns that fits the budget beside the
 system turn, which every window repeats, and a limited history, the last turns before the span
 that fit ``history`` tokens.  Assistant turns of the span are under the loss mask;
@@ -33,8 +33,6 @@ from docloom.llm.store import shuffle_partitions
 
 BUDGET = 1024
 HISTORY = 256
-#: Tokens of a turn's marks and line feeds.
-MARKS = 5
 START, END = "<|im_start|>", "<|im_end|>"
 
 
@@ -57,6 +55,10 @@ def _head(role: str) -> str:
     return f"{START}{escape(role).replace(chr(10), chr(92) + 'n')}\n"
 
 
+def _formatted(role: str, text: str) -> str:
+    return f"{_head(role)}{escape(text)}{END}\n"
+
+
 class _Windows:
     """The windows of one conversation, made as its turns come."""
 
@@ -124,13 +126,15 @@ def _format(tokenizer_path: str, budget: int, history: int, schema: pa.Schema):
         for batch in batches:
             for a, b in k.slices(batch.column(3)):
                 here = batch.slice(a, b - a)
-                _, first = encoder(tokenizer_path).encode(here.column(3))
+                roles, texts = here.column(2).to_pylist(), here.column(3).to_pylist()
+                # A turn ends in a line feed and the next begins with a mark, between which this tokenizer always cuts, so tokens of turns add up.
+                _, first = encoder(tokenizer_path).encode(pa.array(map(_formatted, roles, texts), pa.large_string()))
                 rows = []
-                for conv, role, text, n in zip(here.column(0).to_pylist(), here.column(2).to_pylist(), here.column(3).to_pylist(), np.diff(first).tolist(), strict=True):
+                for conv, role, text, n in zip(here.column(0).to_pylist(), roles, texts, np.diff(first).tolist(), strict=True):
                     if open_ is None or open_.conv_id != conv:
                         rows += open_.close() if open_ else []
                         open_ = _Windows(conv, budget, history)
-                    rows += open_.add(role, text, n + MARKS)
+                    rows += open_.add(role, text, n)
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
         if open_ and (rows := open_.close()):

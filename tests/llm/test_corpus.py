@@ -314,6 +314,18 @@ def test_chat_windows(spark):
     assert chat.read_back(chat.format_windows(df.limit(0), BPE)).count() == 0
 
 
+def test_chat_windows_count_real_tokens(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(str(BPE))
+    rows, df = conversations(spark)
+    short = [(90, t, "a long role\nof two lines" if t % 2 else "assistant", "" if t % 3 else " ok \n") for t in range(120)]
+    made = chat.format_windows(df.select("conv_id", "turn", "role", "text").union(spark.createDataFrame(short, df.select("conv_id", "turn", "role", "text").schema)), BPE, budget=300, history=80).collect()
+    assert all(w.n_tokens == len(library.encode(w.formatted, add_special_tokens=False).ids) for w in made)
+    many = [w for w in made if w.conv_id == 90]
+    assert len(many) > 1 and all(w.n_tokens <= 300 for w in many) and sum(w.n_turns for w in many) == 120
+
+
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/")]
 
 

@@ -6,12 +6,13 @@ window is one shingle).  Containment of the whole window is asked for, so the
 prefix that a match cannot avoid is the window's single rarest shingle, rarity
 being the count over all documents.  Every place of a document that holds such
 a shingle fixes where the window would start (positional bound); the window must
-lie inside the document (length bound), and is then verified word by word.
+lie inside the document (length bound), and is then verified word by word: hashes first, then the words' bytes.
 
 The windows are broadcast, in blocks of items of at most ``BLOCK_BYTES`` of
-text; a larger benchmark takes one pass over the documents for each block.
-Documents never move: both the count and the join are map-side, and only
-counts of benchmark shingles are shuffled.
+text.  Documents never move: both the count and the join are map-side, and only
+counts of benchmark shingles are shuffled.  A larger benchmark takes two passes
+over the texts for each block; what a block hits is kept under the digest of the text,
+and the few hits of all blocks meet the documents in one join.
 
 Defined results: nulls and texts without words hit nothing and are not hit.
 Repeated items count once by id; an item with a null id hits words but is not listed.
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,19 +41,22 @@ _FLAG_BITS = 16
 
 
 class _Windows:
-    """Distinct windows of a block's items: word hashes, and which items have each."""
+    """Distinct windows of a block's items: word hashes, where their words' bytes are, and which items have each."""
 
-    def __init__(self, ids: list[str | None], texts: pa.Array, window: int, shingle: int):
-        w = k.words(texts, k.ALNUM_LOWER)
-        found: dict[bytes, tuple[np.ndarray, set[str | None]]] = {}
+    def __init__(self, ids: list[str | None], texts: pa.Array, window: int, shingle: int, rule: k.WordRule):
+        w = k.words(texts, rule)
+        found: dict[bytes, tuple[np.ndarray, int, set[str | None]]] = {}
         for i, name in enumerate(ids):
-            h = w.hash[w.first[i] : w.first[i + 1]]
-            size = min(window, len(h))
-            for s in range(len(h) - size + 1 if size else 0):
-                piece = h[s : s + size]
-                found.setdefault(piece.tobytes(), (piece, set()))[1].add(name)
+            a, b = int(w.first[i]), int(w.first[i + 1])
+            size = min(window, b - a)
+            for s in range(a, b - size + 1 if size else a):
+                # Words joined by one space tell windows apart by their bytes.
+                words = b" ".join(w.data[x:y].tobytes() for x, y in zip(w.start[s : s + size], w.end[s : s + size], strict=True))
+                found.setdefault(words, (w.hash[s : s + size], s, set()))[2].add(name)
+        self.source = w
         self.windows = [x[0] for x in found.values()]
-        self.items = [sorted(n for n in x[1] if n is not None) for x in found.values()]
+        self.at = np.array([x[1] for x in found.values()], np.int64)
+        self.items = [sorted(n for n in x[2] if n is not None) for x in found.values()]
         self.shingles = [self.grams(x, shingle) for x in self.windows]
 
     @staticmethod
@@ -78,12 +83,13 @@ class _Lookup:
         return at[ok], to[ok]
 
 
-def _count(lookups: dict[int, _Lookup]):
+def _count(shared, rule: k.WordRule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookups: dict[int, _Lookup] = shared.value
         total = {n: np.zeros(len(x.hashes), np.int64) for n, x in lookups.items()}
         for batch in batches:
             for a, b in k.slices(batch.column(0)):
-                w = k.words(batch.column(0).slice(a, b - a), k.ALNUM_LOWER)
+                w = k.words(batch.column(0).slice(a, b - a), rule)
                 for n, x in lookups.items():
                     _, h = k.grams(w, n)
                     _, to = x.find(h)
@@ -103,6 +109,7 @@ class _Index:
         self.length = np.array([len(x) for x in block.windows], np.int64)
         self.first = np.r_[0, np.cumsum(self.length)]
         self.words = np.concatenate([*block.windows, np.empty(0, np.uint64)])
+        self.at, self.data, self.start, self.end = block.at, block.source.data, block.source.start, block.source.end
         by: dict[int, list[tuple[int, int, int]]] = {}
         for i, (n, g) in enumerate(block.shingles):
             at = min(range(len(g)), key=lambda j: (rarity.get((n, int(g[j])), 0), int(g[j])))
@@ -130,10 +137,21 @@ class _Index:
             for i in range(int(self.length[win].max()) if len(win) else 0):
                 ok = (i >= self.length[win]) | (w.hash[np.minimum(start + i, len(w.hash) - 1)] == self.words[np.minimum(self.first[win] + i, len(self.words) - 1)])
                 start, text, win = start[ok], text[ok], win[ok]
-            out.append((text, start, win))
+            ok = self._same(w, start, win)
+            out.append((text[ok], start[ok], win[ok]))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+    def _same(self, w: k.Words, start: np.ndarray, win: np.ndarray) -> np.ndarray:
+        """Whether the words of each place and window hold the same bytes."""
+        many = self.length[win]
+        row = np.repeat(np.arange(len(win)), many)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        mine, theirs = start[row] + step, self.at[win][row] + step
+        same = k.same_words(w.data, w.start[mine], w.end[mine], self.data, self.start[theirs], self.end[theirs])
+        return np.bincount(row[~same], minlength=len(win)) == 0
+
+
 def _spans(start: np.ndarray, end: np.ndarray) -> list[int]:
     """Ascending starts and their ends as maximal flat [from, to) intervals."""
     reach = np.maximum.accumulate(end)
@@ -141,13 +159,13 @@ def _spans(start: np.ndarray, end: np.ndarray) -> list[int]:
     return np.stack([start[np.r_[0, cut + 1]], reach[np.r_[cut, len(start) - 1]]], axis=1).ravel().tolist()
 
 
-def _mark(shared, text_at: int, keep: list[int], names: list[str]):
+def _mark(shared, rule: k.WordRule, text_at: int, keep: list[int], names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: _Index = shared.value
         for batch in batches:
             for a, b in k.slices(batch.column(text_at)):
                 here = batch.slice(a, b - a)
-                w = k.words(here.column(text_at), k.ALNUM_LOWER)
+                w = k.words(here.column(text_at), rule)
                 text, start, win = index.match(w)
                 order = np.lexsort((start, text))
                 text, start, win = text[order], start[order], win[order]
@@ -168,51 +186,66 @@ ADDED = ("n_words", "hit_spans", "hit_items", "n_hit")
 def mark_benchmark_words(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with ``n_words``, ``hit_spans`` (word intervals, flat), ``hit_items`` (sorted ids as strings) and ``n_hit``."""
     spark = docs.sparkSession
+    rule = k.keyed(k.ALNUM_LOWER)
     items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(item_text_col).alias("text")).filter(F.length("text") > 0).distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-2 * size // block_bytes)) if size > block_bytes else 1
+    blocks = -(-2 * size // block_bytes) if size > block_bytes else 1
     keep = [i for i, c in enumerate(docs.columns) if c not in ADDED]
-    names = [docs.columns[i] for i in keep] + ["n_words", "hit_spans", "hit_items"]
-    schema = extended(docs, [docs.columns[i] for i in keep], n_words=T.LongType(), hit_spans=T.ArrayType(T.LongType()), hit_items=T.ArrayType(T.StringType()))
-    out = None
-    for b in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).orderBy("id", "text").collect()
-        block = _Windows([r.id for r in rows], pa.array([r.text for r in rows], pa.large_string()), window, shingle)
-        sizes = {n for n, _ in block.shingles}
-        lookups = {n: _Lookup(np.concatenate([g for m, g in block.shingles if m == n])) for n in sizes}
-        counts = docs.select(text_col).filter(F.col(text_col).isNotNull()).mapInArrow(_count(lookups), "size long, hash long, n long").groupBy("size", "hash").agg(F.sum("n").alias("n")) if sizes else None
-        rarity = {(r["size"], r["hash"] & (2**64 - 1)): r.n for r in counts.collect()} if counts is not None else {}
-        shared = spark.sparkContext.broadcast(_Index(block, rarity))
-        marked = docs.mapInArrow(_mark(shared, docs.columns.index(text_col), keep, names), schema)
-        if blocks == 1:
-            out = marked
-        else:
-            out = marked if out is None else _join_blocks(out, marked)
+    names = [docs.columns[i] for i in keep]
+    added = {"n_words": T.LongType(), "hit_spans": T.ArrayType(T.LongType()), "hit_items": T.ArrayType(T.StringType())}
+
+    def index_of(rows: list) -> Broadcast:
+        block = _Windows([r.id for r in rows], pa.array([r.text for r in rows], pa.large_string()), window, shingle, rule)
+        lookups = {n: _Lookup(np.concatenate([g for m, g in block.shingles if m == n])) for n in {n for n, _ in block.shingles}}
+        rarity = {}
+        if lookups:
+            wanted = spark.sparkContext.broadcast(lookups)
+            texts = docs.select(F.col(f"`{text_col}`")).filter(F.col(f"`{text_col}`").isNotNull())
+            counts = texts.mapInArrow(_count(wanted, rule), "size long, hash long, n long").groupBy("size", "hash").agg(F.sum("n").alias("n")).collect()
+            rarity = {(r["size"], r["hash"] & (2**64 - 1)): r.n for r in counts}
+            wanted.unpersist()
+        return spark.sparkContext.broadcast(_Index(block, rarity))
+
+    def marked(rows: DataFrame, at: int, keep: list[int], names: list[str], index: Broadcast) -> DataFrame:
+        return rows.mapInArrow(_mark(index, rule, at, keep, [*names, *added]), extended(rows, names, **added))
+
+    if blocks == 1:
+        out = marked(docs, docs.columns.index(text_col), keep, names, index_of(items.orderBy("id", "text").collect()))
+    else:
+        out = _with_blocks(docs, text_col, blocks, items, index_of, marked, keep, names)
     spans = F.col("hit_spans")
     n_hit = F.aggregate(F.sequence(F.lit(0), F.size(spans) - 2, F.lit(2)), F.lit(0).cast("long"), lambda acc, i: acc + F.get(spans, i + 1) - F.get(spans, i))
     return out.withColumn("n_hit", F.when(F.size(spans) > 0, n_hit).otherwise(F.lit(0).cast("long")))
 
 
-def _join_blocks(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Hits of two blocks of items, row by row: rows that are equal but for their hits get equal hits, so they meet by value."""
-    keys = [c for c in left.columns if c not in ("hit_spans", "hit_items")]
-    right = Table(right.filter(F.size("hit_spans") > 0).dropDuplicates(keys), "hits").side()
-    other = right.select(*[F.col(f"`{c}`").alias(f"__docloom_{c}") for c in keys], F.col("hit_spans").alias("__docloom_spans"), F.col("hit_items").alias("__docloom_items"))
-    on = None
-    for c in keys:
-        same = F.col(f"`{c}`").eqNullSafe(F.col(f"`__docloom_{c}`"))
-        on = same if on is None else on & same
-    none = F.array().cast("array<long>")
-    pairs = F.concat(_pairs("hit_spans"), F.coalesce(_pairs("__docloom_spans"), F.array().cast("array<struct<a:bigint,b:bigint>>")))
-    merged = F.aggregate(F.array_sort(pairs), none, _push)
-    items = F.array_sort(F.array_union(F.col("hit_items"), F.coalesce(F.col("__docloom_items"), F.array().cast("array<string>"))))
-    return left.join(other, on, "left").select(*[F.col(f"`{c}`") for c in keys], merged.alias("hit_spans"), items.alias("hit_items"))
+def _with_blocks(docs: DataFrame, text_col: str, blocks: int, items: DataFrame, index_of, marked, keep: list[int], names: list[str]) -> DataFrame:
+    """Hits of all blocks of items: those of a block are kept under the digest of their text, merged by digest, and joined to the documents once."""
+    spark = docs.sparkSession
+    digest = F.unhex(F.sha2(F.col(f"`{text_col}`").cast("binary"), 256))
+    texts = docs.select(digest.alias("__docloom_digest"), F.col(f"`{text_col}`").alias("text")).filter(F.col("text").isNotNull())
+    hits = []
+    for b in range(blocks):
+        rows = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).orderBy("id", "text").collect()
+        here = marked(texts, 1, [0], ["__docloom_digest"], index_of(rows)).filter(F.size("hit_spans") > 0)
+        hits.append(Table(here.select("__docloom_digest", "hit_spans", "hit_items").dropDuplicates(["__docloom_digest"]), "hits"))
+    every = hits[0].df
+    for table in hits[1:]:
+        every = every.unionByName(table.df)
+    none = F.array().cast("array<bigint>")
+    spans = F.aggregate(F.array_sort(F.flatten(F.collect_list(_pairs("hit_spans")))), none, _push)
+    merged = every.groupBy("__docloom_digest").agg(spans.alias("__docloom_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_items")))).alias("__docloom_items"))
+    merged = Table(merged, "hits")
+    for table in hits:
+        table.drop()
+    plain = marked(docs, docs.columns.index(text_col), keep, names, spark.sparkContext.broadcast(_Index(_Windows([], pa.array([], pa.large_string()), WINDOW, SHINGLE, k.ALNUM_LOWER), {})))
+    joined = plain.withColumn("__docloom_digest", digest).join(merged.side(), "__docloom_digest", "left")
+    columns = [F.col(f"`{c}`") for c in names]
+    return joined.select(*columns, "n_words", F.coalesce("__docloom_spans", none).alias("hit_spans"), F.coalesce("__docloom_items", F.array().cast("array<string>")).alias("hit_items"))
 
 
 def _pairs(name: str):
     c = F.col(name)
-    at = F.when(F.size(c) > 0, F.sequence(F.lit(0), F.size(c) - 2, F.lit(2))).otherwise(F.array().cast("array<int>"))
-    return F.when(c.isNotNull(), F.transform(at, lambda i: F.struct(F.get(c, i).alias("a"), F.get(c, i + 1).alias("b"))))
+    return F.transform(F.sequence(F.lit(0), F.size(c) - 2, F.lit(2)), lambda i: F.struct(F.get(c, i).alias("a"), F.get(c, i + 1).alias("b")))
 
 
 def _push(done, x):

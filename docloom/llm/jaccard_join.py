@@ -14,10 +14,11 @@ the slots' size is bounded at every input size.
    class alone has.  N-grams of very full slots travel as rows instead, so that a
    shuffle join can split them.
 3. Star round: in each n-gram's list every class meets the class that has the n-gram at its lowest
-   position (length filter): of a family of edited copies, the one with the fewest n-grams of its own.
+   position (length and positional filters): of a family of edited copies, the one with the fewest n-grams of its own.
+   As a pair may meet its star at another than their first common n-gram, the positional bound counts all n-grams before it as common.
    Remaining round: where a list still holds several components, the members
    outside its main one meet all members of other components, in blocks of sets.  There length
-   and positional filters apply before a pair is emitted.  Each pair of either round is
+   and positional filters (there with the first common n-gram, which is among the lists) apply before a pair is emitted.  Each pair of either round is
    verified once, with a suffix filter ahead of the full intersection.  A pair
    that the second round leaves out lies in one component already, so no
    component is missed and no group is expanded into all its pairs.
@@ -25,8 +26,11 @@ the slots' size is bounded at every input size.
 Defined results: a text of fewer than five words, but not none, has its whole
 sequence as its one shingle; a null text, or one without words, has an empty set
 and is linked with nothing.  Rows may repeat: equal sets share a group.  A null
-id takes part but names a group only if all its members' ids are null.  Other
-columns are passed through unless their names clash with added ones.
+id takes part but names a group only if all its members' ids are null.  Ids are whole
+numbers; others are refused.  Other columns are passed through unless their names clash with added ones.
+
+A class is named by 64 bits of its set's MD5; the next 64 bits tell classes apart whose first
+bits agree, and these few are named by those instead.  Shingles are equal if 64 keyed random bits are.
 """
 
 from __future__ import annotations
@@ -36,37 +40,43 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.llm import kernels as k
 from docloom.llm.components import components
-from docloom.llm.store import Table, extended, shuffle_partitions
+from docloom.llm.store import Table, extended, integral, scratch, shuffle_partitions
 
 SHINGLE = 5
 #: Similarity as a fraction: intersection * DEN >= union * NUM.
 NUM, DEN = 3, 4
 #: Slots of the rarity table, 4 bytes each: what a broadcast of it holds at the most.
 SLOT_BITS = 20
-#: An n-gram whose slot holds more than this, and four times the mean, travels as rows.
+#: An n-gram whose slot holds this much more than slots do on average travels as rows.
 FULL_SLOT = 50_000
+#: Buckets of prefix n-grams: so many for each shuffle partition, and more where one would hold more bytes than this.
 BUCKETS_A_PARTITION = 2
+BUCKET_BYTES = 64_000_000
+_POSTING_BYTES = 14
 #: Prefix n-grams that a chunk holds before it is sent.
 CHUNK_POSTINGS = 1_000_000
 
 
-def _set_ids(text: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Size and 64-bit digest of each text's set."""
+def _set_ids(text: np.ndarray, h: np.ndarray, n: int, clashing: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size of each text's set, its name, and the next 64 bits of its digest, which are the name where first ones clash."""
     size = np.bincount(text, minlength=n)
     off = np.r_[0, np.cumsum(size)]
     raw = h.tobytes()
-    ids = np.array([int.from_bytes(hashlib.md5(raw[8 * a : 8 * b]).digest()[:8], "little", signed=True) for a, b in zip(off, off[1:], strict=False)], np.int64)
-    return size, ids
+    both = np.frombuffer(b"".join(hashlib.md5(raw[8 * a : 8 * b]).digest() for a, b in zip(off, off[1:], strict=False)), "<i8").reshape(-1, 2)
+    ids, more = both[:, 0].copy(), both[:, 1].copy()
+    if clashing is not None and len(clashing):
+        ids = np.where(np.isin(ids, clashing), more, ids)
+    return size, ids, more
 
 
 def _describe(shingle: int, rule: k.WordRule):
-    schema = pa.schema([("n", pa.int64()), ("sid", pa.int64()), ("doc", pa.int64()), ("slots", pa.binary())])
+    schema = pa.schema([("n", pa.int64()), ("sid", pa.int64()), ("more", pa.int64()), ("doc", pa.int64()), ("slots", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.zeros(1 << SLOT_BITS, np.int64)
@@ -74,12 +84,12 @@ def _describe(shingle: int, rule: k.WordRule):
         for batch in batches:
             for a, b in k.slices(batch.column(1)):
                 text, h = k.shingle_sets(k.words(batch.column(1).slice(a, b - a), rule), shingle)
-                size, ids = _set_ids(text, h, b - a)
+                size, ids, more = _set_ids(text, h, b - a)
                 slots += np.bincount((h >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(slots))
                 seen = True
-                yield pa.RecordBatch.from_arrays([pa.array(size), pa.array(ids), batch.column(0).slice(a, b - a).cast(pa.int64()), pa.nulls(b - a, pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(size), pa.array(ids), pa.array(more), batch.column(0).slice(a, b - a).cast(pa.int64()), pa.nulls(b - a, pa.binary())], schema=schema)
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([0], pa.int64()), pa.nulls(1, pa.int64()), k.binary_column([_slot_bytes(slots)])], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([0], pa.int64()), pa.array([0], pa.int64()), pa.nulls(1, pa.int64()), k.binary_column([_slot_bytes(slots)])], schema=schema)
 
     return run
 
@@ -114,13 +124,13 @@ def _prefix(size: np.ndarray) -> np.ndarray:
     return size - (NUM * size + DEN - 1) // DEN + 1
 
 
-def _postings(shingle: int, rule: k.WordRule, shared, buckets: int):
+def _postings(shingle: int, rule: k.WordRule, shared, buckets: int, clashing: np.ndarray):
     """Prefix n-grams of each distinct set of a chunk: packed by bucket, or as rows where a slot is very full."""
     schema = pa.schema([("bucket", pa.int64()), ("token", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("pos", pa.int64()), ("blob", pa.list_(pa.binary()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = shared.value.astype(np.int64)
-        full = max(FULL_SLOT, 4 * int(rank.mean()))
+        full = FULL_SLOT + int(rank.mean())
         parts: list[tuple] = []
         held = 0
 
@@ -147,7 +157,7 @@ def _postings(shingle: int, rule: k.WordRule, shared, buckets: int):
         for batch in batches:
             for a, b in k.slices(batch.column(1)):
                 text, h = k.shingle_sets(k.words(batch.column(1).slice(a, b - a), rule), shingle)
-                size, ids = _set_ids(text, h, b - a)
+                size, ids, _ = _set_ids(text, h, b - a, clashing)
                 off = np.r_[0, np.cumsum(size)]
                 rare = rank[(h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
                 for x, y in zip(off.tolist(), off[1:].tolist(), strict=False):
@@ -277,7 +287,7 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a[m]), pa.array(b[m])], names=["a", "b"])
 
 
-def _sets(shingle: int, rule: k.WordRule, counts: bool):
+def _sets(shingle: int, rule: k.WordRule, counts: bool, clashing: np.ndarray):
     """Sets of the wanted texts, or how many of their shingles each part holds."""
 
     def value(h: np.ndarray) -> bytes:
@@ -287,7 +297,7 @@ def _sets(shingle: int, rule: k.WordRule, counts: bool):
         for batch in batches:
             for a, b in k.slices(batch.column(1)):
                 text, h = k.shingle_sets(k.words(batch.column(1).slice(a, b - a), rule), shingle)
-                size, ids = _set_ids(text, h, b - a)
+                size, ids, _ = _set_ids(text, h, b - a, clashing)
                 off = np.r_[0, np.cumsum(size)]
                 # A row is wanted for its own set: where an id has several texts, the others are left out.
                 want = batch.column(0).slice(a, b - a).to_numpy()
@@ -297,57 +307,80 @@ def _sets(shingle: int, rule: k.WordRule, counts: bool):
     return run
 
 
+class _Sets:
+    """What every pass over the texts shares: the rows, how sets are made and named, and one text of each class."""
+
+    def __init__(self, rows: DataFrame, shingle: int, rule: k.WordRule):
+        self.rows, self.shingle, self.rule = rows, shingle, rule
+        described = Table(rows.mapInArrow(_describe(shingle, rule), "n long, sid long, more long, doc long, slots binary"), "described")
+        clash = described.df.filter("n > 0").groupBy("sid").agg(F.min("more").alias("a"), F.max("more").alias("b")).filter("a <> b").select("sid").collect()
+        self.clashing = np.array(sorted(r.sid for r in clash), np.int64)  # of n classes, n * n / 2**65 are to be expected
+        sid = F.when(F.col("sid").isin(self.clashing.tolist()), F.col("more")).otherwise(F.col("sid")) if clash else F.col("sid")
+        self.described = described
+        self.named = described.df.filter("n >= 0").select("n", sid.alias("sid"), "doc")
+        self.classes = Table(self.named.filter("n > 0").groupBy("sid").agg(F.min("doc").alias("doc")), "classes")
+
+    def linked(self, pairs: Table) -> Table:
+        """The pairs that link.  Counts by part (a kilobyte a set) leave out most pairs that do not; sets travel for the rest."""
+        with scratch():
+            likely = Table(self._with_sets(pairs, counts=True).mapInArrow(_possible, "a long, b long"), "likely")
+            return Table(self._with_sets(likely, counts=False).mapInArrow(_verify, "u long, v long"), "links").keep()
+
+    def _with_sets(self, pairs: Table, counts: bool) -> DataFrame:
+        """``a``, ``b`` and their sets, made again from one text of each class.  Rows of repeated ids repeat pairs, which does no harm."""
+        wanted = pairs.df.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(self.classes.df, "sid").select("sid", "doc")
+        wanted = Table(wanted, "wanted")
+        texts = self.rows.join(wanted.side().withColumnRenamed("doc", "own"), F.col("doc").eqNullSafe(F.col("own"))).select("sid", "text")
+        sets = Table(texts.mapInArrow(_sets(self.shingle, self.rule, counts, self.clashing), "sid long, set binary"), "sets")
+        x, y = (sets.df.select(F.col("sid").alias(c), F.col("set").alias(f"{c}_set")) for c in "ab")
+        return pairs.df.hint("merge").join(x, "a").join(y, "b").select("a", "b", "a_set", "b_set")
+
+
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, rule: k.WordRule = k.SPACED_LOWER) -> DataFrame:
-    """For each row of ``docs``: ``id``, ``sid`` (its set's digest; null if empty), ``root`` (the group's smallest digest), ``n_shingles``, ``component_id`` (smallest id of its group)."""
+    """For each row of ``docs``: ``id``, ``sid`` (its set's name; null if empty), ``root`` (the group's smallest name), ``n_shingles``, ``component_id`` (smallest id of its group)."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    described = Table(rows.mapInArrow(_describe(shingle, rule), "n long, sid long, doc long, slots binary"), "described")
-    classes = Table(described.df.filter("n > 0").groupBy("sid").agg(F.min("doc").alias("doc")), "classes")
-    rank = spark.sparkContext.broadcast(_rarity(described))
-    buckets = BUCKETS_A_PARTITION * shuffle_partitions(spark)
-    sent = rows.filter(F.length("text") > 0).mapInArrow(_postings(shingle, rule, rank, buckets), "bucket long, token long, sid long, n long, pos long, blob array<binary>")
+    rows = docs.select(integral(docs, id_col).alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    with scratch():
+        sets = _Sets(rows, shingle, rule if rule.key else k.keyed(rule))
+        links = _links(spark, sets)
+        last = components(links.df)
+        named = sets.classes.df.join(last.side(), F.col("sid") == F.col("node"), "left").select("sid", "doc", F.coalesce("root", "sid").alias("root"))
+        least = Table(named.groupBy("root").agg(F.min("doc").alias("component_id"), F.count("*").alias("many")).filter("many > 1").drop("many"), "least")
+        groups = Table(named.join(least.side(), "root", "left").select("sid", "root", F.coalesce("component_id", "doc").alias("component_id")), "groups").keep()
+        sets.described.keep()
+    out = sets.named.select(F.col("doc").alias("id"), F.when(F.col("n") > 0, F.col("sid")).alias("sid"), F.col("n").alias("n_shingles"))
+    return out.join(groups.side(), "sid", "left").select("id", "sid", "root", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+
+
+def _links(spark: SparkSession, sets: _Sets) -> Table:
+    """Verified pairs of classes that connect all that link."""
+    rank = spark.sparkContext.broadcast(_rarity(sets.described))
+    total = sets.named.agg(F.sum(F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1)).first()[0] or 0
+    buckets = max(BUCKETS_A_PARTITION * shuffle_partitions(spark), -(-total * _POSTING_BYTES // BUCKET_BYTES))
+    sent = sets.rows.filter(F.length("text") > 0).mapInArrow(_postings(sets.shingle, sets.rule, rank, buckets, sets.clashing), "bucket long, token long, sid long, n long, pos long, blob array<binary>")
     posts = Table(sent.groupBy("bucket").applyInArrow(_shared_only, "token long, sid long, n long, pos long"), "postings")
+    rank.unpersist()
 
     hubs = Table(posts.df.groupBy("token").agg(F.min(F.struct("pos", "sid", "n")).alias("hub"), F.count("*").alias("many")).filter("many > 1").select("token", "hub.*"), "hubs")
-    star = Table(_pairs(posts.df.alias("a").join(hubs.df.alias("b"), "token").filter(f"a.sid != b.sid and {DEN} * least(a.n, b.n) >= {NUM} * greatest(a.n, b.n)")), "pairs")
-    links = Table(_checked(star, rows, classes, shingle, rule), "links")
+    lengths = f"a.sid != b.sid and {DEN} * least(a.n, b.n) >= {NUM} * greatest(a.n, b.n)"
+    places = f"{NUM + DEN} * (least(a.pos, b.pos) + least(a.n - a.pos, b.n - b.pos)) >= {NUM} * (a.n + b.n)"
+    star = Table(_pairs(posts.df.alias("a").join(hubs.df.alias("b"), "token").filter(f"{lengths} and {places}")), "pairs")
+    links = sets.linked(star)
     first = components(links.df)
 
     # Where a list holds several components still: its members outside the main one, against all of other components.
     label = posts.df.join(first.side().select(F.col("node").alias("sid"), "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     label = Table(label, "labelled")
+    posts.drop()
     split = label.df.groupBy("token", "root").agg(F.count("*").alias("many")).groupBy("token").agg(F.max(F.struct("many", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
     split = Table(split.select("token", F.col("main.root").alias("main")), "split")
     left = Table(label.df.join(split.side(), "token"), "left")
+    label.drop()
     cross = _across(left, 4 * shuffle_partitions(spark))
     rest = Table(cross.distinct().join(star.df, ["a", "b"], "left_anti"), "pairs")
-    more = Table(_checked(rest, rows, classes, shingle, rule), "links")
-    last = components(links.df.union(more.df))
-
-    named = classes.df.join(last.side(), F.col("sid") == F.col("node"), "left").select("sid", "doc", F.coalesce("root", "sid").alias("root"))
-    least = Table(named.groupBy("root").agg(F.min("doc").alias("component_id"), F.count("*").alias("many")).filter("many > 1").drop("many"), "least")
-    groups = named.join(least.side(), "root", "left").select("sid", "root", F.coalesce("component_id", "doc").alias("component_id"))
-    groups = Table(groups, "groups")
-    for t in (classes, posts, hubs, star, links, first, label, split, left, rest, more, last, least):
-        t.drop()
-    out = described.df.filter("n >= 0").select(F.col("doc").alias("id"), F.when(F.col("n") > 0, F.col("sid")).alias("sid"), F.col("n").alias("n_shingles"))
-    return out.join(groups.side(), "sid", "left").select("id", "sid", "root", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
-
-
-def _checked(pairs: Table, rows: DataFrame, classes: Table, shingle: int, rule: k.WordRule) -> DataFrame:
-    """The pairs that link.  Counts by part (a kilobyte a set) leave out most pairs that do not; sets travel for the rest."""
-    likely = Table(_with_sets(pairs, rows, classes, shingle, rule, counts=True).mapInArrow(_possible, "a long, b long"), "likely")
-    return _with_sets(likely, rows, classes, shingle, rule, counts=False).mapInArrow(_verify, "u long, v long")
-
-
-def _with_sets(pairs: Table, rows: DataFrame, classes: Table, shingle: int, rule: k.WordRule, counts: bool) -> DataFrame:
-    """``a``, ``b`` and their sets, made again from one text of each class.  Rows of repeated ids repeat pairs, which does no harm."""
-    wanted = pairs.df.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(classes.df, "sid").select("sid", "doc")
-    wanted = Table(wanted, "wanted")
-    texts = rows.join(wanted.side().withColumnRenamed("doc", "own"), F.col("doc").eqNullSafe(F.col("own"))).select("sid", "text")
-    sets = Table(texts.mapInArrow(_sets(shingle, rule, counts), "sid long, set binary"), "sets")
-    x, y = (sets.df.select(F.col("sid").alias(c), F.col("set").alias(f"{c}_set")) for c in "ab")
-    return pairs.df.hint("merge").join(x, "a").join(y, "b").select("a", "b", "a_set", "b_set")
+    more = sets.linked(rest)
+    # What the first round has found enters as its forest, which is shorter than its links.
+    return Table(first.df.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more.df), "links")
 
 
 def _add_sid(at: int, shingle: int, rule: k.WordRule):
@@ -355,8 +388,8 @@ def _add_sid(at: int, shingle: int, rule: k.WordRule):
         for batch in batches:
             for a, b in k.slices(batch.column(at)):
                 part = batch.slice(a, b - a)
-                size, ids = _set_ids(*k.shingle_sets(k.words(part.column(at), rule), shingle), b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, mask=size == 0)], names=[*part.schema.names, "__docloom_sid"])
+                size, ids, more = _set_ids(*k.shingle_sets(k.words(part.column(at), rule), shingle), b - a)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, mask=size == 0), pa.array(more, mask=size == 0)], names=[*part.schema.names, "__docloom_sid", "__docloom_more"])
 
     return run
 
@@ -364,21 +397,28 @@ def _add_sid(at: int, shingle: int, rule: k.WordRule):
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, rule: k.WordRule = k.SPACED_LOWER) -> DataFrame:
     """``docs`` without near copies: of each group the document whose id names it stays; documents with empty sets all stay.
 
-    Ids that several rows share are settled by set: of the rows with the group's id and its smallest set, one stays.
+    Of rows that share the group's id, the one whose text sorts first stays.
     """
+    rule = rule if rule.key else k.keyed(rule)
+    key = integral(docs, id_col)
     groups = Table(near_duplicate_groups(docs, id_col, text_col, shingle, rule), "groups")
-    stay = Table(groups.df.filter(F.col("sid").isNull() | F.col("id").eqNullSafe(F.col("component_id"))).groupBy(F.col("id").alias("__docloom_id"), "root").agg(F.min("sid").alias("sid")), "stay")
+    stay = Table(groups.df.filter(F.col("sid").isNull() | F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__docloom_id"), F.col("sid").alias("__docloom_own"), F.col("root").alias("__docloom_root")).distinct(), "stay")
     several = Table(groups.df.groupBy(F.col("id").alias("__docloom_id")).agg(F.count("*").alias("many")).filter("many > 1").select("__docloom_id"), "several")
-    key = F.col(id_col).cast("long").eqNullSafe(F.col("__docloom_id"))
-    one = docs.join(stay.side().select("__docloom_id"), key, "left_semi")
     groups.drop()
+    same = key.eqNullSafe(F.col("__docloom_id"))
+    one = docs.join(_ids_of(stay).side(), same, "left_semi")
     if several.df.isEmpty():
         return one
-    rest = one.join(several.side(), key, "left_semi")
-    named = rest.mapInArrow(_add_sid(docs.columns.index(text_col), shingle, rule), extended(docs, docs.columns, __docloom_sid=T.LongType()))
-    right = stay.df.select("__docloom_id", F.col("sid").alias("__docloom_own"))
-    kept = named.join(right, F.col(id_col).cast("long").eqNullSafe(F.col("__docloom_id")) & F.col("__docloom_sid").eqNullSafe(F.col("__docloom_own")), "left_semi")
-    # Repeats of one id and set differ in nothing that the join looks at; rows without words are kept each.
-    first = Window.partitionBy(id_col, "__docloom_sid").orderBy(F.col(text_col).asc_nulls_last())
-    kept = kept.withColumn("__docloom_n", F.row_number().over(first)).filter("__docloom_n = 1 or __docloom_sid is null").drop("__docloom_n", "__docloom_sid")
-    return one.join(several.side(), key, "left_anti").unionByName(kept)
+    rest = one.join(several.side(), same, "left_semi")
+    named = rest.mapInArrow(_add_sid(docs.columns.index(text_col), shingle, rule), extended(docs, docs.columns, __docloom_sid=T.LongType(), __docloom_more=T.LongType()))
+    mine = F.col("__docloom_own").eqNullSafe(F.col("__docloom_sid")) | F.col("__docloom_own").eqNullSafe(F.col("__docloom_more"))
+    kept = named.join(stay.df, same & mine)
+    # Of the rows of an id and group one is kept; rows without words are kept each.
+    first = Window.partitionBy("__docloom_id", "__docloom_root").orderBy(F.col(f"`{text_col}`").asc_nulls_last())
+    kept = kept.withColumn("__docloom_n", F.row_number().over(first)).filter("__docloom_n = 1 or __docloom_sid is null").select(*[f"`{c}`" for c in docs.columns])
+    return one.join(several.side(), same, "left_anti").unionByName(kept)
+
+
+def _ids_of(stay: Table) -> Table:
+    ids = Table(stay.df.select("__docloom_id").distinct(), "stay_ids")
+    return ids

@@ -1,9 +1,14 @@
 """Vectorised text kernels shared by the corpus operators.
 
 Every kernel works on the raw UTF-8 buffer of an Arrow string column: words
-are found by a byte class, hashed with prefix sums of a polynomial modulo
-2**64, and n-grams are Rabin-Karp hashes over those word hashes.  Nothing is
-done per row in Python, so a pass over text costs a few nanoseconds a byte.
+are found by a byte class and hashed eight bytes at a time, and n-grams are
+Rabin-Karp hashes (polynomials modulo 2**64 over word hashes).  Nothing is done
+per row in Python, so a pass over text costs a few nanoseconds a byte.
+
+Words are hashed in a chain of keyed mixing steps, not by a polynomial, so no two
+words collide by their form; the key, drawn anew for each call of an operator
+(``keyed``), keeps anyone from making up words that do.  Polynomials run over
+such hashes only, and over fewer terms than the modulus has structure for (1,024).
 
 Nulls count as empty texts.  Memory follows the slice of text handed in; use
 ``slices`` to cut a batch into pieces of bounded size (a single longer text
@@ -12,6 +17,8 @@ is a piece of its own).
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -22,8 +29,9 @@ import pyarrow as pa
 SLICE_BYTES = 1_000_000
 
 _U = np.uint64
-_WORD_BASE = 0x9E3779B97F4A7C55
-_GRAM_BASE = 0xC2B2AE3D27D4EB4D
+_GRAM_BASES = (0xC2B2AE3D27D4EB4D, 0x9E3779B97F4A7C15)
+#: Words of more bytes than this are hashed one by one, by BLAKE2.
+_CHAIN_BYTES = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -36,9 +44,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-#: One random 64-bit value for each byte, from a counter and ``mix``.
-_BYTE = mix((np.arange(1, 257, dtype=np.uint64)) * _U(0x9E3779B97F4A7C15))
-
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -59,10 +64,16 @@ def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordRule(NamedTuple):
-    """Which bytes belong to words, and what each byte is folded to."""
+    """Which bytes belong to words, what each byte is folded to, and the key of the hashes."""
 
     is_word: np.ndarray
     fold: np.ndarray
+    key: int = 0
+
+
+def keyed(rule: WordRule) -> WordRule:
+    """``rule`` with a key of its own; all passes that compare hashes with each other use one."""
+    return rule._replace(key=int.from_bytes(os.urandom(8), "little"))
 
 
 def word_rule(separators: str, lower: bool) -> WordRule:
@@ -115,7 +126,7 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
 
 
 class Words(NamedTuple):
-    """All words of a slice, in order: the text each is in, its bytes, its hash; ``first``: of each text, and the end."""
+    """All words of a slice, in order: the text each is in, its bytes, its hash; ``first``: of each text, and the end.  ``data`` is folded."""
 
     text: np.ndarray
     start: np.ndarray
@@ -125,6 +136,53 @@ class Words(NamedTuple):
     data: np.ndarray
 
 
+_LOW = np.array([(1 << (8 * i)) - 1 for i in range(8)] + [2**64 - 1], np.uint64)
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes that begin at each place, as one number; zeros follow the end."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, key: int) -> np.ndarray:
+    """A keyed hash of each word, eight bytes a step; equal bytes get equal hashes under one key."""
+    size = end - start
+    at8 = eights(data)
+    k1, k2 = mix(np.array([key, key ^ 0xD6E8FEB86659FD93], np.uint64) + _U(0x9E3779B97F4A7C15))
+    k2 |= _U(1)
+    h = mix((at8[start] & _LOW[np.minimum(size, 8)]) ^ k1)
+    live = np.flatnonzero((size > 8) & (size <= _CHAIN_BYTES))
+    done = 8
+    while len(live):
+        rest = size[live] - done
+        x = at8[start[live] + done] & _LOW[np.minimum(rest, 8)]
+        h[live] = mix((h[live] * k2) ^ mix(x + k1))
+        live = live[rest > 8]
+        done += 8
+    for i in np.flatnonzero(size > _CHAIN_BYTES).tolist():
+        raw = hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8, key=key.to_bytes(8, "little")).digest()
+        h[i] = int.from_bytes(raw, "little")
+    return mix(h ^ (size.astype(np.uint64) * k2))
+
+
+def same_words(a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_start: np.ndarray, b_end: np.ndarray) -> np.ndarray:
+    """Whether pairs of words of two folded buffers hold the same bytes."""
+    size = a_end - a_start
+    same = size == b_end - b_start
+    x8, y8 = eights(a), eights(b)
+    live, done = np.flatnonzero(same), 0
+    while len(live):
+        rest = size[live] - done
+        low = _LOW[np.minimum(rest, 8)]
+        ok = (x8[a_start[live] + done] & low) == (y8[b_start[live] + done] & low)
+        same[live[~ok]] = False
+        live = live[ok & (rest > 8)]
+        done += 8
+    return same
+
+
 def words(column: pa.Array, rule: WordRule) -> Words:
     data, off = text_buffer(column)
     n = len(off) - 1
@@ -140,21 +198,18 @@ def words(column: pa.Array, rule: WordRule) -> Words:
     ends[:-1] &= ~inside[1:] | edge[1:-1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     folded = rule.fold[data]
-    power, inverse = _power_tables(_WORD_BASE, len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[folded] * power[: len(data)], out=total[1:])
-    hashes = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+    hashes = word_hashes(folded, start, end, rule.key)
     text = np.searchsorted(off, start, side="right") - 1
     first = np.searchsorted(text, np.arange(n + 1))
     return Words(text, start, end, hashes, first, folded)
 
 
-def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Rabin-Karp hashes of all runs of n hashes; runs across texts are for the caller to leave out."""
+def gram_hashes(hashes: np.ndarray, n: int, second: bool = False) -> np.ndarray:
+    """Rabin-Karp hashes of all runs of n hashes, to one base or another; runs across texts are for the caller to leave out."""
     m = len(hashes)
     if m < n:
         return np.empty(0, np.uint64)
-    power, inverse = _power_tables(_GRAM_BASE, m)
+    power, inverse = _power_tables(_GRAM_BASES[second], m)
     total = np.zeros(m + 1, np.uint64)
     np.cumsum(hashes * power[:m], out=total[1:])
     return mix((total[n:] - total[: m - n + 1]) * inverse[: m - n + 1] + _U(n))

@@ -8,7 +8,7 @@ Plan.  One pass hashes every window of every text.  Each chunk of texts sorts
 its hashes, settles repeats inside the chunk on the spot and keeps the first
 occurrence of each hash, so a passage that a third of all documents share
 reaches the shuffle once a chunk, not once a document.  Chunks are cut into
-buckets by hash range and shuffled as packed byte planes (about nine bytes a
+buckets by hash range and shuffled as packed byte planes (about fifteen bytes a
 window).  A bucket finds, for each hash, the first occurrence in the corpus,
 and answers each chunk with the windows that are not it.  A chunk merges its
 repeated windows into maximal removal intervals of each text.  The intervals
@@ -19,9 +19,12 @@ Defined results: a null text has no words, so nothing is removed and the kept
 text is empty.  Rows that share an id count as one document: of equal windows
 the one with the smaller start is first, and at equal starts none is earlier
 than the other, so repeated rows get equal results.  A null id sorts before
-all others.  Other columns are passed through unless their name clashes with
-one that is added, which replaces them.  Two different windows are told apart by
-64 random bits: with n windows the expected number of wrong pairs is n*n/2**65.
+all others.  Ids are whole numbers; others are refused.  Other columns are passed through unless their name clashes with
+one that is added, which replaces them.
+
+Two windows are equal if 96 bits are: a Rabin-Karp hash of 64 bits and 32 bits of another,
+to a second base, over keyed hashes of words.  With n windows the expected number of wrong
+pairs is n*n/2**97, one in a thousand for the 1e13 windows of 100 TB.
 """
 
 from __future__ import annotations
@@ -37,15 +40,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.llm import kernels as k
-from docloom.llm.store import Table, extended, shuffle_partitions
+from docloom.llm.store import Table, extended, integral, shuffle_partitions
 
 WINDOW = 20
 #: Windows that a chunk holds before it is sorted and sent; bounds a task's memory.
 CHUNK_WINDOWS = 750_000
-#: Buckets of hashes for each shuffle partition.
+#: Buckets of hashes: so many for each shuffle partition, and more where one would hold more bytes than this.
 BUCKETS_A_PARTITION = 4
+BUCKET_BYTES = 64_000_000
+#: What a byte of text sends at the most, with words of three letters.
+_SENT_A_BYTE = 4
 
-_SENT = pa.schema([("bucket", pa.int64()), ("chunk", pa.binary()), ("hashes", pa.binary()), ("ids", pa.binary()), ("starts", pa.binary())])
+_SENT = pa.schema([("bucket", pa.int64()), ("chunk", pa.binary()), ("hashes", pa.binary()), ("checks", pa.binary()), ("ids", pa.binary()), ("starts", pa.binary())])
+_SENT_DDL = "bucket long, chunk binary, hashes binary, checks binary, ids binary, starts binary"
 _SPANS = pa.schema([("id", pa.int64()), ("digest", pa.binary()), ("spans", pa.list_(pa.int64()))])
 _NULL_ID = -(2**63)
 
@@ -61,6 +68,14 @@ def _intervals(starts: np.ndarray, window: int) -> np.ndarray:
     return np.stack([starts[np.r_[0, cut + 1]], starts[np.r_[cut, len(starts) - 1]] + window], axis=1).ravel()
 
 
+def _by_check(h: np.ndarray, check: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """An order by hash, stably by check too; only where equal hashes have several checks is anything sorted anew."""
+    hs, cs = h[order], check[order]
+    if not ((hs[1:] == hs[:-1]) & (cs[1:] != cs[:-1])).any():
+        return order
+    return order[np.lexsort((cs, hs))]
+
+
 class _Chunk:
     """Windows of some texts, no two of which share an id."""
 
@@ -68,26 +83,27 @@ class _Chunk:
         self.ids: list[int] = []
         self.digests: list[bytes] = []
         self.seen: set[int] = set()
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
         self.windows = 0
 
     def send(self, buckets: int) -> Iterator[pa.RecordBatch]:
         if not self.windows:
             return
         name = hashlib.md5(b"".join(self.digests) + np.array(self.ids, np.int64).tobytes()).digest()
-        h, ids, starts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        h, check, ids, starts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
         order = np.argsort(h, kind="stable") if self._sorted() else np.lexsort((starts, ids, h))
-        h, ids, starts = h[order], ids[order], starts[order]
+        order = _by_check(h, check, order)
+        h, check, ids, starts = h[order], check[order], ids[order], starts[order]
         new = np.ones(len(h), bool)
-        new[1:] = h[1:] != h[:-1]
+        new[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
         again = ~new
-        rows: list[tuple] = [(-1, name, _pack_texts(self.ids, self.digests), k.to_planes(ids[again]), k.to_planes(starts[again]))]
-        h, ids, starts = h[new], ids[new], starts[new]
+        rows: list[tuple] = [(-1, name, _pack_texts(self.ids, self.digests), b"", k.to_planes(ids[again]), k.to_planes(starts[again]))]
+        h, check, ids, starts = h[new], check[new], ids[new], starts[new]
         width = np.uint64((1 << 64) // buckets + 1)
         edge = np.searchsorted(h, np.arange(1, buckets, dtype=np.uint64) * width)
         for b, (x, y) in enumerate(zip(np.r_[0, edge], np.r_[edge, len(h)], strict=True)):
             if x < y:
-                rows.append((b, name, k.delta_planes(h[x:y]), k.to_planes(ids[x:y]), k.to_planes(starts[x:y])))
+                rows.append((b, name, k.delta_planes(h[x:y]), check[x:y].tobytes(), k.to_planes(ids[x:y]), k.to_planes(starts[x:y])))
         for at in range(0, len(rows), 256):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 256], strict=True), _SENT.types, strict=True)], schema=_SENT)
 
@@ -113,6 +129,7 @@ def _hash_windows(buckets: int, window: int, rule: k.WordRule):
                 part = batch.slice(a, b - a)
                 w = k.words(part.column(2), rule)
                 at, h = k.grams(w, window)
+                check = (k.gram_hashes(w.hash, window, second=True)[at] >> np.uint64(32)).astype("<u4")
                 text = w.text[at]
                 first = np.searchsorted(text, np.arange(len(part) + 1))
                 ids, digests = part.column(0).to_numpy(zero_copy_only=False), part.column(1).to_pylist()
@@ -139,7 +156,7 @@ def _hash_windows(buckets: int, window: int, rule: k.WordRule):
                     c.ids += ids[rs].tolist()
                     c.digests += [digests[r] for r in rs]
                     c.seen.update(ids[rs].tolist())
-                    c.parts.append((h[span], named[span], start[span]))
+                    c.parts.append((h[span], check[span], named[span], start[span]))
                     c.windows += span.stop - span.start
                 if open_chunks and open_chunks[0].windows >= CHUNK_WINDOWS:
                     for c in open_chunks:
@@ -157,16 +174,17 @@ def _find_first(key: tuple, group: pa.Table) -> pa.Table:
         return group.select(["chunk", "hashes", "ids", "starts"])  # texts and repeats of a chunk pass through
     h = [k.from_delta_planes(x.as_py()) for x in group["hashes"]]
     size = np.array([len(x) for x in h])
-    h, ids, starts = np.concatenate(h), np.concatenate([k.from_planes(x.as_py()) for x in group["ids"]]), np.concatenate([k.from_planes(x.as_py()) for x in group["starts"]])
+    h, check = np.concatenate(h), np.frombuffer(b"".join(group["checks"].to_pylist()), "<u4")
+    ids, starts = (np.concatenate([k.from_planes(x.as_py()) for x in group[c]]) for c in ("ids", "starts"))
     order = np.argsort(h)
     hs = h[order]
     same = np.zeros(len(hs) + 1, bool)
     same[1:-1] = hs[1:] == hs[:-1]
     order = order[same[1:] | same[:-1]]  # only hashes that occur more than once
-    order = order[np.lexsort((starts[order], ids[order], h[order]))]
-    hs, i, s = h[order], ids[order], starts[order]
+    order = order[np.lexsort((starts[order], ids[order], check[order], h[order]))]
+    hs, cs, i, s = h[order], check[order], ids[order], starts[order]
     head = np.ones(len(hs), bool)
-    head[1:] = hs[1:] != hs[:-1]
+    head[1:] = (hs[1:] != hs[:-1]) | (cs[1:] != cs[:-1])
     first = np.maximum.accumulate(np.where(head, np.arange(len(hs)), 0)) if len(hs) else np.empty(0, np.int64)
     later = np.sort(order[(i != i[first]) | (s != s[first])])
     owner = np.searchsorted(np.cumsum(size), later, side="right")
@@ -200,9 +218,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Texts without repeats have no row.  A null id is shown as the smallest long.
     """
-    buckets = BUCKETS_A_PARTITION * shuffle_partitions(docs.sparkSession)
-    rows = docs.select(_key(F.col(id_col)).alias("id"), _digest(F.col(text_col)).alias("digest"), F.col(text_col).alias("text")).filter(F.length("text") > 0)
-    sent = rows.mapInArrow(_hash_windows(buckets, window, rule), "bucket long, chunk binary, hashes binary, ids binary, starts binary")
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0
+    buckets = max(BUCKETS_A_PARTITION * shuffle_partitions(docs.sparkSession), -(-size * _SENT_A_BYTE // BUCKET_BYTES))
+    rows = docs.select(_key(docs, id_col).alias("id"), _digest(F.col(text_col)).alias("digest"), F.col(text_col).alias("text")).filter(F.length("text") > 0)
+    sent = rows.mapInArrow(_hash_windows(buckets, window, rule if rule.key else k.keyed(rule)), _SENT_DDL)
     # The texts of a chunk pass the first exchange as well; a key of their own each keeps them apart.
     dealt = sent.withColumn("bucket", F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("chunk"), F.lit(buckets))).otherwise(F.col("bucket")))
     answers = dealt.groupBy("bucket").applyInArrow(_find_first, "chunk binary, hashes binary, ids binary, starts binary")
@@ -210,8 +229,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return spans
 
 
-def _key(c: Column) -> Column:
-    return F.coalesce(c.cast("long"), F.lit(_NULL_ID).cast("long"))
+def _key(docs: DataFrame, id_col: str) -> Column:
+    return F.coalesce(integral(docs, id_col), F.lit(_NULL_ID).cast("long"))
 
 
 def _digest(c: Column) -> Column:
@@ -271,7 +290,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = Table(repeated_spans(docs, id_col, text_col, window, rule).dropDuplicates(["id", "digest"]), "spans")
     added = {"n_words", "n_removed", "kept_text"}
     keep = [c for c in docs.columns if c not in added]
-    left = docs.select(*[F.col(f"`{c}`") for c in keep], _key(F.col(id_col)).alias("__docloom_id"), _digest(F.col(text_col)).alias("__docloom_digest"), F.col(text_col).alias("__docloom_text"))
+    left = docs.select(*[F.col(f"`{c}`") for c in keep], _key(docs, id_col).alias("__docloom_id"), _digest(F.col(text_col)).alias("__docloom_digest"), F.col(text_col).alias("__docloom_text"))
     right = spans.side().select(F.col("id").alias("__docloom_id"), F.col("digest").alias("__docloom_digest"), F.col("spans").alias("__docloom_spans"))
     joined = left.join(right, ["__docloom_id", "__docloom_digest"], "left").select(*[F.col(f"`{c}`") for c in keep], "__docloom_text", "__docloom_spans")
     schema = extended(docs, keep, n_words=T.LongType(), n_removed=T.LongType(), kept_text=T.StringType())

@@ -4,19 +4,22 @@ For each language a suffix automaton is built over a bounded sample of labelled
 text.  A text is parsed greedily into the longest phrases that occur in the
 sample; the language that needs the fewest phrases a symbol wins.
 
-Automata are made on the driver from at most ``SAMPLE_DOCS`` texts of at most
-``SAMPLE_BYTES`` bytes of each language, taken in order of a hash of their ids.
-They become transition tables in which a missing transition starts a new phrase,
-so one gather advances every text of a batch by one symbol for all languages at
-once.  The parse of a text longer than ``SEGMENT`` symbols starts anew at each
-multiple of it, which adds at most one phrase a segment and lets long texts run
-in parallel; every symbol of every text is parsed.
+Automata are made on the driver from at most ``SAMPLE_DOCS`` texts of each
+language, taken in order of a hash of their ids: whole texts, or of one with more than
+``SAMPLE_CHARS`` characters ``SPANS`` spans from its beginning to its end.
+Their rows of transitions are laid over each other in one array, so its size follows the sample
+and not the alphabet; a missing transition starts a new phrase.  Texts advance in lockstep, one symbol at a time for
+all languages of a block (``LANGUAGES``).
+
+A long text is parsed in segments side by side, each as if a phrase began there, and put together exactly: the
+parse of one segment goes on into the next until both begin a phrase at one symbol, from where they agree.
+A text where that does not happen within a segment is parsed in one piece.
 
 Symbols: ASCII letters in lower case, every byte of other characters, and one
 symbol for a run of anything else.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
-so is every text if no language was learned.  Ties go to the language that sorts
+so is every text if no language was learned (``drop_unknown`` then goes by letters alone).  Ties go to the language that sorts
 first.  Repeated rows get equal results.  Columns that clash with ``lang_pred``,
 ``score`` or ``phrases_a_symbol`` are replaced.
 """
@@ -35,11 +38,13 @@ from pyspark.sql import types as T
 from docloom.llm import kernels as k
 from docloom.llm.store import extended, put_back, set_aside
 
-#: Labelled texts of each language that are learned from, and bytes of each.
+#: Labelled texts of each language that are learned from, characters of each, and in how many spans.
 SAMPLE_DOCS = 24
-SAMPLE_BYTES = 1_500
+SAMPLE_CHARS = 1_500
+SPANS = 3
+#: Symbols that are parsed side by side with others, and languages at a time; neither changes a result.
 SEGMENT = 2_048
-_NEW = np.uint32(1 << 31)
+LANGUAGES = 8
 
 _FOLD = np.zeros(256, np.uint8)
 _FOLD[:] = 0x20
@@ -88,8 +93,47 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
     return step
 
 
+class _Transitions:
+    """Rows of transitions laid over each other in one array: a state is the place where its row begins, and a cell that it finds
+    there is its own if it says so.  The array follows the number of transitions, not that of states by symbols."""
+
+    def __init__(self, rows: list[dict[int, int]], width: int):
+        """``rows``: for each state the state that each symbol's code leads to."""
+        many = np.array([len(r) for r in rows], np.int64)
+        codes = np.fromiter((c for r in rows for c in r), np.int64)
+        to = np.fromiter((x for r in rows for x in r.values()), np.int64)
+        first = np.cumsum(many) - many
+        size = 2 * len(codes) + 4 * width + len(rows)
+        owner = np.full(size + width, -1, np.int64)
+        who = np.full(size, -1, np.int64)  # the state that begins at a place
+        base = np.zeros(len(rows), np.int64)
+        rng = np.random.default_rng(0)
+        for n in np.unique(many)[::-1]:  # long rows first, while there is room
+            todo = np.flatnonzero(many == n)
+            mine = codes[first[todo][:, None] + np.arange(n)] if n else np.empty((len(todo), 0), np.int64)
+            while len(todo):
+                place = rng.integers(0, size, len(todo))
+                cells = place[:, None] + mine
+                ok = np.flatnonzero((owner[cells] < 0).all(axis=1) & (who[place] < 0))
+                owner[cells[ok]] = todo[ok][:, None]
+                who[place[ok]] = todo[ok]
+                won = (owner[cells[ok]] == todo[ok][:, None]).all(axis=1) & (who[place[ok]] == todo[ok])
+                lost = ok[~won]
+                gone = cells[lost]
+                owner[gone[owner[gone] == todo[lost][:, None]]] = -1
+                who[place[lost][who[place[lost]] == todo[lost]]] = -1
+                base[todo[ok[won]]] = place[ok[won]]
+                rest = np.ones(len(todo), bool)
+                rest[ok[won]] = False
+                todo, mine = todo[rest], mine[rest]
+        self.base = base
+        self.begin = size  # a row of its own without a cell
+        self.cells = np.full(size + width, -1, np.int64)
+        self.cells[np.repeat(base, many) + codes] = (np.repeat(base, many) << 32) | base[to]
+
+
 class Model:
-    """Transition tables of all languages in one array: state * width + symbol gives the next state, and whether a phrase began."""
+    """Automata of all languages: transitions from a state by a symbol, and where each symbol leads that begins a phrase."""
 
     def __init__(self, samples: dict[str, list[bytes]]):
         self.languages = sorted(samples)
@@ -101,58 +145,98 @@ class Model:
                 parts.append(s.tobytes())
             joined[name] = b" ".join(parts)
         used = sorted({c for x in joined.values() for c in x})
-        self.code = np.zeros(256, np.uint32)  # 0: in no sample
+        self.code = np.zeros(256, np.int64)  # 0: in no sample
         self.code[used] = np.arange(1, len(used) + 1)
         self.width = len(used) + 1
-        tables, self.root, base = [], [], 0
-        for name in self.languages:
-            step = suffix_automaton(joined[name])
-            root = np.full(self.width, base, np.uint32) | _NEW
-            for c, to in step[0].items():
-                root[self.code[c]] = np.uint32(base + to) | _NEW
-            table = np.tile(root, (len(step), 1))
-            for state, row in enumerate(step):
-                if row:
-                    table[state, self.code[list(row)]] = np.array(list(row.values()), np.uint32) + np.uint32(base)
-            table[0] = root  # every phrase that begins here is a new one
-            tables.append(table)
-            self.root.append(base)
-            base += len(step)
-        self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.uint32)
+        self.moves, self.root = [], []  # of each block of languages
+        for first in range(0, len(self.languages), LANGUAGES):
+            rows, begins = [], []
+            for name in self.languages[first : first + LANGUAGES]:
+                step, base = suffix_automaton(joined[name]), len(rows)
+                rows += [{int(self.code[c]): to + base for c, to in row.items()} for row in step]
+                begins.append(base)
+            moves = _Transitions(rows, self.width)
+            root = np.full((len(begins), self.width), moves.begin, np.int64)
+            for i, base in enumerate(begins):
+                for c, to in rows[base].items():
+                    root[i, c] = moves.base[to]
+            self.moves.append(moves)
+            self.root.append(root.ravel())
+
+    def _step(self, block: int, language: np.ndarray, state: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and where a phrase began.  ``language``: of the block, times the width."""
+        cell = self.moves[block].cells.take(state + code)
+        known = (cell >> 32) == state
+        return np.where(known, cell & 0xFFFFFFFF, self.root[block].take(language + code)), ~known
 
     def phrases(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of each text, and for each text and language the phrases that its parse needs."""
         s, off = symbols(column)
+        code = self.code[s]
+        parts = [self._block(block, code, off) for block in range(len(self.moves))]
+        return np.diff(off), np.concatenate(parts, axis=1) if parts else np.zeros((len(off) - 1, 0), np.int64)
+
+    def _parse(self, block: int, code: np.ndarray, start: np.ndarray, length: np.ndarray, begun: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases and last states of pieces, each parsed from the beginning; ``begun`` is told at which symbols phrases begin."""
+        order = np.argsort(-length, kind="stable")
+        start, length = start[order], length[order]
+        language = (np.arange(len(self.root[block]) // self.width) * self.width)[:, None]
+        count = np.zeros((len(language), len(start)), np.int64)
+        state = np.full((len(language), len(start)), self.moves[block].begin, np.int64)
+        longest = int(length[0]) if len(length) else 0
+        still = np.searchsorted(-length, -np.arange(longest))  # pieces that are longer than t
+        for t, live in enumerate(still.tolist()):
+            at = start[:live] + t
+            state[:, :live], new = self._step(block, language, state[:, :live], code.take(at))
+            count[:, :live] += new
+            if begun is not None:
+                begun[:, at] = new
+        back = np.argsort(order)
+        return count[:, back], state[:, back]
+
+    def _block(self, block: int, code: np.ndarray, off: np.ndarray) -> np.ndarray:
         size = np.diff(off)
-        n, langs = len(size), len(self.languages)
+        n, langs = len(size), len(self.root[block]) // self.width
         pieces = -(-size // SEGMENT)
         text = np.repeat(np.arange(n), pieces)
         number = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         start = off[text] + number * SEGMENT
         length = np.minimum(SEGMENT, off[text + 1] - start)
-        order = np.argsort(-length, kind="stable")
-        text, start, length = text[order], start[order], length[order]
-        code = self.code[s]
-        count = np.zeros((langs, len(text)), np.int64)
-        state = np.repeat(np.array(self.root, np.uint32)[:, None], len(text), axis=1)
-        width = np.uint32(self.width)
-        for t in range(int(length[0]) if len(length) else 0):
-            live = int(np.searchsorted(-length, -t))  # segments that are longer than t
-            if live == 0:
-                break
-            to = self.table[state[:, :live] * width + code[start[:live] + t]]
-            count[:, :live] += to >> np.uint32(31)
-            state[:, :live] = to & ~_NEW
+        begun = np.zeros((langs, len(code)), bool) if (pieces > 1).any() else None
+        count, state = self._parse(block, code, start, length, begun)
         out = np.zeros((n, langs), np.int64)
         np.add.at(out, text, count.T)
-        return size, out
+        if begun is None:
+            return out
+        # Where a segment's true parse, which comes from the one before, differs from its own until they meet.
+        later = np.flatnonzero(number > 0)
+        row, piece = (x.ravel() for x in np.meshgrid(np.arange(langs), later, indexing="ij"))
+        now = state[row, piece - 1]
+        apart = np.zeros(n, bool)
+        for t in range(SEGMENT + 1):
+            over = t >= length[piece]
+            if over.any():  # not met in this segment, which is no matter at a text's end
+                apart[text[piece[over & (number[piece] + 1 < pieces[text[piece]])]]] = True
+                row, piece, now = row[~over], piece[~over], now[~over]
+            if not len(row):
+                break
+            at = start[piece] + t
+            now, new = self._step(block, row * self.width, now, code[at])
+            own = begun[row, at]
+            go = ~(new & own)
+            np.add.at(out, (text[piece[go]], row[go]), new[go].astype(np.int64) - own[go])
+            row, piece, now = row[go], piece[go], now[go]
+        whole = np.flatnonzero(apart)
+        if len(whole):
+            out[whole] = self._parse(block, code, off[whole], size[whole])[0].T
+        return out
 
 
 def _predict(shared, text_at: int, keep: list[int], names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         for batch in batches:
-            for a, b in k.slices(batch.column(text_at), 8 * k.SLICE_BYTES):
+            for a, b in k.slices(batch.column(text_at), 4 * k.SLICE_BYTES):
                 here = batch.slice(a, b - a)
                 texts = here.column(text_at)
                 lettered = pc.fill_null(pc.match_substring_regex(texts, r"\pL"), False).to_numpy(zero_copy_only=False)
@@ -175,9 +259,13 @@ def _predict(shared, text_at: int, keep: list[int], names: list[str]):
     return run
 
 
-def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES) -> Model:
-    """A model of a bounded sample: of each language the ``docs`` texts whose ids hash lowest, ``size`` characters of each."""
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.substring(F.col(text_col), 1, size).alias("text"), F.xxhash64(F.col(id_col)).alias("h")).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs: int = SAMPLE_DOCS, size: int = SAMPLE_CHARS) -> Model:
+    """A model of a bounded sample: of each language the ``docs`` texts whose ids hash lowest, ``size`` characters of each, from all over it."""
+    text, part = F.col(f"`{text_col}`"), size // SPANS
+    gap = (F.char_length(text) - part) / max(1, SPANS - 1)
+    spans = F.concat_ws(" ", *[F.substring(text, F.floor(gap * i).cast("int") + 1, F.lit(part)) for i in range(SPANS)])
+    sampled = F.when(F.char_length(text) <= size, text).otherwise(spans)
+    rows = labelled.select(F.col(f"`{lang_col}`").alias("lang"), sampled.alias("text"), F.xxhash64(F.col(f"`{id_col}`")).alias("h")).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     first = Window.partitionBy("lang").orderBy("h", "text")
     sample = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= docs).collect()
     samples: dict[str, list[bytes]] = {}
@@ -204,8 +292,13 @@ def fold_of(id_col: Column, folds: int = 4) -> Column:
 
 
 def drop_unknown(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_out: int = 2) -> DataFrame:
-    """``docs`` without texts that have no language: those that ``identify`` calls ``und``, which have no letter."""
-    fold = fold_of(F.col(id_col), folds)
+    """``docs`` without texts that have no language: those that ``identify`` calls ``und`` for want of a letter, nulls and empty ones too.
+
+    Nothing else goes: without any labelled row, texts with a letter all stay.
+    """
+    fold = fold_of(F.col(f"`{id_col}`"), folds)
     model = learn(docs.filter(F.coalesce(fold, F.lit(0)) != held_out), id_col, text_col, lang_col)
+    if not model.languages:
+        return docs.filter(F.col(f"`{text_col}`").rlike(r"\p{L}"))
     found = identify(set_aside(docs, ADDED), model, text_col)
     return put_back(found.filter(F.col("lang_pred") != "und"), docs.columns, ADDED)

@@ -1,6 +1,11 @@
 """A training-corpus pipeline: language ID, near duplicates, decontamination, surrogates, packing.
 
-Every stage but the last returns the columns of documents; each works on all that the one before kept.
+Every stage but the last returns the columns of documents, whatever they are; each works on all that the one before kept.
+
+Defined results, for each stage: an empty table stays empty.  Repeated rows are judged alike, but of equal ones near_duplicates
+keeps one.  Texts of any length are read whole.  Null and empty texts, and those without a letter, go in language_id, and only there;
+the other stages keep them, and packing makes a piece of each.  Without any label, language_id drops only those.  Columns of
+other names, those that an operator adds among them, pass through as they are; ``n_chars`` follows the text where there is one.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm import decontam, jaccard_join, langid, packing, pii
 from docloom.llm.queries import PII_KEY, table, tokenizer
-from docloom.llm.store import Table
+from docloom.llm.store import Table, put_back, scratch, set_aside
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +36,11 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data become surrogates; n_chars follows the text."""
-    return pii.replace_private(docs, PII_KEY).drop("n_entities").withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Personal data become surrogates; n_chars, if there is one, follows the text."""
+    made = put_back(pii.replace_private(set_aside(docs, ("n_entities",)), PII_KEY), docs.columns, ("n_entities",))
+    if "n_chars" not in docs.columns:
+        return made
+    return made.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +61,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = Table(stage(spark, docs, sf_dir), name).df
+        with scratch():  # what a stage writes besides its result goes with it
+            made = Table(stage(spark, docs, sf_dir), name).keep()
+        if last is not None:
+            last.drop()
+        docs, last = made.df, made
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,12 +1,13 @@
 """Surrogates for personal data: keyed, type-consistent, distinct and the same at every mention.
 
-Detected kinds: email, phone, IPv4, payment card (Luhn), US social security
-number, IBAN (mod 97), access keys, assigned secrets, and names after titles, with initials.
+Detected kinds: email, phone, IPv4, IPv6, payment card (Luhn), US social security
+number, IBAN (country's length and mod 97), access keys, assigned secrets, and names after titles, with initials.
 A mention has a canonical value (digits only, lower case, ...); the surrogate is
 drawn from HMAC-SHA256 of key, kind, canonical value and attempt, and written
 in the mention's own format.  Cards keep scheme, length and a right check digit,
-IBANs their country and check, hexadecimal secrets stay so; names keep gender
-(from the titles), script and case, word by word, so "Ms. Weber" and "Anna Weber" agree.
+IBANs their country and check, phones their country's code, hexadecimal secrets stay so; IPv6 addresses
+become documentation ones; names keep gender (from the titles), script and case, word by word, so "Ms. Weber"
+and "Anna Weber" agree.  Family names are made with endings that both genders have.
 
 Coreference.  A title shows the words of a name; each capitalised repeat of such a word anywhere in the same text,
 also with a genitive s or in a hyphenated word, is a mention too.  A name word is one value, wherever in a name it
@@ -16,7 +17,9 @@ An initial becomes that of a given name of its text, or else a letter drawn by t
 Collision check.  Distinct values of a kind (name words: of a script) must get distinct surrogates, and no
 surrogate may be a value that the corpus holds itself.  All distinct values
 are drawn once; of values that share a surrogate the smallest keeps it, the
-others draw again, until none is left.  Only values past their first draw, and names that their text alone shows as another
+others draw again, several at a time, until none is left.  A format may have fewer free values than the corpus has
+distinct ones (social security numbers above all); when rounds of many draws find no free one, the values that
+are left keep their last draws, the only ones that share.  Only values past their first draw, and names that their text alone shows as another
 part or gender, are kept as a table; workers make all other surrogates alone.  Texts meet that table by
 digest: a broadcast if its measured size allows, a shuffle join otherwise.
 
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from bisect import bisect
@@ -53,12 +57,24 @@ _GENDER = {t: g for g, names in TITLES.items() for t in names}
 # Syllables that names are made of, by script, and the endings that mark gender.
 SYLLABLES = {
     "latin": (["ba", "be", "da", "do", "fe", "ka", "la", "le", "li", "ma", "me", "mi", "na", "ni", "no", "ra", "re", "ro", "sa", "se", "so", "ta", "te", "ti", "va", "vi"], {"m": ["n", "s", "r", "k"], "f": ["na", "la", "ra", "sa"], "x": ["e", "i"], "family": ["ner", "mann", "sen", "rin", "lay", "ton"]}),
-    "cyrillic": (["ба", "ва", "го", "да", "ка", "ле", "ли", "ма", "ми", "на", "ни", "ра", "ро", "са", "се", "та", "ти"], {"m": ["н", "р", "с"], "f": ["на", "ля", "ра"], "x": ["и", "е"], "family": ["ко", "нин", "ров", "вич"]}),
-    "greek": (["βα", "γε", "δη", "κα", "λα", "λε", "μα", "μι", "να", "νι", "ρα", "σα", "τα", "τε"], {"m": ["νος", "ρης"], "f": ["να", "ρα"], "x": ["ι"], "family": ["κης", "λου", "ρας"]}),
+    "cyrillic": (["ба", "ва", "го", "да", "ка", "ле", "ли", "ма", "ми", "на", "ни", "ра", "ро", "са", "се", "та", "ти"], {"m": ["н", "р", "с"], "f": ["на", "ля", "ра"], "x": ["и", "е"], "family": ["ко", "ук", "ич", "ых"]}),
+    "greek": (["βα", "γε", "δη", "κα", "λα", "λε", "μα", "μι", "να", "νι", "ρα", "σα", "τα", "τε"], {"m": ["νος", "ρης"], "f": ["να", "ρα"], "x": ["ι"], "family": ["ντι", "λι", "ρι"]}),
 }
 LETTERS = {"latin": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ", "greek": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"}
 SAFE_DOMAINS = ["example.com", "example.net", "example.org"]
 
+# Length of an IBAN by country, as its registry has them.
+IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22,
+    "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21,
+    "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27,
+    "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24,
+    "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22,
+    "VG": 24, "XK": 20,
+}
+# Country calling codes of one and of two digits; all others have three.
+_CODES = re.compile("1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}")
+
 _title = "|".join(sorted(map(re.escape, _GENDER), key=len, reverse=True))
 _gap = r"[^\S\r\n]+"
 # Parts after an apostrophe or hyphen have two letters at least, so a genitive 's stays outside; titles are no names.
@@ -73,11 +89,12 @@ KINDS: dict[str, tuple[tuple[str, ...], regex.Pattern, int]] = {
     "email": (("@",), regex.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w])"), 0),
     "secret": (("=", ":"), regex.compile(r"""(?i)(?<![\p{L}])(?:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key|bearer)["']?\s*[=:]\s*["']?([A-Za-z0-9+/_.~-]{8,}=*)"""), 1),
     "key": (("AKIA", "ASIA", "ghp_", "sk-"), regex.compile(r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,})(?![A-Za-z0-9])"), 0),
-    "iban": (("",), regex.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"), 0),
-    "card": (("",), regex.compile(r"(?<![0-9A-Za-z.-])[3-6](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z-])"), 0),
+    "iban": (("",), regex.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}"), 0),
+    "card": (("",), regex.compile(r"(?<![0-9A-Za-z.-])[3-6](?:[ -]?[0-9]){12,18}"), 0),
     "ssn": (("",), regex.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"), 0),
     "ip": (("",), regex.compile(r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9A-Za-z]|\.[0-9])"), 0),
-    "phone": (("",), regex.compile(r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])"), 0),
+    "ip6": ((":",), regex.compile(r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]*:[0-9A-Fa-f:]*:)[0-9A-Fa-f:]{2,39}(?![0-9A-Za-z:])"), 0),
+    "phone": (("",), regex.compile(r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,6}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])"), 0),
     # Titles, with abbreviations such as "med." after them, then initials and up to three words, or initials alone.
     "name": (
         tuple(_GENDER),
@@ -103,6 +120,17 @@ def _mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+_GOES_ON = re.compile("-?[0-9A-Za-z]")
+
+
+def _card(digits: str) -> bool:
+    return 13 <= len(digits) <= 19 and luhn(digits)
+
+
+def _iban(plain: str) -> bool:
+    return len(plain) == IBAN_LENGTH.get(plain[:2], 0) and _mod97(plain) == 1
+
+
 def script(word: str) -> str:
     c = ord(word[0])
     return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 else "latin"
@@ -166,19 +194,31 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         if kind == "name":
             out += _names(text, list(pattern.finditer(text)))
             continue
-        for m in pattern.finditer(text):
+        at = 0
+        while m := pattern.search(text, at):
             a, b = m.span(group)
             value = m.group(group)
+            at = max(m.end(), m.start() + 1)
             plain = re.sub(r"[^0-9A-Za-z]", "", value)
-            if kind == "card":
-                if not (13 <= len(plain) <= 19 and luhn(plain)):
-                    continue
-            elif kind == "iban":
-                if not 15 <= len(plain) <= 34 or _mod97(plain) != 1:
+            if kind in ("card", "iban"):
+                # What follows, such as a month of expiry or a word in capitals, may look like more of it: shorter ends are tried.
+                good = _card if kind == "card" else _iban
+                b = next((e for e in range(b, a + 12, -1) if text[e - 1].isalnum() and not _GOES_ON.match(text, e) and good(re.sub(r"[ -]", "", text[a:e]))), 0)
+                at = b or a + 1
+                if not b:
                     continue
+                plain = re.sub(r"[ -]", "", text[a:b])
             elif kind == "phone":
                 if not 8 <= len(plain) <= 15:
                     continue
+                plain = "+" + plain if value[0] == "+" else plain
+            elif kind == "ip6":
+                try:
+                    plain = ipaddress.IPv6Address(value).compressed
+                except ValueError:
+                    continue
+                if plain in ("::", "::1"):  # nobody's address
+                    continue
             elif kind == "email":
                 plain = value.lower()
             elif kind in ("secret", "ip", "key"):
@@ -245,9 +285,11 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         return "9" + s.like(value[1:])
     if kind == "ip":
         return ".".join([str(1 + s.below(223)), *(str(s.below(256)) for _ in range(3))])
+    if kind == "ip6":
+        low = "".join(s.like("0000", hexadecimal=True) for _ in range(6))
+        return ipaddress.IPv6Address(int("20010db8" + low, 16)).compressed
     if kind == "phone":
-        # The country stays: what precedes the last ten digits.
-        head = len(value) - 10 if len(value) > 10 else 0
+        head = 1 + _CODES.match(value, 1).end() - 1 if value[0] == "+" else 0
         return value[:head] + str(2 + s.below(8)) + s.like(value[head + 1 :])
     if kind == "key":
         head = next(m for m in KINDS["key"][0] if value.startswith(m))
@@ -275,7 +317,9 @@ def render(mention: str, kind: str, stand_in: str) -> str:
         return f"{made}@{domain.upper() if mention.split('@')[1].isupper() else domain}"
     if kind in ("secret", "key", "ip"):
         return stand_in
-    rest = iter(stand_in)
+    if kind == "ip6":
+        return stand_in.upper() if mention.upper() == mention else stand_in
+    rest = iter(stand_in.removeprefix("+"))
     return "".join(next(rest) if c.isascii() and c.isalnum() else c for c in mention)
 
 
@@ -300,7 +344,8 @@ def _draw(key: bytes):
     return run
 
 
-MAX_DRAWS = 40
+#: Draws of a value in one round, at the most.
+MANY_DRAWS = 64
 
 
 def settle(entities: DataFrame, key: bytes) -> Table:
@@ -308,26 +353,41 @@ def settle(entities: DataFrame, key: bytes) -> Table:
     schema = "kind string, value string, attempt int, stand_in string"
     room = F.substring_index("kind", ":", -1).alias("room")
     own = Table(entities.select("kind", "value"), "entities")
-    open_ = Table(own.df.withColumn("attempt", F.lit(0)).mapInArrow(_draw(key), schema), "drawn")
-    done = None
-    for draw in range(1, MAX_DRAWS + 1):
+    open_, done = Table(own.df, "open"), None
+    attempt, many = 0, 1
+    while True:
+        tries = open_.df.withColumn("attempt", F.explode(F.sequence(F.lit(attempt), F.lit(attempt + many - 1))))
+        drawn = Table(tries.mapInArrow(_draw(key), schema), "drawn")
         # Values of the corpus and settled surrogates are taken; of the rest the smallest value wins a surrogate.
+        # Cards and the like keep parts of their value, so a value may draw itself: that is taken too.
         taken = own.df.select(room, F.col("value").alias("stand_in"))
         if done is not None:
             taken = taken.union(done.df.select(room, "stand_in"))
-        # Cards and the like keep parts of their value, so a value may draw itself: that is taken too.
-        first = open_.df.groupBy(room, "stand_in").agg(F.min(F.struct("value", "kind", "attempt")).alias("least"))
-        won = first.join(taken, ["room", "stand_in"], "left_anti").select("least.kind", "least.value", "least.attempt", "stand_in")
-        won = Table(won, "won")
-        new = won if done is None else Table(done.df.union(won.df), "settled")
-        lost = open_.df.join(won.df, ["kind", "value"], "left_anti").select("kind", "value", F.lit(draw).alias("attempt"))
-        again = Table(lost.mapInArrow(_draw(key), schema), "drawn")
+        first = drawn.df.groupBy(room, "stand_in").agg(F.min(F.struct("value", "kind", "attempt")).alias("least"))
+        free = first.join(taken, ["room", "stand_in"], "left_anti").select("least.kind", "least.value", F.struct("least.attempt", "stand_in").alias("got"))
+        won = Table(free.groupBy("kind", "value").agg(F.min("got").alias("got")).select("kind", "value", "got.attempt", "got.stand_in"), "won")
+        none = won.df.isEmpty()
+        lost = Table(open_.df.join(won.df, ["kind", "value"], "left_anti"), "open")
+        if none and many == MANY_DRAWS:
+            # No free value is to be found: what is left shares its last draws.
+            won.drop()
+            won = Table(drawn.df.filter(F.col("attempt") == attempt + many - 1), "won")
+        over = lost.df.isEmpty() or none and many == MANY_DRAWS
+        if done is None:
+            done = won
+        else:
+            new = Table(done.df.unionByName(won.df), "settled")
+            done.drop()
+            won.drop()
+            done = new
+        drawn.drop()
         open_.drop()
-        open_, done = again, new
-        if open_.df.isEmpty():
+        open_ = lost
+        if over:
+            open_.drop()
             own.drop()
             return done
-    raise RuntimeError(f"surrogates still collide after {MAX_DRAWS} draws; a kind's format leaves too little room")
+        attempt, many = attempt + many, min(MANY_DRAWS, 2 * many)
 
 
 def _rewrite(key: bytes, text_at: int, later_at: int, keep: list[int], names: list[str]):
@@ -359,7 +419,12 @@ def _rewrite(key: bytes, text_at: int, later_at: int, keep: list[int], names: li
 
 
 def replace_private(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
-    """``docs`` with surrogates in ``text_col``, and ``n_entities``, the number of mentions replaced."""
+    """``docs`` with surrogates in ``text_col``, and ``n_entities``, the number of mentions replaced.
+
+    The key is the caller's secret: who has it, or can guess it, can try out values of short formats.  An empty one is refused.
+    """
+    if not key:
+        raise ValueError("surrogates need a key")
     digest = F.unhex(F.sha2(F.col(text_col).cast("binary"), 256))
     mentions = Table(docs.select(digest.alias("digest"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull()).mapInArrow(_mentions, "digest binary, kind string, value string"), "mentions")
     found = mentions.df.select("kind", "value").distinct()

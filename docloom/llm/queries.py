@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from docloom.llm import ann, chat, decontam, jaccard_join, langid, packing, pii, substring_dedup, token_cache, url_lm
 from docloom.session import prepare
 
-#: The key of surrogates; a deployment sets its own.
-PII_KEY = os.environ.get("DOCLOOM_PII_KEY", "docloom-test-key").encode()
+#: The key of surrogates; a deployment sets its own, and without one each process draws one that nobody knows.
+PII_KEY = os.environ.get("DOCLOOM_PII_KEY", "").encode() or os.urandom(32)
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 

@@ -1,7 +1,8 @@
 """URL filter: rules, and for the rest the ratio of two character language models.
 
 Rules give a host and a path prefix; a rule fits its host and all subdomains, and the
-longest that fits decides.  URLs that a rule accepts and URLs that a rule rejects train two
+longest that fits decides (of equally long ones, the one that sorts last).  Rules are a table, of any size, that the
+hosts' suffixes are joined to.  URLs that a rule accepts and URLs that a rule rejects train two
 variable-order Markov models over characters: the probability after each context interpolates with that
 after the next shorter one (Dirichlet weight ``WEIGHT``), from order ``ORDER`` down to single characters.  A URL
 without a rule is allowed if its log-likelihood difference a character is at least a threshold, calibrated on held-out
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.store import Table
+from docloom.llm.store import Table, scratch, shuffle_partitions
 
 ORDER = 5
 WEIGHT = 8.0
@@ -33,7 +34,6 @@ BINS = 250
 UNIT = 1e9
 #: Stands before and after a text.
 _PAD = "\0"
-MAX_RULES = 1000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -46,16 +46,21 @@ def url_parts(url: Column) -> tuple[Column, Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), rest
 
 
-def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
-    """The longest rule that fits and its verdict, or nulls.  ``rules``: verdict and host/path, such as ("block", "net/es/")."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules; their list is part of the plan")
-    rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for said, text in sorted(rules, key=lambda r: (len(r[1]), r[1])):
-        at = text.index("/")
-        fits = ((host == text[:at]) | host.endswith("." + text[:at])) & path.startswith(text[at:])
-        rule, verdict = F.when(fits, F.lit(text)).otherwise(rule), F.when(fits, F.lit(said)).otherwise(verdict)
-    return rule, verdict
+def rules_for(texts: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """``digest``, ``rule`` and ``said`` of the texts (``digest``, ``host``, ``path``) that a rule fits.
+
+    ``rules``: verdict and host/path, such as ("block", "net/es/").
+    """
+    spark = texts.sparkSession
+    parts = [(r[: r.index("/")], r[r.index("/") :], r, said) for said, r in rules]
+    table = Table(spark.createDataFrame(parts, "suffix string, prefix string, rule string, said string"), "rules")
+    # Of a host's labels only as many matter as the rule with the most has.
+    deepest = max((suffix.count(".") + 1 for suffix, *_ in parts), default=1)
+    labels = F.slice(F.reverse(F.split("host", r"\.")), 1, deepest)
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.array_join(F.reverse(F.slice(labels, 1, n)), "."))
+    each = texts.select("digest", "path", F.explode(suffixes).alias("suffix")).join(table.side(), "suffix").filter(F.startswith("path", F.col("prefix")))
+    best = each.groupBy("digest").agg(F.max(F.struct(F.char_length("rule").alias("size"), "rule", "said")).alias("best"))
+    return best.select("digest", "best.rule", "best.said")
 
 
 def _grams(texts: DataFrame) -> DataFrame:
@@ -68,21 +73,25 @@ def _grams(texts: DataFrame) -> DataFrame:
 
 def _fit(texts: DataFrame) -> Table:
     """``g`` of all distinct grams of ``text``, and ``ratio``: the log ratio of the two models, trained on rows whose ``good`` is not null, ``m`` times each."""
-    rows = _grams(texts)
+    rows = _grams(_spread(texts))
     good, bad = F.when(F.col("good"), F.col("m")).otherwise(0), F.when(~F.col("good"), F.col("m")).otherwise(0)
     top = Table(rows.groupBy("g").agg(F.sum(good).alias("a"), F.sum(bad).alias("b")), "grams")
-    symbols = max(1, top.df.select(F.right("g", F.lit(1))).distinct().count())
-    side_a: Column = F.lit(1 / symbols)
+    facts = top.df.agg(F.count_distinct(F.right("g", F.lit(1))).alias("symbols"), F.sum("a").alias("a"), F.sum("b").alias("b")).first()
+    side_a: Column = F.lit(1 / max(1, facts.symbols))
     side_b = side_a
-    found, drops = top.df.select("g"), [top]
+    found, drops = top.df.select("g", F.lit(facts.a or 0).alias("na0"), F.lit(facts.b or 0).alias("nb0")), [top]
     for n in range(ORDER + 1):
         # How often each symbol follows each context of n characters, and the context occurs, in each class.
         counts = top.df.filter("a + b > 0").groupBy(F.right("g", F.lit(n + 1)).alias("k")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
         grams = Table(counts, f"order{n}")
-        contexts = Table(grams.df.groupBy(F.substr("k", F.lit(1), F.lit(n)).alias(f"x{n}")).agg(F.sum("a").alias(f"na{n}"), F.sum("b").alias(f"nb{n}")), f"contexts{n}")
-        drops += [grams, contexts]
-        found = found.withColumn(f"k{n}", F.right("g", F.lit(n + 1))).withColumn(f"x{n}", F.substr(f"k{n}", F.lit(1), F.lit(n)))
-        found = found.join(grams.side().select(F.col("k").alias(f"k{n}"), F.col("a").alias(f"a{n}"), F.col("b").alias(f"b{n}")), f"k{n}", "left").join(contexts.side(), f"x{n}", "left").drop(f"k{n}", f"x{n}")
+        drops.append(grams)
+        found = found.withColumn(f"k{n}", F.right("g", F.lit(n + 1)))
+        found = found.join(grams.side().select(F.col("k").alias(f"k{n}"), F.col("a").alias(f"a{n}"), F.col("b").alias(f"b{n}")), f"k{n}", "left")
+        if n:  # the empty context has been counted
+            contexts = Table(grams.df.groupBy(F.substr("k", F.lit(1), F.lit(n)).alias(f"x{n}")).agg(F.sum("a").alias(f"na{n}"), F.sum("b").alias(f"nb{n}")), f"contexts{n}")
+            drops.append(contexts)
+            found = found.withColumn(f"x{n}", F.substr(f"k{n}", F.lit(1), F.lit(n))).join(contexts.side(), f"x{n}", "left").drop(f"x{n}")
+        found = found.drop(f"k{n}")
 
         def step(p: Column, side: str, n: int = n) -> Column:
             seen, total = (F.coalesce(F.col(f"{what}{n}"), F.lit(0)) for what in (side, "n" + side))
@@ -96,9 +105,14 @@ def _fit(texts: DataFrame) -> Table:
     return made
 
 
+def _spread(texts: DataFrame) -> DataFrame:
+    """Texts over all partitions, as each becomes a row for every character."""
+    return texts.repartition(shuffle_partitions(texts.sparkSession))
+
+
 def score_texts(texts: DataFrame, model: Table) -> DataFrame:
     """``digest`` (of distinct texts) and ``score``, the mean over the characters of ``text`` of the log ratio of the two models."""
-    rows = _grams(texts.select("digest", "text")).join(model.side(), "g")
+    rows = _grams(_spread(texts.select("digest", "text"))).join(model.side(), "g")
     return rows.groupBy("digest").agg((F.sum("ratio") / F.count("*") / UNIT).alias("score"))
 
 
@@ -127,17 +141,18 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], url_col: str = "u
     host, path, rest = url_parts(F.col(url_col))
     keep = [F.col(f"`{c}`") for c in pages.columns if c not in ADDED]
     rows = pages.select(*keep, host.alias("host"), path.alias("path"), rest.alias("__docloom_text"), F.unhex(F.sha2(rest.cast("binary"), 256)).alias("__docloom_digest"))
-    rule, said = rule_for(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumn("rule", rule).withColumn("__docloom_said", said)
-    # Each distinct text is scored once; how often it occurs is its weight.
-    text = rows.filter("__docloom_text != ''").groupBy(F.col("__docloom_digest").alias("digest"), F.col("__docloom_text").alias("text"), (F.col("__docloom_said") == "allow").alias("good"))
-    texts = Table(text.agg(F.count("*").alias("m")), "texts")
-    held = F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(FOLDS)) == 0
-    # The held-out fold adds its grams, but no counts.
-    model = _fit(texts.df.select("text", F.when(~held, F.col("good")).alias("good"), "m"))
-    scores = Table(score_texts(texts.df, model), "scores")
-    model.drop()
-    threshold = calibrate(texts.df.filter(F.col("good").isNotNull() & held).join(scores.df, "digest"))
-    joined = rows.join(scores.df.withColumnRenamed("digest", "__docloom_digest"), "__docloom_digest", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-    verdict = F.coalesce("__docloom_said", F.when(F.col("score") >= threshold, F.lit("allow")).otherwise(F.lit("block")))
-    return joined.withColumn("verdict", verdict).select(*keep, "host", "path", "rule", "verdict", "score")
+    with scratch():
+        # Each distinct text is judged once; how often it occurs is its weight.
+        text = rows.groupBy(F.col("__docloom_digest").alias("digest")).agg(F.first("__docloom_text").alias("text"), F.first("host").alias("host"), F.first("path").alias("path"), F.count("*").alias("m"))
+        plain = Table(text, "plain")
+        texts = Table(plain.df.join(Table(rules_for(plain.df, rules), "ruled").side(), "digest", "left").select("digest", "text", "m", "rule", "said", (F.col("said") == "allow").alias("good")), "texts")
+        lettered = texts.df.filter("text != ''")
+        held = F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(FOLDS)) == 0
+        # The held-out fold adds its grams, but no counts.
+        model = _fit(lettered.select("text", F.when(~held, F.col("good")).alias("good"), "m"))
+        scores = Table(score_texts(lettered, model), "scores")
+        scored = texts.df.join(scores.df, "digest", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+        threshold = calibrate(scored.filter(F.col("good").isNotNull() & held & (F.col("text") != "")))
+        verdict = F.coalesce("said", F.when(F.col("score") >= threshold, F.lit("allow")).otherwise(F.lit("block")))
+        judged = Table(scored.select(F.col("digest").alias("__docloom_digest"), "rule", verdict.alias("verdict"), "score"), "judged").keep()
+    return rows.join(judged.side(), "__docloom_digest", "left").select(*keep, "host", "path", "rule", "verdict", "score")

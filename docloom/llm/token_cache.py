@@ -1,15 +1,17 @@
 """Token counts through a digest cache.
 
-A count is stored under the digest of the text's content and the digest of the
-tokenizer's file.  A call joins the texts' digests to what is stored, encodes
-each distinct missing text once, appends the new counts, and joins again.  The
-join of digests moves ids only; of a text that several rows hold, one row is
-encoded, chosen by a pre-aggregated minimum, so no text is shuffled unless the
-list of misses is too large to broadcast.
+A count is stored under the digest of the text's normalised content and the digest of the
+tokenizer's file.  The content is normalised by the tokenizer's own normaliser, of whose output alone its
+tokens are made, so texts that differ in form only share a count and the count is exact.  A call joins the
+digests to what is stored, encodes each distinct missing content once, appends the new counts, and joins again.
+
+Texts are told apart by the digest of their bytes first, in the JVM; each distinct one is normalised once.  These joins
+move digests only; of a content that several rows hold, one row is encoded, chosen by a pre-aggregated minimum, so no
+text is shuffled unless the list of misses is too large to broadcast.  The cache is partitioned by tokenizer; a call reads its own part.
 
 Defined results: a null text counts as an empty one.  Repeated rows, and rows
-that share an id, each get their text's count (rows that agree in every number are encoded each, and stored once).  Columns that clash with an added
-one (``n_bytes``, ``n_tokens``) are replaced.  Counts are of whole texts, without added tokens.
+that share an id, each get their text's count; rows that are equal in all columns that can be hashed are encoded each, and stored once.
+Columns that clash with an added one (``n_bytes``, ``n_tokens``) are replaced.  Counts are of whole texts, without added tokens.
 Two writers may store one digest twice; both hold the same count, and reads take one.
 """
 
@@ -21,14 +23,15 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docloom.llm import kernels as k
 from docloom.llm.store import Table, shared_dir
 
-_CACHE = "tokenizer binary, digest binary, n_tokens long"
+_CACHE = "digest binary, n_tokens long"
+#: Digests of misses, 40 bytes a row, are broadcast up to these bounds.
+_MISSES = {"max_bytes": 32_000_000, "max_rows": 400_000}
 _loaded: dict[str, Callable[[list[str]], list[int]]] = {}
 
 
@@ -59,6 +62,31 @@ def counter(path: str) -> Callable[[list[str]], list[int]]:
     return _loaded[path]
 
 
+def normaliser(path: str) -> Callable[[list[str]], list[str]]:
+    """The tokenizer's own normalisation; its tokens are made of the result alone."""
+    if path.endswith(".model"):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        return model.normalize
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(path).normalizer
+    # Special strings are cut out of the raw text, so with them the text itself is the content.
+    return (lambda texts: texts) if made is None or Tokenizer.from_file(path).get_added_tokens_decoder() else (lambda texts: [made.normalize_str(x) for x in texts])
+
+
+def _normalise(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain = normaliser(path)
+        for batch in batches:
+            for a, b in k.slices(batch.column(1)):
+                made = [hashlib.sha256(x.encode()).digest() for x in plain(batch.column(1).slice(a, b - a).to_pylist())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(made, pa.binary())], names=["raw", "row", "digest"])
+
+    return run
+
+
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path)
@@ -71,39 +99,42 @@ def _encode(path: str):
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None = None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``n_bytes`` (UTF-8) and ``n_tokens``; new counts are appended to the Parquet table at ``cache_path``.
+    """``docs`` with ``n_bytes`` (UTF-8) and ``n_tokens``; new counts are appended to the Parquet table at ``cache_path`` (a folder for each tokenizer).
 
     Without a path the cache is a new table in the shared folder.
     """
     spark = docs.sparkSession
     cache_path = cache_path or f"{shared_dir(spark)}/docloom/token-cache-{uuid.uuid4().hex}"
     version = tokenizer_digest(tokenizer_path)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    digest = F.unhex(F.sha2(text.cast("binary"), 256))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    raw = F.unhex(F.sha2(text.cast("binary"), 256))
+
+    part = f"{cache_path}/tokenizer={version.hex()}"
 
     def stored() -> DataFrame:
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(cache_path)
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(part)
         if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-            return spark.createDataFrame([], "digest binary, n_tokens long")
-        return spark.read.schema(_CACHE).parquet(cache_path).filter(F.col("tokenizer") == F.lit(bytearray(version))).select("digest", "n_tokens")
-
-    # One row of each distinct missing text: the smallest of a per-row number that the row itself determines.
-    rows = docs.select(digest.alias("digest"), text.alias("text"), F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(docs)]).alias("row"))
-    digests = Table(rows.groupBy("digest").agg(F.min("row").alias("row")), "digests")
-    misses = Table(digests.df.join(stored(), "digest", "left_anti"), "misses")
+            return spark.createDataFrame([], _CACHE)
+        return spark.read.schema(_CACHE).parquet(part)
+
+    # One row of each distinct text: the smallest of a per-row number that the row itself determines.
+    rows = docs.select(raw.alias("raw"), text.alias("text"), F.xxhash64(*_hashable(docs)).alias("row"))
+    seen = Table(rows.select("raw", "text", "row").mapInArrow(_normalise(tokenizer_path), "raw binary, row long, digest binary").groupBy("raw").agg(F.min("digest").alias("digest"), F.min("row").alias("row")), "digests")
+    misses = seen.df.join(stored(), "digest", "left_anti").groupBy("digest").agg(F.min(F.struct("raw", "row")).alias("one"))
+    misses = Table(misses.select("digest", "one.raw", "one.row"), "misses")
     if not misses.df.isEmpty():
-        todo = rows.join(misses.side(), ["digest", "row"], "left_semi").select("digest", "text")
-        new = todo.mapInArrow(_encode(tokenizer_path), "digest binary, n_tokens long")
-        new.dropDuplicates(["digest"]).select(F.lit(bytearray(version)).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache_path)
-    counts = Table(stored().join(digests.df, "digest", "left_semi").dropDuplicates(["digest"]), "counts")
-    digests.drop()
+        todo = rows.join(misses.side(**_MISSES), ["raw", "row"]).select("digest", "text")
+        new = todo.mapInArrow(_encode(tokenizer_path), _CACHE)
+        new.dropDuplicates(["digest"]).write.mode("append").parquet(part)
+    counts = Table(seen.df.join(stored().dropDuplicates(["digest"]), "digest").select("raw", "n_tokens"), "counts")
+    seen.drop()
     misses.drop()
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_bytes", "n_tokens")]
-    keyed = docs.select(*keep, F.octet_length(text).cast("long").alias("n_bytes"), digest.alias("__docloom_digest"))
-    right = counts.side().select(F.col("digest").alias("__docloom_digest"), "n_tokens")
-    return keyed.join(right, "__docloom_digest", "left").drop("__docloom_digest")
+    keyed = docs.select(*keep, F.octet_length(text).cast("long").alias("n_bytes"), raw.alias("__docloom_raw"))
+    right = counts.side(**_MISSES).select(F.col("raw").alias("__docloom_raw"), "n_tokens")
+    return keyed.join(right, "__docloom_raw", "left").drop("__docloom_raw")
 
 
-def _hashable(docs: DataFrame) -> list[str]:
-    """Columns whose values xxhash64 takes; short ones only, as the text has a digest already."""
-    return [f.name for f in docs.schema.fields if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType))] or docs.columns[:1]
+def _hashable(docs: DataFrame) -> list[Column]:
+    """All columns whose values xxhash64 takes, which are all but maps and variants."""
+    return [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()] or [F.lit(0)]

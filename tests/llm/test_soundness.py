@@ -1,0 +1,228 @@
+"""Cases that earlier forms of the corpus operators got wrong or refused: made-up collisions, bounds, odd columns and corpora."""
+
+import random
+import re
+
+import corpus_pipeline
+import numpy as np
+import pyarrow as pa
+import pytest
+from docloom.llm import components as cc
+from docloom.llm import decontam, jaccard_join, langid, pii, substring_dedup, token_cache, url_lm
+from docloom.llm import kernels as k
+from docloom.llm.store import Table
+from pyspark.sql import functions as F
+
+KEY = b"k"
+
+
+def morse(n):
+    """Two different words of n letters that polynomials modulo 2**64 take for one from 1,024 letters on."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("size", [8, 9, 200, 256, 257, 2048])
+def test_words_of_like_form_differ(size):
+    a, b = morse(size)
+    w = k.words(pa.array([f"{a} {b} {a}"], pa.large_string()), k.keyed(k.SPACED))
+    assert w.hash[0] == w.hash[2] != w.hash[1]
+    same = k.same_words(w.data, w.start[[0, 0]], w.end[[0, 0]], w.data, w.start[[1, 2]], w.end[[1, 2]])
+    assert same.tolist() == [False, True]
+
+
+def test_made_up_collisions_change_no_result(spark):
+    a, b = morse(2048)
+    df = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    assert {r.component_id for r in jaccard_join.near_duplicate_groups(df).collect()} == {1, 2}
+    bench = spark.createDataFrame([("x", b)], "item_id string, text string")
+    assert {r.doc_id: r.n_hit for r in decontam.mark_benchmark_words(df, bench).collect()} == {1: 0, 2: 1}
+    words = " ".join(f"w{i}" for i in range(19))
+    df = spark.createDataFrame([(1, f"{words} {a}"), (2, f"{words} {b}"), (3, f"{words} {a}")], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(df).collect()} == {1: 0, 2: 0, 3: 20}
+
+
+def test_verification_sees_through_equal_hashes(spark, monkeypatch):
+    """With hashes of words that all agree, hits are still those of equal bytes."""
+    monkeypatch.setattr(k, "word_hashes", lambda data, start, end, key: np.zeros(len(start), np.uint64))
+    rule = k.ALNUM_LOWER
+    block = decontam._Windows(["x"], pa.array(["one two three"], pa.large_string()), 10, 5, rule)
+    index = decontam._Index(block, {})
+    text, start, _ = index.match(k.words(pa.array(["one two three", "one two four", "zero one two three"], pa.large_string()), rule))
+    assert set(zip(text.tolist(), start.tolist(), strict=True)) == {(0, 0), (2, 7)}
+
+
+def test_classes_whose_first_bits_agree(spark, monkeypatch):
+    """Digests are cut so that first halves clash; second halves keep the classes apart."""
+    rng = random.Random(1)
+    texts = [" ".join(rng.choices("abcdefgh", k=30)) for _ in range(40)]
+    texts += texts[:5]
+    size, ids, more = jaccard_join._set_ids(*k.shingle_sets(k.words(pa.array(texts, pa.large_string()), k.SPACED), 5), len(texts))
+    clash = np.unique(ids[:3])
+    _, named, _ = jaccard_join._set_ids(*k.shingle_sets(k.words(pa.array(texts, pa.large_string()), k.SPACED), 5), len(texts), clash)
+    assert (named[:3] == more[:3]).all() and (named[3:40] == ids[3:40]).all() and (named[40:] == named[:5]).all()
+
+
+def brute_components(edges):
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {x: find(x) for x in root if find(x) != x}
+
+
+@pytest.mark.parametrize("chunk", [1_000_000, 40])
+def test_components(spark, chunk):
+    """A long path, a star and random edges; in one chunk, and in so many that star steps must finish."""
+    rng = random.Random(2)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(500, 500 + i) for i in range(60)] + [(rng.randrange(1000, 1100), rng.randrange(1000, 1100)) for _ in range(70)] + [(7, 7), (101, 100)]
+    df = spark.createDataFrame(edges, "u long, v long").repartition(4)
+    got = {r.node: r.root for r in cc.components(df, chunk).df.collect()}
+    assert got == brute_components(edges)
+    assert cc.components(df.limit(0)).df.count() == 0
+
+
+def test_ids_that_are_no_numbers_are_refused(spark):
+    df = spark.createDataFrame([("a", "x y")], "doc_id string, text string")
+    for run in (jaccard_join.near_duplicate_groups, substring_dedup.remove_repeats):
+        with pytest.raises(TypeError, match="doc_id"):
+            run(df)
+
+
+def test_benchmark_in_blocks(spark):
+    """Many blocks give what one gives, beside columns that cannot be compared."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(40)]
+    bench = spark.createDataFrame([(f"i{i}", " ".join(rng.choices(words, k=rng.randrange(2, 14)))) for i in range(30)], "item_id string, text string")
+    rows = [(i, " ".join(rng.choices(words, k=200))) for i in range(30)] + [(30, None), (31, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
+    one, many = ({r.doc_id: (r.n_words, r.hit_spans, r.hit_items, r.n_hit) for r in decontam.mark_benchmark_words(df, bench, block_bytes=b).collect()} for b in (10**6, 200))
+    assert one == many and sum(x[3] for x in one.values()) > 0
+
+
+def test_long_texts_are_parsed_whole(monkeypatch):
+    """Segments give the parse of the text in one piece, also where a phrase is longer than a segment."""
+    rng = random.Random(3)
+    words = ["the", "cat", "sat", "mat", "dog", "été", "hat"]
+    sample = {x: [" ".join(rng.choices(words, k=60)).encode() for _ in range(3)] for x in "abc"}
+    model = langid.Model(sample)
+    made = [" ".join(rng.choices(words, k=rng.randrange(1, 400))) for _ in range(20)] + [sample["a"][0].decode() * 3, "я" * 500, "zz " * 100, ""]
+    column = pa.array(made, pa.large_string())
+    want = model.phrases(column)[1]
+    for size in (7, 32, 100):
+        monkeypatch.setattr(langid, "SEGMENT", size)
+        assert (model.phrases(column)[1] == want).all()
+
+
+def test_languages_in_blocks(monkeypatch):
+    samples = {f"l{i}": [("abcdefghij"[i:] + " " + "xyz"[: i % 3 + 1]).encode() * 5] for i in range(10)}
+    column = pa.array(["abcdef xyz", "hij xy", ""], pa.large_string())
+    want = langid.Model(samples).phrases(column)[1]
+    monkeypatch.setattr(langid, "LANGUAGES", 3)
+    assert (langid.Model(samples).phrases(column)[1] == want).all()
+
+
+def test_unlabelled_corpora_stay(spark):
+    df = spark.createDataFrame([(1, "some english text", None), (2, "12", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in langid.drop_unknown(df).collect()] == [1]
+
+
+def test_samples_come_from_the_whole_text(spark):
+    df = spark.createDataFrame([(1, "a" * 3000 + "b" * 3000 + "c" * 3000, "x")], "doc_id long, text string, lang string")
+    model = langid.learn(df, size=300)
+    _, phrases = model.phrases(pa.array(["a" * 100, "b" * 100, "c" * 100], pa.large_string()))
+    assert (phrases == 1).all()
+
+
+def test_rules_of_any_number(spark):
+    rules = [("allow" if i % 2 else "block", f"h{i}.org/p{i % 7}/") for i in range(1500)] + [("block", "org/")]
+    rows = [(i, f"http://www.h{i}.org/p{i % 7}/x") for i in range(0, 1500, 50)] + [(-1, "http://other.org/")]
+    got = {r.page_id: (r.rule, r.verdict) for r in url_lm.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert all(got[i] == (f"h{i}.org/p{i % 7}/", "allow" if i % 2 else "block") for i, _ in rows[:-1]) and got[-1] == ("org/", "block")
+
+
+CASES = [
+    ("pay 4111 1111 1111 1111 12/26 now", r"pay 4\d{3} \d{4} \d{4} \d{4} 12/26 now", "4111 1111"),
+    ("4111111111111111 4845168114407329", r"4\d{15} 4\d{15}", "4845168114407329"),
+    ("IBAN DE89370400440532013000 FOR RENT", r"IBAN DE\d{20} FOR RENT", "0532013000"),
+    ("call +33 1 23 45 67 89", r"call \+33 \d \d\d \d\d \d\d \d\d", "23 45 67"),
+    ("call +49 30 1234567", r"call \+49 \d\d \d{7}", "1234567"),
+    ("host 2001:db8:85a3::8a2e:370:7334, 10:20:30", r"host 2001:db8:[0-9a-f:]+, 10:20:30", "8a2e:370"),
+    ("г-жа Анна Иванова", r"г-жа \w+(на|ля|ра) \w+(ко|ук|ич|ых)", "Иванова"),
+]
+
+
+def test_detections(spark):
+    out = {r.i: r for r in pii.replace_private(spark.createDataFrame([(i, c[0]) for i, c in enumerate(CASES)], "i int, text string"), KEY).collect()}
+    for i, (text, shape, gone) in enumerate(CASES):
+        assert re.fullmatch(shape, out[i].text) and gone not in out[i].text, (text, out[i].text)
+    with pytest.raises(ValueError, match="key"):
+        pii.replace_private(spark.createDataFrame([(1, "x")], "i int, text string"), b"")
+
+
+def test_full_formats_end(spark, monkeypatch):
+    """Twelve values, ten stand-ins: each is used, and what is left shares."""
+
+    def draw(key):
+        def run(batches):
+            for batch in batches:
+                made = [f"s{(hash_of(v) + a) % 10}" for v, a in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made, pa.string())], names=["kind", "value", "attempt", "stand_in"])
+
+        def hash_of(v):
+            return sum(v.encode())
+
+        return run
+
+    monkeypatch.setattr(pii, "_draw", draw)
+    done = pii.settle(spark.createDataFrame([("ssn", f"v{i}") for i in range(12)], "kind string, value string"), KEY).df.collect()
+    assert len(done) == 12 and len({r.stand_in for r in done}) == 10
+
+
+def test_surrogates_of_a_table(spark):
+    """Brute force over a whole made-up table: equal values get equal surrogates everywhere, different ones different."""
+    rng = random.Random(8)
+    mails = [f"u{i}@mail{i % 9}.org" for i in range(60)]
+    ips = [f"{rng.randrange(1, 224)}.{rng.randrange(256)}.{rng.randrange(256)}.{rng.randrange(256)}" for _ in range(60)]
+    rows = [(i, rng.choice(mails), rng.choice(ips), rng.choice(mails)) for i in range(300)]
+    df = spark.createDataFrame([(i, f"{a} at {b}; {c}") for i, a, b, c in rows], "i int, text string")
+    out = {r.i: re.fullmatch(r"(\S+) at (\S+); (\S+)", r.text).groups() for r in pii.replace_private(df, KEY).collect()}
+    pairs = {x for i, *mine in rows for x in zip(mine, out[i], strict=True)}
+    assert len(pairs) == len({p[0] for p in pairs}) == len({p[1] for p in pairs})
+    assert not {p[0] for p in pairs} & {p[1] for p in pairs}
+
+
+def test_stages_take_any_columns(spark):
+    rows = [(1, "one two three four five six seven", "en", "a@b.org"), (2, None, None, None), (3, "mail ana@mail.org " * 20, "en", "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_entities string")
+    for columns in (df, df.withColumn("n_chars", F.length("text")), df.withColumn("digest", F.lit("x")).withColumn("score", F.lit(1))):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            for docs in (columns, columns.limit(0)):
+                out = stage(spark, docs, "/root/testdata/sf0.001")
+                assert out.columns == docs.columns, name
+                assert out.count() <= docs.count()
+    kept = corpus_pipeline.without_private_data(spark, df, "").collect()
+    assert {r.doc_id: r.n_entities for r in kept} == {1: "a@b.org", 2: None, 3: ""}
+
+
+def test_equal_contents_share_a_count(spark, tmp_path, monkeypatch):
+    """Texts that differ in form only are one entry of the cache."""
+    monkeypatch.setattr(token_cache, "normaliser", lambda path: lambda texts: [" ".join(t.split()) for t in texts])
+    monkeypatch.setattr(token_cache, "counter", lambda path: lambda texts: [len(t.split()) for t in texts])
+    (tmp_path / "t.model").write_bytes(b"x")
+    df = spark.createDataFrame([(1, "a  b"), (2, "a b"), (3, "c"), (3, "c"), (4, None)], "doc_id long, text string")
+    cache = str(tmp_path / "cache")
+    got = token_cache.count_tokens(df, str(tmp_path / "t.model"), cache).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {1: 2, 2: 2, 3: 1, 4: 0} and len(got) == 5
+    assert spark.read.parquet(cache).count() == 3
+
+
+def test_wide_rows_are_not_broadcast(spark):
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 1_000_000).alias("s"))
+    assert not Table(wide, "wide").small() and Table(wide.select("id"), "narrow").small()

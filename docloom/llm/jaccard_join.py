@@ -400,25 +400,24 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Of rows that share the group's id, the one whose text sorts first stays.
     """
     rule = rule if rule.key else k.keyed(rule)
-    key = integral(docs, id_col)
     groups = Table(near_duplicate_groups(docs, id_col, text_col, shingle, rule), "groups")
-    stay = Table(groups.df.filter(F.col("sid").isNull() | F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__docloom_id"), F.col("sid").alias("__docloom_own"), F.col("root").alias("__docloom_root")).distinct(), "stay")
+    stays = F.col("sid").isNull() | F.col("id").eqNullSafe(F.col("component_id"))
+    # Fewer rows go than stay; their ids, some 60 bytes each in a hash table, are kept from moving the texts as long as they may.
+    gone = Table(groups.df.filter(~stays).select(F.col("id").alias("__docloom_id")).distinct(), "gone")
     several = Table(groups.df.groupBy(F.col("id").alias("__docloom_id")).agg(F.count("*").alias("many")).filter("many > 1").select("__docloom_id"), "several")
-    groups.drop()
-    same = key.eqNullSafe(F.col("__docloom_id"))
-    one = docs.join(_ids_of(stay).side(), same, "left_semi")
+    same = integral(docs, id_col).eqNullSafe(F.col("__docloom_id"))
     if several.df.isEmpty():
-        return one
-    rest = one.join(several.side(), same, "left_semi")
+        groups.drop()
+        return docs.join(gone.side(max_rows=400_000), same, "left_anti")
+    own = groups.df.filter(stays).select(F.col("id").alias("__docloom_id"), F.col("sid").alias("__docloom_own"), F.col("root").alias("__docloom_root")).distinct()
+    stay = Table(own.alias("o").join(several.df.alias("s"), F.col("o.__docloom_id").eqNullSafe(F.col("s.__docloom_id")), "left_semi"), "stay")
+    groups.drop()
+    rest = docs.join(several.side(), same, "left_semi")
     named = rest.mapInArrow(_add_sid(docs.columns.index(text_col), shingle, rule), extended(docs, docs.columns, __docloom_sid=T.LongType(), __docloom_more=T.LongType()))
     mine = F.col("__docloom_own").eqNullSafe(F.col("__docloom_sid")) | F.col("__docloom_own").eqNullSafe(F.col("__docloom_more"))
     kept = named.join(stay.df, same & mine)
     # Of the rows of an id and group one is kept; rows without words are kept each.
     first = Window.partitionBy("__docloom_id", "__docloom_root").orderBy(F.col(f"`{text_col}`").asc_nulls_last())
     kept = kept.withColumn("__docloom_n", F.row_number().over(first)).filter("__docloom_n = 1 or __docloom_sid is null").select(*[f"`{c}`" for c in docs.columns])
-    return one.join(several.side(), same, "left_anti").unionByName(kept)
-
-
-def _ids_of(stay: Table) -> Table:
-    ids = Table(stay.df.select("__docloom_id").distinct(), "stay_ids")
-    return ids
+    one = docs.join(several.side(), same, "left_anti").join(gone.side(max_rows=400_000), same, "left_anti")
+    return one.unionByName(kept)

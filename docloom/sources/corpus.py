@@ -20,6 +20,13 @@ def annotated_texts(spark: SparkSession, path: str) -> DataFrame:
     return tasks.select("id", F.col("data.text").alias("text"), F.array_sort(spans).alias("spans"))
 
 
+def api_entities(responses: DataFrame, body: str = "body") -> DataFrame:
+    """A row for each entity of a service's JSON answers (``{"entities": [{"text", "label", "start", "end", "score"}]}``); a broken answer has none."""
+    schema = "entities array<struct<text:string,label:string,start:int,end:int,score:double>>"
+    rest = [c for c in responses.columns if c != body]
+    return responses.select(*rest, F.inline(F.from_json(F.col(body), schema)["entities"]))
+
+
 def training_rows(texts: DataFrame) -> DataFrame:
     """``texts`` with ``tokens`` and their ``ner_tags``."""
     words = ent.words_with_offsets(F.col("text"))

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import multiprocessing
+import os
+import re
+import shutil
+import tempfile
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,19 +53,24 @@ def children(df: DataFrame, field: str, keys: list[str]) -> DataFrame:
 Extractor = Callable[[bytes], dict]
 
 
+def _work(extract: bytes, content: bytes, out) -> None:
+    try:
+        out.send((cloudpickle.loads(extract)(content), None))
+    except Exception as e:  # noqa: BLE001  told to the caller
+        out.send((None, str(e)))
+
+
 def time_limited(extract: Extractor, seconds: float, grace: float = 5) -> Extractor:
-    """``extract`` in a process of its own, which is ended, at last killed, when its time is over; that is an error like others."""
+    """``extract`` in a process of its own, which is ended, at last killed, when its time is over; that is an error like others.
 
-    def work(content: bytes, out) -> None:
-        try:
-            out.send((extract(content), None))
-        except Exception as e:  # noqa: BLE001  told to the caller
-            out.send((None, str(e)))
+    The process comes from a server without threads, as a worker that runs threads must not fork.
+    """
+    packed = cloudpickle.dumps(extract)
 
     def run(content: bytes) -> dict:
-        ways = multiprocessing.get_context("fork")
+        ways = multiprocessing.get_context("forkserver")
         here, there = ways.Pipe(duplex=False)
-        child = ways.Process(target=work, args=(content, there), daemon=False)
+        child = ways.Process(target=_work, args=(packed, content, there), daemon=False)
         child.start()
         there.close()
         try:
@@ -83,12 +95,55 @@ def time_limited(extract: Extractor, seconds: float, grace: float = 5) -> Extrac
     return run
 
 
+def text_pages(content: bytes) -> dict:
+    """Pages of plain text, between form feeds; refuses what is no text."""
+    if content[:5] == b"%PDF-" or b"\0" in content:
+        raise ValueError("not plain text")
+    pages = content.decode("utf-8").split("\f")
+    return {"pages": pages, "page_count": len(pages), "characters": sum(map(len, pages)), "is_scanned": False}
+
+
+_OBJECT = re.compile(rb"/Type\s*/Page(?!s)")
+_STREAM = re.compile(rb"<<((?:[^<>]|<<[^<>]*>>|<[^<>]*>)*)>>\s*stream\r?\n(.*?)\r?\n?endstream", re.S)
+_SHOWN = re.compile(rb"\((?:[^()\\]|\\.)*\)|T\*|'|Td|TD", re.S)
+_ESCAPES = {b"n": b"\n", b"r": b"\r", b"t": b"\t"}
+
+
+def pdf_text(content: bytes) -> dict:
+    """The literal strings that a PDF's plain or deflated streams show, a page for each stream that shows any, and whether it is scanned:
+    its first pages have an image each but hardly a character.  A small reader; encodings of fonts are for a larger one."""
+    if content[:5] != b"%PDF-":
+        raise ValueError("not a PDF")
+    count, pages, images = len(_OBJECT.findall(content)), [], 0
+    for head, body in _STREAM.findall(content):
+        if b"/Image" in head:
+            images += 1
+            continue
+        if b"/FlateDecode" in head:
+            body = zlib.decompress(body)
+        text = b"".join(re.sub(rb"\\(.)", lambda m: _ESCAPES.get(m[1], m[1]), x[1:-1], flags=re.S) if x[:1] == b"(" else b"\n" for x in _SHOWN.findall(body))
+        if shown := text.decode("latin-1").strip():
+            pages.append(shown)
+    count = count or len(pages)
+    if not count:
+        raise ValueError("no pages")
+    total = sum(map(len, pages))
+    return {"pages": pages, "page_count": count, "characters": total, "is_scanned": images > 0 and total < 100 * min(3, count)}
+
+
+#: Readers in the order in which they are tried, by name.
+EXTRACTORS: list[tuple[str, Extractor]] = [("pdf_text", pdf_text), ("text_pages", text_pages)]
+EXTRACTED = "path string, tools_used array<string>, error_message string, pages array<string>, page_count int, characters long, is_scanned boolean"
+
+
 def extract_files(files: DataFrame, extractors: list[tuple[str, Extractor]], schema: str) -> DataFrame:
     """Runs extractors over ``path, content`` until one succeeds; a file that none can read is a row with its errors, not a failed job.
 
     ``schema`` must have ``path string, tools_used array<string>, error_message string`` and the fields that extractors return.
     """
 
+    names = [f.strip().split(" ")[0] for f in _fields(schema)]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
@@ -104,8 +159,7 @@ def extract_files(files: DataFrame, extractors: list[tuple[str, Extractor]], sch
                     except Exception as e:  # noqa: BLE001  any failure passes the file to the next extractor
                         errors.append(f"{name}: {e}"[:1000])
                 row["error_message"] = "; ".join(errors)[:1000] or None
-                rows.append(row)
-            names = [f.strip().split(" ")[0] for f in _fields(schema)]
+                rows.append([row.get(n) for n in names])
             yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return files.select("path", "content").mapInPandas(run, schema)
@@ -121,9 +175,49 @@ def _fields(schema: str) -> list[str]:
     return [*out, schema[at:]]
 
 
-def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("overwrite")
+def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None, skip_empty: bool = False) -> bool:
+    """Puts a table in the place of another, with its own schema; says whether it did, as an empty one may be skipped."""
+    if skip_empty and df.isEmpty():
+        return False
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return True
+
+
+def write_files(df: DataFrame, folder: str, name: str = "name", text: str = "text") -> DataFrame:
+    """A text file for each row, named by a column and put in place whole; returns ``path`` and ``n_bytes`` of each when run.
+
+    The folder is one that all machines share; a task that runs again writes the same files.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.makedirs(folder, exist_ok=True)
+        for batch in batches:
+            rows = []
+            for file, content in zip(batch[name], batch[text], strict=True):
+                if os.path.basename(file) != file or file in ("", ".", ".."):
+                    raise ValueError(f"not a file's name: {file}")
+                raw = (content or "").encode()
+                part = os.path.join(folder, f".{file}.{uuid.uuid4().hex}")
+                with open(part, "wb") as f:
+                    f.write(raw)
+                os.replace(part, os.path.join(folder, file))
+                rows.append((os.path.join(folder, file), len(raw)))
+            yield pd.DataFrame(rows, columns=["path", "n_bytes"])
+
+    return df.select(name, text).mapInPandas(run, "path string, n_bytes long")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder beneath the one that all machines share; a local session without one gets a temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        base = tempfile.mkdtemp(prefix="docloom-")
+        atexit.register(shutil.rmtree, base, True)
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/docloom/{uuid.uuid4().hex}"
 
 
 def create_table(spark: SparkSession, name: str, schema: str, partition_by: list[str] | None = None) -> None:
@@ -138,7 +232,10 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def merged(target: DataFrame, source: DataFrame, keys: list[str], update: list[str] | None = None, delete_missing: bool = False) -> DataFrame:
-    """``target`` after an upsert: matched rows (null-safe keys) take ``update`` from the source, new rows come in whole."""
+    """``target`` after an upsert: matched rows (null-safe keys) take ``update`` from the source, new rows come in whole.
+
+    The source holds a key once; ``merge_upsert`` makes sure of that.
+    """
     update = [c for c in target.columns if c not in keys] if update is None else update
     t, s = target.alias("t").withColumn("__t", F.lit(True)), source.alias("s").withColumn("__s", F.lit(True))
     on = None
@@ -152,18 +249,42 @@ def merged(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
 
 
 def merge_upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], update: list[str] | None = None, delete_missing: bool = False) -> None:
-    """Upserts into a Parquet table: the result is written beside it, then takes its place."""
+    """Upserts into a Parquet table, one writer at a time.
+
+    The result is written to ``path.new``; then the table is renamed to ``path.old``, the result takes its place, and the old one goes.
+    Wherever that stops, the next call first puts back what is whole: a table that is missing is the complete ``path.new`` if there is
+    one, else ``path.old``.  A source that holds a key twice is refused, as a MERGE refuses it, before anything is written.
+    """
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    table, new, old = (fs_path(path + end) for end in ("", ".new", ".old"))
+    fs = table.getFileSystem(spark._jsc.hadoopConfiguration())
+    recover(spark, path)
+    if not source.groupBy(*keys).count().filter("count > 1").isEmpty():
+        raise ValueError(f"the source holds a key ({', '.join(keys)}) more than once")
+    there = fs.exists(table)
+    out = merged(spark.read.parquet(path), source, keys, update, delete_missing) if there else source
+    out.write.mode("overwrite").parquet(new.toString())
+    if there:
+        _moved(fs, table, old)
+    _moved(fs, new, table)
+    fs.delete(old, True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """The table at ``path`` as the last whole upsert left it, whatever stopped one since."""
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    old, new = fs_path(path), fs_path(f"{path}.{uuid.uuid4().hex}")
-    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = merged(spark.read.parquet(path), source, keys, update, delete_missing) if fs.exists(old) else source
-    out.write.parquet(new.toString())
-    spare = fs_path(f"{path}.old")
-    if fs.exists(old):
-        fs.delete(spare, True)
-        fs.rename(old, spare)
-    fs.rename(new, old)
-    fs.delete(spare, True)
+    table, new, old, whole = (fs_path(path + end) for end in ("", ".new", ".old", ".new/_SUCCESS"))
+    fs = table.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(table) and fs.exists(old):
+        _moved(fs, new if fs.exists(whole) else old, table)
+    if fs.exists(table):
+        fs.delete(new, True)
+        fs.delete(old, True)
+
+
+def _moved(fs, here, there) -> None:
+    if not fs.rename(here, there):
+        raise OSError(f"could not rename {here} to {there}")
 
 
 def completed(registry: DataFrame, sections: DataFrame, classified: DataFrame, key: str = "document_id") -> DataFrame:

@@ -15,9 +15,10 @@ def load(spark: SparkSession, base: str, name: str) -> DataFrame:
 def line_sections(spark: SparkSession, base: str, lines_a_page: int = 5) -> DataFrame:
     """Sections of documents: a line each, five to a page."""
     docs = load(spark, base, "documents").select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("i", "content_text"))
-    kind = tx.section_type(F.col("content_text"))
-    out = docs.select(F.col("doc_id").alias("document_id"), "source", (F.col("i") + 1).alias("sequence_number"), (F.floor(F.col("i") / lines_a_page) + 1).cast("int").alias("page_number"), "content_text", kind.alias("section_type"))
-    return out.withColumns({"section_id": tx.section_id(F.col("document_id"), F.col("sequence_number")), "heading_level": tx.heading_level(F.col("content_text"), F.col("section_type"))})
+    docs = docs.withColumn("__plain", tx.stripped(F.col("content_text")))  # once, for all rules
+    kind = tx.section_type(F.col("content_text"), F.col("__plain"))
+    out = docs.select(F.col("doc_id").alias("document_id"), "source", (F.col("i") + 1).alias("sequence_number"), (F.floor(F.col("i") / lines_a_page) + 1).cast("int").alias("page_number"), "content_text", kind.alias("section_type"), "__plain")
+    return out.withColumns({"section_id": tx.section_id(F.col("document_id"), F.col("sequence_number")), "heading_level": tx.heading_level(F.col("content_text"), F.col("section_type"), F.col("__plain"))}).drop("__plain")
 
 
 def entities(spark: SparkSession, base: str) -> DataFrame:

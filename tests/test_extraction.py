@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from docloom.functions import embedding
 from docloom.operators import entities as ent
-from docloom.operators import extraction, tagging
+from docloom.operators import classify, evaluate, extraction, structure, tagging
 from docloom.sources import corpus, io
 from pyspark.sql import functions as F
 
@@ -42,8 +42,9 @@ def test_gazetteer_takes_the_longest_phrase(spark):
     assert got[1].entity_type_counts == {"BIOMARKER": 1, "CONDITION": 1, "DRUG": 1} and got[2].entity_count == got[3].entity_count == 0
     flat = tagging.clinical_entities(tagging.extracted(rows, tagger, text="text"), ["id"], "id").orderBy("entity_id").collect()
     assert [(r.entity_id, r.start_position, r.end_position) for r in flat] == [("1_e0001", 0, 14), ("1_e0002", 20, 28), ("1_e0003", 29, 35)]
-    with pytest.raises(ValueError, match="words"):
-        tagging.gazetteer({"a b c d": "DRUG"})
+    long = spark.createDataFrame([(1, "see A b c d, a b")], "id int, text string")
+    many = {f"term {i}": "DRUG" for i in range(6_000)} | {"a b c d": "DRUG", "a b": "CONDITION"}
+    assert [(e.text, e.entity_type) for e in tagging.extracted(long, tagging.gazetteer(many), text="text").first().entities] == [("A b c d,", "DRUG"), ("a b", "CONDITION")]
 
 
 def test_models_embed_blank_texts_as_zero(spark):
@@ -94,3 +95,84 @@ def test_tables_are_made_once_and_dropped(spark):
 def test_exploded_spans(spark):
     rows = spark.createDataFrame([(1, [("a", "DRUG")]), (2, [])], "id int, entities array<struct<text:string,entity_type:string>>")
     assert [tuple(r) for r in ent.exploded(rows).collect()] == [(1, "a", "DRUG")]
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", range(1, 6))
+def test_an_upsert_that_stops_loses_nothing(spark, tmp_path, monkeypatch, step):
+    """Stopped before any of its steps and run again, an upsert ends as one that was not stopped."""
+    path = str(tmp_path / "t")
+    spark.range(10).withColumn("v", F.lit("old")).write.parquet(path)
+    new = spark.range(8, 12).withColumn("v", F.lit("new"))
+    moves = []
+    real = io._moved
+
+    def moved(fs, here, there):
+        moves.append(there.toString())
+        if step == len(moves):
+            raise Stopped
+        real(fs, here, there)
+        if step == 2 + len(moves):
+            raise Stopped
+
+    monkeypatch.setattr(io, "_moved", moved)
+    try:
+        io.merge_upsert(spark, path, new, ["id"])
+    except Stopped:
+        pass
+    monkeypatch.setattr(io, "_moved", real)
+    io.recover(spark, path)
+    assert spark.read.parquet(path).count() in (10, 12)
+    for _ in range(2):
+        io.merge_upsert(spark, path, new, ["id"])
+        got = {r.id: r.v for r in spark.read.parquet(path).collect()}
+        assert got == {**dict.fromkeys(range(8), "old"), **dict.fromkeys(range(8, 12), "new")}
+    assert {p.name for p in tmp_path.iterdir()} == {"t"}
+
+
+def test_repeated_source_keys_are_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(ValueError, match="more than once"):
+        io.merge_upsert(spark, path, spark.range(2).union(spark.range(1)), ["id"])
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_extractors(spark):
+    import zlib
+
+    page = b"BT (Hello) Tj T* (wor\\(ld) Tj ET"
+    packed = zlib.compress(page)
+    pdf = b"%PDF-1.4 1 0 obj <</Type /Page>> endobj 2 0 obj <</Length 9 /Filter /FlateDecode>>\nstream\n" + packed + b"\nendstream endobj"
+    scan = b"%PDF-1.4 1 0 obj <</Type /Page>> endobj 2 0 obj <</Subtype /Image>>\nstream\nxx\nendstream endobj"
+    files = spark.createDataFrame([("a.pdf", pdf), ("s.pdf", scan), ("t.txt", "one\ftwo".encode()), ("x.bin", b"\x00\x01")], "path string, content binary")
+    got = {r.path: r for r in io.extract_files(files, io.EXTRACTORS, io.EXTRACTED).collect()}
+    assert got["a.pdf"].pages == ["Hello\nwor(ld"] and not got["a.pdf"].is_scanned and got["a.pdf"].tools_used == ["pdf_text"]
+    assert got["s.pdf"].is_scanned and got["s.pdf"].page_count == 1
+    assert got["t.txt"].pages == ["one", "two"] and got["t.txt"].tools_used == ["pdf_text", "text_pages"] and got["t.txt"].error_message is None
+    assert "not a PDF" in got["x.bin"].error_message and "not plain text" in got["x.bin"].error_message
+
+
+def test_prototypes_in_blocks(spark):
+    protos = spark.createDataFrame([(f"l{i}", [float(i == j) + 0.1 * i for j in range(4)]) for i in range(9)], "label string, prototype array<double>")
+    rows = spark.createDataFrame([(1, [1.0, 2.0, 3.0, 4.0]), (2, [0.0, 1.0, 0.0, 0.0]), (3, None)], "id int, vector array<double>")
+    one, many = ([r.ranked for r in classify.scored(rows, protos, block=b).orderBy("id").collect()] for b in (100, 2))
+    assert one[:2] == many[:2] and len(one[0]) == 9 and one[1][0].label == "l1"
+
+
+def test_alignment_scores_and_marks(spark):
+    rows = spark.createDataFrame([([None, 0, 0, 1, None], ["B-DRUG", "O"], [1.0, 3.0, 3.0])], "w array<int>, t array<string>, l array<double>")
+    got = rows.select(evaluate.aligned(F.col("w"), F.col("t"), ["O", "B-DRUG"]).alias("a"), evaluate.softmax_best(F.col("l")).alias("b")).first()
+    assert got.a == [-100, 1, -100, 0, -100] and got.b.label == 1 and abs(got.b.score - 1 / (2 + np.exp(-2.0))) < 1e-12
+    text = spark.createDataFrame([("a <b> c", [(2, 5, "DRUG")])], "t string, s array<struct<start:int,end:int,label:string>>")
+    assert text.select(ent.highlighted(F.col("t"), F.col("s"), html=True).alias("m")).first().m == 'a <mark class="entity" data-type="DRUG">&lt;b&gt;</mark> c'
+
+
+def test_whole_rows_of_runs_and_unions(spark):
+    a = spark.createDataFrame([("x", 2, "q"), ("x", 1, "p"), ("y", 3, "r")], "section_id string, n int, s string")
+    assert {tuple(r) for r in structure.unique_by(a).collect()} == {("x", 1, "p"), ("y", 3, "r")}
+    assert [tuple(r) for r in structure.repeated_keys(a).collect()] == [("x", 2)]
+    assert structure.stacked([structure.empty_like(a), a.drop("s"), a]).count() == 6

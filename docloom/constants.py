@@ -59,3 +59,18 @@ PAGE_CHARS = 5000
 CONTEXT_CHARS = 200
 ERROR_CHARS = 1000
 HEADER_TOP = 100
+
+# Section rules in order (type, pattern, whether it looks at lower case), and the marks of a table of contents.
+SECTION_RULES = [
+    ("toc_entry", r"^[\d.]+\s+.+[.\s]+\d+\s*$", False),
+    ("heading", r"^(chapter|section|article|part)\s+[\divxlc]+", True),
+    ("heading", r"^[\d.]+\s+[A-Z]", False),
+    ("appendix", r"^appendix\s+[a-z\d]", True),
+    ("list_item", r"^[-•*]\s", False),
+    ("figure_caption", r"^(figure|fig\.?)\s+\d+", True),
+    ("table_caption", r"^(table|tbl\.?)\s+\d+", True),
+    ("equation", r"[∫∑∏√∂∇≠≤≥±×÷]", False),
+]
+CONTENTS_WORDS = ("table of contents", "contents", "index")
+LEADERS = r"\.{3,}\s*\d+"
+LINE_NUMBER = r"[.\s]+\d{1,4}\s*$"

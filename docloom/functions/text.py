@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docloom.constants import LABEL_TYPES
+from docloom.constants import CONTENTS_WORDS, LABEL_TYPES, LEADERS, LINE_NUMBER, SECTION_RULES
 
 
 def stripped(c: Column) -> Column:
@@ -23,30 +23,18 @@ def word_count(c: Column) -> Column:
 def is_toc_page(c: Column) -> Column:
     """A contents word with dot leaders, or more than five lines of which over half end in a page number."""
     low = F.lower(c)
-    named = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in ("table of contents", "contents", "index")])
+    named = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in CONTENTS_WORDS])
     lines = F.filter(F.split(c, "\n"), lambda x: stripped(x) != "")
-    numbered = F.filter(lines, lambda x: x.rlike(r"[.\s]+\d{1,4}\s*$"))
+    numbered = F.filter(lines, lambda x: x.rlike(LINE_NUMBER))
     many = (F.size(lines) > 5) & (F.size(numbered) * 2 > F.size(lines))
-    return F.coalesce((F.length(stripped(c)) >= 20) & ((named & c.rlike(r"\.{3,}\s*\d+")) | many), F.lit(False))
+    return F.coalesce((F.length(stripped(c)) >= 20) & ((named & c.rlike(LEADERS)) | many), F.lit(False))
 
 
-#: Rules in order: type, pattern, whether it looks at lower case.
-_RULES = [
-    ("toc_entry", r"^[\d.]+\s+.+[.\s]+\d+\s*$", False),
-    ("heading", r"^(chapter|section|article|part)\s+[\divxlc]+", True),
-    ("heading", r"^[\d.]+\s+[A-Z]", False),
-    ("appendix", r"^appendix\s+[a-z\d]", True),
-    ("list_item", r"^[-•*]\s", False),
-    ("figure_caption", r"^(figure|fig\.?)\s+\d+", True),
-    ("table_caption", r"^(table|tbl\.?)\s+\d+", True),
-    ("equation", r"[∫∑∏√∂∇≠≤≥±×÷]", False),
-]
-
-
-def section_type(c: Column) -> Column:
-    t = stripped(c)
+def section_type(c: Column, plain: Column | None = None) -> Column:
+    """``plain``: the stripped text, where a column has it; each rule looks at it."""
+    t = stripped(c) if plain is None else plain
     out = F.lit("paragraph")
-    for kind, pattern, low in reversed(_RULES):
+    for kind, pattern, low in reversed(SECTION_RULES):
         fits = (F.lower(t) if low else t).rlike(pattern)
         if kind == "heading" and not low:
             fits = fits & (F.length(t) < 100)
@@ -59,9 +47,9 @@ def label_type(label: Column) -> Column:
     return F.coalesce(F.try_element_at(known, F.lower(label)), F.lit("paragraph"))
 
 
-def heading_level(c: Column, kind: Column) -> Column:
+def heading_level(c: Column, kind: Column, plain: Column | None = None) -> Column:
     """Depth of a dotted number, 1 without one; null unless a heading."""
-    number = F.regexp_replace(F.regexp_extract(stripped(c), r"^([\d.]+)", 1), r"^\.+|\.+$", "")
+    number = F.regexp_replace(F.regexp_extract(stripped(c) if plain is None else plain, r"^([\d.]+)", 1), r"^\.+|\.+$", "")
     return F.when(kind == "heading", F.size(F.split(number, r"\.")))
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,5 +35,14 @@ def is_zero(v: Column) -> Column:
 def hashed_embedding(text: Column, dims: int = 64) -> Column:
     """A deterministic bag-of-words vector, for pipelines without a model: each token adds one to a hashed dimension."""
     slots = F.transform(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""), lambda w: F.pmod(F.xxhash64(w), F.lit(dims)).cast("int"))
-    counts = let(slots, lambda s: F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: (F.size(s) - F.size(F.array_remove(s, d))).cast("double")))
-    return normalized(counts)
+
+    @F.arrow_udf("array<double>")
+    def counted(column: pa.Array) -> pa.Array:
+        size = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+        row = np.repeat(np.arange(len(column)), size)
+        out = np.bincount(row * dims + column.flatten().to_numpy(zero_copy_only=False), minlength=len(column) * dims).reshape(len(column), dims).astype(float)
+        norm = np.sqrt((out * out).sum(1, keepdims=True))
+        out /= np.where(norm > 0, norm, 1)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(column) + 1, dtype=np.int32) * dims), pa.array(out.ravel()))
+
+    return counted(F.coalesce(slots, F.array().cast("array<int>")))

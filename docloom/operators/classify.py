@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom.constants import MIN_CONFIDENCE, MIN_MARGIN, SECONDARY_GAP, SECONDARY_SCORE, TOP_K
 from docloom.functions import vectors as vx
-from docloom.functions.binding import let
 
-#: Prototypes a classification takes; they are part of every task.
-MAX_PROTOTYPES = 20_000
+#: Prototypes of a block.
+BLOCK = 4_096
 
 
 def prototypes(phrases: DataFrame, label: str = "label", vector: str = "vector") -> DataFrame:
@@ -21,24 +26,58 @@ def prototypes(phrases: DataFrame, label: str = "label", vector: str = "vector")
     return dims.groupBy("label").agg(mean.alias("m")).select("label", vx.normalized(F.col("m")).alias("prototype"))
 
 
-def scored(vectors: DataFrame, protos: DataFrame, vector: str = "vector", digits: int | None = None) -> DataFrame:
+def scored(vectors: DataFrame, protos: DataFrame, vector: str = "vector", digits: int | None = None, block: int = BLOCK) -> DataFrame:
     """``ranked``: labels with their cosine scores, best first, ties by label.
 
-    Prototypes are a dimension: they are gathered once, after a check of their number, and every row scores them all in place.
+    Prototypes are read a block at a time, so the driver holds no more than one, and each block is broadcast as a matrix; a row's scores of all blocks are ranked together.
     """
-    rows = protos.orderBy("label").limit(MAX_PROTOTYPES + 1).collect()
-    if len(rows) > MAX_PROTOTYPES:
-        raise ValueError(f"more than {MAX_PROTOTYPES} prototypes; score in blocks")
-    table = F.array(*[F.struct(F.lit(r.label).alias("label"), F.array(*[F.lit(float(x)) for x in r.prototype]).alias("p")) for r in rows])
-    v = vx.normalized(F.col(vector).cast("array<double>"))
-
-    def score(u: Column, p: Column) -> Column:
-        s = vx.dot(u, p)
-        return F.round(s, digits) if digits is not None else s
-
-    each = let(v, lambda u: F.transform(table, lambda t: F.struct((-score(u, t["p"])).alias("s"), t["label"].alias("label"))))
+    spark = vectors.sparkSession
+    blocks, labels, rows = [], [], []
+
+    def put() -> None:
+        blocks.append(spark.sparkContext.broadcast(np.array([r.prototype for r in rows], np.float64)))
+        labels.append(F.array(*[F.lit(r.label) for r in rows]))
+        rows.clear()
+
+    for r in protos.orderBy("label").toLocalIterator():
+        rows.append(r)
+        if len(rows) == block:
+            put()
+    if rows:
+        put()
+    if not blocks:
+        return vectors.withColumn("ranked", F.array().cast("array<struct<label:string,score:double>>"))
+    unit = vectors.withColumn("__unit", vx.normalized(F.col(vector).cast("array<double>")))
+    schema = T.StructType([*vectors.schema.fields, T.StructField("__scores", T.ArrayType(T.DoubleType()))])
+    scores = F.col("__scores") if digits is None else F.transform("__scores", lambda s: F.round(s, digits))
+    each = F.zip_with(scores, F.concat(*labels), lambda s, label: F.struct((-s).alias("s"), label.alias("label")))
     ranked = F.transform(F.array_sort(each), lambda t: F.struct(t["label"].alias("label"), (-t["s"]).alias("score")))
-    return vectors.withColumn("ranked", ranked)
+    return unit.mapInArrow(_score(blocks), schema).withColumn("ranked", ranked).drop("__scores")
+
+
+def _score(blocks: list):
+    """Replaces unit vectors, the last column, by their products with all prototypes; a vector of another length has no numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(batch.num_columns - 1)
+            size = pc.fill_null(pc.list_value_length(column), -1).to_numpy()
+            parts = []
+            for shared in blocks:
+                m = shared.value
+                whole = size == m.shape[1]
+                v = column.filter(pa.array(whole)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, m.shape[1])
+                out = np.zeros((len(v), len(m)))
+                for j in range(m.shape[1]):  # in order of dimensions, as every engine sums
+                    out += v[:, j : j + 1] * m[:, j]
+                made = np.full((len(column), len(m)), np.nan)
+                made[whole] = out
+                parts.append(made)
+            every = np.concatenate(parts, axis=1)
+            ends = pa.array(np.arange(len(column) + 1, dtype=np.int32) * every.shape[1])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(every.ravel()))], names=[*batch.schema.names[:-1], "__scores"])
+
+    return run
 
 
 def status(top: Column, second: Column) -> Column:

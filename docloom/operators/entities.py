@@ -5,15 +5,20 @@ Exploded entities have ``protocol_id, section_id, classification, category_domai
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from html import escape
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from docloom.functions.binding import let
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 
 
 def mean(c: str) -> Column:
-    """Average of a score in ten-thousandths, summed as whole numbers, so the result does not depend on order."""
-    return F.sum(F.round(F.col(c) * 10000).cast("long")) / F.count(c) / 10000
+    """Average of a score, summed in trillionths as decimals, so the result does not depend on the order of rows."""
+    return F.sum(F.col(c).cast("decimal(28,12)")).cast("double") / F.count(c)
 
 
 def joined_set(c: str) -> Column:
@@ -31,14 +36,27 @@ def exploded(sections: DataFrame) -> DataFrame:
 
 
 def catalog(entities: DataFrame) -> DataFrame:
+    """Distinct entities with where they occur; ``protocol_list`` and ``text_variants`` are sorted."""
     rows = normalized(entities).groupBy("entity_norm", "entity_type").agg(
         F.count("*").alias("occurrence_count"), F.count_distinct("protocol_id").alias("protocol_count"), F.count_distinct("section_id").alias("section_count"),
         mean("confidence").alias("avg_confidence"), F.min("confidence").alias("min_confidence"), F.max("confidence").alias("max_confidence"),
         joined_set("classification").alias("found_in_classifications"), joined_set("category_domain").alias("found_in_domains"),
         F.min("entity_text").alias("canonical_text"), F.count_distinct("entity_text").alias("variant_count"),
+        F.array_sort(F.collect_set("protocol_id")).alias("protocol_list"), F.array_sort(F.collect_set("entity_text")).alias("text_variants"),
     )
-    w = Window.partitionBy("entity_type").orderBy(F.desc("occurrence_count"), "entity_norm")
-    return rows.withColumns({"entity_id": F.concat_ws("_", "entity_type", F.md5("entity_norm")), "rank_in_type": F.row_number().over(w)})
+    return with_rank(rows).withColumn("entity_id", F.concat_ws("_", "entity_type", F.md5("entity_norm")))
+
+
+def with_rank(rows: DataFrame, prefix: int = 3) -> DataFrame:
+    """``rank_in_type`` by count, then text.  A type is ranked in groups of equal counts and beginnings of texts: how many rows the
+    groups before one hold is summed over groups, so no task sorts a whole type."""
+    keys = ["entity_type", "occurrence_count", "__prefix"]
+    rows = rows.withColumn("__prefix", F.substring("entity_norm", 1, prefix))
+    groups = rows.groupBy(*keys).agg(F.count("*").alias("__many"))
+    before = Window.partitionBy("entity_type").orderBy(F.desc("occurrence_count"), "__prefix").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select(*keys, F.coalesce(F.sum("__many").over(before), F.lit(0)).alias("__before"))
+    own = F.row_number().over(Window.partitionBy(*keys).orderBy("entity_norm"))
+    return rows.withColumn("__own", own).join(groups, keys).withColumn("rank_in_type", (F.col("__before") + F.col("__own")).cast("int")).drop("__prefix", "__own", "__before")
 
 
 def type_counts(entities: DataFrame, key: str = "protocol_id") -> DataFrame:
@@ -57,17 +75,24 @@ def protocol_summary(entities: DataFrame) -> DataFrame:
 def pairs(entities: DataFrame) -> DataFrame:
     """All unordered pairs of a section's entities, the smaller text first (type settles ties).
 
-    A pair row is the operator's output, so a section's pairs are as many as asked for; they are made by an array step in the
-    row of the section, from entities that are grouped once.
+    A pair row is the operator's output, so a section's pairs are as many as asked for; they come from a join of the section
+    with itself by position, which spills and can be split where a section is large.
     """
-    rows = normalized(entities).groupBy("protocol_id", "section_id", "classification").agg(F.array_sort(F.collect_list(F.struct(F.col("entity_norm").alias("t"), F.col("entity_type").alias("k")))).alias("e"))
-    first = rows.select("protocol_id", "section_id", "classification", "e", F.posexplode("e").alias("i", "a"))
-    out = first.select("protocol_id", "section_id", "classification", "a", F.explode(F.slice("e", F.col("i") + 2, F.size("e"))).alias("b"))
-    return out.select("protocol_id", "section_id", "classification", F.col("a.t").alias("entity1"), F.col("b.t").alias("entity2"), F.col("a.k").alias("type1"), F.col("b.k").alias("type2"))
+    keys = ["protocol_id", "section_id", "classification"]
+    rows = normalized(entities).select(*keys, "entity_norm", "entity_type")
+    rows = rows.withColumn("i", F.row_number().over(Window.partitionBy(*keys).orderBy("entity_norm", "entity_type")))
+    a, b = (rows.select(*keys, F.col("entity_norm").alias(f"entity{n}"), F.col("entity_type").alias(f"type{n}"), F.col("i").alias(f"i{n}")) for n in (1, 2))
+    return a.join(b, keys).filter("i1 < i2").select(*keys, "entity1", "entity2", "type1", "type2")
 
 
 def cooccurrence(entities: DataFrame) -> DataFrame:
-    return pairs(entities).groupBy("entity1", "entity2", "type1", "type2").agg(F.count("*").alias("cooccurrence_count"), F.count_distinct("protocol_id").alias("protocol_count"), F.count_distinct("section_id").alias("section_count"), joined_set("classification").alias("cooccurring_in"))
+    """How often two entities share a section.  Repeats in a section are counted before they meet, so they do not multiply rows."""
+    keys = ["protocol_id", "section_id", "classification"]
+    each = normalized(entities).groupBy(*keys, "entity_norm", "entity_type").agg(F.count("*").alias("c"))
+    a, b = (each.select(*keys, F.struct(F.col("entity_norm").alias("t"), F.col("entity_type").alias("k")).alias(f"e{n}"), F.col("c").alias(f"c{n}")) for n in (1, 2))
+    many = F.when(F.col("e1") == F.col("e2"), F.col("c1") * (F.col("c1") - 1) / 2).otherwise(F.col("c1") * F.col("c2")).cast("long")
+    met = a.join(b, keys).filter("e1 <= e2").withColumn("many", many).filter("many > 0")
+    return met.groupBy(F.col("e1.t").alias("entity1"), F.col("e2.t").alias("entity2"), F.col("e1.k").alias("type1"), F.col("e2.k").alias("type2")).agg(F.sum("many").alias("cooccurrence_count"), F.count_distinct("protocol_id").alias("protocol_count"), F.count_distinct("section_id").alias("section_count"), joined_set("classification").alias("cooccurring_in"))
 
 
 def category_distribution(entities: DataFrame, top: int = 10) -> DataFrame:
@@ -93,7 +118,83 @@ def type_distribution(entities: DataFrame) -> DataFrame:
     return normalized(entities).groupBy("entity_type").agg(F.count("*").alias("entity_count"), mean("confidence").alias("avg_confidence"), F.count_distinct("entity_norm").alias("unique_entities"))
 
 
-_SPAN = "struct<text:string,entity_type:string,start_pos:int,end_pos:int,confidence:double>"
+# --- spans and tags: one pass over each row's words, in Arrow batches, so that work follows the length of a text ---
+
+WORD = "struct<word:string,start:int,end:int>"
+TOKEN = "struct<label:string,start:int,end:int,confidence:double>"
+SPAN = "struct<text:string,entity_type:string,start_pos:int,end_pos:int,confidence:double>"
+#: White space as the JVM's expressions know it.
+_BLANK = " \t\n\x0b\f\r"
+_WORDS = re.compile(f"[^{_BLANK}]+")
+
+
+def arrow_type(ddl: str) -> pa.DataType:
+    return to_arrow_type(_parse_datatype_string(ddl))
+
+
+def by_row(kind: str, run: Callable, *columns: Column) -> Column:
+    """A function of a row's Python values over Arrow batches; null if its first value is."""
+    made = arrow_type(kind)
+
+    @F.arrow_udf(kind)
+    def apply(*arrays: pa.Array) -> pa.Array:
+        rows = zip(*(a.to_pylist() for a in arrays), strict=True)
+        return pa.array([None if r[0] is None else run(*r) for r in rows], made)
+
+    return apply(*columns)
+
+
+def words_of(text: str) -> list[dict]:
+    return [{"word": m.group(), "start": m.start(), "end": m.end()} for m in _WORDS.finditer(text)]
+
+
+def spans_of(tokens: list[dict], text: str | None, relaxed: bool) -> list[dict]:
+    done: list[dict] = []
+    open_: dict | None = None
+    for t in tokens:
+        if t["start"] == t["end"]:
+            continue
+        mark, kind = t["label"][:2], t["label"][2:]
+        if mark not in ("B-", "I-"):
+            open_ = None
+        elif open_ and open_["entity_type"] == kind and (relaxed or mark == "I-"):
+            open_["end_pos"], open_["confidence"] = t["end"], (open_["confidence"] + t["confidence"]) / 2
+        else:
+            open_ = {"entity_type": kind, "start_pos": t["start"], "end_pos": t["end"], "confidence": t["confidence"]}
+            done.append(open_)
+    for s in done:
+        s["text"] = (text or "")[s["start_pos"] : s["end_pos"]]
+    return done
+
+
+def tags_of(words: list[dict], spans: list[dict] | None) -> list[str]:
+    out: list[str] = []
+    marks = sorted(enumerate(spans or []), key=lambda x: x[1]["start"])
+    live: list[tuple[int, dict]] = []
+    at = 0
+    for w in words:
+        while at < len(marks) and marks[at][1]["start"] <= w["start"]:
+            live.append(marks[at])
+            at += 1
+        live = [x for x in live if x[1]["end"] > w["start"]]
+        if not live:
+            out.append("O")
+            continue
+        last = max(live, key=lambda x: x[0])[1]  # later spans overwrite earlier ones
+        begins = last["start"] == w["start"] or not out or out[-1] == "O"
+        out.append(("B-" if begins else "I-") + last["label"])
+    return out
+
+
+def marked_of(text: str, spans: list[dict] | None, html: bool) -> str:
+    out, at = [], 0
+    plain = escape if html else str
+    for s in sorted(spans or [], key=lambda s: (s["start"], s["end"], s["label"])):
+        inside = plain(text[s["start"] : s["end"]])
+        made = f'<mark class="entity" data-type="{plain(s["label"])}">{inside}</mark>' if html else f"[{inside}]({s['label']})"
+        out += [plain(text[at : s["start"]]) if at <= s["start"] else "", made]
+        at = s["end"]
+    return "".join([*out, plain(text[at:])])
 
 
 def decoded_spans(tokens: Column, text: Column, relaxed: bool = False) -> Column:
@@ -102,56 +203,19 @@ def decoded_spans(tokens: Column, text: Column, relaxed: bool = False) -> Column
     A B- tag begins a span and an I- tag of the same type extends it; relaxed, a B- tag of the same type extends as well.  O, or
     another type, ends it.  A span's confidence is folded as the mean of what it has and the next.  Empty tokens are skipped.
     """
-    none = F.lit(None).cast(_SPAN)
-    start = F.struct(F.array().cast(f"array<{_SPAN}>").alias("done"), none.alias("cur"))
-
-    def step(acc: Column, t: Column) -> Column:
-        cur, kind = acc["cur"], F.substr(t["label"], F.lit(3))
-        tagged = F.startswith(t["label"], F.lit("B-")) | F.startswith(t["label"], F.lit("I-"))
-        grows = cur.isNotNull() & (cur["entity_type"] == kind) & (F.lit(relaxed) | F.startswith(t["label"], F.lit("I-"))) & tagged
-
-        def span(a: Column, c: Column) -> Column:
-            return F.struct(F.substr(text, a + 1, t["end"] - a).alias("text"), kind.alias("entity_type"), a.cast("int").alias("start_pos"), t["end"].cast("int").alias("end_pos"), c.cast("double").alias("confidence"))
-
-        closed = F.when(cur.isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(cur)))
-        new = F.when(grows, F.struct(acc["done"].alias("done"), span(cur["start_pos"], (cur["confidence"] + t["confidence"]) / 2).alias("cur"))).when(tagged, F.struct(closed.alias("done"), span(t["start"], t["confidence"]).alias("cur"))).otherwise(F.struct(closed.alias("done"), none.alias("cur")))
-        return F.when(t["start"] == t["end"], acc).otherwise(new)
-
-    return F.aggregate(tokens, start, step, lambda a: F.when(a["cur"].isNull(), a["done"]).otherwise(F.concat(a["done"], F.array(a["cur"]))))
+    return by_row(f"array<{SPAN}>", lambda t, x: spans_of(t, x, relaxed), tokens, text)
 
 
 def words_with_offsets(text: Column) -> Column:
     """Words between white space as (word, start, end)."""
-    words = F.regexp_extract_all(text, F.lit(r"(\S+)"), 1)
-    init = F.struct(F.array().cast("array<struct<word:string,start:int,end:int>>").alias("out"), F.lit(0).alias("at"))
-
-    def step(acc: Column, w: Column) -> Column:
-        a = F.call_function("locate", w, text, acc["at"] + 1) - 1
-        return F.struct(F.concat(acc["out"], F.array(F.struct(w.alias("word"), a.alias("start"), (a + F.length(w)).alias("end")))).alias("out"), (a + F.length(w)).alias("at"))
-
-    return F.aggregate(words, init, step, lambda a: a["out"])
+    return by_row(f"array<{WORD}>", words_of, text)
 
 
 def encoded_labels(words: Column, spans: Column) -> Column:
     """A tag for each word, by its first character; a word that begins inside a span after O, or at the start, is B-."""
+    return by_row("array<string>", tags_of, words, spans)
 
-    def tag(w: Column, marks: Column) -> Column:
-        inside = F.filter(marks, lambda s: (s["start"] <= w["start"]) & (w["start"] < s["end"]))
-        last = F.try_element_at(inside, F.lit(-1))  # later spans overwrite earlier ones
-        return F.coalesce(F.concat(F.when(last["start"] == w["start"], "B-").otherwise("I-"), last["label"]), F.lit("O"))
-
-    def begun(tags: Column) -> Column:
-        return F.transform(tags, lambda t, i: F.when(F.startswith(t, F.lit("I-")) & ((i == 0) | (F.get(tags, i - 1) == "O")), F.concat(F.lit("B-"), F.substr(t, F.lit(3)))).otherwise(t))
-
-    return let(spans, lambda s: let(F.transform(words, lambda w: tag(w, s)), begun))
-
-
-def highlighted(text: Column, spans: Column) -> Column:
-    """Text with ``[span](LABEL)`` in place of each span, in order of start."""
-    init = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(acc: Column, s: Column) -> Column:
-        made = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.substr(text, s["start"] + 1, s["end"] - s["start"]), F.lit("]("), s["label"], F.lit(")"))
-        return F.struct(made.alias("out"), s["end"].cast("int").alias("at"))
 
-    return F.aggregate(F.array_sort(spans), init, step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)))
+def highlighted(text: Column, spans: Column, html: bool = False) -> Column:
+    """Text with ``[span](LABEL)`` in place of each span, in order of start; in HTML a mark element, the rest escaped."""
+    return by_row("string", lambda t, s: marked_of(t, s, html), text, spans)

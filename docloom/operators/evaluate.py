@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,6 +33,32 @@ def class_weights(tags: DataFrame, labels: list[str], tag: str = "tag") -> DataF
     return every.join(F.broadcast(known), "label", "left_semi").select("label", F.coalesce("n", F.lit(0)).alias("n"), F.when(F.startswith("label", F.lit("B-")), held * 1.5).otherwise(held).alias("weight"))
 
 
-def in_training(key: str, percent: int = 80):
-    """A stable split by a hash of a key."""
-    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(100)) < percent
+def in_training(key: str, percent: int = 80, seed: int = 42) -> Column:
+    """A stable split by a hash of a seed and a key; another seed deals anew, and no row depends on the others."""
+    return F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), 1, 4) < F.lit(f"{65536 * percent // 100:04x}")
+
+
+def label_maps(labels: list[str]) -> tuple[dict[str, int], dict[int, str]]:
+    """Numbers of labels, in their order, and back."""
+    numbers = {label: i for i, label in enumerate(labels)}
+    return numbers, {i: label for label, i in numbers.items()}
+
+
+def aligned(word_numbers: Column, tags: Column, labels: list[str], ignored: int = -100) -> Column:
+    """A label's number for each sub-token: at the first one of a word its tag's, at others and at special ones (null) ``ignored``.
+
+    ``word_numbers``: for each sub-token the word it is of; ``tags``: a tag for each word.
+    """
+    numbers = F.create_map(*[F.lit(x) for pair in label_maps(labels)[0].items() for x in pair])
+
+    def number(w: Column, i: Column) -> Column:
+        first = w.isNotNull() & ((i == 0) | ~w.eqNullSafe(F.get(word_numbers, i - 1)))
+        return F.when(first, F.coalesce(F.try_element_at(numbers, F.get(tags, w)), F.lit(ignored))).otherwise(ignored)
+
+    return F.transform(word_numbers, number)
+
+
+def softmax_best(logits: Column) -> Column:
+    """``label`` (index of the largest, the first among equals) and ``score``, its share under softmax."""
+    top = F.array_max(logits)
+    return F.struct((F.array_position(logits, top) - 1).cast("int").alias("label"), (F.lit(1.0) / F.aggregate(logits, F.lit(0.0), lambda t, x: t + F.exp(x - top))).alias("score"))

@@ -69,7 +69,21 @@ def formulas(items: DataFrame) -> DataFrame:
 
 
 def errors(failed: DataFrame, stage: str) -> DataFrame:
-    return failed.select("document_id", F.lit(stage).alias("error_stage"), F.left("error_message", F.lit(ERROR_CHARS)).alias("error_message"))
+    """Rows of what failed: stage, the message cut to its limit, and the whole report, if there is a column ``traceback``."""
+    trace = F.col("traceback") if "traceback" in failed.columns else F.lit(None).cast("string")
+    return failed.select("document_id", F.lit(stage).alias("error_stage"), F.left("error_message", F.lit(ERROR_CHARS)).alias("error_message"), trace.alias("traceback"))
+
+
+def document_summary(pages: DataFrame) -> DataFrame:
+    """A row for each document from its pages (``page_number``, ``is_toc``, ``error_message``, ``tool``, ``started``, ``ended``):
+    pages, seconds, engine (the tool of most pages, ties to the first by name), and the numbers of contents and error pages."""
+    tools = pages.groupBy("document_id", "tool").agg(F.count("*").alias("n")).groupBy("document_id").agg(F.min_by("tool", F.struct(-F.col("n"), "tool")).alias("engine"))
+    out = pages.groupBy("document_id").agg(
+        F.count_distinct("page_number").alias("page_count"), (F.unix_micros(F.max(F.col("ended").cast("timestamp"))) - F.unix_micros(F.min(F.col("started").cast("timestamp")))).alias("micros"),
+        F.array_sort(F.collect_set(F.when(F.col("is_toc"), F.col("page_number")))).alias("toc_pages"),
+        F.array_sort(F.collect_set(F.when(F.col("error_message").isNotNull(), F.col("page_number")))).alias("error_pages"),
+    )
+    return out.withColumn("duration_seconds", F.col("micros") / 1_000_000).drop("micros").join(tools, "document_id")
 
 
 def registry(read: DataFrame) -> DataFrame:

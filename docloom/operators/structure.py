@@ -82,7 +82,7 @@ def with_leaf(sections: DataFrame) -> DataFrame:
 
 
 def merged_paragraphs(sections: DataFrame, most: int = MERGE_WORDS) -> DataFrame:
-    """Runs of short paragraphs of one page and parent as one section each: first id and order, joined text, how many."""
+    """Runs of short paragraphs of one page and parent as one section each: all attributes of the first, joined text, how many."""
     near = Window.partitionBy("document_id", "page_number", F.coalesce("parent_section_id", F.lit("ROOT"))).orderBy("doc_order")
     short = (F.col("section_type") == "paragraph") & (tx.word_count(F.coalesce("content_text", F.lit(""))) <= most)
     out = sections.withColumn("__short", F.coalesce(short, F.lit(False)))
@@ -90,7 +90,9 @@ def merged_paragraphs(sections: DataFrame, most: int = MERGE_WORDS) -> DataFrame
     out = out.withColumn("__new", F.when(joins, 0).otherwise(1))
     run = Window.partitionBy("document_id").orderBy("doc_order").rowsBetween(Window.unboundedPreceding, 0)
     out = out.withColumn("merge_group", F.sum("__new").over(run))
-    first = F.min_by(F.struct("section_id", "section_type", "parent_section_id", "heading_level"), "doc_order")
+    # The first section of a run gives all that is not made of the whole run.
+    made = {"document_id", "merge_group", "page_number", "doc_order", "merged_count", "content_text", "__short", "__new"}
+    first = F.min_by(F.struct(*[c for c in out.columns if c not in made]), "doc_order")
     texts = F.transform(F.array_sort(F.collect_list(F.struct("doc_order", F.coalesce("content_text", F.lit("")).alias("t")))), lambda x: x["t"])
     return out.groupBy("document_id", "merge_group").agg(first.alias("f"), F.min("page_number").alias("page_number"), F.min("doc_order").alias("doc_order"), F.count("*").alias("merged_count"), F.array_join(texts, " ").alias("content_text")).select("document_id", "merge_group", "f.*", "page_number", "doc_order", "merged_count", "content_text")
 
@@ -103,3 +105,27 @@ def chunked(sections: DataFrame, over: int = CHUNK_OVER_WORDS, most: int = CHUNK
     out = sections.select(*rest, F.col("section_id").alias("__id"), long_.alias("__long"), F.posexplode(parts).alias("__i", "content_text"))
     index = F.when(F.col("__long"), F.col("__i") + 1)
     return out.select(*rest, F.when(F.col("__long"), F.concat("__id", F.lit("_c"), index)).otherwise(F.col("__id")).alias("section_id"), "content_text", index.alias("chunk_index"))
+
+
+def stacked(parts: list[DataFrame]) -> DataFrame:
+    """Tables one below the other, columns by name; what one lacks is null."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def unique_by(rows: DataFrame, key: str = "section_id") -> DataFrame:
+    """One row for each key: the one whose other columns sort first, so the choice repeats."""
+    rest = [c for c in rows.columns if c != key]
+    return rows.groupBy(key).agg(F.min(F.struct(*rest)).alias("__one")).select(*[F.col(key) if c == key else F.col(f"__one.{c}") for c in rows.columns])
+
+
+def repeated_keys(rows: DataFrame, key: str = "section_id") -> DataFrame:
+    """Keys that several rows have, and how many."""
+    return rows.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def empty_like(rows: DataFrame) -> DataFrame:
+    """No rows, with the columns of a table; nothing is read."""
+    return rows.sparkSession.createDataFrame([], rows.schema)

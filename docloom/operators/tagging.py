@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import regex as re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,53 +16,44 @@ from docloom.functions.binding import let
 from docloom.operators import entities as ent
 
 Tagger = Callable[[Column], Column]
-#: Phrases of a gazetteer, which is part of the plan, and words of a phrase.
-MAX_TERMS = 5_000
-MAX_WORDS = 3
+_EDGES = re.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
 
 
 def gazetteer(terms: dict[str, str], confidence: float = 1.0) -> Tagger:
-    """A tagger of phrases (in lower case) and their types: the longest phrase at a word wins, from left to right."""
-    if len(terms) > MAX_TERMS:
-        raise ValueError(f"more than {MAX_TERMS} terms; join them as a table")
-    longest = max((len(t.split()) for t in terms), default=1)
-    if longest > MAX_WORDS:
-        raise ValueError(f"a phrase has over {MAX_WORDS} words")
-    known = F.create_map(*[F.lit(x) for pair in terms.items() for x in pair]) if terms else F.lit(None).cast("map<string,string>")
-
-    token = "struct<label:string,start:int,end:int,confidence:double>"
-    init = F.struct(F.array().cast(f"array<{token}>").alias("out"), F.lit(0).alias("left"), F.lit("").alias("kind"))
-
-    def step(acc: Column, x: Column) -> Column:
-        inside, begins = acc["left"] > 0, x["hit"].isNotNull()
-        kind = F.when(inside, acc["kind"]).otherwise(F.coalesce(x["hit"]["label"], F.lit("")))
-        label = F.when(inside, F.concat(F.lit("I-"), kind)).when(begins, F.concat(F.lit("B-"), kind)).otherwise("O")
-        made = F.struct(label.alias("label"), x["w"]["start"].alias("start"), x["w"]["end"].alias("end"), F.lit(confidence).alias("confidence"))
-        left = F.when(inside, acc["left"] - 1).when(begins, x["hit"]["n"] - 1).otherwise(0)
-        return F.struct(F.concat(acc["out"], F.array(made)).alias("out"), left.alias("left"), kind.alias("kind"))
-
-    def longer_than(shorter: Column, n: int) -> Tagger:
-        return lambda label: F.when(label.isNotNull(), F.struct(F.lit(n).alias("n"), label.alias("label"))).otherwise(shorter)
-
-    def tokens(words: Column, plain: Column) -> Column:
-        def at(i: Column) -> Column:
-            found = F.lit(None).cast("struct<n:int,label:string>")
-            for n in range(1, longest + 1):
-                term = F.array_join(F.slice(plain, i + 1, n), " ")
-                label = F.when(i + n <= F.size(plain), F.try_element_at(known, term))
-                found = let(label, longer_than(found, n))
-            return found
-
-        marked = F.transform(words, lambda w, i: F.struct(w.alias("w"), at(i).alias("hit")))
-        return F.aggregate(marked, init, step, lambda a: a["out"])
-
-    def tag(text: Column) -> Column:
-        def plain(words: Column) -> Column:
-            return F.transform(words, lambda w: F.regexp_replace(F.lower(w["word"]), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
-
-        return let(ent.words_with_offsets(text), lambda words: let(plain(words), lambda p: tokens(words, p)))
-
-    return tag
+    """A tagger of phrases (in lower case) and their types: the longest phrase at a word wins, from left to right.
+
+    Phrases may be of any number and length; they go to the workers with the function, once a task.
+    """
+    by_first: dict[str, list[int]] = {}
+    for term in terms:
+        by_first.setdefault(term.split()[0] if term.split() else "", []).append(len(term.split()))
+    sizes = {first: sorted(set(many), reverse=True) for first, many in by_first.items()}
+
+    def tokens(text: str) -> list[dict]:
+        words = ent.words_of(text)
+        plain = [_EDGES.sub("", w["word"].lower()) for w in words]
+        out, i = [], 0
+        while i < len(words):
+            n = next((n for n in sizes.get(plain[i], ()) if i + n <= len(words) and " ".join(plain[i : i + n]) in terms), 0)
+            kind = terms[" ".join(plain[i : i + n])] if n else ""
+            for j in range(i, i + max(n, 1)):
+                out.append({"label": f"{'B-' if j == i else 'I-'}{kind}" if n else "O", "start": words[j]["start"], "end": words[j]["end"], "confidence": confidence})
+            i += max(n, 1)
+        return out
+
+    return lambda text: ent.by_row(f"array<{ent.TOKEN}>", tokens, text)
+
+
+def forgiving(tokens: Callable[[str], list[dict]]) -> Tagger:
+    """A tagger from a function of a text that may fail: a text that it fails on has no tokens."""
+
+    def run(text: str) -> list[dict]:
+        try:
+            return tokens(text)
+        except Exception:  # noqa: BLE001  one bad text is no reason to lose the others
+            return []
+
+    return lambda text: ent.by_row(f"array<{ent.TOKEN}>", run, text)
 
 
 def ready(gold: DataFrame) -> DataFrame:

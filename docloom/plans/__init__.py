@@ -1,5 +1,5 @@
 """Registered queries; importing the modules registers them."""
 
-from docloom.plans import registry, reports
+from docloom.plans import ingestion, registry, reports
 
-__all__ = ["registry", "reports"]
+__all__ = ["ingestion", "registry", "reports"]

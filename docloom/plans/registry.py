@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.constants import BIO_TAGS, CHUNK_WORDS, ENTITY_TYPES
 from docloom.functions import text as tx
 from docloom.functions import vectors as vx
-from docloom.operators import classify, evaluate, gold, structure
+from docloom.operators import classify, evaluate, extraction, gold, structure
 from docloom.operators import entities as ent
 from docloom.sources import io
 from docloom.sources.tables import entities, line_sections, load, vectors
@@ -35,7 +35,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 _ENT = """ent as (select o_custkey protocol_id, l_orderkey section_id, o_orderpriority classification, c_mktsegment category_domain, p_name entity_text,
  p_type entity_type, 1 - l_discount confidence, lower(trim(p_name)) entity_norm
  from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey join customer on o_custkey = c_custkey)"""
-_MEAN = "cast(sum(cast(round(confidence * 10000) as bigint)) as double) / count(confidence) / 10000"
+_MEAN = "cast(sum(cast(confidence as decimal(28, 12))) as double) / count(confidence)"
 _STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 
 
@@ -73,10 +73,14 @@ _CLS = """cls as (select a.section_id, a.truth, a.label classification, a.score
 
 @query("ner_catalog", f"""with {_ENT}, g as (select entity_norm, entity_type, count(*) occurrence_count, count(distinct protocol_id) protocol_count, count(distinct section_id) section_count,
  {_MEAN} avg_confidence, min(confidence) min_confidence, max(confidence) max_confidence, string_agg(distinct classification, ',' order by classification) found_in_classifications,
- string_agg(distinct category_domain, ',' order by category_domain) found_in_domains, min(entity_text) canonical_text, count(distinct entity_text) variant_count from ent group by 1, 2)
+ string_agg(distinct category_domain, ',' order by category_domain) found_in_domains, min(entity_text) canonical_text, count(distinct entity_text) variant_count,
+ string_agg(distinct protocol_id::varchar, ',' order by protocol_id::varchar) protocol_list, string_agg(distinct entity_text, ',' order by entity_text) text_variants from ent group by 1, 2)
  select *, entity_type || '_' || md5(entity_norm) entity_id, row_number() over (partition by entity_type order by occurrence_count desc, entity_norm) rank_in_type from g""")
 def ner_catalog(spark: SparkSession, base: str) -> DataFrame:
-    return ent.catalog(entities(spark, base))
+    def joined(c: str) -> Column:
+        return F.array_join(F.array_sort(F.col(c).cast("array<string>")), ",")
+
+    return ent.catalog(entities(spark, base)).withColumns({c: joined(c) for c in ("protocol_list", "text_variants")})
 
 
 @query("ner_protocol_summary", f"""with {_ENT} select protocol_id, count(*) total_entities, count(distinct entity_norm) unique_entities, count(distinct entity_type) unique_entity_types, {_MEAN} avg_entity_confidence,
@@ -240,13 +244,20 @@ def sec_depth_hist(spark: SparkSession, base: str) -> DataFrame:
     return structure.with_hierarchy(_leveled(spark, base)).groupBy(F.coalesce("effective_level", F.lit(0)).cast("long").alias("depth")).agg(F.count("*").alias("n"))
 
 
-@query("sec_merge", f"""with {_SEC}, s as (select *, sequence_number doc_order, (section_type = 'paragraph' and {_words("content_text")} <= 200) short from sec),
- f as (select *, case when short and coalesce(lag(short) over w, false) and lag(doc_order) over w = doc_order - 1 then 0 else 1 end n from s window w as (partition by document_id, page_number order by doc_order)),
+@query("sec_merge", f"""with {_SEC}, m as (select *, case when sequence_number % 7 = 1 then 'heading' when section_type = 'heading' then 'paragraph' else section_type end kind, case when sequence_number % 7 = 1 then (sequence_number * 3 + document_id) % 4 + 1 end eff, sequence_number doc_order from sec),
+ h as (select *, last_value(case when eff = 1 then section_id end ignore nulls) over w h1, last_value(case when eff = 2 then section_id end ignore nulls) over w h2,
+ last_value(case when eff = 3 then section_id end ignore nulls) over w h3, last_value(case when eff = 4 then section_id end ignore nulls) over w h4 from m window w as (partition by document_id order by doc_order rows between unbounded preceding and current row)),
+ s as (select *, coalesce(case when eff is null then coalesce(h4, h3, h2, h1) when eff = 2 then h1 when eff = 3 then h2 when eff = 4 then h3 end, 'ROOT') parent, (kind = 'paragraph' and {_words("content_text")} <= 200) short from h),
+ f as (select *, case when short and coalesce(lag(short) over w, false) and lag(doc_order) over w = doc_order - 1 then 0 else 1 end n from s window w as (partition by document_id, page_number, parent order by doc_order)),
  g as (select *, sum(n) over (partition by document_id order by doc_order rows unbounded preceding) grp from f)
- select document_id, grp::bigint merge_group, min(doc_order)::bigint doc_order, count(*) merged_count, md5(string_agg(content_text, ' ' order by doc_order)) text_md5 from g group by 1, 2""")
+ select document_id, grp::bigint merge_group, min(doc_order)::bigint doc_order, count(*) merged_count, min_by(source, doc_order) source, min_by(section_id, doc_order) section_id, md5(string_agg(content_text, ' ' order by doc_order)) text_md5 from g group by 1, 2""")
 def sec_merge(spark: SparkSession, base: str) -> DataFrame:
-    rows = structure.ordered(line_sections(spark, base)).withColumn("parent_section_id", F.lit(None).cast("string"))
-    return structure.merged_paragraphs(rows).select("document_id", "merge_group", F.col("doc_order").cast("long").alias("doc_order"), "merged_count", F.md5(F.col("content_text").cast("binary")).alias("text_md5"))
+    """Under headings made up of every seventh line, so that parents keep paragraphs apart; a run carries its first section's attributes."""
+    n = F.col("sequence_number")
+    rows = line_sections(spark, base).withColumn("section_type", F.when(n % 7 == 1, "heading").when(F.col("section_type") == "heading", "paragraph").otherwise(F.col("section_type")))
+    rows = rows.withColumn("heading_level", F.when(n % 7 == 1, (n * 3 + F.col("document_id")) % 4 + 1).cast("int"))
+    rows = structure.with_hierarchy(structure.ordered(rows))
+    return structure.merged_paragraphs(rows).select("document_id", "merge_group", F.col("doc_order").cast("long").alias("doc_order"), "merged_count", "source", "section_id", F.md5(F.col("content_text").cast("binary")).alias("text_md5"))
 
 
 _CHUNK = r"""d as (select doc_id, regexp_replace(regexp_replace(text, '([.!?])\s+([A-Z])', '\1' || chr(30) || '\2', 'g'), '([.!?])\s*\n+', '\1' || chr(30), 'g') t from documents),
@@ -258,9 +269,9 @@ _CHUNK = r"""d as (select doc_id, regexp_replace(regexp_replace(text, '([.!?])\s
 
 @query("sec_chunk", f"with {_CHUNK} select doc_id, unnest(generate_series(1, len(c))) chunk_index, md5(unnest(c)) chunk_md5 from r")
 def sec_chunk(spark: SparkSession, base: str) -> DataFrame:
-    docs = load(spark, base, "documents").filter("text <> ''")
-    made = docs.select("doc_id", F.posexplode(tx.chunks(F.col("text"), CHUNK_WORDS)).alias("i", "c"))
-    return made.select("doc_id", (F.col("i") + 1).cast("long").alias("chunk_index"), F.md5(F.col("c").cast("binary")).alias("chunk_md5"))
+    docs = load(spark, base, "documents").filter("text <> ''").select("doc_id", F.col("doc_id").cast("string").alias("section_id"), F.lit("paragraph").alias("section_type"), F.col("text").alias("content_text"))
+    made = structure.chunked(docs, over=0, most=CHUNK_WORDS)
+    return made.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.md5(F.col("content_text").cast("binary")).alias("chunk_md5"))
 
 
 @query("sec_chunk_summary", f"with w as (select case when {_words('text')} > 200 then 'Chunked' else 'Not Chunked' end kind, length(text) n from documents) select kind, count(*) documents, sum(n)::bigint chars from w group by 1")
@@ -277,8 +288,8 @@ def sec_doc_summary(spark: SparkSession, base: str) -> DataFrame:
 
 @query("ext_pages_from_sections", f"with {_SEC} select document_id, page_number, md5(left(string_agg(content_text, chr(10) order by sequence_number), 5000)) text_md5, count(*) section_count from sec group by 1, 2")
 def ext_pages_from_sections(spark: SparkSession, base: str) -> DataFrame:
-    texts = F.transform(F.array_sort(F.collect_list(F.struct("sequence_number", "content_text"))), lambda x: x["content_text"])
-    return line_sections(spark, base).groupBy("document_id", "page_number").agg(F.md5(F.left(F.array_join(texts, "\n"), F.lit(5000)).cast("binary")).alias("text_md5"), F.count("*").alias("section_count"))
+    out = extraction.pages_from_sections(line_sections(spark, base))
+    return out.select("document_id", "page_number", F.md5(F.col("text").cast("binary")).alias("text_md5"), "section_count")
 
 
 @query("ext_metadata", f"with {_SEC} select document_id, max(page_number)::int page_count, count(*) section_count, coalesce(string_agg(distinct page_number::varchar, ',' order by page_number::varchar) filter (section_type = 'equation'), '') equation_pages from sec group by 1")
@@ -391,11 +402,16 @@ def reg_complete(spark: SparkSession, base: str) -> DataFrame:
     return io.completed(registry, orders, orders.filter("o_orderstatus <> 'P'")).select("document_id", "processing_status")
 
 
-@query("merge_upsert", "select p_partkey, case when p_partkey % 3 = 0 then p_name || '!' else p_name end p_name, p_size from part where p_partkey % 2 = 0 union all select p_partkey, p_name || '!', p_size from part where p_partkey % 2 = 1 and p_partkey % 3 = 0")
+@query("merge_upsert", """select p_partkey, case when p_size > 25 then p_name || '!' else p_name end p_name, p_size from part
+ union all select -p_partkey, p_name || '!', p_size from part where p_size > 25""")
 def merge_upsert(spark: SparkSession, base: str) -> DataFrame:
+    """The whole part table in a stored table, into which rows come that change it and as many that are new."""
     part = load(spark, base, "part").select("p_partkey", "p_name", "p_size")
-    new = part.filter("p_partkey % 3 = 0").withColumn("p_name", F.concat("p_name", F.lit("!")))
-    return io.merged(part.filter("p_partkey % 2 = 0"), new, ["p_partkey"], update=["p_name"])
+    large = part.filter("p_size > 25").withColumn("p_name", F.concat("p_name", F.lit("!")))
+    path = io.shared_folder(spark)
+    io.overwrite(part, path)
+    io.merge_upsert(spark, path, large.union(large.withColumn("p_partkey", -F.col("p_partkey"))), ["p_partkey"], update=["p_name"])
+    return spark.read.parquet(path)
 
 
 @query("cls_having_correlated", "select o_custkey, count(*) n from orders o where o_orderstatus = 'F' group by 1 having count(*) = (select count(*) from orders p where p.o_custkey = o.o_custkey)")
@@ -426,6 +442,11 @@ def eval_class_weights(spark: SparkSession, base: str) -> DataFrame:
     return evaluate.class_weights(load(spark, base, "lineitem").select(tag.alias("tag")), BIO_TAGS)
 
 
+_PIECES = r'''pieces as (select conv_id, turn, text, unnest(regexp_extract_all(text, '\s*\S+')) piece, generate_subscripts(regexp_extract_all(text, '\s*\S+'), 1) i from conversations),
+ placed as (select conv_id, turn, text, i, regexp_extract(piece, '\S+') word, sum(length(piece)) over (partition by conv_id, turn order by i) end_pos from pieces),
+ ws as (select conv_id, turn, text, i, word, (end_pos - length(word))::int start_pos, end_pos::int end_pos, case when length(word) >= 6 and length(word) % 5 <> 0 then ''' + "([" + ", ".join(f"'{t}'" for t in ENTITY_TYPES) + "])[length(word) % 8 + 1] end entity_type from placed)"
+
+
 def _tagged(spark: SparkSession, base: str) -> DataFrame:
     """Words of conversations as spans: every fifth of six characters or more, its type from its length."""
     words = ent.words_with_offsets(F.col("text"))
@@ -434,7 +455,7 @@ def _tagged(spark: SparkSession, base: str) -> DataFrame:
     return load(spark, base, "conversations").select("conv_id", "turn", "text", words.alias("words")).withColumn("spans", spans)
 
 
-@query("bio_encode")
+@query("bio_encode", f"with {_PIECES}, l as (select conv_id, turn, string_agg(case when entity_type is null then 'O' else 'B-' || entity_type end, ' ' order by i) labels from ws group by 1, 2) select conv_id, turn, case when text is not null then coalesce(labels, '') end labels from conversations left join l using (conv_id, turn)")
 def bio_encode(spark: SparkSession, base: str) -> DataFrame:
     rows = _tagged(spark, base)
     return rows.select("conv_id", "turn", F.array_join(ent.encoded_labels(F.col("words"), F.col("spans")), " ").alias("labels"))
@@ -446,16 +467,20 @@ def _decoded(spark: SparkSession, base: str, relaxed: bool) -> DataFrame:
     return rows.select("conv_id", "turn", F.inline(ent.decoded_spans(tokens, F.col("text"), relaxed)))
 
 
-@query("bio_decode_strict")
+@query("bio_decode_strict", f"with {_PIECES} select conv_id, turn, word text, entity_type, start_pos, end_pos, 0.5::double confidence from ws where entity_type is not null")
 def bio_decode_strict(spark: SparkSession, base: str) -> DataFrame:
     return _decoded(spark, base, relaxed=False)
 
 
-@query("bio_decode_relaxed")
+@query("bio_decode_relaxed", f"""with {_PIECES}, r as (select *, i - row_number() over (partition by conv_id, turn, entity_type order by i) run from ws where entity_type is not null),
+ s as (select conv_id, turn, entity_type, min(start_pos) start_pos, max(end_pos) end_pos, any_value(text) whole from r group by conv_id, turn, entity_type, run)
+ select conv_id, turn, substr(whole, start_pos + 1, end_pos - start_pos) text, entity_type, start_pos, end_pos, 0.5::double confidence from s""")
 def bio_decode_relaxed(spark: SparkSession, base: str) -> DataFrame:
     return _decoded(spark, base, relaxed=True)
 
 
-@query("txt_highlight")
+@query("txt_highlight", rf"""with {_PIECES}, o as (select *, lag(end_pos, 1, 0) over (partition by conv_id, turn order by i) before from ws),
+ l as (select conv_id, turn, string_agg(substr(text, before + 1, start_pos - before) || case when entity_type is null then word else '[' || word || '](' || entity_type || ')' end, '' order by i) m from o group by 1, 2)
+ select conv_id, turn, case when m is null then text else m || regexp_extract(text, '\s*$') end marked from conversations left join l using (conv_id, turn)""")
 def txt_highlight(spark: SparkSession, base: str) -> DataFrame:
     return _tagged(spark, base).select("conv_id", "turn", ent.highlighted(F.col("text"), F.col("spans")).alias("marked"))

@@ -222,7 +222,12 @@ def ner_extraction_summary(spark: SparkSession, base: str) -> DataFrame:
     return _extracted(spark, base).groupBy(F.col("entity_count").cast("long").alias("entity_count")).agg(F.count("*").alias("sections"))
 
 
-@query("clinical_entities")
+@query("clinical_entities", rf"""with p as (select conv_id, turn, unnest(regexp_extract_all(text, '\s*\S+')) piece, generate_subscripts(regexp_extract_all(text, '\s*\S+'), 1) i from conversations),
+ w as (select conv_id, turn, i, regexp_extract(piece, '\S+') word, sum(length(piece)) over (partition by conv_id, turn order by i) e from p),
+ t as (select *, regexp_replace(lower(word), '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g') term from w),
+ h as (select *, case term {" ".join(f"when '{t}' then '{k}'" for t, k in TERMS.items())} end kind from t)
+ select conv_id || '_e' || lpad((row_number() over (partition by conv_id, turn order by i))::varchar, 4, '0') entity_id, conv_id, turn, word entity_text, kind entity_type, (e - length(word))::int start_position, e::int end_position, 1.0::double confidence
+ from h where kind is not null""")
 def clinical_entities(spark: SparkSession, base: str) -> DataFrame:
     return tagging.clinical_entities(_extracted(spark, base), ["conv_id", "turn"], "conv_id")
 

@@ -14,7 +14,8 @@ one window at a time, so a conversation of any length needs bounded memory.
 
 Defined results: null texts and roles are empty.  Equal turn numbers are ordered by role, then text, and
 repeated rows are turns each; null numbers come first; a null conversation id is a conversation.
-A turn longer than the budget has a window of its own with it, over the budget.  Other columns are left out.
+A turn that does not fit beside the system turn has a window without it; only one longer than the budget itself has a window
+over the budget.  Ids and turn numbers are whole numbers; others are refused.  Other columns are left out.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm import kernels as k
 from docloom.llm.packing import encoder
-from docloom.llm.store import shuffle_partitions
+from docloom.llm.store import integral, shuffle_partitions
 
 BUDGET = 1024
 HISTORY = 256
@@ -65,6 +66,7 @@ class _Windows:
     def __init__(self, conv_id, budget: int, history: int):
         self.conv_id, self.budget, self.history = conv_id, budget, history
         self.system: list[tuple[str, str, int]] = []
+        self.head: list[tuple[str, str, int]] = []  # the system turn, if the open window repeats it
         self.past: list[tuple[str, str, int]] = []  # turns that the next window may repeat
         self.span: list[tuple[str, str, int]] = []
         self.prefix = 0  # tokens of the open window
@@ -83,6 +85,8 @@ class _Windows:
 
     def _open(self, tokens: int) -> None:
         base = sum(t[2] for t in self.system)
+        self.head = self.system if base + tokens <= self.budget else []
+        base = base if self.head else 0
         room = min(self.history, self.budget - base - tokens)
         sums = np.cumsum([t[2] for t in reversed(self.past)])
         n = int(np.searchsorted(sums, room, side="right")) if room > 0 else 0
@@ -92,7 +96,7 @@ class _Windows:
     def close(self) -> list[tuple]:
         if not self.span:
             return []
-        repeated = self.system + self.past
+        repeated = self.head + self.past
         parts, spans, at = [], [], 0
         for i, (role, text, _) in enumerate(repeated + self.span):
             head, body = _head(role), escape(text)
@@ -148,7 +152,7 @@ def format_windows(turns: DataFrame, tokenizer_path: str, budget: int = BUDGET,
 
     The windows of a conversation are in one partition, in order.
     """
-    rows = turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = turns.select(integral(turns, conv_col).alias("conv_id"), integral(turns, turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     dealt = rows.repartition(shuffle_partitions(turns.sparkSession), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     schema = pa.schema([("conv_id", pa.int64()), ("window", pa.int32()), ("formatted", pa.string()), ("loss_spans", pa.list_(pa.int64())), ("n_repeated", pa.int32()), ("n_turns", pa.int32()), ("n_tokens", pa.int64())])
     return dealt.mapInArrow(_format(tokenizer_path, budget, history, schema), "conv_id long, window int, formatted string, loss_spans array<long>, n_repeated int, n_turns int, n_tokens long")
@@ -203,5 +207,6 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_back(windows: DataFrame) -> DataFrame:
-    """One row a conversation, read from its windows, which must lie in one partition in order (as ``format_windows`` leaves them)."""
-    return windows.select("conv_id", "formatted", "loss_spans", "n_repeated").mapInArrow(_read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    """One row a conversation, read from its windows in their order, wherever they lie."""
+    dealt = windows.repartition(shuffle_partitions(windows.sparkSession), "conv_id").sortWithinPartitions("conv_id", "window")
+    return dealt.select("conv_id", "formatted", "loss_spans", "n_repeated").mapInArrow(_read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -8,9 +8,10 @@ hypothesis test compares the partial distance, scaled to all columns, with the
 query's bound, and abandons candidates that are almost surely too far.  What survives
 is scored exactly, in double precision, on the original vectors.
 
-Centres are fitted on the ``SAMPLE`` vectors whose ids hash lowest (the documented bound); every
-vector is indexed.  The same sample gives each query its first bound (its k-th best
-in the sample can only be too lax) and sets how many lists to probe, as few as find
+Lists grow with the root of the table.  Centres are fitted on the vectors whose ids hash lowest, sixteen a list, ``SAMPLE`` at
+least and ``LARGEST`` at the most (the documented bound); every
+vector is indexed.  The first ``SAMPLE`` of them give each query its first bound (its k-th best
+in the sample can only be too lax) and set how many lists to probe, as few as find
 ``RECALL`` of the sample's true neighbours.  A list, however hot, is cut into blocks of candidates
 and of queries, so no task holds a whole one.
 
@@ -30,12 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.store import Table
+from docloom.llm.store import Table, integral
 
-SAMPLE = 8192
+SAMPLE = 8_192
+LARGEST = 65_536
 RECALL = 0.98
-CANDIDATES = 4096
-QUERIES = 512
+CANDIDATES = 8_192
+QUERIES = 2_048
 COLUMNS = 16
 #: Of the hypothesis test: larger abandons fewer.
 EPSILON = 2.1
@@ -48,6 +50,10 @@ def _usable(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
+def lists_for(total: int) -> int:
+    return round(np.sqrt(total) / 2)
+
+
 class Index:
     """Rotation, centres, and what the sample tells."""
 
@@ -56,9 +62,9 @@ class Index:
         rng = np.random.default_rng(20_240_601)
         q, r = np.linalg.qr(rng.standard_normal((d, d)))
         self.rotation, self.top, self.k = q * np.sign(np.diag(r)), top, k
-        self.sample, self.ids = sample, ids
         x = self.turned(sample)
-        lists = int(np.clip(round(np.sqrt(total) / 2), 1, max(1, len(sample) // 16)))
+        lists = int(np.clip(lists_for(total), 1, max(1, len(sample) // 16)))
+        self.sample, self.ids = sample[:SAMPLE], ids[:SAMPLE]
         centres = x[rng.choice(len(x), lists, replace=False)]
         for _ in range(8):
             near = self._near(x, centres, 1)[:, 0]
@@ -67,7 +73,7 @@ class Index:
             np.add.at(sums, near, x)
             centres = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centres)
         self.centres = centres
-        self.probes = self._probes(x, lists)
+        self.probes = self._probes(x[:SAMPLE], lists)
 
     def turned(self, x: np.ndarray, query: bool = False) -> np.ndarray:
         more = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, self.top - (x * x).sum(1)))
@@ -233,7 +239,7 @@ def _count_lists(shared, queries: bool):
 def usable_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``id`` and ``vector`` (doubles) of the rows that take part."""
     v = F.col(vector_col).cast("array<double>")
-    rows = table.select(F.col(id_col).cast("long").alias("id"), v.alias("vector"))
+    rows = table.select(integral(table, id_col).alias("id"), v.alias("vector"))
     whole = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
     rows = rows.filter(F.col("id").isNotNull() & F.col("vector").isNotNull() & whole)
     d = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
@@ -247,7 +253,7 @@ def nearest(table: DataFrame, query_filter: Column, k: int = 20, id_col: str = "
     facts = rows.agg(F.count("*").alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda t, x: t + x * x)).alias("top")).first()
     if not facts.n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = rows.orderBy(F.xxhash64("id"), "vector").limit(SAMPLE).toArrow()
+    sample = rows.orderBy(F.xxhash64("id"), "vector").limit(int(np.clip(16 * lists_for(facts.n), SAMPLE, LARGEST))).toArrow()
     index = Index(_usable(sample["vector"].combine_chunks()), sample["id"].to_numpy(), facts.top, facts.n, k)
     asked = rows.filter(query_filter).groupBy("id").agg(F.min("vector").alias("vector"))
     found = Table(_search(spark, index, rows, asked, k), "found")

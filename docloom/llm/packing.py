@@ -20,6 +20,7 @@ no name clashes.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain
@@ -94,6 +95,10 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        spec = json.loads(self.library.to_str())
+        cut = spec["pre_tokenizer"] or {}
+        #: Whether this is the form whose words ``_starts`` finds; the library itself encodes all texts of any other.
+        self.known = spec["model"].get("type") == "BPE" and spec["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.classes = _classes()
         # In a byte-level vocabulary each character of an entry stands for one byte.
@@ -120,6 +125,7 @@ class Encoder:
         odd = np.flatnonzero(kind == _UNSURE)
         alone = np.zeros(n, bool)
         alone[np.searchsorted(first, odd, side="right") - 1] = True
+        alone |= not self.known
         for s in self.special:
             if s in whole:
                 for i in range(n):

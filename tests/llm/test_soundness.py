@@ -7,8 +7,8 @@ import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
+from docloom.llm import ann, chat, decontam, jaccard_join, langid, pii, substring_dedup, token_cache, url_lm
 from docloom.llm import components as cc
-from docloom.llm import decontam, jaccard_join, langid, pii, substring_dedup, token_cache, url_lm
 from docloom.llm import kernels as k
 from docloom.llm.store import Table
 from pyspark.sql import functions as F
@@ -226,3 +226,32 @@ def test_equal_contents_share_a_count(spark, tmp_path, monkeypatch):
 def test_wide_rows_are_not_broadcast(spark):
     wide = spark.range(100).select("id", F.repeat(F.lit("x"), 1_000_000).alias("s"))
     assert not Table(wide, "wide").small() and Table(wide.select("id"), "narrow").small()
+
+
+def test_recall_of_a_large_table(spark):
+    """50,000 clustered vectors against brute force."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((200, 16))[rng.integers(0, 200, 50_000)] + 0.7 * rng.standard_normal((50_000, 16))
+    ids = np.arange(50_000)
+    table = pa.table({"vec_id": ids, "embedding": pa.FixedSizeListArray.from_arrays(x.ravel(), 16).cast(pa.list_(pa.float64()))})
+    got = ann.nearest(spark.createDataFrame(table), F.col("id") % 500 == 0, k=10).collect()
+    asked = ids[::500]
+    score = x[asked] @ x.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    best = {(int(q), int(v)) for q, row in zip(asked, np.argsort(-score, axis=1)[:, :10], strict=True) for v in row}
+    assert len(got) == 1000 and len(best & {(r.query_id, r.vec_id) for r in got}) >= 900
+
+
+def test_stored_windows_read_back(spark, tmp_path):
+    """Windows that were stored and dealt anew give the same digests; a turn too long for the system turn's side stands without it."""
+    public = pytest.importorskip("public_tokenizers")
+    path = str(public.path("byte_bpe_50k.json"))
+    rng = random.Random(4)
+    rows = [(c, t, "system" if t == 0 else "user" if t % 2 else "assistant", "word " * rng.randrange(1, 60)) for c in range(20) for t in range(12)]
+    rows += [(99, 0, "system", "word " * 150), (99, 1, "user", "word " * 200), (99, 2, "assistant", "ok")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    windows = chat.format_windows(turns, path, budget=300, history=60)
+    assert all(r.n_tokens <= 300 for r in windows.collect())
+    want = {tuple(r) for r in chat.read_back(windows).collect()}
+    windows.repartition(7, "formatted").write.parquet(str(tmp_path / "w"))
+    assert {tuple(r) for r in chat.read_back(spark.read.parquet(str(tmp_path / "w"))).collect()} == want and len(want) == 21

@@ -20,6 +20,8 @@ Columns that clash with added ones are replaced.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +55,9 @@ def rules_for(texts: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """
     spark = texts.sparkSession
     parts = [(r[: r.index("/")], r[r.index("/") :], r, said) for said, r in rules]
-    table = Table(spark.createDataFrame(parts, "suffix string, prefix string, rule string, said string"), "rules")
+    listed = json.dumps([dict(zip(("suffix", "prefix", "rule", "said"), part, strict=True)) for part in parts])
+    rows = F.inline(F.from_json(F.lit(listed), "array<struct<suffix:string,prefix:string,rule:string,said:string>>"))
+    table = Table(spark.range(1).select(rows), "rules")
     # Of a host's labels only as many matter as the rule with the most has.
     deepest = max((suffix.count(".") + 1 for suffix, *_ in parts), default=1)
     labels = F.slice(F.reverse(F.split("host", r"\.")), 1, deepest)

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -351,8 +351,8 @@ def _take(patterns: np.ndarray, x: np.ndarray, left: np.ndarray) -> list[tuple[t
     return plan
 
 
-def _best_fit(left: np.ndarray, plan: list[tuple[tuple[int, ...], int]]) -> list[tuple[tuple[int, ...], int]]:
-    """Best-fit decreasing, into the gaps of a plan first, over groups of equal sequences: its work follows the capacity, not the number of pieces."""
+def _best_fit(left: np.ndarray, plan: Sequence[tuple[tuple[int, ...], int]] = ()) -> list[tuple[tuple[int, ...], int]]:
+    """Best-fit decreasing, into the gaps of a plan (if any) first, over groups of equal sequences: its work follows the capacity, not the number of pieces."""
     capacity = len(left) - 1
     groups: list[list[list]] = [[] for _ in range(capacity + 1)]  # by gap: [lengths, how many]
     for planned, many in plan:

@@ -123,6 +123,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def by_bucket(df: DataFrame, tasks: int) -> DataFrame:
+    """``df`` dealt by its column ``bucket`` to so many tasks, or to as many as the session's shuffles have, if those are more."""
+    return df.repartition(max(tasks, shuffle_partitions(df.sparkSession)), "bucket")
+
+
 def extended(df: DataFrame, columns: list[str], **added: T.DataType) -> T.StructType:
     """The schema of some columns of a table and of added ones."""
     return T.StructType([f for f in df.schema.fields if f.name in columns] + [T.StructField(n, t) for n, t in added.items()])

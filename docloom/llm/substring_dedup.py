@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.llm import kernels as k
-from docloom.llm.store import Table, extended, integral, shuffle_partitions
+from docloom.llm.store import Table, by_bucket, extended, integral, shuffle_partitions
 
 WINDOW = 20
 #: Windows that a chunk holds before it is sorted and sent; bounds a task's memory.
@@ -219,12 +219,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Texts without repeats have no row.  A null id is shown as the smallest long.
     """
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0
-    buckets = max(BUCKETS_A_PARTITION * shuffle_partitions(docs.sparkSession), -(-size * _SENT_A_BYTE // BUCKET_BYTES))
+    full = -(-size * _SENT_A_BYTE // BUCKET_BYTES)
+    buckets = max(BUCKETS_A_PARTITION * shuffle_partitions(docs.sparkSession), full)
     rows = docs.select(_key(docs, id_col).alias("id"), _digest(F.col(text_col)).alias("digest"), F.col(text_col).alias("text")).filter(F.length("text") > 0)
     sent = rows.mapInArrow(_hash_windows(buckets, window, rule if rule.key else k.keyed(rule)), _SENT_DDL)
     # The texts of a chunk pass the first exchange as well; a key of their own each keeps them apart.
     dealt = sent.withColumn("bucket", F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("chunk"), F.lit(buckets))).otherwise(F.col("bucket")))
-    answers = dealt.groupBy("bucket").applyInArrow(_find_first, "chunk binary, hashes binary, ids binary, starts binary")
+    answers = by_bucket(dealt, full).groupBy("bucket").applyInArrow(_find_first, "chunk binary, hashes binary, ids binary, starts binary")
     spans = answers.groupBy("chunk").applyInArrow(_merge(window), "id long, digest binary, spans array<long>")
     return spans
 

@@ -40,13 +40,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.llm import kernels as k
 from docloom.llm.components import components
-from docloom.llm.store import Table, extended, integral, scratch, shuffle_partitions
+from docloom.llm.store import Table, by_bucket, extended, integral, scratch, shuffle_partitions
 
 SHINGLE = 5
 #: Similarity as a fraction: intersection * DEN >= union * NUM.
@@ -203,8 +203,9 @@ def _pairs(joined: DataFrame) -> DataFrame:
     return joined.select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b")).distinct()
 
 
-#: Sets of one family that a task pairs with each other; a larger family is cut into blocks.
+#: Sets of one family, and rows of theirs, that a task pairs with each other; a larger family is cut into blocks.
 BLOCK_SETS = 500
+BLOCK_ROWS = 250_000
 _STEP = 1_000_000
 
 
@@ -236,9 +237,16 @@ def _meet(left: pa.Table, right: pa.Table) -> pa.Table:
 
 def _across(left: Table, buckets: int) -> DataFrame:
     """Candidate pairs across components.  Lists with one main component are a family: its n-grams meet in one place, so a
-    pair is emitted once and not for each n-gram it shares.  Small families share buckets; a large one is cut into blocks of sets."""
-    family = left.df.groupBy("main", "sid").agg(F.max(F.col("root") != F.col("main")).alias("out")).groupBy("main").agg(F.count("*").alias("n_all"), F.count_if("out").alias("n_out"))
-    family = Table(family.select("main", F.ceil(F.col("n_out") / BLOCK_SETS).cast("long").alias("out_blocks"), F.ceil(F.col("n_all") / BLOCK_SETS).cast("long").alias("all_blocks")), "families")
+    pair is emitted once and not for each n-gram it shares.  Small families share buckets, ``buckets`` at least and more where one would
+    hold more rows than a block; a large one is cut into blocks of sets."""
+    own = left.df.groupBy("main", "sid").agg(F.max(F.col("root") != F.col("main")).alias("out"), F.count("*").alias("rows"))
+    family = own.groupBy("main").agg(F.count("*").alias("n_all"), F.count_if("out").alias("n_out"), F.sum("rows").alias("r_all"), F.sum(F.when(F.col("out"), F.col("rows")).otherwise(0)).alias("r_out"))
+
+    def blocks(which: str) -> Column:
+        return F.ceil(F.greatest(F.col(f"n_{which}") / BLOCK_SETS, F.col(f"r_{which}") / BLOCK_ROWS)).cast("long").alias(f"{which}_blocks")
+
+    family = Table(family.select("main", blocks("out"), blocks("all")), "families")
+    buckets = max(buckets, -(-left.df.count() // BLOCK_ROWS))
     rows, again = (left.df.join(family.side(), "main") for _ in range(2))
     small = (F.col("out_blocks") <= 1) & (F.col("all_blocks") <= 1)
     unit = F.when(small, F.pmod(F.xxhash64("main"), F.lit(buckets))).otherwise(F.col("main"))
@@ -356,9 +364,10 @@ def _links(spark: SparkSession, sets: _Sets) -> Table:
     """Verified pairs of classes that connect all that link."""
     rank = spark.sparkContext.broadcast(_rarity(sets.described))
     total = sets.named.agg(F.sum(F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1)).first()[0] or 0
-    buckets = max(BUCKETS_A_PARTITION * shuffle_partitions(spark), -(-total * _POSTING_BYTES // BUCKET_BYTES))
+    full = -(-total * _POSTING_BYTES // BUCKET_BYTES)
+    buckets = max(BUCKETS_A_PARTITION * shuffle_partitions(spark), full)
     sent = sets.rows.filter(F.length("text") > 0).mapInArrow(_postings(sets.shingle, sets.rule, rank, buckets, sets.clashing), "bucket long, token long, sid long, n long, pos long, blob array<binary>")
-    posts = Table(sent.groupBy("bucket").applyInArrow(_shared_only, "token long, sid long, n long, pos long"), "postings")
+    posts = Table(by_bucket(sent, full).groupBy("bucket").applyInArrow(_shared_only, "token long, sid long, n long, pos long"), "postings")
     rank.unpersist()
 
     hubs = Table(posts.df.groupBy("token").agg(F.min(F.struct("pos", "sid", "n")).alias("hub"), F.count("*").alias("many")).filter("many > 1").select("token", "hub.*"), "hubs")

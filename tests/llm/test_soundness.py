@@ -255,3 +255,29 @@ def test_stored_windows_read_back(spark, tmp_path):
     want = {tuple(r) for r in chat.read_back(windows).collect()}
     windows.repartition(7, "formatted").write.parquet(str(tmp_path / "w"))
     assert {tuple(r) for r in chat.read_back(spark.read.parquet(str(tmp_path / "w"))).collect()} == want and len(want) == 21
+
+
+def test_buckets_and_blocks_follow_the_size(spark, monkeypatch):
+    """More buckets than the session has partitions, and blocks of few rows, change no result."""
+    rng = random.Random(8)
+    made = []
+    for f in range(4):
+        base = [f"f{f}w{i}" for i in range(60)]
+        for _ in range(12):
+            words = list(base)
+            for _ in range(rng.randint(0, 6)):
+                words[rng.randrange(60)] = f"x{rng.randrange(999)}"
+            made.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+
+    def results():
+        groups = jaccard_join.near_duplicate_groups(df).select("id", "n_shingles", "component_id")
+        kept = substring_dedup.remove_repeats(df).select("doc_id", "n_removed", "kept_text")
+        return [sorted(map(tuple, x.collect())) for x in (groups, kept)]
+
+    want = results()
+    assert len({c for _, _, c in want[0]}) < len(made) and any(n for _, n, _ in want[1])
+    for module in (jaccard_join, substring_dedup):
+        monkeypatch.setattr(module, "BUCKET_BYTES", 400)
+    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", 25)
+    assert results() == want

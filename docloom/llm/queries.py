@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import ann, chat, decontam, jaccard_join, langid, packing, pii, substring_dedup, token_cache, url_lm
+from docloom.llm import ann, centroids, chat, decontam, exact_topk, jaccard_join, langid, packing, pii, rolling_median, substring_dedup, token_cache, url_lm
+from docloom.llm.oracles import ORACLES as ORACLES
 from docloom.session import prepare
 
 #: The key of surrogates; a deployment sets its own, and without one each process draws one that nobody knows.
@@ -83,9 +84,19 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_exact_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings")).described()
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op13_rolling_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling_median.rolling_medians(table(spark, sf_dir, "clicks"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_private_surrogates, op2_token_counts, op3_jaccard_groups, op4_substring_dedup, op5_pattern_packing, op6_nearest_vectors, op7_chat_windows, op8_benchmark_hits, op9_url_verdicts, op10_language)
+    f.__name__: f for f in (op1_private_surrogates, op2_token_counts, op3_jaccard_groups, op4_substring_dedup, op5_pattern_packing, op6_nearest_vectors, op7_chat_windows, op8_benchmark_hits, op9_url_verdicts, op10_language, op11_exact_centroids, op12_exact_top_k, op13_rolling_medians)
 }
-
-#: Which of them SQL can express on whole tables; the others are held against brute force in the tests.
-ORACLES: dict[str, str] = {}

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
 from functools import reduce
+from itertools import accumulate, zip_longest
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -116,24 +120,41 @@ def is_scanned(chars: Column, images: Column) -> Column:
     return F.coalesce((F.size(first) > 0) & (total < 100 * F.size(first)) & (F.aggregate(shown, F.lit(0).cast("double"), lambda a, x: a + x) > 0), F.lit(False))
 
 
-def sentences(c: Column) -> Column:
-    """Split after . ! ? before a capital or at line ends; blank pieces go."""
-    parts = F.split(c, r"(?<=[.!?])\s+(?=[A-Z])|(?<=[.!?])\s*\n+")
-    return F.filter(F.transform(parts, stripped), lambda x: x != "")
+#: White space as the JVM's expressions know it, whatever the text.
+_ENDS = re.compile(r"(?<=[.!?])\s+(?=[A-Z])|(?<=[.!?])\s*\n+", re.ASCII)
+_BLANK = " \t\n\x0b\f\r"
+_SPACE = re.compile(r"\s+", re.ASCII)
+
+
+def chunks_of(text: str, most: int) -> list[str]:
+    """Sentences (split after . ! ? before a capital or at line ends) packed greedily into chunks of at most ``most`` words; a longer one is a chunk of its own."""
+    parts = [p for p in (p.strip(_BLANK) for p in _ENDS.split(text)) if p]
+    if not parts:
+        return [text]
+    ends = list(accumulate(len(_SPACE.split(p)) for p in parts))  # words up to each sentence's end
+    out, at, done = [], 0, 0
+    while at < len(parts):
+        to = max(at + 1, bisect_right(ends, done + most, at))
+        out.append(" ".join(parts[at:to]))
+        at, done = to, ends[to - 1]
+    return out
+
+
+def chunk_pairs(text: Column, marked: Column | None, most: int) -> Column:
+    """Chunks of a text, and of its markdown beside them if there is one, as structs; the shorter list is filled with empty texts."""
+    names = ["content_text"] if marked is None else ["content_text", "content_markdown"]
+    kind = pa.list_(pa.struct([(n, pa.string()) for n in names]))
+
+    @F.arrow_udf(f"array<struct<{','.join(f'{n}:string' for n in names)}>>")
+    def pairs(*columns: pa.Array) -> pa.Array:
+        rows = []
+        for values in zip(*(c.to_pylist() for c in columns), strict=True):
+            rows.append([dict(zip(names, made, strict=True)) for made in zip_longest(*(chunks_of(v or "", most) for v in values), fillvalue="")])
+        return pa.array(rows, kind)
+
+    return pairs(*[text, marked][: len(names)])
 
 
 def chunks(c: Column, most: int) -> Column:
-    """Sentences packed greedily into chunks of at most ``most`` words; a longer sentence is a chunk of its own."""
-    empty = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("text"), F.lit(0).alias("n"))
-
-    def step(acc: Column, s: Column) -> Column:
-        n = F.size(F.split(s, r"\s+"))
-        full = (acc["n"] + n > most) & (acc["n"] > 0)
-        return F.struct(
-            F.when(full, F.concat(acc["done"], F.array(acc["text"]))).otherwise(acc["done"]).alias("done"),
-            F.when(full | (acc["n"] == 0), s).otherwise(F.concat_ws(" ", acc["text"], s)).alias("text"),
-            F.when(full, n).otherwise(acc["n"] + n).alias("n"),
-        )
-
-    made = F.aggregate(sentences(c), empty, step, lambda acc: F.when(acc["n"] > 0, F.concat(acc["done"], F.array(acc["text"]))).otherwise(acc["done"]))
-    return F.when(F.coalesce(c, F.lit("")) == "", F.array(F.lit(""))).when(F.size(made) == 0, F.array(c)).otherwise(made)
+    """Chunks of a text alone."""
+    return F.transform(chunk_pairs(c, None, most), lambda x: x["content_text"])

@@ -6,8 +6,12 @@ is their position in a document, ties settled by ``section_id``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom.constants import CHUNK_OVER_WORDS, CHUNK_WORDS, HEADING_WORDS, MERGE_WORDS
 from docloom.functions import text as tx
@@ -36,43 +40,69 @@ def ordered(sections: DataFrame) -> DataFrame:
     return sections.withColumn("doc_order", F.row_number().over(w))
 
 
-def with_hierarchy(sections: DataFrame, strict: bool = False, depth: int = 6) -> DataFrame:
-    """``is_heading``, ``effective_level`` and ``parent_section_id``.
+def with_hierarchy(sections: DataFrame, strict: bool = False) -> DataFrame:
+    """``is_heading``, ``effective_level``, ``parent_section_id`` and ``hierarchy_path``, of any depth.
 
     A heading's parent is the last heading one level up, other sections hang on the deepest level that has had a heading.
-    Deeper levels outlive a new heading above them, unless ``strict``, which resets them.
+    Deeper levels outlive a new heading above them, unless ``strict``, which ends them.  The path holds the section ids from the highest
+    ancestor down to the section's own, joined by " > ".  One shuffle by document and one pass in its order, which carries the last
+    heading of each level and nothing else, so memory follows the levels of a document and not its length.  A null document is one.
     """
     kind, level = F.col("section_type"), F.col("heading_level")
     short = kind.isin("list_item", "paragraph") & (tx.word_count(F.col("content_text")) < HEADING_WORDS)
     out = sections.withColumn("is_heading", F.coalesce((kind == "heading") | level.isNotNull() | short, F.lit(False)))
     out = out.withColumn("effective_level", F.when(kind == "heading", F.coalesce(level, F.lit(1))).otherwise(level))
-    w = Window.partitionBy("document_id").orderBy("doc_order").rowsBetween(Window.unboundedPreceding, 0)
-    eff, here = F.col("effective_level"), F.struct(F.col("doc_order").alias("o"), F.col("section_id").alias("s"))
-    out = out.withColumns({f"__h{n}": F.last(F.when(eff == n, here), ignorenulls=True).over(w) for n in range(1, depth + 1)})
-
-    def last(n: int) -> Column:
-        c = F.col(f"__h{n}")
-        if not strict:
-            return c["s"]
-        above = [F.col(f"__h{m}")["o"] for m in range(1, n)]
-        newer = F.greatest(*above, F.lit(0)) if above else F.lit(0)
-        return F.when(c["o"] > newer, c["s"])
-
-    parent = F.when(eff.isNull(), F.coalesce(*[last(n) for n in range(depth, 0, -1)]))
-    for n in range(2, depth + 1):
-        parent = parent.when(eff == n, last(n - 1))
-    return out.withColumn("parent_section_id", parent).drop(*[f"__h{n}" for n in range(1, depth + 1)])
-
-
-def with_path(sections: DataFrame, depth: int = 5) -> DataFrame:
-    """``hierarchy_path``: section ids from the highest of at most ``depth`` ancestors down, joined by " > "."""
-    parents = sections.filter(F.col("parent_section_id").isNotNull()).select("document_id", F.col("section_id").alias("__s"), F.col("parent_section_id").alias("__up"))
-    out = sections.withColumn("__p1", F.col("parent_section_id"))
-    for n in range(2, depth + 1):
-        step = parents.select("document_id", F.col("__s").alias(f"__p{n - 1}"), F.col("__up").alias(f"__p{n}"))
-        out = out.join(step, ["document_id", f"__p{n - 1}"], "left")
-    names = [f"__p{n}" for n in range(depth, 0, -1)]
-    return out.withColumn("hierarchy_path", F.concat_ws(" > ", *names, "section_id")).drop(*names)
+    made = T.StructType([*out.schema.fields, T.StructField("parent_section_id", out.schema["section_id"].dataType), T.StructField("hierarchy_path", T.StringType())])
+    return out.repartition("document_id").sortWithinPartitions("document_id", "doc_order").mapInArrow(_outline(strict), made)
+
+
+def _outline(strict: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        document, stack = object(), {}
+        for batch in batches:
+            parents, paths = [], []
+            for doc, own, level in zip(*(batch.column(c).to_pylist() for c in ("document_id", "section_id", "effective_level")), strict=True):
+                if doc != document:
+                    document, stack = doc, {}  # level -> id and path of its last heading
+                up = stack.get(level - 1) if level is not None else stack[max(stack)] if stack else None
+                path = str(own) if up is None else f"{up[1]} > {own}"
+                parents.append(up and up[0])
+                paths.append(path)
+                if level is not None and level >= 1:
+                    stack[level] = (own, path)
+                    if strict:
+                        for deeper in [n for n in stack if n > level]:
+                            del stack[deeper]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parents, batch.column("section_id").type), pa.array(paths, pa.string())], names=[*batch.schema.names, "parent_section_id", "hierarchy_path"])
+
+    return run
+
+
+def with_path(sections: DataFrame) -> DataFrame:
+    """``hierarchy_path`` of any depth from given parents, which come before their children; a parent that does not is the top of its path.
+
+    One pass in order of the document, which carries the paths of sections that have children.  What has a path keeps it.
+    """
+    if "hierarchy_path" in sections.columns:
+        return sections
+    made = T.StructType([*sections.schema.fields, T.StructField("hierarchy_path", T.StringType())])
+    marked = with_leaf(sections.drop("is_leaf")).repartition("document_id").sortWithinPartitions("document_id", "doc_order")
+    kept = [c for c in sections.columns if c != "is_leaf"]
+    found = marked.select(*kept, "is_leaf").mapInArrow(_paths, T.StructType([*[made[c] for c in kept], T.StructField("is_leaf", T.BooleanType()), made["hierarchy_path"]]))
+    return found.select(*made.names)
+
+
+def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    document, known = object(), {}
+    for batch in batches:
+        paths = []
+        for doc, own, up, leaf in zip(*(batch.column(c).to_pylist() for c in ("document_id", "section_id", "parent_section_id", "is_leaf")), strict=True):
+            if doc != document:
+                document, known = doc, {}
+            paths.append(str(own) if up is None else f"{known.get(up, up)} > {own}")
+            if not leaf:
+                known[own] = paths[-1]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(paths, pa.string())], names=[*batch.schema.names, "hierarchy_path"])
 
 
 def with_leaf(sections: DataFrame) -> DataFrame:
@@ -98,13 +128,26 @@ def merged_paragraphs(sections: DataFrame, most: int = MERGE_WORDS) -> DataFrame
 
 
 def chunked(sections: DataFrame, over: int = CHUNK_OVER_WORDS, most: int = CHUNK_WORDS) -> DataFrame:
-    """Long paragraphs as chunks of whole sentences (``chunk_index`` from 1, ids with _c and it); others with a null index."""
-    long_ = (F.col("section_type") == "paragraph") & (tx.word_count(F.col("content_text")) > over)
-    parts = F.when(long_, tx.chunks(F.col("content_text"), most)).otherwise(F.array("content_text"))
-    rest = [c for c in sections.columns if c not in ("section_id", "content_text")]
-    out = sections.select(*rest, F.col("section_id").alias("__id"), long_.alias("__long"), F.posexplode(parts).alias("__i", "content_text"))
+    """Long paragraphs as chunks of whole sentences (``chunk_index`` from 1, ids with _c and it); others with a null index.
+
+    Where there is a column ``content_markdown``, it is cut by the same rule; the two are set side by side, and where one has fewer
+    chunks it is empty.
+    """
+    marked = "content_markdown" in sections.columns
+    long_ = F.coalesce((F.col("section_type") == "paragraph") & (tx.word_count(F.col("content_text")) > over), F.lit(False))
+    texts = ["content_text", "content_markdown"] if marked else ["content_text"]
+    rest = [c for c in sections.columns if c not in ("section_id", *texts)]
+    whole = F.array(F.struct(*[F.col(c).alias(c) for c in texts]))
+    parts = F.when(F.col("__long"), tx.chunk_pairs(F.col("content_text"), F.col("content_markdown") if marked else None, most)).otherwise(whole)
+    out = sections.withColumn("__long", long_).select(*rest, F.col("section_id").alias("__id"), "__long", F.posexplode(parts).alias("__i", "__part"))
     index = F.when(F.col("__long"), F.col("__i") + 1)
-    return out.select(*rest, F.when(F.col("__long"), F.concat("__id", F.lit("_c"), index)).otherwise(F.col("__id")).alias("section_id"), "content_text", index.alias("chunk_index"))
+    return out.select(*rest, F.when(F.col("__long"), F.concat("__id", F.lit("_c"), index)).otherwise(F.col("__id")).alias("section_id"), *[F.col(f"__part.{c}").alias(c) for c in texts], index.alias("chunk_index"))
+
+
+def section_order(sections: DataFrame) -> DataFrame:
+    """``section_order``: place in the document by page, sequence and chunk, ties by id."""
+    w = Window.partitionBy("document_id").orderBy("page_number", "sequence_number", F.coalesce("chunk_index", F.lit(0)), "section_id")
+    return sections.withColumn("section_order", F.row_number().over(w))
 
 
 def stacked(parts: list[DataFrame]) -> DataFrame:

@@ -18,8 +18,9 @@ Collision check.  Distinct values of a kind (name words: of a script) must get d
 surrogate may be a value that the corpus holds itself.  All distinct values
 are drawn once; of values that share a surrogate the smallest keeps it, the
 others draw again, several at a time, until none is left.  A format may have fewer free values than the corpus has
-distinct ones (social security numbers above all); when rounds of many draws find no free one, the values that
-are left keep their last draws, the only ones that share.  Only values past their first draw, and names that their text alone shows as another
+distinct ones (short secrets above all).  When a round of many draws finds no free value at all, the values of the formats
+that are left are enumerated in Spark, those that are free are dealt out one each, and where they run out a value becomes stars: no
+surrogate is ever a value that the corpus holds, and no two values share one but for the stars.  Only values past their first draw, and names that their text alone shows as another
 part or gender, are kept as a table; workers make all other surrogates alone.  Texts meet that table by
 digest: a broadcast if its measured size allows, a shuffle join otherwise.
 
@@ -33,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import ipaddress
+import math
 import re
 import unicodedata
 from bisect import bisect
@@ -40,7 +42,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,6 +83,9 @@ _gap = r"[^\S\r\n]+"
 _word = rf"(?!(?:{_title}|Jr)(?![\p{{L}}\p{{M}}]))(?=\p{{Lu}}[\p{{L}}\p{{M}}'’])\p{{Lu}}[\p{{L}}\p{{M}}]*+(?:['’-]\p{{L}}[\p{{L}}\p{{M}}]+)*+"
 _WORD = regex.compile(rf"(?<![\p{{L}}\p{{M}}]){_word}")
 _PIECE = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+# Small words inside names; they stay as they are.
+PARTICLES = ["van", "von", "der", "den", "dem", "de", "del", "della", "di", "da", "dos", "das", "du", "des", "la", "le", "zu", "zum", "zur", "vom", "af", "av", "bin", "ibn", "al", "el", "ter", "ten", "y"]
+_small = rf"(?:(?:(?:{'|'.join(PARTICLES)}){_gap}){{1,3}}(?:[dl]['’])?|[dl]['’])"
 _dotted = r"(?:\p{Lu}\.[ -]?)"
 _INITIAL = regex.compile(r"\p{Lu}(?![\p{L}\p{M}'’])")
 _BEFORE = regex.compile(rf"(?<![\p{{L}}\p{{M}}])(?:{_dotted}+|\p{{Lu}}[ ])$")
@@ -94,13 +99,13 @@ KINDS: dict[str, tuple[tuple[str, ...], regex.Pattern, int]] = {
     "ssn": (("",), regex.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"), 0),
     "ip": (("",), regex.compile(r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9A-Za-z]|\.[0-9])"), 0),
     "ip6": ((":",), regex.compile(r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]*:[0-9A-Fa-f:]*:)[0-9A-Fa-f:]{2,39}(?![0-9A-Za-z:])"), 0),
-    "phone": (("",), regex.compile(r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,6}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])"), 0),
+    "phone": (("",), regex.compile(r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,6}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|\(?0[1-9][0-9]{1,3}\)?[ /-](?:[0-9]{3,4}[ -][0-9]{3,4}|[0-9]{5,8}))(?![0-9A-Za-z]|[.,-][0-9])"), 0),
     # Titles, with abbreviations such as "med." after them, then initials and up to three words, or initials alone.
     "name": (
         tuple(_GENDER),
         regex.compile(
             rf"(?<![\p{{L}}\p{{M}}])((?:(?:{_title})(?![\p{{L}}\p{{M}}])\.?(?:-Ing\.?)?(?:{_gap}|(?<=\.)|[^\S\r\n]*\r?\n[^\S\r\n]*)(?:\p{{Ll}}{{1,4}}\.[ ]?)*+){{1,6}}+)"
-            rf"((?:{_dotted}*+[^\S\r\n]*(?:\p{{Lu}}{_gap})?{_word}(?:{_gap}(?:{_dotted}++[^\S\r\n]*|\p{{Lu}}{_gap})?{_word}){{0,2}}(?:{_gap}\p{{Lu}}\.)?|{_dotted}++))"
+            rf"((?:{_dotted}*+[^\S\r\n]*(?:\p{{Lu}}{_gap})?{_small}?{_word}(?:{_gap}(?:{_dotted}++[^\S\r\n]*|\p{{Lu}}{_gap})?{_small}?{_word}){{0,2}}(?:{_gap}\p{{Lu}}\.)?|{_dotted}++))"
         ),
         2,
     ),
@@ -160,9 +165,12 @@ def _names(text: str, titled: list[regex.Match]) -> list[tuple[int, int, str, st
         # After a title a single word is a family name, or else the last one is; before a last initial it is a given name.
         last = len(words) - 1 if not words or max(letters, default=0) < words[-1].start() else -1
         for i, w in enumerate(words):
-            value = _canonical(w.group())
-            at[w.start()] = (w.end(), value)
-            seen.setdefault(value, set()).add("family" if i == last else f"given_{gender}")
+            # Hyphens and apostrophes stay; each part of two letters and more is a name word, so that it is one wherever it stands alone.
+            pieces = [(w.start() + x.start(), w.start() + x.end()) for x in _PIECE.finditer(w.group()) if len(x.group()) > 1 and x.group()[0].isupper()]
+            for a, b in pieces or [w.span()]:
+                value = _canonical(text[a:b])
+                at[a] = (b, value)
+                seen.setdefault(value, set()).add("family" if i == last else f"given_{gender}")
 
     def known(start: int, end: int) -> bool:
         value = _canonical(text[start:end])
@@ -269,6 +277,102 @@ class _Stream:
         return "".join(out)
 
 
+# Networks of IPv4 by their first two bytes that are private, shared, local or for groups; a surrogate stays in its own.
+_NETWORKS = [((10, 10), (0, 255)), ((172, 172), (16, 31)), ((192, 192), (168, 168)), ((100, 100), (64, 127)), ((127, 127), (0, 255)), ((169, 169), (254, 254)), ((224, 239), (0, 255))]
+
+
+def _ip_class(value: str) -> list[tuple[int, int]]:
+    """Ranges of the four bytes of a surrogate: the value's own network, or for a public address the reserved ones, which are nobody's."""
+    a, b = map(int, value.split(".")[:2])
+    own = next((n for n in _NETWORKS if n[0][0] <= a <= n[0][1] and n[1][0] <= b <= n[1][1]), ((240, 254), (0, 255)))
+    return [*own, (0, 255), (0, 255)]
+
+
+def _phone_head(value: str) -> int:
+    """How many characters of a phone number stay: plus and country code, or the zero before a national one."""
+    return _CODES.match(value, 1).end() if value[0] == "+" else int(value[0] == "0")
+
+
+#: Formats of more values than this are never enumerated.
+_COUNTABLE = 2**40
+_PLACES = {"0": "0123456789", "a": "abcdefghijklmnopqrstuvwxyz", "A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def _template(value: str) -> str:
+    return re.sub("[0-9]", "0", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", value)))
+
+
+def format_of(kind: str, value: str) -> str:
+    """What all surrogates that a value can have share, as one text; names and IPv6 addresses have no end of them."""
+    if kind == "ip":
+        return ".".join(f"{a}-{b}" for a, b in _ip_class(value))
+    if kind == "card":
+        return value[0] + _template(value[1:])
+    if kind == "iban":
+        return value[:2] + _template(value[4:])
+    if kind == "phone":
+        return value[: _phone_head(value)] + "\x00" + _template(value[_phone_head(value) + 1 :])
+    if kind == "key":
+        head = next(m for m in KINDS["key"][0] if value.startswith(m))
+        return head + "\x00" + _template(value[len(head) :])
+    if kind == "secret":
+        return ("x" if _hexadecimal(value) else "") + "\x00" + _template(value)
+    return _template(value.split("@")[0])
+
+
+def _hexadecimal(value: str) -> bool:
+    return bool((value.lower() == value or value.upper() == value) and re.fullmatch("[0-9a-fA-F]+", value))
+
+
+def places(kind: str, format_: str) -> list[str | list[str]]:
+    """What can stand at each place of a format's surrogates; of cards and IBANs without their check digits."""
+    like = lambda t: [_PLACES.get(c, c) for c in t]
+    if kind == "ip":
+        return [x for i, part in enumerate(format_.split(".")) for x in (["."] if i else []) + [[str(n) for n in range(int(part.split("-")[0]), int(part.split("-")[1]) + 1)]]]
+    if kind == "card":
+        return [format_[0], *like(format_[1:-1])]
+    if kind == "iban":
+        return [format_[0], format_[1], *like(format_[2:])]
+    if kind == "ssn":
+        return ["9", *like(format_[1:])]
+    if kind in ("phone", "key"):
+        head, _, rest = format_.partition("\x00")
+        return [*head, *(["23456789"] if kind == "phone" else []), *like(rest)]
+    if kind == "secret":
+        hexadecimal, _, rest = format_.partition("\x00")
+        if hexadecimal:
+            return ["0123456789ABCDEF" if "A" in rest else "0123456789abcdef"] * len(rest)
+        return like(rest)
+    if kind == "email":
+        return [*like(format_), "@", *[_PLACES["a"]] * 5, ".", SAFE_DOMAINS]
+    return []
+
+
+def room_of(kind: str, format_: str) -> int:
+    return math.prod(map(len, places(kind, format_))) if kind in KINDS and kind != "ip6" else 2**62
+
+
+def nth(kind: str, format_: str, i: int) -> str:
+    """The surrogates of a format by number."""
+    out = []
+    for options in reversed(places(kind, format_)):
+        i, at = divmod(i, len(options))
+        out.append(options[at])
+    made = "".join(reversed(out))
+    if kind == "card":
+        return next(made + str(d) for d in range(10) if luhn(made + str(d)))
+    if kind == "iban":
+        return f"{made[:2]}{98 - _mod97(made[:2] + '00' + made[2:]):02d}{made[2:]}"
+    return made
+
+
+def masked(kind: str, value: str) -> str:
+    """What stands for a value whose format is full: stars, in the same place."""
+    if kind == "email":
+        return f"{'*' * len(value.split('@')[0])}@masked.{SAFE_DOMAINS[0]}"
+    return "*" * len(value) if kind in ("secret", "ip", "ip6") else re.sub("[0-9A-Za-z]", "*", value)
+
+
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """The canonical value that stands for another."""
     s = _Stream(key, kind, value, attempt)
@@ -284,19 +388,18 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "ssn":
         return "9" + s.like(value[1:])
     if kind == "ip":
-        return ".".join([str(1 + s.below(223)), *(str(s.below(256)) for _ in range(3))])
+        return ".".join(str(low + s.below(high - low + 1)) for low, high in _ip_class(value))
     if kind == "ip6":
         low = "".join(s.like("0000", hexadecimal=True) for _ in range(6))
         return ipaddress.IPv6Address(int("20010db8" + low, 16)).compressed
     if kind == "phone":
-        head = 1 + _CODES.match(value, 1).end() - 1 if value[0] == "+" else 0
+        head = _phone_head(value)
         return value[:head] + str(2 + s.below(8)) + s.like(value[head + 1 :])
     if kind == "key":
         head = next(m for m in KINDS["key"][0] if value.startswith(m))
         return head + s.like(value[len(head) :])
     if kind == "secret":
-        low = value.lower() == value or value.upper() == value
-        return s.like(value, hexadecimal=bool(low and re.fullmatch("[0-9a-fA-F]+", value)))
+        return s.like(value, hexadecimal=_hexadecimal(value))
     part, name = kind.split(":")
     if part == "initial":
         others = LETTERS[name].replace(value, "")
@@ -348,6 +451,56 @@ def _draw(key: bytes):
 MANY_DRAWS = 64
 
 
+def _formats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = list(zip(*(c.to_pylist() for c in batch.columns[:2]), strict=True))
+        formats = [format_of(*p) if p[0] in KINDS else "" for p in pairs]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(formats, pa.string()), pa.array([min(room_of(p[0], f), 2**62) for p, f in zip(pairs, formats, strict=True)], pa.int64())], names=["kind", "value", "format", "size"])
+
+
+#: Values of a format that one row of the enumeration stands for.
+_BLOCK = 65_536
+
+
+def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for kind, format_, size, block in zip(*(c.to_pylist() for c in batch.columns[:4]), strict=True):
+            for a in range(block * _BLOCK, min(size, (block + 1) * _BLOCK), 4_096):
+                made = [nth(kind, format_, i) for i in range(a, min(size, (block + 1) * _BLOCK, a + 4_096))]
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(made)), pa.array([format_] * len(made)), pa.array(made)], names=["kind", "format", "stand_in"])
+
+
+def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        made = [masked(*p) for p in zip(*(c.to_pylist() for c in batch.columns[:2]), strict=True)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(made, pa.string())], names=["kind", "value", "stand_in"])
+
+
+def _numbered(rows: DataFrame, order: Column) -> DataFrame:
+    """``number`` within kind and format, by a distributed sort: place in the whole less the format's first place."""
+    whole = rows.orderBy("kind", "format", order).rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))
+    placed = Table(rows.sparkSession.createDataFrame(whole, T.StructType([*rows.schema.fields, T.StructField("place", T.LongType())])), "placed").df
+    first = placed.groupBy("kind", "format").agg(F.min("place").alias("first"))
+    return placed.join(first, ["kind", "format"]).withColumn("number", F.col("place") - F.col("first")).drop("place", "first")
+
+
+def _counted_out(open_: DataFrame, taken: DataFrame, key: bytes, attempt: int) -> DataFrame:
+    """``kind, value, attempt, stand_in`` of values whose draws are exhausted: the free values of their formats, one each, and
+    stars for what is left when those have run out.  Formats too large to enumerate keep drawing."""
+    room = F.substring_index("kind", ":", -1).alias("room")
+    wanted = Table(open_.select("kind", "value").mapInArrow(_formats, "kind string, value string, format string, size long").filter(F.col("size") <= _COUNTABLE), "wanted").df
+    formats = wanted.select("kind", "format", "size").distinct()
+    blocks = formats.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), ((F.col("size") - 1) / _BLOCK).cast("long"))))
+    every = blocks.repartition("kind", "format", "block").mapInArrow(_spelled, "kind string, format string, stand_in string")
+    free = every.groupBy(room, "stand_in").agg(F.min(F.struct("kind", "format")).alias("of")).join(taken, ["room", "stand_in"], "left_anti").select("of.kind", "of.format", "stand_in")
+    seed = int.from_bytes(hmac.new(key, b"order", hashlib.sha256).digest()[:7], "big")
+    given = _numbered(free, F.xxhash64(F.lit(seed), "stand_in"))
+    asked = _numbered(wanted.select("kind", "format", "value"), F.xxhash64(F.lit(seed), "value"))
+    matched = Table(asked.join(given, ["kind", "format", "number"], "left").select("kind", "value", "stand_in"), "matched").df
+    rest = matched.filter("stand_in is null").mapInArrow(_masked, "kind string, value string, stand_in string")
+    return matched.filter("stand_in is not null").union(rest).select("kind", "value", F.lit(attempt).alias("attempt"), "stand_in")
+
+
 def settle(entities: DataFrame, key: bytes) -> Table:
     """``kind``, ``value``, ``attempt`` and ``stand_in`` of distinct entities, without collisions in a kind, or among the names of a script."""
     schema = "kind string, value string, attempt int, stand_in string"
@@ -366,13 +519,14 @@ def settle(entities: DataFrame, key: bytes) -> Table:
         first = drawn.df.groupBy(room, "stand_in").agg(F.min(F.struct("value", "kind", "attempt")).alias("least"))
         free = first.join(taken, ["room", "stand_in"], "left_anti").select("least.kind", "least.value", F.struct("least.attempt", "stand_in").alias("got"))
         won = Table(free.groupBy("kind", "value").agg(F.min("got").alias("got")).select("kind", "value", "got.attempt", "got.stand_in"), "won")
-        none = won.df.isEmpty()
         lost = Table(open_.df.join(won.df, ["kind", "value"], "left_anti"), "open")
-        if none and many == MANY_DRAWS:
-            # No free value is to be found: what is left shares its last draws.
+        if many == MANY_DRAWS and won.df.isEmpty():
+            # Draws find no free value any more, so the formats are all but full: their free values are counted out instead.
             won.drop()
-            won = Table(drawn.df.filter(F.col("attempt") == attempt + many - 1), "won")
-        over = lost.df.isEmpty() or none and many == MANY_DRAWS
+            won = Table(_counted_out(open_.df, taken, key, attempt + many), "won")
+            lost.drop()
+            lost = Table(open_.df.join(won.df, ["kind", "value"], "left_anti"), "open")
+        over = lost.df.isEmpty()
         if done is None:
             done = won
         else:

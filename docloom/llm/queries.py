@@ -12,8 +12,13 @@ from docloom.llm import ann, centroids, chat, decontam, exact_topk, jaccard_join
 from docloom.llm.oracles import ORACLES as ORACLES
 from docloom.session import prepare
 
-#: The key of surrogates; a deployment sets its own, and without one each process draws one that nobody knows.
-PII_KEY = os.environ.get("DOCLOOM_PII_KEY", "").encode() or os.urandom(32)
+_DRAWN = os.urandom(32)
+
+
+def pii_key(spark: SparkSession) -> bytes:
+    """The key of surrogates: ``spark.docloom.pii.key``, or ``DOCLOOM_PII_KEY`` of the driver's environment, which runs share; without either each process draws one that nobody knows."""
+    return (spark.conf.get("spark.docloom.pii.key", None) or os.environ.get("DOCLOOM_PII_KEY", "")).encode() or _DRAWN
+
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -30,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_private_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.replace_private(docs, PII_KEY).select("doc_id", "n_entities", "text")
+    return pii.replace_private(docs, pii_key(spark)).select("doc_id", "n_entities", "text")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,9 +4,9 @@ For each language a suffix automaton is built over a bounded sample of labelled
 text.  A text is parsed greedily into the longest phrases that occur in the
 sample; the language that needs the fewest phrases a symbol wins.
 
-Automata are made on the driver from at most ``SAMPLE_DOCS`` texts of each
-language, taken in order of a hash of their ids: whole texts, or of one with more than
-``SAMPLE_CHARS`` characters ``SPANS`` spans from its beginning to its end.
+Automata are made on the driver from at most ``SAMPLE_DOCS`` labelled rows of each
+language, read whole: those whose ids hash lowest among texts of up to ``SAMPLE_CHARS`` characters, then, where these are too few,
+the shortest of the longer ones, as long as the rows before hold less than ``SAMPLE_DOCS * SAMPLE_CHARS`` characters.
 Their rows of transitions are laid over each other in one array, so its size follows the sample
 and not the alphabet; a missing transition starts a new phrase.  Texts advance in lockstep, one symbol at a time for
 all languages of a block (``LANGUAGES``).
@@ -38,10 +38,9 @@ from pyspark.sql import types as T
 from docloom.llm import kernels as k
 from docloom.llm.store import extended, put_back, set_aside
 
-#: Labelled texts of each language that are learned from, characters of each, and in how many spans.
+#: Labelled rows of each language that are learned from, and the length up to which a row is taken for its hash alone.
 SAMPLE_DOCS = 24
-SAMPLE_CHARS = 1_500
-SPANS = 3
+SAMPLE_CHARS = 4_000
 #: Symbols that are parsed side by side with others, and languages at a time; neither changes a result.
 SEGMENT = 2_048
 LANGUAGES = 8
@@ -260,14 +259,13 @@ def _predict(shared, text_at: int, keep: list[int], names: list[str]):
 
 
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs: int = SAMPLE_DOCS, size: int = SAMPLE_CHARS) -> Model:
-    """A model of a bounded sample: of each language the ``docs`` texts whose ids hash lowest, ``size`` characters of each, from all over it."""
-    text, part = F.col(f"`{text_col}`"), size // SPANS
-    gap = (F.char_length(text) - part) / max(1, SPANS - 1)
-    spans = F.concat_ws(" ", *[F.substring(text, F.floor(gap * i).cast("int") + 1, F.lit(part)) for i in range(SPANS)])
-    sampled = F.when(F.char_length(text) <= size, text).otherwise(spans)
-    rows = labelled.select(F.col(f"`{lang_col}`").alias("lang"), sampled.alias("text"), F.xxhash64(F.col(f"`{id_col}`")).alias("h")).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    first = Window.partitionBy("lang").orderBy("h", "text")
-    sample = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= docs).collect()
+    """A model of a bounded sample of whole rows: of each language ``docs`` texts, chosen by hash among those of up to ``size`` characters, then by length."""
+    n = F.char_length("text")
+    rows = labelled.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"), F.xxhash64(F.col(f"`{id_col}`")).alias("h")).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    first = Window.partitionBy("lang").orderBy(F.when(n <= size, 0).otherwise(n), "h", "text")
+    chosen = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= docs)
+    before = F.sum(F.char_length("text")).over(Window.partitionBy("lang").orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
+    sample = chosen.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < docs * size).collect()
     samples: dict[str, list[bytes]] = {}
     for r in sorted(sample, key=lambda r: (r.lang, r.n)):
         samples.setdefault(r.lang, []).append(r.text.encode())
@@ -292,13 +290,17 @@ def fold_of(id_col: Column, folds: int = 4) -> Column:
 
 
 def drop_unknown(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_out: int = 2) -> DataFrame:
-    """``docs`` without texts that have no language: those that ``identify`` calls ``und`` for want of a letter, nulls and empty ones too.
+    """``docs`` with the predicted language where theirs is null, and without texts that have none: those that ``identify`` calls ``und`` for
+    want of a letter, nulls and empty ones too.
 
-    Nothing else goes: without any labelled row, texts with a letter all stay.
+    Nothing else goes: without any labelled row, texts with a letter all stay, and null languages stay null.
     """
     fold = fold_of(F.col(f"`{id_col}`"), folds)
     model = learn(docs.filter(F.coalesce(fold, F.lit(0)) != held_out), id_col, text_col, lang_col)
+    lettered = docs.filter(F.col(f"`{text_col}`").rlike(r"\p{L}"))
     if not model.languages:
-        return docs.filter(F.col(f"`{text_col}`").rlike(r"\p{L}"))
-    found = identify(set_aside(docs, ADDED), model, text_col)
-    return put_back(found.filter(F.col("lang_pred") != "und"), docs.columns, ADDED)
+        return lettered
+    found = identify(set_aside(lettered, ADDED), model, text_col).filter(F.col("lang_pred") != "und")
+    own = f"__docloom_kept_{lang_col}" if lang_col in ADDED else lang_col
+    filled = F.coalesce(F.col(f"`{own}`"), F.col("lang_pred").cast(docs.schema[lang_col].dataType))
+    return put_back(found.withColumn(own, filled), docs.columns, ADDED)

@@ -10,7 +10,7 @@ move digests only; of a content that several rows hold, one row is encoded, chos
 text is shuffled unless the list of misses is too large to broadcast.  The cache is partitioned by tokenizer; a call reads its own part.
 
 Defined results: a null text counts as an empty one.  Repeated rows, and rows
-that share an id, each get their text's count; rows that are equal in all columns that can be hashed are encoded each, and stored once.
+that share an id, each get their text's count; a content is encoded once, however many rows hold it.
 Columns that clash with an added one (``n_bytes``, ``n_tokens``) are replaced.  Counts are of whole texts, without added tokens.
 Two writers may store one digest twice; both hold the same count, and reads take one.
 """
@@ -18,12 +18,11 @@ Two writers may store one digest twice; both hold the same count, and reads take
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm import kernels as k
@@ -98,13 +97,24 @@ def _encode(path: str):
     return run
 
 
+def kept_cache(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/docloom/token-cache"
+
+
+def forget_counts(spark: SparkSession, tokenizer_path: str, cache_path: str | None = None) -> None:
+    """Drops the stored counts of a tokenizer."""
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{cache_path or kept_cache(spark)}/tokenizer={tokenizer_digest(tokenizer_path).hex()}")
+    part.getFileSystem(spark._jsc.hadoopConfiguration()).delete(part, True)
+
+
 def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None = None, text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_bytes`` (UTF-8) and ``n_tokens``; new counts are appended to the Parquet table at ``cache_path`` (a folder for each tokenizer).
 
-    Without a path the cache is a new table in the shared folder.
+    Without a path the cache is the folder ``docloom/token-cache`` in the shared folder.  It is kept between calls and sessions and goes with
+    the shared folder; ``forget_counts`` drops it.
     """
     spark = docs.sparkSession
-    cache_path = cache_path or f"{shared_dir(spark)}/docloom/token-cache-{uuid.uuid4().hex}"
+    cache_path = cache_path or kept_cache(spark)
     version = tokenizer_digest(tokenizer_path)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     raw = F.unhex(F.sha2(text.cast("binary"), 256))
@@ -117,15 +127,21 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
             return spark.createDataFrame([], _CACHE)
         return spark.read.schema(_CACHE).parquet(part)
 
-    # One row of each distinct text: the smallest of a per-row number that the row itself determines.
+    # One row of each distinct text: the smallest of a per-row number that the row itself determines, and how many rows have it.
     rows = docs.select(raw.alias("raw"), text.alias("text"), F.xxhash64(*_hashable(docs)).alias("row"))
-    seen = Table(rows.select("raw", "text", "row").mapInArrow(_normalise(tokenizer_path), "raw binary, row long, digest binary").groupBy("raw").agg(F.min("digest").alias("digest"), F.min("row").alias("row")), "digests")
-    misses = seen.df.join(stored(), "digest", "left_anti").groupBy("digest").agg(F.min(F.struct("raw", "row")).alias("one"))
-    misses = Table(misses.select("digest", "one.raw", "one.row"), "misses")
+    digests = rows.select("raw", "text", "row").mapInArrow(_normalise(tokenizer_path), "raw binary, row long, digest binary")
+    each = digests.groupBy("raw", "row").agg(F.min("digest").alias("digest"), F.count("*").alias("copies"))
+    seen = Table(each.groupBy("raw").agg(F.min("digest").alias("digest"), F.min(F.struct("row", "copies")).alias("one")).select("raw", "digest", "one.*"), "digests")
+    misses = seen.df.join(stored(), "digest", "left_anti").groupBy("digest").agg(F.min(F.struct("raw", "row", "copies")).alias("one"))
+    misses = Table(misses.select("digest", "one.*"), "misses")
     if not misses.df.isEmpty():
-        todo = rows.join(misses.side(**_MISSES), ["raw", "row"]).select("digest", "text")
-        new = todo.mapInArrow(_encode(tokenizer_path), _CACHE)
-        new.dropDuplicates(["digest"]).write.mode("append").parquet(part)
+        # Rows that are equal in all columns are told apart by nothing; of these, and of these alone, one is chosen by a shuffle of their texts.
+        alone, equal = (misses.df.filter(f"copies {x} 1").select("digest", "raw", "row") for x in ("=", ">"))
+        hint = F.broadcast if misses.small(**_MISSES) else lambda df: df
+        todo = rows.join(hint(alone), ["raw", "row"]).select("digest", "text")
+        if not equal.isEmpty():
+            todo = todo.union(rows.join(hint(equal), ["raw", "row"]).select("digest", "text").dropDuplicates(["digest"]))
+        todo.mapInArrow(_encode(tokenizer_path), _CACHE).write.mode("append").parquet(part)
     counts = Table(seen.df.join(stored().dropDuplicates(["digest"]), "digest").select("raw", "n_tokens"), "counts")
     seen.drop()
     misses.drop()

@@ -42,6 +42,8 @@ COLUMNS = 16
 #: Of the hypothesis test: larger abandons fewer.
 EPSILON = 2.1
 _RATIO = 1 + 1e-9
+#: Distances to centres that are held at once.
+_NUMBERS = 2**22
 
 
 def _usable(column: pa.Array) -> np.ndarray:
@@ -81,8 +83,14 @@ class Index:
 
     @staticmethod
     def _near(x: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
-        far = (centres * centres).sum(1) - 2 * x @ centres.T
-        return np.argsort(far, axis=1, kind="stable")[:, :n]
+        """The n nearest centres of each row, nearest first, ties to the smaller; a block of rows at a time."""
+        norms = (centres * centres).sum(1)
+        out = np.empty((len(x), min(n, len(centres))), np.int64)
+        step = max(1, _NUMBERS // max(1, len(centres)))
+        for a in range(0, len(x), step):
+            far = norms - 2 * x[a : a + step] @ centres.T
+            out[a : a + step] = far.argmin(1)[:, None] if n == 1 else np.argsort(far, axis=1, kind="stable")[:, :n]
+        return out
 
     def _probes(self, x: np.ndarray, lists: int) -> int:
         at = np.arange(0, len(x), max(1, len(x) // 256))

@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm import decontam, jaccard_join, langid, packing, pii
-from docloom.llm.queries import PII_KEY, table, tokenizer
+from docloom.llm.queries import pii_key, table, tokenizer
 from docloom.llm.store import Table, put_back, scratch, set_aside
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a language go: those that language ID calls und, which have no letter."""
+    """Texts without a language go: those that language ID calls und, which have no letter; a null ``lang`` becomes the predicted one."""
     return langid.drop_unknown(docs)
 
 
@@ -37,7 +37,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data become surrogates; n_chars, if there is one, follows the text."""
-    made = put_back(pii.replace_private(set_aside(docs, ("n_entities",)), PII_KEY), docs.columns, ("n_entities",))
+    made = put_back(pii.replace_private(set_aside(docs, ("n_entities",)), pii_key(spark)), docs.columns, ("n_entities",))
     if "n_chars" not in docs.columns:
         return made
     return made.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

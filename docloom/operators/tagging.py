@@ -62,8 +62,12 @@ def ready(gold: DataFrame) -> DataFrame:
 
 def extracted(sections: DataFrame, tagger: Tagger, text: str = "section_text", version: str = "1.0") -> DataFrame:
     """``sections`` with ``entities``, ``entity_count``, and ``entity_type_counts`` (true counts); a null text has none."""
-    tokens = sections.withColumn("__tokens", F.coalesce(tagger(F.col(text)), F.array()))
-    spans = tokens.withColumn("entities", ent.decoded_spans(F.col("__tokens"), F.col(text))).drop("__tokens")
+    return with_entities(sections.withColumn("__tokens", tagger(F.col(text))), "__tokens", text, version)
+
+
+def with_entities(tagged: DataFrame, tokens: str = "tokens", text: str = "section_text", version: str = "1.0") -> DataFrame:
+    """The same from a column of tokens, which goes."""
+    spans = tagged.withColumn("entities", ent.decoded_spans(F.coalesce(tokens, F.array()), F.col(text))).drop(tokens)
     kinds = F.transform("entities", lambda e: e["entity_type"])
     counts = let(kinds, lambda all_: F.map_from_entries(F.transform(F.array_sort(F.array_distinct(all_)), lambda t: F.struct(t, F.size(F.filter(all_, lambda x: x == t))))))
     return spans.withColumns({"entity_count": F.size("entities"), "entity_type_counts": counts, "model_version": F.lit(version)})

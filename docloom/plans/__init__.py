@@ -1,5 +1,5 @@
 """Registered queries; importing the modules registers them."""
 
-from docloom.plans import ingestion, registry, reports, webpages
+from docloom.plans import ingestion, learned, registry, reports, webpages
 
-__all__ = ["ingestion", "registry", "reports", "webpages"]
+__all__ = ["ingestion", "learned", "registry", "reports", "webpages"]

@@ -198,40 +198,6 @@ def gold_high_sample(spark: SparkSession, base: str) -> DataFrame:
 
 # --- entities ---
 
-#: A gazetteer over the words of the provided tables.
-TERMS = {"and": "DRUG", "of": "CONDITION", "in": "DOSAGE", "the": "BIOMARKER"}
-
-
-def _extracted(spark: SparkSession, base: str) -> DataFrame:
-    return tagging.extracted(load(spark, base, "conversations").select("conv_id", "turn", "text"), tagging.gazetteer(TERMS), text="text")
-
-
-_HITS = rf"""w as (select conv_id, turn, unnest(regexp_extract_all(text, '\S+')) word from conversations),
- hits as (select *, regexp_replace(lower(word), '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g') term from w),
- tagged as (select *, case term {" ".join(f"when '{t}' then '{k}'" for t, k in TERMS.items())} end entity_type from hits)"""
-
-
-@query("ner_predict", f"with {_HITS} select entity_type, word entity_text, count(*) n from tagged where entity_type is not null group by 1, 2")
-def ner_predict(spark: SparkSession, base: str) -> DataFrame:
-    return tagging.clinical_entities(_extracted(spark, base), ["conv_id", "turn"], "conv_id").groupBy("entity_type", "entity_text").agg(F.count("*").alias("n"))
-
-
-@query("ner_extraction_summary", f"""with {_HITS}, t as (select conv_id, turn, count(entity_type) n from tagged group by 1, 2), every as (select c.conv_id, c.turn, coalesce(n, 0) n from conversations c left join t using (conv_id, turn))
- select n entity_count, count(*) sections from every group by 1""")
-def ner_extraction_summary(spark: SparkSession, base: str) -> DataFrame:
-    return _extracted(spark, base).groupBy(F.col("entity_count").cast("long").alias("entity_count")).agg(F.count("*").alias("sections"))
-
-
-@query("clinical_entities", rf"""with p as (select conv_id, turn, unnest(regexp_extract_all(text, '\s*\S+')) piece, generate_subscripts(regexp_extract_all(text, '\s*\S+'), 1) i from conversations),
- w as (select conv_id, turn, i, regexp_extract(piece, '\S+') word, sum(length(piece)) over (partition by conv_id, turn order by i) e from p),
- t as (select *, regexp_replace(lower(word), '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g') term from w),
- h as (select *, case term {" ".join(f"when '{t}' then '{k}'" for t, k in TERMS.items())} end kind from t)
- select conv_id || '_e' || lpad((row_number() over (partition by conv_id, turn order by i))::varchar, 4, '0') entity_id, conv_id, turn, word entity_text, kind entity_type, (e - length(word))::int start_position, e::int end_position, 1.0::double confidence
- from h where kind is not null""")
-def clinical_entities(spark: SparkSession, base: str) -> DataFrame:
-    return tagging.clinical_entities(_extracted(spark, base), ["conv_id", "turn"], "conv_id")
-
-
 @query("ner_common_entities", f"with {_ENT} select min(entity_text) canonical_text, entity_type, count(*) occurrence_count, count(distinct protocol_id) protocol_count, {_MEAN} avg_conf from ent group by entity_norm, entity_type order by occurrence_count desc, entity_norm, entity_type limit 20")
 def ner_common_entities(spark: SparkSession, base: str) -> DataFrame:
     top = ent.catalog(entities(spark, base)).orderBy(F.desc("occurrence_count"), "entity_norm", "entity_type").limit(20)

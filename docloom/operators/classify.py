@@ -13,9 +13,11 @@ from pyspark.sql import types as T
 
 from docloom.constants import MIN_CONFIDENCE, MIN_MARGIN, SECONDARY_GAP, SECONDARY_SCORE, TOP_K
 from docloom.functions import vectors as vx
+from docloom.sources.io import shared_folder
 
-#: Prototypes of a block.
+#: Prototypes that a task scores its rows against at a time, and bytes of those that are broadcast at a time.
 BLOCK = 4_096
+GROUP_BYTES = 32_000_000
 
 
 def prototypes(phrases: DataFrame, label: str = "label", vector: str = "vector") -> DataFrame:
@@ -26,56 +28,101 @@ def prototypes(phrases: DataFrame, label: str = "label", vector: str = "vector")
     return dims.groupBy("label").agg(mean.alias("m")).select("label", vx.normalized(F.col("m")).alias("prototype"))
 
 
-def scored(vectors: DataFrame, protos: DataFrame, vector: str = "vector", digits: int | None = None, block: int = BLOCK) -> DataFrame:
-    """``ranked``: labels with their cosine scores, best first, ties by label.
+def scored(vectors: DataFrame, protos: DataFrame, vector: str = "vector", digits: int | None = None, block: int = BLOCK, k: int | None = None, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """``ranked``: the ``k`` best labels (all of them without ``k``) with their cosine scores, best first, ties by label.
 
-    Prototypes are read a block at a time, so the driver holds no more than one, and each block is broadcast as a matrix; a row's scores of all blocks are ranked together.
+    Prototypes are a table of any size, read in order of label.  A group of them, bounded by ``group_bytes``, is broadcast at a time; a task scores its
+    rows against a block of the group at a time and keeps the k best of each row, into which the next block's best are merged.  Between
+    groups the rows with their best so far are a table in the shared folder.  So memory is that of one group and one block of scores, whatever the
+    number of prototypes.  A vector of another length, or null, has the first labels with scores that are no numbers.
     """
     spark = vectors.sparkSession
-    blocks, labels, rows = [], [], []
-
-    def put() -> None:
-        blocks.append(spark.sparkContext.broadcast(np.array([r.prototype for r in rows], np.float64)))
-        labels.append(F.array(*[F.lit(r.label) for r in rows]))
-        rows.clear()
-
-    for r in protos.orderBy("label").toLocalIterator():
+    if k is None:
+        k = protos.count()
+    found = T.ArrayType(T.StructType([T.StructField("label", protos.schema["label"].dataType), T.StructField("score", T.DoubleType())]))
+    unit = vectors.withColumn("__unit", vx.normalized(F.col(vector).cast("array<double>")))
+    out = unit.withColumn("__best", F.array().cast(found))
+    schema = T.StructType([*vectors.schema.fields, T.StructField("__unit", T.ArrayType(T.DoubleType())), T.StructField("__best", found)])
+    done = 0
+    for labels, matrix in _groups(protos.orderBy("label"), group_bytes):
+        if done:
+            path = shared_folder(spark)
+            out.write.parquet(path)
+            out = spark.read.schema(schema).parquet(path)
+        shared = spark.sparkContext.broadcast((labels, matrix))
+        out = out.mapInArrow(_best_of(shared, block, k, digits), schema)
+        done += 1
+    return out.drop("__unit").withColumnRenamed("__best", "ranked")
+
+
+def _groups(protos: DataFrame, group_bytes: int) -> Iterator[tuple[list, np.ndarray]]:
+    rows: list = []
+    held = 0
+    for r in protos.select("label", "prototype").toLocalIterator():
         rows.append(r)
-        if len(rows) == block:
-            put()
+        held += 8 * len(r.prototype) + 64
+        if held >= group_bytes:
+            yield [r.label for r in rows], np.array([r.prototype for r in rows], np.float64)
+            rows, held = [], 0
     if rows:
-        put()
-    if not blocks:
-        return vectors.withColumn("ranked", F.array().cast("array<struct<label:string,score:double>>"))
-    unit = vectors.withColumn("__unit", vx.normalized(F.col(vector).cast("array<double>")))
-    schema = T.StructType([*vectors.schema.fields, T.StructField("__scores", T.ArrayType(T.DoubleType()))])
-    scores = F.col("__scores") if digits is None else F.transform("__scores", lambda s: F.round(s, digits))
-    each = F.zip_with(scores, F.concat(*labels), lambda s, label: F.struct((-s).alias("s"), label.alias("label")))
-    ranked = F.transform(F.array_sort(each), lambda t: F.struct(t["label"].alias("label"), (-t["s"]).alias("score")))
-    return unit.mapInArrow(_score(blocks), schema).withColumn("ranked", ranked).drop("__scores")
+        yield [r.label for r in rows], np.array([r.prototype for r in rows], np.float64)
+
+
+def first_largest(scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest of each row, largest first, ties in order of place; what is no number comes last."""
+    n, m = scores.shape
+    k = min(k, m)
+    plain = np.where(np.isnan(scores), -np.inf, scores)
+    if k == m:
+        return np.argsort(-plain, axis=1, kind="stable")
+    least = np.partition(plain, m - k, axis=1)[:, m - k, None]
+    above, equal = plain > least, plain == least
+    # Of those equal to the k-th, the first ones fill up.
+    spare = k - above.sum(axis=1, keepdims=True)
+    chosen = above | (equal & (np.cumsum(equal, axis=1) <= spare))
+    at = np.nonzero(chosen)[1].reshape(n, k)
+    order = np.argsort(-np.take_along_axis(plain, at, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(at, order, axis=1)
+
+
+def _rounded(x: np.ndarray, digits: int | None) -> np.ndarray:
+    return x if digits is None else np.copysign(np.floor(np.abs(x) * 10.0**digits + 0.5) / 10.0**digits, x)
 
 
-def _score(blocks: list):
-    """Replaces unit vectors, the last column, by their products with all prototypes; a vector of another length has no numbers."""
+def _best_of(shared, block: int, k: int, digits: int | None):
+    """The last two columns are unit vectors and their best so far, which are merged with the best of a group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, matrix = shared.value
         for batch in batches:
-            column = batch.column(batch.num_columns - 1)
-            size = pc.fill_null(pc.list_value_length(column), -1).to_numpy()
-            parts = []
-            for shared in blocks:
-                m = shared.value
-                whole = size == m.shape[1]
-                v = column.filter(pa.array(whole)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, m.shape[1])
+            if not batch.num_rows:
+                continue
+            column, before = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+            n, had = batch.num_rows, int(before.value_lengths()[0].as_py())
+            kind = before.type.value_type
+            names = pa.array(labels, kind.field("label").type)
+            whole = pc.fill_null(pc.list_value_length(column), -1).to_numpy() == matrix.shape[1]
+            v = column.filter(pa.array(whole)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, matrix.shape[1])
+            flat = before.flatten()
+            # Places: those before the group's count down from nought, the group's own up.
+            best, place = flat.field("score").to_numpy(zero_copy_only=False).reshape(n, had), np.arange(-n * had, 0).reshape(n, had)
+            for a in range(0, len(labels), block):
+                m = matrix[a : a + block]
+                made = np.full((n, len(m)), np.nan)
                 out = np.zeros((len(v), len(m)))
                 for j in range(m.shape[1]):  # in order of dimensions, as every engine sums
                     out += v[:, j : j + 1] * m[:, j]
-                made = np.full((len(column), len(m)), np.nan)
-                made[whole] = out
-                parts.append(made)
-            every = np.concatenate(parts, axis=1)
-            ends = pa.array(np.arange(len(column) + 1, dtype=np.int32) * every.shape[1])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(every.ravel()))], names=[*batch.schema.names[:-1], "__scores"])
+                made[whole] = _rounded(out, digits)
+                top = first_largest(made, k)
+                best = np.concatenate([best, np.take_along_axis(made, top, axis=1)], axis=1)
+                place = np.concatenate([place, a + top], axis=1)
+                top = first_largest(best, k)
+                best, place = np.take_along_axis(best, top, axis=1), np.take_along_axis(place, top, axis=1)
+            every = pa.concat_arrays([flat.field("label"), names])
+            label = every.take(pa.array((place + n * had).ravel()))
+            ends = pa.array(np.arange(n + 1, dtype=np.int32) * best.shape[1])
+            pairs = pa.StructArray.from_arrays([label, pa.array(best.ravel())], fields=[kind.field("label"), kind.field("score")])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pairs)], names=batch.schema.names)
 
     return run
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom.constants import BIO_TAGS, CHUNK_WORDS, ENTITY_TYPES
+from docloom.constants import BIO_TAGS, CHUNK_WORDS, ENTITY_TYPES, TOP_K
 from docloom.functions import text as tx
 from docloom.functions import vectors as vx
 from docloom.operators import classify, evaluate, extraction, gold, structure
@@ -321,7 +321,7 @@ def vec_prototypes(spark: SparkSession, base: str) -> DataFrame:
 
 def _classified(spark: SparkSession, base: str) -> DataFrame:
     rows = vectors(spark, base)
-    return classify.classified(classify.scored(rows.withColumnRenamed("label", "truth"), classify.prototypes(rows), digits=6))
+    return classify.classified(classify.scored(rows.withColumnRenamed("label", "truth"), classify.prototypes(rows), digits=6, k=TOP_K))
 
 
 @query("vec_classify", f"""with {_VEC}, {_PROTO}, {_RANK}, {_CLS} select cls.section_id, classification, confidence, round(margin * 1000000)::bigint margin_millionths, status, top_k_labels, secondary_labels from cls
@@ -347,6 +347,29 @@ def cls_top15(spark: SparkSession, base: str) -> DataFrame:
     return _classified(spark, base).groupBy("classification").agg(F.count("*").alias("n"), F.max("confidence").alias("best")).orderBy(F.desc("n"), "classification").limit(15)
 
 
+_MIXED = """mixed as (select a.section_id, list_transform(range(1, len(a.vector) + 1), lambda i: a.vector[i] * (50 - a.section_id % 50) + b.vector[i] * (a.section_id % 50)) m from
+ (select e.section_id, c.vector from vec e join vec c on c.section_id = e.section_id // 50 * 50) a join (select e.section_id, c.vector from vec e join vec c on c.section_id = e.section_id // 50 * 50 + 50) b using (section_id)),
+ mranked as (select mixed.section_id, p.section_id label, round(list_inner_product(list_transform(m, lambda x: x / sqrt(list_inner_product(m, m))), list_transform(p.vector, lambda x: x / sqrt(list_inner_product(p.vector, p.vector)))), 6) score from mixed cross join (select * from vec where section_id % 50 = 0) p),
+ mtop as (select *, row_number() over (partition by section_id order by score desc, label) r from mranked)"""
+
+
+@query("vec_status", f"""with {_VEC}, {_MIXED}, top as (select a.section_id, a.label, a.score, round(a.score - b.score, 6) margin from mtop a join mtop b using (section_id) where a.r = 1 and b.r = 2),
+ more as (select section_id, string_agg(mtop.label::varchar, ',' order by r) secondary_labels from mtop join top using (section_id) where r between 2 and 5 and (mtop.score >= 0.68 or round(top.score - mtop.score, 6) <= 0.04) group by 1)
+ select section_id, label classification, case when score < 0.72 then 'UNMAPPED' when margin < 0.02 then 'AMBIGUOUS' else 'SUCCESS' end status, coalesce(secondary_labels, '') secondary_labels from top left join more using (section_id)""")
+def vec_status(spark: SparkSession, base: str) -> DataFrame:
+    """Vectors between two of every fiftieth vector, classified by those: near one of them a success, midway ambiguous or unmapped."""
+    unit = vectors(spark, base).select("section_id", vx.normalized(F.col("vector")).alias("vector"))
+    own = F.floor(F.col("section_id") / 50) * 50
+    bases = unit.filter("section_id % 50 = 0")
+    ends = unit.select("section_id", own.alias("a"), (own + 50).alias("b"))
+    ends = ends.join(bases.select(F.col("section_id").alias("a"), F.col("vector").alias("va")), "a").join(bases.select(F.col("section_id").alias("b"), F.col("vector").alias("vb")), "b")
+    share = (F.col("section_id") % 50).cast("double")
+    mixed = ends.select("section_id", F.zip_with("va", "vb", lambda x, y: x * (50 - share) + y * share).alias("vector"))
+    protos = bases.select(F.col("section_id").alias("label"), vx.normalized(F.col("vector")).alias("prototype"))
+    found = classify.classified(classify.scored(mixed, protos, digits=6, k=TOP_K))
+    return found.select("section_id", "classification", "status", F.array_join(F.col("secondary_labels").cast("array<string>"), ",").alias("secondary_labels"))
+
+
 @query("vec_dedup_best", f"""with {_VEC}, {_PROTO}, {_RANK}, {_CLS}, k as (select *, section_id % 7 document_id, row_number() over (partition by section_id % 7, classification order by confidence desc, section_id) r from cls)
  select section_id, document_id, case when classification in (1, 2) and r > 1 then 'OTHER_SECTION' else classification::varchar end classification from k""")
 def vec_dedup_best(spark: SparkSession, base: str) -> DataFrame:

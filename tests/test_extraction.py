@@ -163,6 +163,45 @@ def test_prototypes_in_blocks(spark):
     assert one[:2] == many[:2] and len(one[0]) == 9 and one[1][0].label == "l1"
 
 
+def test_best_prototypes_of_many(spark):
+    """Groups and blocks of any size give what the full sort gives, ties and vectors of other lengths too."""
+    rng = np.random.default_rng(4)
+    protos = [(i, rng.choice([-1.0, 0.0, 0.5, 1.0], 6).tolist()) for i in range(700)]
+    rows = [(i, rng.choice([-1.0, 0.0, 1.0], 6).tolist()) for i in range(60)] + [(100, None), (101, [1.0]), (102, [0.0] * 6)]
+    p = spark.createDataFrame(protos, "label int, prototype array<double>").repartition(3)
+    v = spark.createDataFrame(rows, "id int, vector array<double>").repartition(2)
+    want = {}
+    for i, x in rows:
+        n = np.sqrt(sum(y * y for y in x)) if x else 0
+        score = [sum(a / n * b for a, b in zip(x, y, strict=True)) if x and len(x) == 6 and n else float("nan") for _, y in protos]
+        order = sorted(range(700), key=lambda j: (-np.floor(abs(score[j]) * 1e6 + 0.5) * np.sign(score[j]) if score[j] == score[j] else 9e9, j))
+        want[i] = order[:5]
+    for block, size in ((4_096, 10**9), (64, 10**9), (64, 20_000), (7, 3_000)):
+        got = {r.id: [x.label for x in r.ranked] for r in classify.scored(v, p, digits=6, block=block, k=5, group_bytes=size).collect()}
+        assert {i: g for i, g in got.items() if i < 102} == {i: w for i, w in want.items() if i < 102}, (block, size)
+    assert [x.label for x in classify.scored(v.filter("id = 3"), p.limit(0), k=5).first().ranked] == []
+
+
+def test_memory_is_one_block():
+    import tracemalloc
+
+    class Shared:
+        value = (list(range(100_000)), np.random.default_rng(1).normal(size=(100_000, 8)))
+
+    import pyarrow as pa
+
+    kind = pa.list_(pa.struct([("label", pa.int64()), ("score", pa.float64())]))
+    x = np.random.default_rng(2).normal(size=(500, 8))
+    batch = pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), pa.array([[]] * 500, kind)], names=["__unit", "__best"])
+    tracemalloc.start()
+    (out,) = classify._best_of(Shared, 1_000, 5, None)([batch])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * 8 * 500 * 1_000 and peak < 8 * 500 * 100_000 / 4  # blocks of scores, not all of them
+    want = np.argsort(-(x @ Shared.value[1].T), axis=1)[:, :5]
+    assert [[y["label"] for y in r] for r in out.column(1).to_pylist()] == want.tolist()
+
+
 def test_alignment_scores_and_marks(spark):
     rows = spark.createDataFrame([([None, 0, 0, 1, None], ["B-DRUG", "O"], [1.0, 3.0, 3.0])], "w array<int>, t array<string>, l array<double>")
     got = rows.select(evaluate.aligned(F.col("w"), F.col("t"), ["O", "B-DRUG"]).alias("a"), evaluate.softmax_best(F.col("l")).alias("b")).first()

@@ -14,7 +14,7 @@ from docloom.functions import text as tx
 from docloom.operators import entities as ent
 from docloom.operators import evaluate, extraction, structure, tagging
 from docloom.plans.registry import _GOLD, _SEC, _STRIP, _gold, _words, query
-from docloom.sources import corpus, io
+from docloom.sources import corpus, io, upsert
 from docloom.sources.tables import line_sections, load
 
 # --- sources ---
@@ -96,6 +96,20 @@ def sink_partitioned(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(path).groupBy(F.col("p_brand").cast("string").alias("p_brand")).agg(F.count("*").alias("n"), F.max("p_partkey").alias("last"))
 
 
+@query("merge_partitions", """select p_partkey, case when p_size > 45 then p_name || '!' else p_name end p_name, case when p_size > 45 and p_partkey % 2 = 0 then 'Moved' else p_brand end p_brand, p_size from part
+ union all select -p_partkey, p_name || '!', p_brand, p_size from part where p_size > 45 and p_partkey % 2 = 1""")
+def merge_partitions(spark: SparkSession, base: str) -> DataFrame:
+    """Large parts change, every other one moves to another partition, and new ones come in."""
+    part = load(spark, base, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    path = io.shared_folder(spark)
+    part.write.partitionBy("p_brand").parquet(path)
+    moves = F.col("p_partkey") % 2 == 0
+    large = part.filter("p_size > 45").withColumns({"p_name": F.concat("p_name", F.lit("!")), "p_brand": F.when(moves, "Moved").otherwise(F.col("p_brand"))})
+    new = large.filter(~moves).withColumn("p_partkey", -F.col("p_partkey"))
+    upsert.upsert_partitions(spark, path, large.union(new), ["p_partkey"], ["p_brand"])
+    return spark.read.schema(part.schema).parquet(path)
+
+
 @query("sink_tables", "select s_nationkey, count(*) n from supplier group by 1")
 def sink_tables(spark: SparkSession, base: str) -> DataFrame:
     """A table made if it is not there, filled, read and dropped; its rows, one a nation, are few."""

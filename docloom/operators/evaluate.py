@@ -44,6 +44,12 @@ def label_maps(labels: list[str]) -> tuple[dict[str, int], dict[int, str]]:
     return numbers, {i: label for label, i in numbers.items()}
 
 
+def numbered_labels(rows: DataFrame, label: str) -> DataFrame:
+    """``label, id``: the distinct labels of a table, numbered from 0 in their order; a null is no label.  Labels are few, rows are not."""
+    found = rows.filter(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct()
+    return found.select("label", (F.row_number().over(Window.partitionBy().orderBy("label")) - 1).alias("id"))
+
+
 def aligned(word_numbers: Column, tags: Column, labels: list[str], ignored: int = -100) -> Column:
     """A label's number for each sub-token: at the first one of a word its tag's, at others and at special ones (null) ``ignored``.
 

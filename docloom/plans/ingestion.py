@@ -14,7 +14,7 @@ from docloom.functions import text as tx
 from docloom.operators import entities as ent
 from docloom.operators import evaluate, extraction, structure, tagging
 from docloom.plans.registry import _GOLD, _SEC, _STRIP, _gold, _words, query
-from docloom.sources import corpus, io, upsert
+from docloom.sources import corpus, files, io, upsert
 from docloom.sources.tables import line_sections, load
 
 # --- sources ---
@@ -27,6 +27,21 @@ def src_extract(spark: SparkSession, base: str) -> DataFrame:
     return out.select("path", F.array_join("tools_used", ",").alias("tools_used"), "page_count", "characters", F.col("error_message").isNotNull().alias("failed"))
 
 
+@query("src_files", r"""select doc_id, 'pdf_text,text_pages' tools_used, 1 page_count, length(coalesce(text, '')) characters, octet_length(encode(coalesce(text, ''))) length, 'SUCCESS' processing_status from documents where text <> ''""")
+def src_files(spark: SparkSession, base: str) -> DataFrame:
+    """Documents written as files of their own, scanned, and read by a chain of readers in processes with a deadline; their registry."""
+    folder = io.shared_folder(spark)
+    texts = load(spark, base, "documents").filter("text <> ''").select(F.format_string("d%d.txt", "doc_id").alias("name"), "text")
+    files.write_files(texts, folder).write.format("noop").mode("overwrite").save()
+    number = F.regexp_extract("path", r"d(\d+)\.txt$", 1).cast("long").alias("doc_id")
+    small, _ = files.scan(spark, folder, "*.txt")
+    read = files.read_folder(spark, folder, io.EXTRACTORS, pattern="*.txt").select(number, "tools_used", "page_count", "characters", "error_message")
+    pages = read.select(F.col("doc_id").alias("document_id"), F.when(F.col("error_message").isNull(), 1).alias("page_number"), F.element_at("tools_used", -1).alias("tool"), "error_message")
+    registry = extraction.registry(pages).select(F.col("document_id").alias("doc_id"), "processing_status")
+    sizes = small.select(number, F.col("length"))
+    return read.join(registry, "doc_id").join(sizes, "doc_id").select("doc_id", F.array_join("tools_used", ",").alias("tools_used"), "page_count", "characters", "length", "processing_status")
+
+
 @query("src_scanned", "select l_orderkey, sum(l_linenumber) < 100 * least(count(*), 3) and max(l_quantity) > 40 is_scanned from (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity) i from lineitem) where i <= 3 group by 1")
 def src_scanned(spark: SparkSession, base: str) -> DataFrame:
     pages = load(spark, base, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))).alias("p"))
@@ -58,8 +73,8 @@ def src_api_json(spark: SparkSession, base: str) -> DataFrame:
     return corpus.api_entities(load(spark, base, "part").select("p_partkey", F.to_json(F.struct(F.array(one).alias("entities"))).alias("body")))
 
 
-def _local(path: str) -> str:
-    return path.removeprefix("file://")
+#: Bytes of texts that a file of tasks takes, about.
+_FILE_BYTES = 8_000_000
 
 
 @query("src_corpus", r"select upper(role) entity_type, count(*) n from conversations where regexp_matches(text, '\S') group by 1")
@@ -70,9 +85,11 @@ def src_corpus(spark: SparkSession, base: str) -> DataFrame:
     value = F.struct(begin.alias("start"), (begin + F.length(F.regexp_extract("text", r"(\S+)", 1))).alias("end"), F.array(F.upper("role")).alias("labels"))
     result = F.array(F.struct(F.lit("labels").alias("type"), value.alias("value")))
     task = F.to_json(F.struct((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.struct("text").alias("data"), F.array(F.struct(result.alias("result"))).alias("annotations")))
-    files = rows.groupBy(F.pmod("conv_id", F.lit(64)).alias("file")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(task), ","), F.lit("]")).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text") + 200)).first()[0] or 0
+    by_file = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(max(1, -(-size // _FILE_BYTES)))).alias("file")
+    made = rows.groupBy(by_file).agg(F.concat(F.lit("["), F.array_join(F.collect_list(task), ","), F.lit("]")).alias("text"))
     folder = io.shared_folder(spark)
-    io.write_files(files.select(F.format_string("tasks-%d.json", "file").alias("name"), "text"), _local(folder)).agg(F.sum("n_bytes")).collect()
+    files.write_files(made.select(F.format_string("tasks-%d.json", "file").alias("name"), "text"), folder).agg(F.sum("n_bytes")).collect()
     return corpus.label_counts(corpus.training_rows(corpus.annotated_texts(spark, folder)))
 
 
@@ -82,7 +99,7 @@ def src_corpus(spark: SparkSession, base: str) -> DataFrame:
 @query("sink_files", "select 'c' || c_custkey || '.txt' name, octet_length(encode(c_name || chr(10) || c_mktsegment)) n_bytes from customer")
 def sink_files(spark: SparkSession, base: str) -> DataFrame:
     rows = load(spark, base, "customer").select(F.format_string("c%d.txt", "c_custkey").alias("name"), F.concat_ws("\n", "c_name", "c_mktsegment").alias("text"))
-    out = io.write_files(rows, _local(io.shared_folder(spark)))
+    out = files.write_files(rows, io.shared_folder(spark))
     return out.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "n_bytes")
 
 
@@ -112,16 +129,16 @@ def merge_partitions(spark: SparkSession, base: str) -> DataFrame:
 
 @query("sink_tables", "select s_nationkey, count(*) n from supplier group by 1")
 def sink_tables(spark: SparkSession, base: str) -> DataFrame:
-    """A table made if it is not there, filled, read and dropped; its rows, one a nation, are few."""
-    name = f"docloom_{uuid.uuid4().hex}"
+    """A table made if it is not there, filled, read and dropped; what is read of it stays in the shared folder."""
+    name, path = f"docloom_{uuid.uuid4().hex}", io.shared_folder(spark)
     for _ in range(2):
         io.create_table(spark, name, "s_suppkey bigint, s_nationkey int", ["s_nationkey"])
     try:
         load(spark, base, "supplier").select("s_suppkey", "s_nationkey").write.insertInto(name)
-        rows = spark.table(name).groupBy("s_nationkey").agg(F.count("*").alias("n")).collect()
+        spark.table(name).groupBy("s_nationkey").agg(F.count("*").alias("n")).write.parquet(path)
     finally:
         io.drop_table(spark, name)
-    return spark.createDataFrame(rows, "s_nationkey int, n long")
+    return spark.read.parquet(path)
 
 
 # --- extraction rows and sections ---
@@ -247,9 +264,10 @@ def ner_split(spark: SparkSession, base: str) -> DataFrame:
     return load(spark, base, "labels").groupBy(evaluate.in_training("doc_id").alias("training")).agg(F.count("*").alias("n"))
 
 
-@query("ner_label_maps", "select unnest([" + ", ".join(f"'{t}'" for t in BIO_TAGS) + f"]) label, unnest(range({len(BIO_TAGS)}))::int id")
+@query("ner_label_maps", "select label, (row_number() over (order by label) - 1)::int id from (select distinct p_type label from part)")
 def ner_label_maps(spark: SparkSession, base: str) -> DataFrame:
-    return spark.createDataFrame([(label, i) for label, i in evaluate.label_maps(BIO_TAGS)[0].items()], "label string, id int")
+    """Numbers of the labels that a table holds, in their order."""
+    return evaluate.numbered_labels(load(spark, base, "part"), "p_type")
 
 
 @query("ner_aligned", r"""with w as (select conv_id, turn, regexp_extract_all(text, '\S+') a from conversations),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import multiprocessing
-import os
 import re
 import shutil
 import tempfile
@@ -13,9 +12,12 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 
 
 def ensure_columns(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
@@ -175,6 +177,11 @@ def _fields(schema: str) -> list[str]:
     return [*out, schema[at:]]
 
 
+def arrow_fields(schema: str) -> list[pa.Field]:
+    kind = to_arrow_type(_parse_datatype_string(schema))
+    return [kind.field(i) for i in range(kind.num_fields)]
+
+
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None, skip_empty: bool = False) -> bool:
     """Puts a table in the place of another, with its own schema; says whether it did, as an empty one may be skipped."""
     if skip_empty and df.isEmpty():
@@ -184,30 +191,6 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None, s
     return True
 
 
-def write_files(df: DataFrame, folder: str, name: str = "name", text: str = "text") -> DataFrame:
-    """A text file for each row, named by a column and put in place whole; returns ``path`` and ``n_bytes`` of each when run.
-
-    The folder is one that all machines share; a task that runs again writes the same files.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.makedirs(folder, exist_ok=True)
-        for batch in batches:
-            rows = []
-            for file, content in zip(batch[name], batch[text], strict=True):
-                if os.path.basename(file) != file or file in ("", ".", ".."):
-                    raise ValueError(f"not a file's name: {file}")
-                raw = (content or "").encode()
-                part = os.path.join(folder, f".{file}.{uuid.uuid4().hex}")
-                with open(part, "wb") as f:
-                    f.write(raw)
-                os.replace(part, os.path.join(folder, file))
-                rows.append((os.path.join(folder, file), len(raw)))
-            yield pd.DataFrame(rows, columns=["path", "n_bytes"])
-
-    return df.select(name, text).mapInPandas(run, "path string, n_bytes long")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """A new folder beneath the one that all machines share; a local session without one gets a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)

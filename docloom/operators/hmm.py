@@ -14,7 +14,6 @@ Defined results: a null text has no tags; a text without words has none either.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np

@@ -14,7 +14,7 @@ from docloom.functions import text as tx
 from docloom.operators import entities as ent
 from docloom.operators import evaluate, extraction, structure, tagging
 from docloom.plans.registry import _GOLD, _SEC, _STRIP, _gold, _words, query
-from docloom.sources import corpus, files, io, upsert
+from docloom.sources import corpus, files, io, records, upsert
 from docloom.sources.tables import line_sections, load
 
 # --- sources ---
@@ -62,6 +62,63 @@ def src_children(spark: SparkSession, base: str) -> DataFrame:
     return io.children(nested, "turns", ["conv_id"])
 
 
+_O = "o_orderkey"
+_SEVEN = f"""r as (select o_custkey c, {_O} k, o_custkey::varchar document_id, ({_O} % 50)::int page, * from orders)
+ select 'pages' kind, document_id, '' id, page page_number, o_orderpriority || '|' || (k % 2 = 0) detail from r union all
+ select 'sections', document_id, case when k % 2 = 0 then 's' || k else k::varchar end, page, case when k % 2 = 0 then 'heading|2|3|' || o_orderpriority else 'paragraph|0|4|' || o_orderstatus end || '|' || (k * 25) || '|' || case when k % 2 = 0 then 150 else -1 end from r union all
+ select 'images', document_id, 'i' || k, page, 'png' from r where k % 3 = 0 union all select 'tables', document_id, 't' || k, page, '<t>' from r where k % 3 = 1 union all select 'formulas', document_id, 'f' || k, 0, 'x^2' from r where k % 3 = 2 union all
+ select 'errors', document_id, '', 0, 'bronze|late' from r where o_orderstatus = 'P' union all
+ select 'registry', c_custkey::varchar, '', 0, case when c_custkey % 2 = 0 then 'SUCCESS|7|one,two' else 'failed|7|one' end from customer"""
+
+
+def _results(spark: SparkSession, base: str) -> DataFrame:
+    """A JSON document for each customer, whose records have all the shapes: other names, texts as numbers, boxes nested and flat."""
+    orders = load(spark, base, "orders")
+    k = F.col(_O)
+    path, even, page = F.format_string("dbfs:/Volumes/%d/f.pdf", "o_custkey"), k % 2 == 0, (k % 50).cast("int")
+    either = lambda a, b, x: [F.when(even, x).alias(a), F.when(~even, x).alias(b)]
+    where = either("source_path", "source_pdf", path)
+    box = F.when(even, F.struct((k / 4).alias("x0"), F.lit("1.5").alias("y0"))).alias("bbox")
+    records_of = {
+        "pages": (F.lit(True), [*where, *either("page", "page_number", page), F.col("o_orderpriority").alias("text"), F.when(even, True).alias("has_header")]),
+        "sections": (F.lit(True), [
+            *where, F.when(even, F.concat(F.lit("s"), k)).alias("section_id"), F.when(~even, k).alias("id"), *either("page_number", "page", page.cast("string")), F.when(even, 3).alias("seq"), F.when(~even, "4").alias("sequence_number"),
+            *either("type", "section_type", F.when(even, "heading").otherwise("paragraph")), *either("text", "content", F.when(even, F.col("o_orderpriority")).otherwise(F.col("o_orderstatus"))), F.when(even, "2").otherwise("").alias("heading_level"), box, F.when(~even, k / 4).alias("bbox_x0"),
+        ]),
+        "images": (k % 3 == 0, [path.alias("source_path"), F.concat(F.lit("i"), k).alias("image_id"), page.alias("page_number"), *either("format", "image_format", F.lit("png"))]),
+        "tables": (k % 3 == 1, [path.alias("source_path"), F.concat(F.lit("t"), k).alias("id"), page.alias("page_number"), *either("html", "table_html", F.lit("<t>"))]),
+        "formulas": (k % 3 == 2, [path.alias("source_path"), F.concat(F.lit("f"), k).alias("id"), *either("latex", "content", F.lit("x^2")), F.lit("none").alias("page_number")]),
+        "errors": (F.col("o_orderstatus") == "P", [path.alias("source_path"), *either("stage", "error_stage", F.lit("bronze")), *either("message", "error_message", F.lit("late"))]),
+    }
+    lists = orders.groupBy("o_custkey").agg(*[F.collect_list(F.when(rule, F.struct(*fields))).alias(kind) for kind, (rule, fields) in records_of.items()])
+    c = F.col("c_custkey")
+    registry = F.struct(F.format_string("/Volumes/%d/f.pdf", c).alias("source_path"), F.when(c % 2 == 0, "SUCCESS").alias("processing_status"), F.lit("7").alias("page_count"))
+    all_ = load(spark, base, "customer").select("c_custkey").join(lists, F.col("c_custkey") == F.col("o_custkey"), "left")
+    body = F.to_json(F.struct(*records_of, registry.alias("registry")))
+    tools = F.when(c % 2 == 0, '"tools_used":["one","two"],').otherwise('"tools_used":"one",')
+    return all_.select(F.replace(body, F.lit('"registry":{'), F.concat(F.lit('"registry":{'), tools)).alias("body"))
+
+
+@query("src_children_seven", f"with {_SEVEN}")
+def src_children_seven(spark: SparkSession, base: str) -> DataFrame:
+    """Seven child tables written from one pass over extraction results, and read back."""
+    path = io.shared_folder(spark)
+    records.write_children(_results(spark, base), path)
+    text = lambda *cs: F.concat_ws("|", *[F.col(c).cast("string") if isinstance(c, str) else c for c in cs])
+    box = lambda c: F.coalesce((F.col(c) * 100).cast("long"), F.lit(-1)).cast("string")
+    details = {
+        "pages": (F.lit(""), text("text", "has_header")), "sections": (F.col("section_id"), text("section_type", F.coalesce("heading_level", F.lit(0)).cast("string"), "sequence_number", "content_text", box("bbox_x0"), box("bbox_y0"))),
+        "images": (F.col("image_id"), F.col("image_format")), "tables": (F.col("table_id"), F.col("html")), "formulas": (F.col("formula_id"), F.col("content")), "errors": (F.lit(""), text("error_stage", "error_message")),
+        "registry": (F.lit(""), text("processing_status", "page_count", F.array_join("tools_used", ","))),
+    }
+    parts = []
+    for kind, (name, detail) in details.items():
+        rows = records.child(spark, path, kind)
+        page = F.col("page_number") if "page_number" in rows.columns else F.lit(0)
+        parts.append(rows.select(F.lit(kind).alias("kind"), "document_id", name.alias("id"), page.alias("page_number"), detail.alias("detail")))
+    return structure.stacked(parts)
+
+
 @query("src_json", "select event_id, cast(json_extract_string(props, '$.k') as integer) k from events")
 def src_json(spark: SparkSession, base: str) -> DataFrame:
     return load(spark, base, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docloom.functions import embedding
 from docloom.functions import text as tx
 from docloom.functions import vectors as vx
-from docloom.operators import classify, extraction, tagging
+from docloom.operators import classify, extraction
 from docloom.operators import entities as ent
 from docloom.plans.registry import _CLS, _ENT, _GOLD, _MEAN, _PROTO, _RANK, _SEC, _STRIP, _VEC, _classified, _gold, _words, query
 from docloom.sources.tables import entities, line_sections, load

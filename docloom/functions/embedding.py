@@ -43,6 +43,13 @@ def mean_pooled(tokens: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return (tokens * weight).sum(1) / np.maximum(weight.sum(1), 1e-9)
 
 
+def first_pooled(tokens: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """The vector of each text's first token that its mask shows, which models with a leading class token put there; zeros for a text of none."""
+    shown = mask.astype(bool)
+    first = tokens[np.arange(len(tokens)), shown.argmax(axis=1)].astype(np.float64)
+    return np.where(shown.any(axis=1)[:, None], first, 0.0)
+
+
 def routed(sections: DataFrame, title: Embedder, content: Embedder, text: str = "content_text", flag: str = "is_heading", version: str = "1.0") -> DataFrame:
     """Headings through one model, the rest through another, in one pass; rows without a flag have no embedding and go."""
     rows = sections.filter(F.col(flag).isNotNull())

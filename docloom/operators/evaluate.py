@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.sources.io import shared_folder
+
 
 def accuracy(rows: DataFrame, truth: str, predicted: str, by: str | None = None) -> DataFrame:
     out = rows.groupBy(*([by] if by else [])).agg(F.count("*").alias("n"), F.sum(F.when(F.col(truth) == F.col(predicted), 1).otherwise(0)).alias("correct"))
@@ -38,6 +40,54 @@ def in_training(key: str, percent: int = 80, seed: int = 42) -> Column:
     return F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), 1, 4) < F.lit(f"{65536 * percent // 100:04x}")
 
 
+_DIGITS, _WIDTH = 15, 3
+
+
+def split_exactly(rows: DataFrame, key: str, percent: int = 80, seed: int = 42) -> DataFrame:
+    """``training``: true for exactly ``percent`` of a hundred of the distinct keys, rounded down: those whose hash of seed and key is smallest.
+
+    Rows follow their key, and a null key is one.  The last hash that is in is found digit by digit: each pass counts keys by the next digits
+    of those that agree so far, a few thousand counts for the driver, and nothing is sorted or ranked.  Keys of one hash go in order of the key.
+    """
+    spark = rows.sparkSession
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    code = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), text).cast("binary")), 1, _DIGITS)
+    path = shared_folder(spark)
+    rows.select(F.col(key).alias("key")).distinct().select("key", F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("key").cast("string"), F.lit(""))).cast("binary")), 1, _DIGITS).alias("code")).write.parquet(path)
+    keys = spark.read.parquet(path)
+    left, prefix = keys.count() * percent // 100, ""
+    if not left:
+        return rows.withColumn("training", F.lit(False))
+    while len(prefix) < _DIGITS:
+        upto = F.substring("code", 1, len(prefix) + _WIDTH)
+        for r in sorted(keys.filter(F.startswith("code", F.lit(prefix))).groupBy(upto.alias("p")).agg(F.count("*").alias("n")).collect()):
+            if left <= r.n:
+                prefix = r.p
+                break
+            left -= r.n
+    # ``left`` of the keys whose hash is the prefix are in: all of them, unless hashes are equal.
+    last = keys.filter(F.col("code") == prefix).orderBy(F.col("key").asc_nulls_first()).limit(left).collect()
+    named = [r.key for r in last if r.key is not None]
+    chosen = F.col(key).isin(named) if named else F.lit(False)
+    if len(named) < len(last):
+        chosen = F.coalesce(chosen, F.lit(False)) | F.col(key).isNull()
+    return rows.withColumn("training", (code < prefix) | ((code == prefix) & F.coalesce(chosen, F.lit(False))))
+
+
+def compared(rows: DataFrame, truth: str, models: dict[str, tuple[str, str]], baseline: str, case_type: str) -> DataFrame:
+    """``model, case_type, n, correct, accuracy, difference, mean_confidence`` of models (name: columns of prediction and confidence), for each case type and
+    for all cases (a null ``case_type``): accuracy in percent, how far it is from the baseline's, and the mean confidence where a model is right (null if never)."""
+    each = [F.struct(F.lit(name).alias("model"), F.coalesce(F.col(p).eqNullSafe(F.col(truth)), F.lit(False)).alias("right"), F.col(c).cast("double").alias("confidence")) for name, (p, c) in models.items()]
+    long_ = rows.select(F.col(case_type).cast("string").alias("case_type"), F.inline(F.array(*each)))
+    right = F.col("right")
+    cells = long_.groupBy("model", "case_type").agg(F.count("*").alias("n"), F.count_if(right).alias("correct"), F.sum(F.when(right, F.col("confidence").cast("decimal(28, 12)"))).alias("sure"))
+    every = cells.groupBy("model").agg(F.lit(None).cast("string").alias("case_type"), F.sum("n").alias("n"), F.sum("correct").alias("correct"), F.sum("sure").alias("sure"))
+    both = cells.unionByName(every).withColumn("accuracy", F.col("correct") * 100.0 / F.col("n"))
+    other = both.filter(F.col("model") == baseline).select(F.col("case_type").alias("__case"), F.col("accuracy").alias("__base"))
+    out = both.join(F.broadcast(other), F.col("case_type").eqNullSafe(F.col("__case")))  # a row for each case type
+    return out.select("model", "case_type", "n", "correct", "accuracy", (F.col("accuracy") - F.col("__base")).alias("difference"), F.when(F.col("correct") > 0, F.col("sure").cast("double") / F.col("correct")).alias("mean_confidence"))
+
+
 def label_maps(labels: list[str]) -> tuple[dict[str, int], dict[int, str]]:
     """Numbers of labels, in their order, and back."""
     numbers = {label: i for i, label in enumerate(labels)}

@@ -184,6 +184,16 @@ def merge_partitions(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(part.schema).parquet(path)
 
 
+@query("sink_dynamic", """select p_brand, count(*) n, sum(case when p_size > 25 then 0 else p_size end)::bigint sizes from part where p_size <= 25 or p_brand not in (select p_brand from part where p_size = 1) group by 1""")
+def sink_dynamic(spark: SparkSession, base: str) -> DataFrame:
+    """Brands with a part of size one are replaced by their small parts; in the others the sizes of large ones become nought."""
+    path, part = io.shared_folder(spark), load(spark, base, "part").select("p_partkey", "p_size", "p_brand")
+    io.overwrite(part.withColumn("p_size", F.when(F.col("p_size") > 25, 0).otherwise(F.col("p_size"))), path, ["p_brand"], most_rows=500)
+    brands = part.filter("p_size = 1").select("p_brand").distinct()
+    io.overwrite(part.filter("p_size <= 25").join(brands, "p_brand", "left_semi"), path, ["p_brand"], dynamic=True, most_rows=500)
+    return spark.read.schema(part.schema).parquet(path).groupBy("p_brand").agg(F.count("*").alias("n"), F.sum("p_size").alias("sizes"))
+
+
 @query("sink_tables", "select s_nationkey, count(*) n from supplier group by 1")
 def sink_tables(spark: SparkSession, base: str) -> DataFrame:
     """A table made if it is not there, filled, read and dropped; what is read of it stays in the shared folder."""
@@ -294,8 +304,8 @@ def date_range(spark: SparkSession, base: str) -> DataFrame:
 # --- embeddings, training data, scores ---
 
 
-def _word_model():
-    """A stand-in for a model: each word is a vector of its length and 1, and a text the mean of its words."""
+def _word_model(pooled=embedding.mean_pooled):
+    """A stand-in for a model: each word is a vector of its length and 1, and a text the mean of its words, or another pooling of them."""
 
     def run(texts: list[str]) -> np.ndarray:
         lengths = [[len(w) for w in t.split()] for t in texts]
@@ -303,7 +313,7 @@ def _word_model():
         tokens, mask = np.zeros((len(texts), most, 2)), np.zeros((len(texts), most))
         for i, x in enumerate(lengths):
             tokens[i, : len(x), 0], tokens[i, : len(x), 1], mask[i, : len(x)] = x, 1, 1
-        return embedding.mean_pooled(tokens, mask)
+        return pooled(tokens, mask)
 
     return run
 
@@ -316,6 +326,20 @@ def emb_model(spark: SparkSession, base: str) -> DataFrame:
     return rows.select("conv_id", "turn", F.round(F.get("v", 0).cast("double"), 3).alias("first"), (F.get("v", 1) == 0).alias("is_zero"))
 
 
+@query("emb_cls", r"""with w as (select conv_id, turn, length(regexp_extract(coalesce(text, ''), '\S+')) n from conversations)
+ select conv_id, turn, case when n = 0 then 0 else round(n / sqrt(n * n + 1), 3) end first, n = 0 is_zero from w""")
+def emb_cls(spark: SparkSession, base: str) -> DataFrame:
+    vector = embedding.model_embedder(lambda: _word_model(embedding.first_pooled), 2)(F.col("text"))
+    rows = load(spark, base, "conversations").select("conv_id", "turn", vector.alias("v"))
+    return rows.select("conv_id", "turn", F.round(F.get("v", 0).cast("double"), 3).alias("first"), (F.get("v", 1) == 0).alias("is_zero"))
+
+
+@query("ner_split_exact", """with k as (select distinct doc_id, substr(md5('42:' || doc_id), 1, 15) code from labels), r as (select doc_id, row_number() over (order by code, doc_id) <= (select count(*) * 80 // 100 from k) training from k)
+ select doc_id, training from labels join r using (doc_id)""")
+def ner_split_exact(spark: SparkSession, base: str) -> DataFrame:
+    return evaluate.split_exactly(load(spark, base, "labels"), "doc_id").select("doc_id", "training")
+
+
 @query("ner_split", "select substr(md5('42:' || doc_id), 1, 4) < 'cccc' training, count(*) n from labels group by 1")
 def ner_split(spark: SparkSession, base: str) -> DataFrame:
     return load(spark, base, "labels").groupBy(evaluate.in_training("doc_id").alias("training")).agg(F.count("*").alias("n"))

@@ -347,6 +347,39 @@ def cls_top15(spark: SparkSession, base: str) -> DataFrame:
     return _classified(spark, base).groupBy("classification").agg(F.count("*").alias("n"), F.max("confidence").alias("best")).orderBy(F.desc("n"), "classification").limit(15)
 
 
+def _best_sql(p: str, vector: str) -> str:
+    score = "round(list_inner_product(vector, prototype) / sqrt(list_inner_product(vector, vector)), 6)"
+    return f"""{p}_vec as (select section_id, label, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) vector from (select vec_id section_id, label, {vector} v from embeddings)),
+ {p}_proto as (select label, list(m / n order by i) prototype from (select *, sqrt(sum(m * m) over (partition by label)) n from (select label, i, avg(x) m from (select label, unnest(vector) x, generate_subscripts(vector, 1) i from {p}_vec) group by label, i)) group by label),
+ {p} as (select section_id, truth, label guess, score from (select section_id, v.label truth, p.label, {score} score, row_number() over (partition by section_id order by {score} desc, p.label) r from {p}_vec v, {p}_proto p) where r = 1)"""
+
+
+_PLAIN, _BACK = "list_transform(embedding, lambda x: x::double)", "list_transform(generate_series(1, len(embedding)), lambda i: embedding[len(embedding) + 1 - i]::double * i)"
+
+
+@query("cls_compare", f"""with {_best_sql('first', _PLAIN)}, {_best_sql('second', _BACK)},
+ {_best_sql('dual', f"list_transform(range(1, len(embedding) + 1), lambda j: 0.7::double * embedding[j]::double / sqrt(list_inner_product({_PLAIN}, {_PLAIN})) + 0.3::double * embedding[len(embedding) + 1 - j]::double * j / sqrt(list_inner_product({_BACK}, {_BACK})))")},
+ long_ as (select 'first' model, * from first union all select 'second', * from second union all select 'dual', * from dual),
+ cells as (select model, (['short', 'long', 'ambiguous'])[section_id % 3 + 1] case_type, truth = guess hit, score from long_),
+ sums as (select model, coalesce(case_type, 'all') case_type, count(*) n, count(*) filter (hit) correct, count(*) filter (hit) * 100.0 / count(*) accuracy, avg(score) filter (hit) sure from cells group by grouping sets ((model, case_type), (model)))
+ select b.model, b.case_type, b.n, b.correct, round(b.accuracy, 6) accuracy, round(b.accuracy - a.accuracy, 6) difference, round(coalesce(b.sure, -1), 5) mean_confidence from sums b join sums a on a.model = 'first' and a.case_type = b.case_type""")
+def cls_compare(spark: SparkSession, base: str) -> DataFrame:
+    """Two models and their fusion, by case type: the vectors as they are, backwards and weighted, and seven to three of both."""
+    rows = vectors(spark, base)
+    back = F.transform(F.reverse("vector"), lambda x, i: x * (i + 1))
+    rows = rows.select("section_id", "label", F.col("vector").alias("first"), back.alias("second"))
+    rows = rows.withColumn("dual", vx.fused(vx.normalized(F.col("first")), vx.normalized(F.col("second"))))
+    case = F.get(F.array(*map(F.lit, ("short", "long", "ambiguous"))), (F.col("section_id") % 3).cast("int"))
+    every = rows.select("section_id", F.col("label").alias("truth"), case.alias("case_type"))
+    for model in ("first", "second", "dual"):
+        own = rows.select("section_id", "label", F.col(model).alias("vector"))
+        best = F.get(F.col("ranked"), 0)
+        found = classify.scored(own.drop("label"), classify.prototypes(own), digits=6, k=2).select("section_id", best["label"].alias(f"{model}_guess"), best["score"].alias(f"{model}_score"))
+        every = every.join(found, "section_id")
+    out = evaluate.compared(every, "truth", {m: (f"{m}_guess", f"{m}_score") for m in ("first", "second", "dual")}, "first", "case_type")
+    return out.select("model", F.coalesce("case_type", F.lit("all")).alias("case_type"), "n", "correct", F.round("accuracy", 6).alias("accuracy"), F.round("difference", 6).alias("difference"), F.round(F.coalesce("mean_confidence", F.lit(-1.0)), 5).alias("mean_confidence"))
+
+
 _MIXED = """mixed as (select a.section_id, list_transform(range(1, len(a.vector) + 1), lambda i: a.vector[i] * (50 - a.section_id % 50) + b.vector[i] * (a.section_id % 50)) m from
  (select e.section_id, c.vector from vec e join vec c on c.section_id = e.section_id // 50 * 50) a join (select e.section_id, c.vector from vec e join vec c on c.section_id = e.section_id // 50 * 50 + 50) b using (section_id)),
  mranked as (select mixed.section_id, p.section_id label, round(list_inner_product(list_transform(m, lambda x: x / sqrt(list_inner_product(m, m))), list_transform(p.vector, lambda x: x / sqrt(list_inner_product(p.vector, p.vector)))), 6) score from mixed cross join (select * from vec where section_id % 50 = 0) p),

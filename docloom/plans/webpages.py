@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.constants import LABEL_TYPES
+from docloom.functions import embedding
 from docloom.functions import text as tx
+from docloom.functions import vectors as vx
 from docloom.operators import structure
 from docloom.plans.registry import _STRIP, _words, query
 from docloom.sources import markup
@@ -130,3 +132,12 @@ def html_chunks(spark: SparkSession, base: str) -> DataFrame:
     rows = _merged(spark, base).withColumn("content_markdown", F.replace("content_text", F.lit(","), F.lit(" ,")))
     made = structure.section_order(structure.chunked(rows, over=_OVER, most=_MOST))
     return made.select("document_id", "section_order", "section_id", F.coalesce("chunk_index", F.lit(0)).alias("chunk_index"), *[F.md5(F.col(f"content_{c}").cast("binary")).alias(f"{c}_md5") for c in ("text", "markdown")])
+
+
+@query("html_embeddings", f"""with {_POUT}, e as (select case when is_heading then 'title' else 'content' end embedding_type, {_words('content_text')} word_count from tree)
+ select embedding_type, count(*) n, 64 vector_length, 0 zero_vectors, round(avg(word_count), 6) avg_word_count from e group by 1""")
+def html_embeddings(spark: SparkSession, base: str) -> DataFrame:
+    """Headings of pages through one model, the rest through another."""
+    rows = structure.with_hierarchy(structure.ordered(page_sections(spark, base)))
+    made = embedding.statistics(embedding.routed(rows, vx.hashed_embedding, vx.hashed_embedding))
+    return made.withColumn("avg_word_count", F.round("avg_word_count", 6))

@@ -182,11 +182,20 @@ def arrow_fields(schema: str) -> list[pa.Field]:
     return [kind.field(i) for i in range(kind.num_fields)]
 
 
-def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None, skip_empty: bool = False) -> bool:
-    """Puts a table in the place of another, with its own schema; says whether it did, as an empty one may be skipped."""
+def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None, skip_empty: bool = False, dynamic: bool = False, most_rows: int | None = None) -> bool:
+    """Puts a table in the place of another, with its own schema; says whether it did, as an empty one may be skipped.
+
+    ``dynamic``: only the partitions that ``df`` has rows of are replaced, the others stay as they are.  Rows are rebalanced by partition before
+    they are written, so a small partition is one file and a large one, however hot, is written by many tasks; no file has more than ``most_rows``.
+    """
     if skip_empty and df.isEmpty():
         return False
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if dynamic and not partition_by:
+        raise ValueError("dynamic overwriting needs partitions")
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    if most_rows:
+        writer = writer.option("maxRecordsPerFile", most_rows)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return True
 

@@ -204,7 +204,7 @@ def test_a_click_may_differ_from_its_copy(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
-@pytest.mark.parametrize("name", ["op11_exact_centroids", "op12_exact_top_k", "op13_rolling_medians"])
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_registered_query_is_its_sql(spark, name):
     from docloom.llm.queries import QUERIES
 

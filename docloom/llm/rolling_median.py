@@ -33,63 +33,69 @@ from docloom.llm.store import Table, integral, shuffle_partitions
 #: Events of a block and the one before it that one task takes whole; beyond, and for each run of time then.
 UNIT = 200_000
 #: Events whose trees a task holds at once, about; a unit is never cut here.
-HELD = 60_000
+HELD = 24_000
 _MOST = 2**57
 
 
 class Trees:
     """Persistent counted trees of many units, level by level in arrays.
 
-    Version ``i`` of level ``l`` is the node on the path of entry ``i``, as it is after that entry came; ``left`` and ``right`` name
-    versions of the next level, ``count`` is what lies below.  The last place of each array stands for an empty tree.
+    Version ``i`` of level ``l`` is the node on the path of entry ``i``, as it is after that entry came.  A node is named by twice its
+    place: there ``children`` has the names of its left and its right child on the next level, side by side, and ``below`` what lies in the left one;
+    ``total`` is what lies in a root.  The last place of each array stands for an empty tree.
     """
 
     def __init__(self, unit: np.ndarray, key: np.ndarray, weight: np.ndarray, levels: int):
         """Entries in order of unit and of insertion."""
         n = len(unit)
-        self.left, self.right, self.count = [], [], []
-        order, group = np.arange(n), unit
-        for level in range(levels + 1):
+        self.children, self.below = [], []
+        at = np.arange(n)
+        order, group = at, unit
+        for level in range(levels):
             first = np.r_[True, group[1:] != group[:-1]] if n else np.zeros(0, bool)
-            start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-            total = np.cumsum(weight[order])
-            before = (total - weight[order])[start] if n else total
-            count = np.zeros(n + 1, np.int64)
-            count[order] = total - before
-            self.count.append(count)
-            if level == levels:
-                break
-            bit = (key[order] >> (levels - 1 - level)) & 1
-            at = np.arange(n)
-            for side, pointers in ((0, self.left), (1, self.right)):
-                last = np.maximum.accumulate(np.where(bit == side, at, -1)) if n else at
-                child = np.full(n + 1, n, np.int64)
-                child[order] = np.where(last >= start, order[np.maximum(last, 0)], n) if n else at
-                pointers.append(child)
-            zeros = np.cumsum(bit == 0)
-            zeros_in = zeros - (zeros - (bit == 0))[start] if n else zeros  # in the group, this one included
-            last_of = np.r_[np.flatnonzero(first)[1:], n] - 1 if n else at
-            all_zeros = np.repeat(zeros_in[last_of], np.diff(np.r_[np.flatnonzero(first), n])) if n else at
-            to = np.where(bit == 0, start + zeros_in - 1, start + all_zeros + (at - start) - zeros_in)
-            moved = np.empty_like(order)
-            moved[to] = order
-            below = np.empty_like(group)
-            below[to] = 2 * group + bit
-            order, group = moved, below
+            start = np.maximum.accumulate(np.where(first, at, 0)) if n else at
+            here = weight[order]
+            if level == 0:
+                sums = np.cumsum(here)
+                self.total = np.zeros(n + 1, np.int64)
+                self.total[order] = sums - (sums - here)[start] if n else sums
+            one = ((key[order] >> (levels - 1 - level)) & 1).astype(bool)
+            children = np.full((n + 1, 2), 2 * n)
+            for side, goes in enumerate((~one, one)):
+                last = np.maximum.accumulate(np.where(goes, at, -1)) if n else at
+                children[order, side] = 2 * np.where(last >= start, order[np.maximum(last, 0)], n) if n else at
+            self.children.append(children.ravel())
+            light = np.where(one, 0, here)
+            sums = np.cumsum(light)
+            below = np.zeros((n + 1, 2), np.int64)
+            below[order, 0] = sums - (sums - light)[start] if n else sums
+            self.below.append(below.ravel())
+            zeros = np.cumsum(~one)
+            zeros_in = zeros - (zeros - ~one)[start] if n else zeros  # in the group, this one included
+            begins = np.flatnonzero(first)
+            all_zeros = np.repeat(zeros_in[np.r_[begins[1:], n] - 1], np.diff(np.r_[begins, n])) if n else at
+            to = np.where(one, start + all_zeros + (at - start) - zeros_in, start + zeros_in - 1)
+            moved, below_group = np.empty_like(order), np.empty_like(group)
+            moved[to], below_group[to] = order, 2 * group + one
+            order, group = moved, below_group
         self.empty = n
 
 
 def select(one: Trees, other: Trees, p: np.ndarray, s: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The key of each rank (from 0) in the union of a version of one tree and one of the other, by one descent through both."""
+    p, s = 2 * p, 2 * s
     key = np.zeros(len(rank), np.int64)
-    for level in range(len(one.left)):
-        a, b = one.left[level][p], other.left[level][s]
-        below = one.count[level + 1][a] + other.count[level + 1][b]
+    for level in range(len(one.children)):
+        below = one.below[level].take(p)
+        below += other.below[level].take(s)
         right = rank >= below
-        rank = rank - np.where(right, below, 0)
-        p = np.where(right, one.right[level][p], a)
-        s = np.where(right, other.right[level][s], b)
-        key = 2 * key + right
+        below *= right
+        rank = rank - below
+        p += right
+        s += right
+        p, s = one.children[level].take(p), other.children[level].take(s)
+        key += key
+        key += right
     return key
 
 
@@ -121,7 +127,7 @@ def window_medians(unit: np.ndarray, own: np.ndarray, time: np.ndarray, cents: n
         return tree, np.where(inside, last, tree.empty)
 
     (one, p), (other, s) = side(own, False), side(~own, True)
-    n = one.count[0][p] + other.count[0][s]
+    n = one.total[p] + other.total[s]
     median2, mad4 = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
     some = np.flatnonzero(n >= 2)
     if not len(some):

@@ -39,6 +39,8 @@ RECALL = 0.98
 CANDIDATES = 8_192
 QUERIES = 2_048
 COLUMNS = 16
+#: Candidates are scanned in whole blocks while more than one of so many are left, and one by one after that.
+DENSE = 8
 #: Of the hypothesis test: larger abandons fewer.
 EPSILON = 2.1
 _RATIO = 1 + 1e-9
@@ -144,20 +146,31 @@ def best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.nd
     return order[np.arange(len(q)) - first < k]
 
 
-def scan(index: Index, q: np.ndarray, q_ids: np.ndarray, bound: np.ndarray, c: np.ndarray, c_ids: np.ndarray, count: dict | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def scan(index: Index, q: np.ndarray, turned_q: np.ndarray, q_ids: np.ndarray, bound: np.ndarray, c: np.ndarray, turned_c: np.ndarray, c_ids: np.ndarray, count: dict | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query number, candidate number and score of what a list's scan finds."""
-    turned_q, turned_c = index.turned(q, True), index.turned(c)
     d = turned_q.shape[1]
     out = []
+    cuts = [(at, min(d, at + COLUMNS)) for at in range(0, d, COLUMNS)]
+    # |x|^2 - 2 x.y + |y|^2 of a block of columns as one product.
+    sides = [np.c_[y, np.ones(len(y)), (y * y).sum(1)].T for y in (turned_c[:, at:to] for at, to in cuts)]
     for a in range(0, len(q), 64):
         b = min(len(q), a + 64)
         limit = bound[a:b] * _RATIO + 1e-12
-        x = turned_q[a:b, :COLUMNS]
-        y = turned_c[:, :COLUMNS]
-        part = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x @ y.T
-        done = min(COLUMNS, d)
-        lax = (1 + EPSILON / np.sqrt(done)) ** 2 if done < d else 1.0
-        i, j = np.nonzero((part * (d / done) <= limit[:, None] * lax) & (q_ids[a:b, None] != c_ids[None, :]))
+        part, alive, done = 0.0, True, 0
+        for (at, to), side in zip(cuts, sides, strict=True):
+            # While most candidates are left, whole blocks of them are cheaper than those that are left.
+            x = turned_q[a:b, at:to]
+            part += np.c_[-2 * x, (x * x).sum(1), np.ones(b - a)] @ side
+            done = to
+            lax = (1 + EPSILON / np.sqrt(done)) ** 2 if done < d else 1.0
+            alive &= part <= (limit * (lax * done / d))[:, None]
+            if count is not None:
+                count[done] = count.get(done, 0) + int(np.count_nonzero(alive))
+            if np.count_nonzero(alive) * DENSE < alive.size:
+                break
+        i, j = np.divmod(np.flatnonzero(alive), len(c))
+        other = q_ids[a + i] != c_ids[j]
+        i, j = i[other], j[other]
         far = part[i, j]
         while done < d:
             to = min(d, done + COLUMNS)
@@ -202,7 +215,8 @@ def _deal(shared, sizes: dict[int, int], asked: dict[int, int], queries: bool):
                 theirs = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
                 cb, qb = (theirs, mine[at]) if queries else (mine[at], theirs)
                 unit = (lists[at].astype(np.int64) << 40) | (cb.astype(np.int64) << 20) | qb.astype(np.int64)
-                sent = np.c_[x, index.bounds(x, ids)] if queries else x  # a query's bound goes with it
+                # Each vector is turned once, here; a query's bound goes with it.
+                sent = np.c_[x, index.turned(x, True), index.bounds(x, ids)] if queries else np.c_[x, index.turned(x)]
                 raw = sent.tobytes()
                 width = 8 * sent.shape[1]
                 blob = pa.array([raw[r * width : (r + 1) * width] for r in row[at].tolist()], pa.binary())
@@ -224,7 +238,8 @@ def _unit(shared):
             return schema.empty_table()
         c_ids, q_ids = left["id"].to_numpy(), right["id"].to_numpy()
         c, q = _matrix(left["vector"]), _matrix(right["vector"])
-        i, j, s = scan(index, np.ascontiguousarray(q[:, :-1]), q_ids, q[:, -1], c, c_ids)
+        d = len(index.rotation) - 1
+        i, j, s = scan(index, np.ascontiguousarray(q[:, :d]), q[:, d:-1], q_ids, q[:, -1], np.ascontiguousarray(c[:, :d]), c[:, d:], c_ids)
         return pa.table([pa.array(q_ids[i]), pa.array(c_ids[j]), pa.array(s)], schema=schema)
 
     return run

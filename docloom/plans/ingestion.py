@@ -35,7 +35,10 @@ def src_files(spark: SparkSession, base: str) -> DataFrame:
     files.write_files(texts, folder).write.format("noop").mode("overwrite").save()
     number = F.regexp_extract("path", r"d(\d+)\.txt$", 1).cast("long").alias("doc_id")
     small, _ = files.scan(spark, folder, "*.txt")
-    read = files.read_folder(spark, folder, io.EXTRACTORS, pattern="*.txt").select(number, "tools_used", "page_count", "characters", "error_message")
+    found = files.read_folder(spark, folder, io.EXTRACTORS, pattern="*.txt").select(number, "tools_used", "page_count", "characters", "error_message")
+    path = io.shared_folder(spark)  # files are read once; what follows reads the result
+    found.write.parquet(path)
+    read = spark.read.parquet(path)
     pages = read.select(F.col("doc_id").alias("document_id"), F.when(F.col("error_message").isNull(), 1).alias("page_number"), F.element_at("tools_used", -1).alias("tool"), "error_message")
     registry = extraction.registry(pages).select(F.col("document_id").alias("doc_id"), "processing_status")
     sizes = small.select(number, F.col("length"))

@@ -24,6 +24,8 @@ from docloom.sources import io
 #: Seconds that a reader has for a file, and bytes of a file that is loaded.
 SECONDS = 90.0
 START_SECONDS = 120.0
+#: Tasks, and so processes started, for each core of the cluster, at the most.
+TASKS_A_CORE = 4
 LARGEST = 512 * 1024 * 1024
 
 
@@ -122,7 +124,9 @@ def extracted(files: DataFrame, readers: list[tuple[str, io.Extractor]], schema:
                     row["error_message"] = "; ".join(errors)[:1000] or None
                     yield pa.RecordBatch.from_pylist([{n: row.get(n) for n in kind.names}], schema=kind)
 
-    return files.select("path", "content").mapInArrow(run, schema)
+    # A scan of many small files has a task for every few of them; each task starts a process, so some are put together.
+    tasks = TASKS_A_CORE * files.sparkSession.sparkContext.defaultParallelism
+    return files.select("path", "content").coalesce(tasks).mapInArrow(run, schema)
 
 
 def read_folder(spark: SparkSession, folder: str, readers: list[tuple[str, io.Extractor]], schema: str = io.EXTRACTED, seconds: float = SECONDS, pattern: str = "*", largest: int = LARGEST) -> DataFrame:

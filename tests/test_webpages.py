@@ -22,6 +22,11 @@ def test_labels_levels_and_entities():
     ]
 
 
+def test_only_whole_references_are_decoded():
+    assert labels("<title>a&amp;b &amp</title><p>&lt;&#65;&#x42; &ampx; &unknown; &am &lt x&copy") == [("title", None, "a&b &amp"), ("text", None, "<AB &ampx; &unknown; &am &lt x&copy")]
+    assert labels('<img alt="a&amp;b &amp c&lt"><p>x\0y &\0amp;') == [("picture", None, "a&b &amp c&lt"), ("text", None, "xy &amp;")]
+
+
 def test_missing_and_stray_end_tags():
     assert labels("<head><title>t</title><p>in body") == [("title", None, "t"), ("text", None, "in body")]
     assert labels("<p>a<p>b</div></p>c<h2>d<h3>e</h3>f") == [("text", None, "a"), ("text", None, "b"), ("text", None, "c"), ("section_header", 2, "d"), ("section_header", 3, "e"), ("text", None, "f")]

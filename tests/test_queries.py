@@ -45,3 +45,11 @@ def test_entry_runs(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_merge_upsert_of_any_keys(spark, tmp_path):
+    rows = [(1, "a", 30), (-1, "b", 40), (0, "c", 50), (2, "d", 26), (2, "d", 26), (2, "e", 1), (None, "f", 30), (3, None, 30), (4, "g", None)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    sql = registry.ORACLES["merge_upsert"].replace("from part", f"from '{tmp_path}/part.parquet/*.parquet'")
+    found = [tuple(r) for r in registry.QUERIES["merge_upsert"](spark, str(tmp_path)).collect()]
+    assert sorted(found, key=str) == sorted(duckdb.sql(sql).fetchall(), key=str)

@@ -11,7 +11,6 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -144,37 +143,32 @@ def extract_files(files: DataFrame, extractors: list[tuple[str, Extractor]], sch
     ``schema`` must have ``path string, tools_used array<string>, error_message string`` and the fields that extractors return.
     """
 
-    names = [f.strip().split(" ")[0] for f in _fields(schema)]
+    kind = pa.schema(arrow_fields(schema))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                row: dict = {"path": path, "tools_used": [], "error_message": None}
-                errors = []
+            rows, held = [], 0
+            for path, content in zip(*batch.columns, strict=True):
+                row: dict = {"path": path.as_py(), "tools_used": [], "error_message": None}
+                errors, raw = [], content.as_py()
                 for name, extract in extractors:
                     row["tools_used"] = [*row["tools_used"], name]
                     try:
-                        row |= extract(bytes(content))
+                        row |= extract(bytes(raw))
                         errors = []
                         break
                     except Exception as e:  # noqa: BLE001  any failure passes the file to the next extractor
                         errors.append(f"{name}: {e}"[:1000])
                 row["error_message"] = "; ".join(errors)[:1000] or None
-                rows.append([row.get(n) for n in names])
-            yield pd.DataFrame(rows, columns=names, dtype=object)
-
-    return files.select("path", "content").mapInPandas(run, schema)
-
-
-def _fields(schema: str) -> list[str]:
-    out, depth, at = [], 0, 0
-    for i, c in enumerate(schema):
-        depth += (c == "<") - (c == ">")
-        if c == "," and depth == 0:
-            out.append(schema[at:i])
-            at = i + 1
-    return [*out, schema[at:]]
+                rows.append({n: row.get(n) for n in kind.names})
+                held += len(raw or b"") + 100
+                if held >= 1_000_000:  # results are handed on by the bytes that made them
+                    yield pa.RecordBatch.from_pylist(rows, schema=kind)
+                    rows, held = [], 0
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=kind)
+
+    return files.select("path", "content").mapInArrow(run, schema)
 
 
 def arrow_fields(schema: str) -> list[pa.Field]:

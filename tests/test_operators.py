@@ -3,6 +3,7 @@
 import re
 
 import pytest
+import pyarrow as pa
 from docloom.constants import BIO_TAGS
 from docloom.functions import text as tx
 from docloom.functions import vectors as vx
@@ -194,3 +195,21 @@ def test_stream_upserts(spark, tmp_path):
         spark.createDataFrame([(1, v), (2, v)], "id int, v string").coalesce(1).write.mode("append").parquet(source)
         ingest.upsert_stream(spark, source, "id int, v string", target, str(tmp_path / "cp"), ["id"]).awaitTermination()
     assert sorted((r.id, r.v) for r in spark.read.parquet(target).collect()) == [(1, "b"), (2, "b")]
+
+
+def test_python_values_are_made_a_bounded_slice_at_a_time():
+    long_, short = pa.array(["x" * 100_000] * 20), pa.array(["x"] * 5_000)
+    for column, most in ((long_, 3), (short, 256)):
+        runs = list(ent.slices((column,)))
+        assert max(many for _, many in runs) <= most and sum(many for _, many in runs) == len(column)
+    assert list(ent.slices((pa.array([], pa.string()),))) == []
+
+
+def test_registered_queries_bound_their_batches(spark):
+    from docloom.plans import registry
+    from docloom.session import BATCH
+
+    for key in BATCH:
+        spark.conf.unset(key)
+    registry.QUERIES["bio_encode"](spark, "/root/testdata/sf0.001")
+    assert {key: spark.conf.get(key) for key in BATCH} == BATCH

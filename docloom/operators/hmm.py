@@ -30,6 +30,8 @@ STEP, OVERLAP = 384, 64
 BROADCAST_BYTES = 32_000_000
 #: Windows that are decoded side by side.
 _TOGETHER = 256
+#: Different words whose places in the model a batch remembers.
+_MET = 100_000
 
 
 def form(word: Column) -> Column:
@@ -59,16 +61,20 @@ class Model:
 
 def learn(annotated: DataFrame, words: str = "words", tags: str = "tags", min_count: int = 2) -> Model:
     """A model of rows with an array of words and one of their tags."""
-    rows = annotated.filter(F.col(words).isNotNull() & F.col(tags).isNotNull()).select(F.arrays_zip(F.col(words).alias("word"), F.col(tags).alias("tag")).alias("t"))
-    before = F.transform("t", lambda x, i: F.struct(x["word"].alias("word"), x["tag"].alias("tag"), F.when(i > 0, F.get(F.col("t"), i - 1)["tag"]).alias("before")))
-    tokens = rows.select(F.inline(before)).filter("word is not null and tag is not null")
-    pairs = {(r.before, r.tag): r.n for r in tokens.groupBy("before", "tag").agg(F.count("*").alias("n")).collect()}  # tags squared
+    rows = annotated.filter(F.col(words).isNotNull() & F.col(tags).isNotNull())
+    # The tags moved on by one stand beside them; a lambda that looks back would make the whole array again for each word.
+    before = F.concat(F.array(F.lit(None).cast("string")), F.col(tags))
+    tokens = rows.select(F.inline(F.arrays_zip(F.col(words).alias("word"), F.col(tags).alias("tag"), before.alias("before")))).filter("word is not null and tag is not null")
+    # Texts are read once, for words and their shapes by tag and the tag before; all counts are sums of these.
+    counts = shared_folder(annotated.sparkSession)
+    tokens.groupBy("before", "tag", form(F.col("word")).alias("form"), shape(F.col("word")).alias("shape")).agg(F.count("*").alias("n")).write.parquet(counts)
+    counted = annotated.sparkSession.read.schema("before string, tag string, form string, shape string, n long").parquet(counts)
+    pairs = {(r.before, r.tag): r.n for r in counted.groupBy("before", "tag").agg(F.sum("n").alias("n")).collect()}  # tags squared
     names = sorted({t for _, t in pairs})
     if not names:
         spark = annotated.sparkSession
         return Model(["O"], spark.createDataFrame([], "form string, scores array<long>"), [0], [[0]], [0], 0)
-    known = tokens.groupBy(form(F.col("word")).alias("form")).agg(F.count("*").alias("n")).filter(F.col("n") >= min_count).select("form", F.lit(True).alias("known"))
-    counted = tokens.withColumn("form", form(F.col("word"))).groupBy("form", "tag", shape(F.col("word")).alias("shape")).agg(F.count("*").alias("n"))
+    known = counted.groupBy("form").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count).select("form", F.lit(True).alias("known"))
     seen = counted.join(known, "form", "left").groupBy(F.when(F.col("known"), F.col("form")).otherwise(F.col("shape")).alias("form"), "tag").agg(F.sum("n").alias("n"))
     by_form = seen.groupBy("form").agg(F.map_from_entries(F.collect_list(F.struct("tag", "n"))).alias("by"))
     path = shared_folder(annotated.sparkSession)  # counted once, read by all that follows
@@ -95,33 +101,47 @@ def viterbi(scores: list[np.ndarray], starts: list[bool], first: np.ndarray, pai
     for a in range(0, len(order), _TOGETHER):
         some = order[a : a + _TOGETHER]
         lengths = np.array([len(scores[i]) for i in some])
-        best = np.stack([scores[i][0] + (first if starts[i] else 0) for i in some])
-        back = np.zeros((lengths[0], len(some), len(first)), np.int16)
+        padded = np.zeros((lengths[0], len(some), len(first)), np.int64)
+        for j, i in enumerate(some):
+            padded[: lengths[j], j] = scores[i]
+        live = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # longer windows come first
+        best = padded[0] + np.where(np.array([starts[i] for i in some])[:, None], first, 0)
+        back = np.zeros(padded.shape, np.int16)
         for t in range(1, lengths[0]):
-            live = int(np.searchsorted(-lengths, -t, side="left"))  # longer windows come first
-            ways = best[:live, :, None] + pairs[None]
-            back[t, :live] = ways.argmax(1)
-            best[:live] = ways.max(1) + np.stack([scores[i][t] for i in some[:live]])
+            ways = best[: live[t], :, None] + pairs[None]
+            back[t, : live[t]] = ways.argmax(1)
+            best[: live[t]] = ways.max(1) + padded[t, : live[t]]
+        tags = np.empty((lengths[0], len(some)), np.int64)
+        tags[lengths - 1, np.arange(len(some))] = best.argmax(1)
+        for t in range(lengths[0] - 1, 0, -1):
+            tags[t - 1, : live[t]] = back[t, np.arange(live[t]), tags[t, : live[t]]]
         for j, i in enumerate(some):
-            tags = np.empty(lengths[j], np.int64)
-            tags[-1] = best[j].argmax()
-            for t in range(lengths[j] - 1, 0, -1):
-                tags[t - 1] = back[t, j, tags[t]]
-            out[i] = tags
+            out[i] = tags[: lengths[j], j].copy()
     return out
 
 
-def _confidence(scores: np.ndarray, tags: np.ndarray, begins: bool, first: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """The share of each tag among all tags at its word, given the tag before."""
+def _confidence(scores: np.ndarray, tags: np.ndarray, begins: np.ndarray, bound: np.ndarray, first: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The share of each tag among all tags at its word, given the tag before; ``begins`` are texts' first words, ``bound`` all first words of windows."""
     ahead = np.zeros_like(scores)
     ahead[1:] = pairs[tags[:-1]]
-    if begins and len(ahead):
-        ahead[0] = first
+    ahead[bound] = 0
+    ahead[begins] = first
     x = (scores + ahead) / UNIT
     e = np.exp(x - x.max(axis=1, keepdims=True))
     return e[np.arange(len(tags)), tags] / e.sum(axis=1)
 
 
+def _decoded(scores: list[np.ndarray], begins: list[bool], first: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tags and confidences of all words of windows, one window after the other."""
+    if not any(map(len, scores)):
+        return np.empty(0, np.int64), np.empty(0)
+    found = np.concatenate(viterbi(scores, begins, first, pairs))
+    at = np.cumsum([0, *map(len, scores)])
+    filled = np.array(list(map(len, scores))) > 0
+    bound = at[:-1][filled]
+    return found, _confidence(np.concatenate(scores), found, bound[np.array(begins)[filled]], bound, first, pairs)
+
+
 _TOKENS = f"array<{ent.TOKEN}>"
 _SHAPES = ((re.compile(r"^[A-ZÀ-ÖØ-ÞΑ-ΩА-Я]"), "A"), (re.compile("^[0-9]"), "0"))
 
@@ -140,23 +160,47 @@ def tagged(texts: DataFrame, model: Model, keys: list[str], text: str = "text",
 
 
 def _in_place(texts: DataFrame, model: Model, text: str, step: int, overlap: int) -> DataFrame:
-    forms = {r.form: r.scores for r in model.forms.collect()}  # bounded by broadcast_bytes
-    shared = texts.sparkSession.sparkContext.broadcast((model.tags, forms, np.array(model.first), np.array(model.pairs), model.unseen))
+    rows = model.forms.select("form", "scores").toPandas()  # bounded by broadcast_bytes
+    matrix = np.array([*rows["scores"].map(list), model.unseen], np.int64).reshape(-1, len(model.tags))
+    shared = texts.sparkSession.sparkContext.broadcast((model.tags, {f: i for i, f in enumerate(rows["form"])}, matrix, np.array(model.first), np.array(model.pairs)))
     kind = ent.arrow_type(_TOKENS)
 
     @F.arrow_udf(_TOKENS)
     def tag(column: pa.Array) -> pa.Array:
-        tags, known, first, pairs, unseen = shared.value
-        rows = [None if x is None else ent.words_of(x) for x in column.to_pylist()]
-        scores = [np.array([known.get(w["word"].lower()) or known.get(shape_of(w["word"])) or unseen for w in row or ()], np.int64).reshape(-1, len(tags)) for row in rows]
-        parts = [(i, max(0, a - overlap), a, min(len(s), a + step), min(len(s), a + step + overlap)) for i, s in enumerate(scores) for a in range(0, len(s), step)]
-        cut = [scores[i][low:high] for i, low, _, _, high in parts]
-        found = viterbi(cut, [low == 0 for _, low, *_ in parts], first, pairs)
-        out: list[list | None] = [None if row is None else [] for row in rows]
-        for (i, low, a, b, _), s, t in zip(parts, cut, found, strict=True):
-            sure = _confidence(s, t, low == 0, first, pairs)
-            out[i] += [{"label": tags[t[p - low]], "start": rows[i][p]["start"], "end": rows[i][p]["end"], "confidence": float(sure[p - low])} for p in range(a, b)]
-        return pa.array(out, kind)
+        tags, known, matrix, first, pairs = shared.value
+        unseen, met = len(matrix) - 1, {}
+
+        def place(word: str) -> int:
+            found = known.get(word.lower())
+            return known.get(shape_of(word), unseen) if found is None else found
+
+        parts = [pa.array([], kind)]
+        for at, many in ent.slices((column,), 1_024):
+            part = column.slice(at, many)
+            spans, lows, begins, cut, keep, counts = [], [], [], [], [], []
+            for text in part.to_pylist():
+                words = list(ent.words_in(text or ""))
+                counts.append(len(words))
+                spans += [m.span() for m in words]
+                places = []
+                for m in words:
+                    if (p := met.get(m.group())) is None:
+                        p = met[m.group()] = place(m.group())
+                    places.append(p)
+                for a in range(0, len(words), step):
+                    low, high = max(0, a - overlap), min(len(words), a + step + overlap)
+                    cut.append(matrix[places[low:high]])
+                    begins.append(low == 0)
+                    mine = np.zeros(high - low, bool)
+                    mine[a - low : min(len(words), a + step) - low] = True
+                    keep.append(mine)
+                if len(met) > _MET:
+                    met.clear()
+            found, sure = _decoded(cut, begins, first, pairs)
+            mine = np.concatenate([np.empty(0, bool), *keep])
+            start, end = np.array(spans, np.int32).reshape(-1, 2).T
+            parts.append(ent.list_array(counts, part.is_null().to_pylist(), kind, label=pa.array(tags).take(pa.array(found[mine])), start=start, end=end, confidence=sure[mine]))
+        return pa.concat_arrays(parts)
 
     return texts.withColumn("tokens", tag(F.col(text)))
 
@@ -178,14 +222,16 @@ def _by_join(texts: DataFrame, model: Model, keys: list[str], text: str, step: i
 
     @F.arrow_udf(_TOKENS)
     def tag(numbers: pa.Array, column: pa.Array) -> pa.Array:
-        rows, w = column.to_pylist(), numbers.to_pylist()
-        scores = [np.array([x["scores"] for x in row], np.int64).reshape(-1, len(tags)) for row in rows]
-        begins = [row[0]["p"] == 0 for row in rows]
-        out = []
-        for row, n, s, t, b in zip(rows, w, scores, viterbi(scores, begins, first, pairs), begins, strict=True):
-            sure = _confidence(s, t, b, first, pairs)
-            out.append([{"label": tags[k], "start": x["start"], "end": x["end"], "confidence": float(c)} for x, k, c in zip(row, t, sure, strict=True) if n * step <= x["p"] < (n + 1) * step])
-        return pa.array(out, kind)
+        parts = [pa.array([], kind)]
+        for at, many in ent.slices((column,), 64):
+            rows, w = column.slice(at, many).to_pylist(), numbers.slice(at, many).to_pylist()
+            scores = [np.array([x["scores"] for x in row], np.int64).reshape(-1, len(tags)) for row in rows]
+            found, sure = _decoded(scores, [row[0]["p"] == 0 for row in rows], first, pairs)
+            every, out = iter(zip(found.tolist(), sure.tolist(), strict=True)), []
+            for row, n in zip(rows, w, strict=True):
+                out.append([{"label": tags[k], "start": x["start"], "end": x["end"], "confidence": c} for x, (k, c) in zip(row, every) if n * step <= x["p"] < (n + 1) * step])
+            parts.append(pa.array(out, kind))
+        return pa.concat_arrays(parts)
 
     made = windows.select(*keys, "window", tag(F.col("window"), F.col("all")).alias("tokens"))
     whole = made.groupBy(*keys).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("window", "tokens"))), lambda x: x["tokens"])).alias("tokens"))

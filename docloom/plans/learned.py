@@ -18,8 +18,11 @@ _CAPITAL = "^[A-ZÀ-ÖØ-ÞΑ-ΩА-Я]"
 
 def annotated_turns(spark: SparkSession, base: str) -> DataFrame:
     rows = load(spark, base, "conversations").select("conv_id", "turn", "text", F.regexp_extract_all("text", F.lit(r"(\S+)")).alias("words"))
-    follows = lambda i: (i > 0) & F.coalesce(F.get(F.col("words"), i - 1), F.lit("")).rlike(_CAPITAL)
-    tags = F.transform("words", lambda w, i: F.when(w.rlike(_CAPITAL), "B-DRUG").when(follows(i) & (F.length(w) > 5), "I-DRUG").when(F.endswith(w, F.lit(",")), "B-BIOMARKER").otherwise("O"))
+    # Words and those before them side by side: a lambda that looked back into the words would have them cut anew for each word, wherever a filter meets the tags.
+    before = F.slice(F.concat(F.array(F.lit("")), F.col("words")), F.lit(1), F.size("words"))
+    word, follows = lambda p: p["word"], lambda p: p["before"].rlike(_CAPITAL)
+    tag = lambda p: F.when(word(p).rlike(_CAPITAL), "B-DRUG").when(follows(p) & (F.length(word(p)) > 5), "I-DRUG").when(F.endswith(word(p), F.lit(",")), "B-BIOMARKER").otherwise("O")
+    tags = F.transform(F.arrays_zip(F.col("words").alias("word"), before.alias("before")), tag)
     return rows.withColumns({"tags": tags, "training": evaluate.in_training("conv_id")})
 
 

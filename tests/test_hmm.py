@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -97,3 +98,14 @@ def test_no_annotations(spark):
     model = hmm.learn(spark.createDataFrame([], "words array<string>, tags array<string>"))
     for most in (1, -1):
         assert [t[0] for t in labels(hmm.tagged(texts(spark, [(1, "a b")]), model, ["id"], broadcast_bytes=most))[1]] == ["O", "O"]
+
+
+def test_learning_takes_no_text_apart_for_each_word(spark, tmp_path):
+    """Twelve thousand words in one turn: where the words were cut anew for each of them, this took minutes."""
+    from docloom.plans import learned
+
+    rows = [(1, 1, "Aspirin tablets of the result, " * 2_400), (1, 2, None), (1, 3, "")]
+    spark.createDataFrame(rows, "conv_id long, turn long, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    began = time.time()
+    assert hmm.learn(learned.annotated_turns(spark, str(tmp_path))).tags == ["B-BIOMARKER", "B-DRUG", "I-DRUG", "O"]
+    assert time.time() - began < 20

@@ -38,34 +38,49 @@ KINDS: dict[str, dict[str, tuple[str, list[str], object]]] = {
 KEYS = ["source_path", "protocol_id", "document_id"]
 
 
+#: All names of fields, read as texts by one pass over a record; what has two forms stays a variant.
+_SHAPE: dict[str, dict[str, object]] = {}
+for _name in [*PATHS, "document_id", "doc_id", *(n for spec in KINDS.values() for _, names, _ in spec.values() for n in names)]:
+    _at = _SHAPE
+    for _step in _name.split("."):
+        _at = _at.setdefault(_step, {})
+_VARIANTS = {n for spec in KINDS.values() for kind, names, _ in spec.values() if kind.startswith("array") for n in names}
+
+
+def _shape(names: dict) -> str:
+    return "struct<" + ",".join(f"{n}:{'variant' if n in _VARIANTS else _shape(inner) if inner else 'string'}" for n, inner in names.items()) + ">"
+
+
 def _field(record: Column, kind: str, names: list[str], default: object) -> Column:
-    texts = [F.try_variant_get(record, f"$.{n}", "string") for n in names]
+    values = [F.col("record." + n) for n in names]
     if kind == "array<string>":
-        lists = [F.try_variant_get(record, f"$.{n}", "array<string>") for n in names]
+        lists = [F.try_variant_get(v, "$", "array<string>") for v in values]
+        texts = [F.try_variant_get(v, "$", "string") for v in values]
         return F.coalesce(*lists, *[F.when(t != "", F.array(t)) for t in texts], F.array().cast(kind))
     if kind == "boolean":
-        return F.coalesce(*[F.when(t != "", ~t.isin("false", "0", "0.0")) for t in texts], F.lit(default))
+        return F.coalesce(*[F.when(t != "", ~t.isin("false", "0", "0.0")) for t in values], F.lit(default))
     if kind == "string":
-        return F.coalesce(*[F.nullif(t, F.lit("")) for t in texts], F.lit(default).cast(kind))
-    return F.coalesce(*[F.nullif(F.trim(t), F.lit("")).try_cast(kind) for t in texts], F.lit(default).cast(kind))
+        return F.coalesce(*[F.when(t != "", t) for t in values], F.lit(default).cast(kind))
+    return F.coalesce(*[F.nullif(F.trim(t), F.lit("")).try_cast(kind) for t in values], F.lit(default).cast(kind))
 
 
 def tagged(results: DataFrame, body: str = "body") -> DataFrame:
     """``kind`` and the fields of all kinds of each record; those that a kind does not have are null."""
     whole = results.select(F.try_parse_json(F.col(body)).alias("__v"))
-    lists = [F.coalesce(F.try_variant_get("__v", f"$.{kind}", "array<variant>"), F.array().cast("array<variant>")) for kind in KINDS if kind != "registry"]
-    one = F.try_variant_get("__v", "$.registry", "variant")
-    lists.append(F.when(one.isNotNull(), F.array(one)).otherwise(F.array().cast("array<variant>")))
+    shape = _shape(_SHAPE)
+    none = F.array().cast(f"array<{shape}>")
+    lists = [F.coalesce(F.try_variant_get("__v", f"$.{kind}", f"array<{shape}>"), none) for kind in KINDS if kind != "registry"]
+    lists.append(F.array(F.try_variant_get("__v", "$.registry", shape)))
 
     def named(kind: str, list_: Column) -> Column:
         return F.transform(list_, lambda r: F.struct(F.lit(kind).alias("kind"), r.alias("record")))
 
     every = F.concat(*map(named, KINDS, lists))
-    rows = whole.select(F.explode(every).alias("x")).select("x.*").filter(F.startswith(F.schema_of_variant("record"), F.lit("OBJECT")))
+    rows = whole.select(F.explode(every).alias("x")).select("x.*").filter("record is not null")  # what is no object
     record = F.col("record")
     path = F.coalesce(tx.normalized_path(_field(record, "string", PATHS, "")), F.lit(""))
     rows = rows.withColumn("source_path", path).withColumn("protocol_id", tx.document_id(F.col("source_path")))
-    rows = rows.withColumn("document_id", F.coalesce(F.nullif(F.try_variant_get(record, "$.document_id", "string"), F.lit("")), F.nullif(F.col("protocol_id"), F.lit("")), F.try_variant_get(record, "$.doc_id", "string")))
+    rows = rows.withColumn("document_id", F.coalesce(F.nullif(record["document_id"], F.lit("")), F.nullif(F.col("protocol_id"), F.lit("")), record["doc_id"]))
     fields: dict[str, Column] = {}
     for kind, spec in KINDS.items():
         for name, (type_, names, default) in spec.items():

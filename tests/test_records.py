@@ -54,3 +54,8 @@ def test_the_source_is_read_once(spark, tmp_path):
 def test_nothing_in_nothing_out(spark, tmp_path):
     counts = records.write_children(table(spark).limit(0), str(tmp_path / "none"))
     assert set(counts.values()) == {0}
+
+
+def test_a_record_is_read_in_one_pass(spark):
+    plan = records.tagged(table(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("variant_get(record") <= 2  # tools_used alone, as a list and as a text

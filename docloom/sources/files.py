@@ -26,13 +26,22 @@ SECONDS = 90.0
 START_SECONDS = 120.0
 #: Tasks, and so processes started, for each core of the cluster, at the most.
 TASKS_A_CORE = 4
+#: Results that leave a task together, and bytes of the files that they were read from.
+RESULT_ROWS = 256
+RESULT_BYTES = 1_048_576
 LARGEST = 512 * 1024 * 1024
 
 
 def scan(spark: SparkSession, folder: str, pattern: str = "*", largest: int = LARGEST) -> tuple[DataFrame, DataFrame]:
     """``path, length, content`` of the files beneath a folder whose names fit, and ``path, length`` of those that are too large to load."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
-    return files.filter(F.col("length") <= largest).select("path", "length", "content"), files.filter(F.col("length") > largest).select("path", "length")
+    small = files.filter(F.col("length") <= largest).select("path", "length", "content")
+    return together(small), together(files.filter(F.col("length") > largest).select("path", "length"))
+
+
+def together(files: DataFrame) -> DataFrame:
+    """A scan of many small files has a task for every few of them; some are put together, so that tasks follow the cores and not the files."""
+    return files.coalesce(TASKS_A_CORE * files.sparkSession.sparkContext.defaultParallelism)
 
 
 def _serve(packed: bytes, pipe) -> None:
@@ -108,6 +117,8 @@ def extracted(files: DataFrame, readers: list[tuple[str, io.Extractor]], schema:
     kind = pa.schema(io.arrow_fields(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[dict] = []
+        held = 0
         with Readers([read for _, read in readers], seconds) as process:
             for batch in batches:
                 for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -122,11 +133,15 @@ def extracted(files: DataFrame, readers: list[tuple[str, io.Extractor]], schema:
                         except Exception as e:  # noqa: BLE001  any failure passes the file to the next reader
                             errors.append(f"{name}: {e}"[:1000])
                     row["error_message"] = "; ".join(errors)[:1000] or None
-                    yield pa.RecordBatch.from_pylist([{n: row.get(n) for n in kind.names}], schema=kind)
-
-    # A scan of many small files has a task for every few of them; each task starts a process, so some are put together.
-    tasks = TASKS_A_CORE * files.sparkSession.sparkContext.defaultParallelism
-    return files.select("path", "content").coalesce(tasks).mapInArrow(run, schema)
+                    done.append({n: row.get(n) for n in kind.names})
+                    held += len(raw)
+                    if len(done) >= RESULT_ROWS or held >= RESULT_BYTES:
+                        yield pa.RecordBatch.from_pylist(done, schema=kind)
+                        done, held = [], 0
+        if done:
+            yield pa.RecordBatch.from_pylist(done, schema=kind)
+
+    return together(files.select("path", "content")).mapInArrow(run, schema)  # each task starts a process
 
 
 def read_folder(spark: SparkSession, folder: str, readers: list[tuple[str, io.Extractor]], schema: str = io.EXTRACTED, seconds: float = SECONDS, pattern: str = "*", largest: int = LARGEST) -> DataFrame:

@@ -90,3 +90,13 @@ def test_files_are_written_whole(spark, tmp_path, scheme):
 def test_labels_of_a_table_are_numbered(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "l string")
     assert sorted(map(tuple, evaluate.numbered_labels(df, "l").collect())) == [("a", 0), ("b", 1)]
+
+
+def test_tasks_of_a_scan_follow_the_cores(spark, tmp_path):
+    for i in range(400):
+        (tmp_path / f"d{i}.txt").write_text(f"text {i}")
+    most = files.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    small, large = files.scan(spark, str(tmp_path), "*.txt")
+    assert small.rdd.getNumPartitions() <= most and large.rdd.getNumPartitions() <= most
+    rows = files.read_folder(spark, str(tmp_path), [("all", lambda content: {"page_count": len(content)})], pattern="*.txt").collect()
+    assert sorted((r.path.rsplit("/", 1)[1], r.page_count) for r in rows) == sorted((f"d{i}.txt", len(f"text {i}")) for i in range(400))

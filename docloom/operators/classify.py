@@ -18,6 +18,8 @@ from docloom.sources.io import shared_folder
 #: Prototypes that a task scores its rows against at a time, and bytes of those that are broadcast at a time.
 BLOCK = 4_096
 GROUP_BYTES = 32_000_000
+#: Scores that a task holds at a time, of as many rows as that allows for a block.
+CELLS = 1_048_576
 
 
 def prototypes(phrases: DataFrame, label: str = "label", vector: str = "vector") -> DataFrame:
@@ -92,37 +94,42 @@ def _rounded(x: np.ndarray, digits: int | None) -> np.ndarray:
 def _best_of(shared, block: int, k: int, digits: int | None):
     """The last two columns are unit vectors and their best so far, which are merged with the best of a group."""
 
+    def merged(batch: pa.RecordBatch, names: pa.Array, matrix: np.ndarray) -> pa.RecordBatch:
+        column, before = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+        n, had = batch.num_rows, int(before.value_lengths()[0].as_py())
+        kind = before.type.value_type
+        whole = pc.fill_null(pc.list_value_length(column), -1).to_numpy() == matrix.shape[1]
+        v = column.filter(pa.array(whole)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, matrix.shape[1])
+        flat = before.flatten()
+        # Places: those before the group's count down from nought, the group's own up.
+        best, place = flat.field("score").to_numpy(zero_copy_only=False).reshape(n, had), np.arange(-n * had, 0).reshape(n, had)
+        for a in range(0, len(names), block):
+            m = matrix[a : a + block]
+            made = np.full((n, len(m)), np.nan)
+            out = np.zeros((len(v), len(m)))
+            for j in range(m.shape[1]):  # in order of dimensions, as every engine sums
+                out += v[:, j : j + 1] * m[:, j]
+            made[whole] = _rounded(out, digits)
+            top = first_largest(made, k)
+            best = np.concatenate([best, np.take_along_axis(made, top, axis=1)], axis=1)
+            place = np.concatenate([place, a + top], axis=1)
+            top = first_largest(best, k)
+            best, place = np.take_along_axis(best, top, axis=1), np.take_along_axis(place, top, axis=1)
+        every = pa.concat_arrays([flat.field("label"), names])
+        label = every.take(pa.array((place + n * had).ravel()))
+        ends = pa.array(np.arange(n + 1, dtype=np.int32) * best.shape[1])
+        pairs = pa.StructArray.from_arrays([label, pa.array(best.ravel())], fields=[kind.field("label"), kind.field("score")])
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pairs)], names=batch.schema.names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, matrix = shared.value
+        many = max(1, CELLS // max(1, min(block, len(labels))))
+        names = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            column, before = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
-            n, had = batch.num_rows, int(before.value_lengths()[0].as_py())
-            kind = before.type.value_type
-            names = pa.array(labels, kind.field("label").type)
-            whole = pc.fill_null(pc.list_value_length(column), -1).to_numpy() == matrix.shape[1]
-            v = column.filter(pa.array(whole)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, matrix.shape[1])
-            flat = before.flatten()
-            # Places: those before the group's count down from nought, the group's own up.
-            best, place = flat.field("score").to_numpy(zero_copy_only=False).reshape(n, had), np.arange(-n * had, 0).reshape(n, had)
-            for a in range(0, len(labels), block):
-                m = matrix[a : a + block]
-                made = np.full((n, len(m)), np.nan)
-                out = np.zeros((len(v), len(m)))
-                for j in range(m.shape[1]):  # in order of dimensions, as every engine sums
-                    out += v[:, j : j + 1] * m[:, j]
-                made[whole] = _rounded(out, digits)
-                top = first_largest(made, k)
-                best = np.concatenate([best, np.take_along_axis(made, top, axis=1)], axis=1)
-                place = np.concatenate([place, a + top], axis=1)
-                top = first_largest(best, k)
-                best, place = np.take_along_axis(best, top, axis=1), np.take_along_axis(place, top, axis=1)
-            every = pa.concat_arrays([flat.field("label"), names])
-            label = every.take(pa.array((place + n * had).ravel()))
-            ends = pa.array(np.arange(n + 1, dtype=np.int32) * best.shape[1])
-            pairs = pa.StructArray.from_arrays([label, pa.array(best.ravel())], fields=[kind.field("label"), kind.field("score")])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pairs)], names=batch.schema.names)
+            if names is None:
+                names = pa.array(labels, batch.schema.field(batch.num_columns - 1).type.value_type.field("label").type)
+            for at in range(0, batch.num_rows, many):
+                yield merged(batch.slice(at, many), names, matrix)
 
     return run
 

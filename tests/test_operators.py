@@ -213,3 +213,19 @@ def test_registered_queries_bound_their_batches(spark):
         spark.conf.unset(key)
     registry.QUERIES["bio_encode"](spark, "/root/testdata/sf0.001")
     assert {key: spark.conf.get(key) for key in BATCH} == BATCH
+
+
+def test_scores_of_a_batch_are_held_a_bounded_part_at_a_time(monkeypatch):
+    from types import SimpleNamespace
+
+    import numpy as np
+
+    held = []
+    first = classify.first_largest
+    monkeypatch.setattr(classify, "first_largest", lambda scores, k: held.append(scores.size) or first(scores, k))
+    protos = np.random.default_rng(0).normal(size=(4096, 2))
+    kind = pa.list_(pa.struct([("label", pa.int64()), ("score", pa.float64())]))
+    rows = pa.RecordBatch.from_arrays([pa.array([[1.0, 0.5]] * 1000 + [None]), pa.array([[]] * 1001, kind)], names=["__unit", "__best"])
+    out = list(classify._best_of(SimpleNamespace(value=(list(range(4096)), protos)), classify.BLOCK, 3, None)([rows]))
+    assert max(held) <= 2**20 and sum(b.num_rows for b in out) == 1001
+    assert [x["label"] for x in out[0].column(1)[0].as_py()] == list(np.argsort(-(protos @ [1.0, 0.5]), kind="stable")[:3])

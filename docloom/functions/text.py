@@ -15,23 +15,38 @@ from docloom.constants import CONTENTS_WORDS, LABEL_TYPES, LEADERS, LINE_NUMBER,
 
 
 def stripped(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.trim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def word_count(c: Column) -> Column:
     """Words between white space; 0 for an empty text."""
-    t = stripped(c)
-    return F.when(t == "", 0).otherwise(F.size(F.split(t, r"\s+")))
+    return F.regexp_count(c, F.lit(r"\S+"))
 
 
-def is_toc_page(c: Column) -> Column:
-    """A contents word with dot leaders, or more than five lines of which over half end in a page number."""
+def is_toc_page(c: Column, plain: Column | None = None) -> Column:
+    """A contents word with dot leaders, or more than five lines of which over half end in a page number; cheap conditions of each come first."""
     low = F.lower(c)
     named = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in CONTENTS_WORDS])
     lines = F.filter(F.split(c, "\n"), lambda x: stripped(x) != "")
     numbered = F.filter(lines, lambda x: x.rlike(LINE_NUMBER))
-    many = (F.size(lines) > 5) & (F.size(numbered) * 2 > F.size(lines))
-    return F.coalesce((F.length(stripped(c)) >= 20) & ((named & c.rlike(LEADERS)) | many), F.lit(False))
+    many = F.contains(c, F.lit("\n")) & (F.size(lines) > 5) & (F.size(numbered) * 2 > F.size(lines))
+    long_ = F.length(stripped(c) if plain is None else plain) >= 20
+    return F.coalesce(long_ & ((F.contains(c, F.lit("...")) & named & c.rlike(LEADERS)) | many), F.lit(False))
+
+
+#: First characters without which a rule's pattern cannot fit (in lower case, where the rule looks at that).
+_FIRST = {r"^[\d.]": "0123456789.", "^(chapter|section|article|part)": "csap", "^appendix": "a", "^[-•*]": "-•*", "^(figure|fig": "f", "^(table|tbl": "t"}
+
+
+def _may_fit(t: Column, pattern: str, low: bool) -> Column:
+    """A condition that all texts fulfil which the pattern fits, and that costs little."""
+    for begin, first in _FIRST.items():
+        if pattern.startswith(begin):
+            own = F.substring(t, 1, 1)
+            return (F.lower(own) if low else own).isin(*first)
+    if re.fullmatch(r"\[[^\x00-\x7F]+\]", pattern):  # signs beyond ASCII alone
+        return F.octet_length(t) != F.length(t)
+    return F.lit(True)
 
 
 def section_type(c: Column, plain: Column | None = None) -> Column:
@@ -39,11 +54,11 @@ def section_type(c: Column, plain: Column | None = None) -> Column:
     t = stripped(c) if plain is None else plain
     out = F.lit("paragraph")
     for kind, pattern, low in reversed(SECTION_RULES):
-        fits = (F.lower(t) if low else t).rlike(pattern)
+        fits = _may_fit(t, pattern, low) & (F.lower(t) if low else t).rlike(pattern)
         if kind == "heading" and not low:
             fits = fits & (F.length(t) < 100)
         out = F.when(fits, kind).otherwise(out)
-    return F.when(c.isNull() | (c == ""), "unknown").when(is_toc_page(t), "toc").otherwise(out)
+    return F.when(c.isNull() | (c == ""), "unknown").when(is_toc_page(t, t), "toc").otherwise(out)
 
 
 def label_type(label: Column) -> Column:
